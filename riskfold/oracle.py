@@ -169,6 +169,10 @@ ORACLE = {
     + R("CAST(sum(n) OVER () AS DOUBLE) / n", "weight") + f" FROM {LABELLED}",
     "class_weight_balanced": S + "SELECT target, n, "
     + R("CAST(sum(n) OVER () AS DOUBLE) / (count(*) OVER () * n)", "weight") + f" FROM {LABELLED}",
+    "class_weight_rows": S + ", w AS (SELECT target, CAST(sum(n) OVER () AS DOUBLE) / (count(*) OVER () * n) "
+    f"AS weight FROM {LABELLED})\n"
+    "SELECT s.customer_id, s.line_no, CAST(s.target AS DOUBLE) AS target, round(coalesce(w.weight, 1.0), 6) "
+    "AS class_weight FROM statements s LEFT JOIN w ON s.target = w.target WHERE s.target IS NOT NULL",
     "threshold_label": SC + "SELECT target, prob, CAST(prob >= 0.5 AS INTEGER) AS prediction FROM scored",
     "risk_band": SC + "SELECT CASE WHEN prob IS NULL THEN NULL WHEN prob < 0.3 THEN 'low' "
     "WHEN prob < 0.7 THEN 'medium' ELSE 'high' END AS risk_level, count(*) AS n, "

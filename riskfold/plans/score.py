@@ -11,14 +11,14 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from riskfold.functions.scoring import DEFAULT_THRESHOLD, risk_level, threshold_label
-from riskfold.plans.train import model_feature_columns, probability_of_default
+from riskfold.plans.train import model_feature_columns, probability_of_default, spread
 from riskfold.sources.requests import request_columns, split_requests
 
 
 def score(df: DataFrame, model: PipelineModel, id_col: str = "customer_id",
           threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     p = probability_of_default()
-    return model.transform(df).select(
+    return model.transform(spread(df)).select(
         id_col,
         threshold_label(p, threshold).alias("prediction"),
         p.alias("probability"),

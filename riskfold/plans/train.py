@@ -56,10 +56,20 @@ def labelled(df: DataFrame, label_col: str) -> DataFrame:
     return df.where(F.col(label_col).isNotNull()).withColumn(label_col, F.col(label_col).cast("double"))
 
 
+CHECKPOINT_EVERY = 10
+
+
 def gbt(label_col: str, preset: str = "script", seed: int = DEFAULT_SEED, weight_col: str = WEIGHT_COL,
         **overrides) -> GBTClassifier:
+    """GBT with a preset; long fits checkpoint the boosting state every 10 rounds.
+
+    Checkpoints go to the shared checkpoint folder and bound the lineage an
+    executor loss has to replay; a fit of at most 10 rounds has nothing to
+    bound, so it skips them.
+    """
     p = {k: v for k, v in PRESETS[preset].items() if k != "weighting"}
     p.update(overrides)
+    p.setdefault("checkpointInterval", CHECKPOINT_EVERY if p["maxIter"] > CHECKPOINT_EVERY else -1)
     return GBTClassifier(featuresCol=FEATURES, labelCol=label_col, weightCol=weight_col, seed=seed, **p)
 
 
@@ -67,11 +77,12 @@ def build_pipeline(roles: Roles, preset: str = "script", seed: int = DEFAULT_SEE
     return Pipeline(stages=[*preparation_stages(roles), gbt(roles.label_col, preset, seed, **overrides)])
 
 
-def _spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Round-robin only when the input has fewer partitions than task slots.
 
-    A large table already arrives in many scan splits; a one-file input would
-    otherwise fit every boosting round in a single task.
+    A large table already arrives in many scan splits and passes through
+    untouched; a one-file input would otherwise run every boosting round or
+    every scored row in a single task.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
@@ -91,14 +102,16 @@ def fit(df: DataFrame, roles: Roles, preset: str = "script", id_col: str | None
     else:
         train, test = random_split(lab, (train_pct / 100, 1 - train_pct / 100), seed)
     method = PRESETS[preset]["weighting"]
-    weights = class_weights(train, roles.label_col, method)
     needed = [roles.label_col, *roles.numeric, *roles.categorical]
-    train_w = _spread(with_class_weight(train.select(*needed), roles.label_col, weights, WEIGHT_COL))
-    train_w = train_w.persist(StorageLevel.MEMORY_AND_DISK)
+    # Persist the narrow training projection first: the class-weight count
+    # fills the cache in the same scan, and every later fit reads the cache.
+    base = spread(train.select(*needed)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        weights = class_weights(base, roles.label_col, method)
+        train_w = with_class_weight(base, roles.label_col, weights, WEIGHT_COL)
         model = build_pipeline(roles, preset, seed, **overrides).fit(train_w)
     finally:
-        train_w.unpersist()
+        base.unpersist()
     params = {k: v for k, v in PRESETS[preset].items()}
     params.update(overrides, seed=seed, train_pct=train_pct, split=split)
     return Trained(model, roles, cleaned.dropped, weights, train, test, preset, params)

@@ -197,6 +197,13 @@ def q_class_weight_balanced(spark, sf_dir):
     return rounded(balance.class_weights_frame(df, "target", "balanced"))
 
 
+def q_class_weight_rows(spark, sf_dir):
+    """Per-row weight (n-way CASE from the per-class counts; unknown class -> 1.0)."""
+    lab = _labelled_statements(spark, sf_dir)
+    weights = balance.class_weights(lab, "target", "balanced")
+    return rounded(balance.with_class_weight(lab, "target", weights))
+
+
 # ------------------------------------------------------------- evaluate ----
 
 def q_threshold_label(spark, sf_dir):
@@ -437,6 +444,7 @@ QUERIES = {
     "class_distribution": q_class_distribution,
     "class_weight_inverse": q_class_weight_inverse,
     "class_weight_balanced": q_class_weight_balanced,
+    "class_weight_rows": q_class_weight_rows,
     "threshold_label": q_threshold_label,
     "risk_band": q_risk_band,
     "confusion_matrix": q_confusion_matrix,

@@ -161,3 +161,17 @@ def test_requests(spark):
     typed = {r["customer_id"]: r for r in request_columns(valid, ["a", "x", "b"], ["k"]).collect()}
     assert typed["c2"]["a"] == 2.0 and typed["c2"]["x"] == 1.5 and typed["c2"]["b"] is None
     assert typed["c3"]["a"] is None and typed["c3"]["k"] == "K" and typed["c2"]["k"] is None
+
+
+def test_fused_scale_equals_ml_stages(spark):
+    from tests.conftest import SF001
+    from riskfold.sources import fixtures
+
+    c = clean.clean(*(lambda d: (d, fixtures.statement_roles(d)))(fixtures.statements(spark, SF001)))
+    a = prep.standard_scale(c.df, c.roles, keep=["customer_id", "line_no"])
+    b = prep.standard_scale_stages(c.df, c.roles, keep=["customer_id", "line_no"])
+    cols = [x + "_z" for x in c.roles.numeric]
+    sa = a.agg(*[F.sum(F.abs(x)).alias(x) for x in cols]).first()
+    sb = b.agg(*[F.sum(F.abs(x)).alias(x) for x in cols]).first()
+    for x in cols:
+        assert sa[x] == pytest.approx(sb[x], rel=1e-9)
