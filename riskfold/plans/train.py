@@ -85,6 +85,10 @@ def spread(df: DataFrame) -> DataFrame:
     every scored row in a single task.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
+    # An input that already shuffles has spark.sql.shuffle.partitions parts;
+    # asking a plan with an exchange for its RDD would run its stages early.
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 

@@ -310,9 +310,10 @@ def holdout_metrics(trained) -> DataFrame:
 def trained_model(spark, sf_dir, preset=BENCH_PRESET):
     """Fit (or reuse) the pipeline for ``statements`` with a preset; saved under the shared folder."""
     path = _model_dir(spark, sf_dir, preset)
+    key = f"{spark.sparkContext.applicationId}|{path}"
     df, roles = _statements(spark, sf_dir)
-    if path in _MODELS:
-        return _MODELS[path]
+    if key in _MODELS:
+        return _MODELS[key]
     if path_exists(spark, path + "/metadata"):
         model = train_plan.load(path)
         trained = None
@@ -325,8 +326,8 @@ def trained_model(spark, sf_dir, preset=BENCH_PRESET):
         rec = runs.run_record(spark, f"statements-{preset}", path, trained, metrics,
                               prep.feature_input_cols(trained.roles))
         runs.append_run(rec, _runs_dir(spark, sf_dir))
-    _MODELS[path] = (model, trained)
-    return _MODELS[path]
+    _MODELS[key] = (model, trained)
+    return _MODELS[key]
 
 
 def _holdout(spark, sf_dir):
