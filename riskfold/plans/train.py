@@ -84,6 +84,8 @@ def spread(df: DataFrame) -> DataFrame:
     untouched; a one-file input would otherwise run every boosting round or
     every scored row in a single task.
     """
+    if df.isStreaming:
+        return df
     slots = df.sparkSession.sparkContext.defaultParallelism
     # An input that already shuffles has spark.sql.shuffle.partitions parts;
     # asking a plan with an exchange for its RDD would run its stages early.
