@@ -76,3 +76,37 @@ def test_registered_model_queries_run(spark):
     for name in ("score_bulk", "run_record", "model_info"):
         df = Q.QUERIES[name](spark, SF01)
         assert df.count() >= 1
+
+
+def test_stream_restart_is_exactly_once(spark, trained, tmp_path):
+    from riskfold.streaming import start_scoring_stream
+
+    src, out, ck = str(tmp_path / "req"), str(tmp_path / "out"), str(tmp_path / "ck")
+    reqs = req.lineitem_requests(spark, SF01)
+    reqs.limit(0).write.json(src)  # empty source folder with the right layout
+    first = reqs.where(F.col("customer_id").cast("long") % 2 == 0)
+    first.write.mode("append").json(src)
+    for q in start_scoring_stream(spark, trained.model, src, out, ck):
+        q.awaitTermination()
+    n1 = spark.read.parquet(f"{out}/scored").count()
+    for q in start_scoring_stream(spark, trained.model, src, out, ck):  # restart, nothing new
+        q.awaitTermination()
+    assert spark.read.parquet(f"{out}/scored").count() == n1
+    reqs.where(F.col("customer_id").cast("long") % 2 == 1).write.mode("append").json(src)
+    for q in start_scoring_stream(spark, trained.model, src, out, ck):  # only the new files
+        q.awaitTermination()
+    valid = reqs.where(F.size("features") > 0).count()
+    assert spark.read.parquet(f"{out}/scored").count() == valid
+
+
+def test_model_info_latest_per_name(spark, trained, tmp_path):
+    from riskfold.sources import runs
+
+    path = str(tmp_path / "runs")
+    m = {"auc": 0.9, "precision": 0.5, "recall": 0.5, "f1_score": 0.5, "tp": 1, "tn": 1, "fp": 1, "fn": 1}
+    for auc in (0.91, 0.93):
+        runs.append_run(runs.run_record(spark, "m1", "p", trained, {**m, "auc": auc}, ["a"]), path)
+    runs.append_run(runs.run_record(spark, "m2", "p", trained, m, ["a", "b"]), path)
+    info = {r["model_name"]: r for r in runs.model_info(spark, path).collect()}
+    assert info["m1"]["n_versions"] == 2 and info["m1"]["auc"] == 0.93
+    assert info["m2"]["n_versions"] == 1 and info["m2"]["n_features"] == 2
