@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfold.operators.profile import _long, missing_counts_row
+from riskfold.operators.profile import _long, missing_counts_row, present_counts_row
 from riskfold.roles import Roles
 
 DEFAULT_MISSING_THRESHOLD = 0.95
@@ -46,11 +46,11 @@ def sparse_columns(
     if not roles.features:
         return [], 0
     nan_cols = [c for c in roles.numeric if c in roles.floating]
-    row = missing_counts_row(df, roles.features, nan_cols).first()
+    row = present_counts_row(df, roles.features, nan_cols).first()
     n = row["n_rows"]
     if n == 0:
         return [], 0
-    return [c for c in roles.features if row[c] / n > threshold], n
+    return [c for c in roles.features if (n - row[c]) / n > threshold], n
 
 
 def drop_sparse_columns(

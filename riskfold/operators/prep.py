@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfold.functions.missing import present_value
+from riskfold.functions.missing import lit_str, present_sql
 from riskfold.roles import Roles
 
 # Fixed value: the category assigned to a NULL categorical.
@@ -96,26 +96,22 @@ def preparation_stages(roles: Roles) -> list:
 def column_means(df: DataFrame, roles: Roles) -> DataFrame:
     """Long ``(column_name, mean, n_present)``; NaN counts as missing, as in the imputer."""
     aggs = []
-    for c in roles.numeric:
-        v = present_value(c, c in roles.floating).cast("double")
-        aggs += [F.avg(v).alias(f"m::{c}"), F.count(v).alias(f"n::{c}")]
-    wide = df.agg(*aggs)
-    stacked = F.explode(F.array(*[
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"`m::{c}`").alias("mean"),
-            F.col(f"`n::{c}`").alias("n_present"),
-        )
-        for c in roles.numeric
-    ]))
-    return wide.select(stacked.alias("s")).select("s.*")
+    for i, c in enumerate(roles.numeric):
+        v = f"CAST({present_sql(c, c in roles.floating)} AS DOUBLE)"
+        aggs += [f"avg({v}) AS m{i}", f"count({v}) AS n{i}"]
+    wide = df.selectExpr(*aggs)
+    rows = ", ".join(
+        f"named_struct('column_name', {lit_str(c)}, 'mean', m{i}, 'n_present', n{i})"
+        for i, c in enumerate(roles.numeric)
+    )
+    return wide.selectExpr(f"inline(array({rows}))")
 
 
 def fill_categorical(df: DataFrame, roles: Roles, keep=None) -> DataFrame:
     keep = list(roles.id_cols) if keep is None else list(keep)
-    return df.select(
-        *keep,
-        *[F.coalesce(F.col(c).cast("string"), F.lit(MISSING_CATEGORY)).alias(c) for c in roles.categorical],
+    return df.selectExpr(
+        *[_q(c) for c in keep],
+        *[f"coalesce(CAST({_q(c)} AS STRING), '{MISSING_CATEGORY}') AS {_q(c)}" for c in roles.categorical],
     )
 
 
@@ -144,24 +140,24 @@ def standard_scale(df: DataFrame, roles: Roles, keep=None) -> DataFrame:
     withStd), in one aggregate pass plus one projection instead of three
     passes: imputing with the mean keeps the mean, and the imputed sample
     variance is ``var_present * (n_present - 1) / (n - 1)``.  A constant
-    column scales to 0.  Only ``2 x features`` numbers reach the driver.
+    column scales to 0.  Only ``3 x features`` numbers reach the driver.
     """
     keep = list(roles.id_cols) if keep is None else list(keep)
-    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs = ["count(1) AS n"]
     for i, c in enumerate(roles.numeric):
-        v = present_value(c, c in roles.floating).cast("double")
-        aggs += [F.avg(v).alias(f"m{i}"), F.var_samp(v).alias(f"v{i}"), F.count(v).alias(f"k{i}")]
-    stats = df.agg(*aggs).first()
+        v = f"CAST({present_sql(c, c in roles.floating)} AS DOUBLE)"
+        aggs += [f"avg({v}) AS m{i}", f"var_samp({v}) AS v{i}", f"count({v}) AS k{i}"]
+    stats = df.selectExpr(*aggs).first()
     cols = []
     for i, c in enumerate(roles.numeric):
         mean, var, k, n = stats[f"m{i}"], stats[f"v{i}"], stats[f"k{i}"], stats["n"]
         if mean is None:
             raise ValueError(f"column {c} has no present value to impute from")
         std = (var * (k - 1) / (n - 1)) ** 0.5 if (var is not None and n > 1) else 0.0
-        x = F.coalesce(present_value(c, c in roles.floating).cast("double"), F.lit(mean))
-        z = (x - F.lit(mean)) / F.lit(std) if std > 0 else F.lit(0.0)
-        cols.append(z.alias(c + "_z"))
-    return df.select(*keep, *cols)
+        x = f"coalesce(CAST({present_sql(c, c in roles.floating)} AS DOUBLE), CAST({mean!r} AS DOUBLE))"
+        z = f"({x} - CAST({mean!r} AS DOUBLE)) / CAST({std!r} AS DOUBLE)" if std > 0 else "CAST(0.0 AS DOUBLE)"
+        cols.append(f"{z} AS {_q(c + '_z')}")
+    return df.selectExpr(*[_q(c) for c in keep], *cols)
 
 
 def standard_scale_stages(df: DataFrame, roles: Roles, keep=None, fit_on: DataFrame | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfold.functions.missing import present_value
+from riskfold.functions.missing import lit_str, missing_sql, present_sql, q
 from riskfold.roles import Roles, is_floating_type
 
 
@@ -20,31 +20,37 @@ def _floating_columns(df: DataFrame) -> set[str]:
     return {f.name for f in df.schema.fields if is_floating_type(f.dataType)}
 
 
+def present_counts_row(df: DataFrame, columns, nan_columns=None) -> DataFrame:
+    """One wide row: ``n_rows`` and ``count(present)`` per column, one aggregate."""
+    nan_columns = _floating_columns(df) if nan_columns is None else set(nan_columns)
+    return df.selectExpr(
+        "count(1) AS n_rows",
+        *[f"count({present_sql(c, c in nan_columns)}) AS {q(c)}" for c in columns],
+    )
+
+
 def missing_counts_row(df: DataFrame, columns, nan_columns=None) -> DataFrame:
-    """One wide row: ``n_rows`` and one missing count per column.
+    """One wide row: ``n_rows`` and one missing count (rows - present) per column.
 
     ``nan_columns`` are the columns where NaN counts as missing (default: all
     floating columns).
     """
-    nan_columns = _floating_columns(df) if nan_columns is None else set(nan_columns)
-    n = F.count(F.lit(1))
-    aggs = [n.alias("n_rows")] + [
-        (n - F.count(present_value(c, c in nan_columns))).alias(c) for c in columns
-    ]
-    return df.agg(*aggs)
+    present = present_counts_row(df, columns, nan_columns)
+    return present.selectExpr("n_rows", *[f"n_rows - {q(c)} AS {q(c)}" for c in columns])
+
+
+def role_lookup_sql(columns, roles: Roles, name_col: str = "column_name") -> str:
+    pairs = ", ".join(f"{lit_str(c)}, {lit_str(roles.role_of(c))}" for c in columns)
+    return f"map({pairs})[{name_col}]"
 
 
 def _long(wide: DataFrame, columns, roles: Roles) -> DataFrame:
-    role_map = F.create_map(*[x for c in columns for x in (F.lit(c), F.lit(roles.role_of(c)))])
     long = wide.unpivot(
         ids=["n_rows"], values=list(columns),
         variableColumnName="column_name", valueColumnName="n_missing",
     )
-    return long.select(
-        "column_name",
-        role_map[F.col("column_name")].alias("role"),
-        "n_rows",
-        "n_missing",
+    return long.selectExpr(
+        "column_name", f"{role_lookup_sql(columns, roles)} AS role", "n_rows", "n_missing",
     )
 
 
@@ -71,12 +77,10 @@ def missing_flags(df: DataFrame, roles: Roles, keep=None) -> DataFrame:
     """Row-level 0/1 missing flags ``<col>_missing`` for every feature and the label."""
     keep = list(roles.id_cols) if keep is None else list(keep)
     cols = list(roles.features) + ([roles.label_col] if roles.label_col else [])
-    flags = [
-        (F.col(c).isNull() | F.isnan(c) if c in roles.floating else F.col(c).isNull())
-        .cast("int").alias(f"{c}_missing")
-        for c in cols
-    ]
-    return df.select(*[F.col(c) for c in keep], *flags)
+    return df.selectExpr(
+        *[q(c) for c in keep],
+        *[f"CAST({missing_sql(c, c in roles.floating)} AS INT) AS {q(c + '_missing')}" for c in cols],
+    )
 
 
 def partition_stats(df: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def missing(c: str) -> str:
 
 KEEP = (
     "(coalesce(" + ", ".join(f"CAST({pv(c)} AS DOUBLE)" for c in NUMERIC) + ") IS NOT NULL"
-    " OR coalesce(" + ", ".join(CATEGORICAL) + ") IS NOT NULL)"
+    " OR coalesce(" + ", ".join(f"CAST({c} AS VARCHAR)" for c in CATEGORICAL) + ") IS NOT NULL)"
 )
 S = oracle_ctes("statements")
 SC = oracle_ctes("scored")
@@ -213,3 +213,63 @@ ORACLE = {
     "ELSE 'features empty' END AS reason FROM requests "
     "WHERE features IS NULL OR cardinality(features) = 0",
 }
+
+
+# --- wide statements: the same questions at ~190 columns ---------------------
+
+from riskfold.roles import DEFAULT_CATEGORICAL_COLS  # noqa: E402
+from riskfold.sources import fixtures as _fx  # noqa: E402
+
+W_IDS = ("customer_ID", "date", "test")
+W_NUM = tuple(f"n_{k:03d}" for k in range(_fx.WIDE_NUMERIC))
+W_FLOAT = frozenset(f"n_{k:03d}" for k in range(_fx.WIDE_NUMERIC) if _fx._BASES[k % 5] != "l_linenumber")
+W_CAT = tuple(DEFAULT_CATEGORICAL_COLS)
+W_SPARSE = tuple(f"n_{k:03d}" for k in range(_fx.WIDE_NUMERIC) if k % 45 == 7) + ("D_68",)
+W_ALL = W_IDS + ("target",) + W_NUM + W_CAT
+W_ROLE = {**{c: "id" for c in W_IDS}, "target": "label", **{c: "numeric" for c in W_NUM},
+          **{c: "categorical" for c in W_CAT}}
+W_CLEAN_NUM = tuple(c for c in W_NUM if c not in W_SPARSE)
+W_CLEAN_CAT = tuple(c for c in W_CAT if c not in W_SPARSE)
+
+
+def wpv(c: str) -> str:
+    return f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END" if c in W_FLOAT else c
+
+
+W_KEEP = (
+    "(coalesce(" + ", ".join(f"CAST({wpv(c)} AS DOUBLE)" for c in W_NUM) + ") IS NOT NULL"
+    " OR coalesce(" + ", ".join(f"CAST({c} AS VARCHAR)" for c in W_CAT) + ") IS NOT NULL)"
+)
+WS = oracle_ctes("wide")
+W_CLEAN = WS + f", clean AS (SELECT * EXCLUDE ({', '.join(W_SPARSE)}) FROM wide WHERE {W_KEEP})\n"
+
+
+def _wprofile(source: str, cols) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, '{W_ROLE[c]}' AS role, count(*) AS n_rows, "
+        f"CAST(count(*) - count({wpv(c)}) AS BIGINT) AS n_missing FROM {source}"
+        for c in cols
+    )
+
+
+ORACLE.update({
+    "wide_null_nan_percent": WS + "SELECT *, " + R("CAST(n_missing AS DOUBLE) / n_rows * 100", "pct_missing")
+    + " FROM (" + _wprofile("wide", W_ALL) + ")",
+    "wide_missing_rate": WS + f", kept AS (SELECT * FROM wide WHERE {W_KEEP})\n"
+    + "SELECT column_name, role, n_rows, n_missing, "
+    + R("CAST(n_missing AS DOUBLE) / n_rows", "missing_rate")
+    + ", CAST(n_missing AS DOUBLE) / n_rows > 0.95 AS sparse FROM ("
+    + _wprofile("kept", W_NUM + W_CAT) + ")",
+    "wide_clean_table": W_CLEAN + "SELECT * FROM clean",
+    "wide_column_means": W_CLEAN + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, {R(f'avg(CAST({wpv(c)} AS DOUBLE))', 'mean')}, "
+        f"count({wpv(c)}) AS n_present FROM clean"
+        for c in W_CLEAN_NUM
+    ),
+    "wide_string_index": W_CLEAN + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, v AS value, "
+        f"CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS DOUBLE) AS idx, n "
+        f"FROM (SELECT coalesce(CAST({c} AS VARCHAR), 'missing') AS v, count(*) AS n FROM clean GROUP BY 1)"
+        for c in W_CLEAN_CAT
+    ),
+})

@@ -8,8 +8,6 @@ Spark and in the DuckDB oracle (``riskfold.oracle``).
 from __future__ import annotations
 
 import functools
-import hashlib
-import os
 import uuid
 
 from pyspark.ml.functions import vector_to_array
@@ -23,7 +21,7 @@ from riskfold.plans import score as score_plan, train as train_plan
 from riskfold.roles import schema_report as _schema_report
 from riskfold.session import path_exists, shared_path
 from riskfold.sources import fixtures, requests as req, runs
-from riskfold.sources.tables import TABLES, read_table, table_path
+from riskfold.sources.tables import TABLES, read_table
 from riskfold.streaming.score_stream import start_scoring_stream
 
 DIGITS = 6
@@ -33,9 +31,11 @@ BENCH_PRESET = "quick"
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every floating column (hash hygiene for the oracle compare)."""
-    return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+    from riskfold.functions.missing import q
+
+    return df.selectExpr(*[
+        f"round({q(f.name)}, {digits}) AS {q(f.name)}"
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else q(f.name)
         for f in df.schema.fields
     ])
 
@@ -275,19 +275,56 @@ def q_request_reject(spark, sf_dir):
     return rejected.select("customer_id", "reason")
 
 
+# ------------------------------------------------- wide statements (~190) ----
+
+def _wide(spark, sf_dir):
+    df = fixtures.wide_statements(spark, sf_dir)
+    return df, fixtures.wide_roles(df)
+
+
+def q_wide_null_nan_percent(spark, sf_dir):
+    df, roles = _wide(spark, sf_dir)
+    return rounded(profile.null_nan_percent(df, roles))
+
+
+def q_wide_missing_rate(spark, sf_dir):
+    df, roles = _wide(spark, sf_dir)
+    rates = clean_ops.missing_rates(clean_ops.drop_all_missing_rows(df, roles), roles)
+    return rounded(rates.withColumn("sparse", F.col("missing_rate") > clean_ops.DEFAULT_MISSING_THRESHOLD))
+
+
+def q_wide_clean_table(spark, sf_dir):
+    df, roles = _wide(spark, sf_dir)
+    return clean_ops.clean(df, roles).df
+
+
+def q_wide_column_means(spark, sf_dir):
+    df, roles = _wide(spark, sf_dir)
+    c = clean_ops.clean(df, roles)
+    return rounded(prep.column_means(c.df, c.roles))
+
+
+def q_wide_string_index(spark, sf_dir):
+    """Long ``(column_name, value, idx, n)`` of every categorical's fitted index."""
+    df, roles = _wide(spark, sf_dir)
+    c = clean_ops.clean(df, roles)
+    idx = prep.string_index(c.df, c.roles, keep=[])
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("column_name"), F.col(k).alias("value"), F.col(k + prep.IDX).alias("idx"))
+        for k in c.roles.categorical
+    ]))
+    return (
+        idx.select(pairs.alias("p")).select("p.*")
+        .groupBy("column_name", "value", "idx").agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 # --------------------------------------------------------------- models ----
 
 _MODELS: dict[str, object] = {}
 
 
-def _fingerprint(sf_dir: str) -> str:
-    p = table_path(sf_dir, "lineitem")
-    lp = p[len("file:"):] if p.startswith("file:") else p
-    stamp = ""
-    if os.path.exists(lp):
-        st = os.stat(lp)
-        stamp = f"{st.st_size}:{int(st.st_mtime)}"
-    return hashlib.sha1(f"{os.path.abspath(lp)}|{stamp}".encode()).hexdigest()[:12]
+_fingerprint = fixtures._fingerprint
 
 
 def _model_dir(spark, sf_dir, preset):
@@ -459,6 +496,11 @@ QUERIES = {
     "request_to_columns": q_request_to_columns,
     "request_valid": q_request_valid,
     "request_reject": q_request_reject,
+    "wide_null_nan_percent": q_wide_null_nan_percent,
+    "wide_missing_rate": q_wide_missing_rate,
+    "wide_clean_table": q_wide_clean_table,
+    "wide_column_means": q_wide_column_means,
+    "wide_string_index": q_wide_string_index,
     # rows-only (model output, sampling, partition layout)
     "partition_stats": q_partition_stats,
     "random_split": q_random_split,

@@ -55,3 +55,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(jpath)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def written_table(spark: SparkSession, name: str, build, fmt: str = "parquet"):
+    """Read table ``name`` from the shared folder, writing it with ``build()`` first if absent.
+
+    The write goes to a unique sibling folder and is renamed into place, so a
+    failed or concurrent writer never leaves a partial table behind.
+    """
+    import uuid
+
+    final = shared_path(spark, "riskfold", "tables", name)
+    if not path_exists(spark, final + "/_SUCCESS"):
+        from riskfold.plans.train import spread
+
+        tmp = f"{final}.tmp-{uuid.uuid4().hex}"
+        spread(build()).write.format(fmt).save(tmp)
+        fs, src = _fs(spark, tmp)
+        _, dst = _fs(spark, final)
+        fs.mkdirs(dst.getParent())
+        if not fs.rename(src, dst) and not fs.exists(dst):
+            raise RuntimeError(f"could not move {tmp} to {final}")
+    return spark.read.format(fmt).load(final)

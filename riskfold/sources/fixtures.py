@@ -75,6 +75,91 @@ def statement_roles(df: DataFrame) -> Roles:
 
 def oracle_ctes(*names: str) -> str:
     """``WITH`` clause defining the named fixture views for DuckDB."""
-    views = {"statements": STATEMENTS, "scored": SCORED}
+    views = {"statements": STATEMENTS, "scored": SCORED, "wide": WIDE}
     body = ",\n".join(f"{n} AS ({view_sql(views[n])})" for n in names)
     return f"WITH {body}\n"
+
+
+# --- wide_statements: the reference's width (~190 features), built by rule ---
+#
+# 179 numeric features n_000..n_178 over the lineitem measures, with NULL and
+# NaN injected by key rules, four sparse columns, and the 11 default
+# categorical names (every third one an integer code), plus the default id
+# and label columns.  All-missing rows are the same key rule as above.
+
+WIDE_NUMERIC = 179
+_BASES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
+
+
+def _wide_numeric(k: int) -> tuple[str, str]:
+    base = _BASES[k % len(_BASES)]
+    integer = base == "l_linenumber"
+    value = f"l_linenumber + {k}" if integer else f"{base} * {1 + k / 1000:.3f}"
+    arms = ["WHEN l_partkey % 97 = 5 THEN NULL"]
+    if k % 45 == 7:
+        arms.append("WHEN l_partkey % 50 <> 1 THEN NULL")
+    if not integer:
+        arms.append(f"WHEN (l_suppkey + {k}) % 29 = 0 THEN CAST('NaN' AS DOUBLE)")
+    arms.append(f"WHEN (l_partkey + {k}) % {5 + k % 13} = 0 THEN NULL")
+    return f"n_{k:03d}", f"CASE {' '.join(arms)} ELSE {value} END"
+
+
+def _wide_categorical(j: int, name: str) -> tuple[str, str]:
+    value = ("l_returnflag", "l_linestatus", f"l_linenumber % {3 + j}")[j % 3]
+    arms = ["WHEN l_partkey % 97 = 5 THEN NULL", f"WHEN (l_suppkey + {j}) % {7 + j} = 0 THEN NULL"]
+    if j == 10:
+        arms.insert(1, "WHEN l_partkey % 40 <> 3 THEN NULL")
+    return name, f"CASE {' '.join(arms)} ELSE {value} END"
+
+
+def _wide_columns():
+    from riskfold.roles import DEFAULT_CATEGORICAL_COLS
+
+    cols = [
+        ("customer_ID", "CAST(l_orderkey AS STRING)"),
+        ("date", "l_shipdate"),
+        ("test", "l_shipdate >= {ts}"),
+        ("target", dict(STATEMENTS)["target"]),
+    ]
+    cols += [_wide_numeric(k) for k in range(WIDE_NUMERIC)]
+    cols += [_wide_categorical(j, n) for j, n in enumerate(DEFAULT_CATEGORICAL_COLS)]
+    return tuple(cols)
+
+
+WIDE = _wide_columns()
+
+
+def wide_statements_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "lineitem").selectExpr(*_exprs(WIDE, "spark"))
+
+
+def _fingerprint(sf_dir: str) -> str:
+    import hashlib
+    import os
+
+    p = f"{sf_dir.rstrip('/')}/lineitem.parquet"
+    lp = p[len("file:"):] if p.startswith("file:") else p
+    stamp = ""
+    if os.path.exists(lp):
+        st = os.stat(lp)
+        stamp = f"{st.st_size}:{int(st.st_mtime)}"
+    return hashlib.sha1(f"{os.path.abspath(lp)}|{stamp}".encode()).hexdigest()[:12]
+
+
+def wide_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide view as a Parquet table of plain columns, written once per input.
+
+    A real statement table arrives as ~190 plain Parquet columns.  Evaluated
+    as a view, every feature is a CASE expression that Catalyst inlines into
+    any predicate over all features (the all-missing row filter), which
+    exceeds the JVM's 64 KB method limit; writing the derived table once
+    gives the queries the same plan they would see on real data.
+    """
+    from riskfold.session import written_table
+
+    return written_table(spark, f"wide-{_fingerprint(sf_dir)}", lambda: wide_statements_view(spark, sf_dir))
+
+
+def wide_roles(df: DataFrame) -> Roles:
+    """The library defaults: customer_ID/date/test, target, the 11 categorical names."""
+    return Roles.of(df)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskfold.functions.missing import lit_str, q
 from riskfold.sources.tables import read_table
 
 REQUEST_SCHEMA = T.StructType([
@@ -20,18 +21,18 @@ REQUEST_SCHEMA = T.StructType([
 ])
 
 
-def _lookup(name: str) -> Column:
-    return F.try_element_at(F.col("features"), F.lit(name))
-
-
 def request_columns(
     requests: DataFrame, numeric, categorical, id_col: str = "customer_id"
 ) -> DataFrame:
     """Typed feature columns from the ``features`` map; narrow, no shuffle."""
-    cols = [F.col(id_col)]
-    cols += [_lookup(c).try_cast("double").alias(c) for c in numeric]
-    cols += [_lookup(c).alias(c) for c in categorical]
-    return requests.select(*cols)
+    def get(c):
+        return f"try_element_at(features, {lit_str(c)})"
+
+    return requests.selectExpr(
+        q(id_col),
+        *[f"try_cast({get(c)} AS DOUBLE) AS {q(c)}" for c in numeric],
+        *[f"{get(c)} AS {q(c)}" for c in categorical],
+    )
 
 
 def reject_reason() -> Column:
