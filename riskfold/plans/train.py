@@ -15,7 +15,6 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.feature import Imputer, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -159,6 +158,5 @@ def load(path: str) -> PipelineModel:
 
 __all__ = [
     "PRESETS", "Trained", "build_pipeline", "fit", "gbt", "labelled", "load",
-    "model_feature_columns", "probability_of_default", "save", "scored_rows",
-    "Imputer", "StringIndexer",
+    "model_feature_columns", "probability_of_default", "save", "scored_rows", "spread",
 ]

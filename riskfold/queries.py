@@ -19,7 +19,7 @@ from riskfold.functions.scoring import risk_level, threshold_label
 from riskfold.operators import balance, clean as clean_ops, evaluate, prep, profile, split
 from riskfold.plans import score as score_plan, train as train_plan
 from riskfold.roles import schema_report as _schema_report
-from riskfold.session import path_exists, shared_path
+from riskfold.session import path_exists, publish, shared_path
 from riskfold.sources import fixtures, requests as req, runs
 from riskfold.sources.tables import TABLES, read_table
 from riskfold.streaming.score_stream import start_scoring_stream
@@ -357,7 +357,7 @@ def trained_model(spark, sf_dir, preset=BENCH_PRESET):
     else:
         trained = train_plan.fit(df, roles, preset=preset, id_col="customer_id")
         model = trained.model
-        train_plan.save(model, path)
+        publish(spark, lambda tmp: train_plan.save(model, tmp), path)
         auc, cm = holdout_metrics(trained)
         metrics = {**cm.first().asDict(), "auc": auc.first()["auc"]}
         rec = runs.run_record(spark, f"statements-{preset}", path, trained, metrics,

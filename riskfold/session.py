@@ -69,17 +69,27 @@ def written_table(spark: SparkSession, name: str, build, fmt: str = "parquet"):
     The write goes to a unique sibling folder and is renamed into place, so a
     failed or concurrent writer never leaves a partial table behind.
     """
-    import uuid
-
     final = shared_path(spark, "riskfold", "tables", name)
     if not path_exists(spark, final + "/_SUCCESS"):
         from riskfold.plans.train import spread
 
-        tmp = f"{final}.tmp-{uuid.uuid4().hex}"
-        spread(build()).write.format(fmt).save(tmp)
-        fs, src = _fs(spark, tmp)
-        _, dst = _fs(spark, final)
-        fs.mkdirs(dst.getParent())
-        if not fs.rename(src, dst) and not fs.exists(dst):
-            raise RuntimeError(f"could not move {tmp} to {final}")
+        publish(spark, lambda tmp: spread(build()).write.format(fmt).save(tmp), final)
     return spark.read.format(fmt).load(final)
+
+
+def publish(spark: SparkSession, write, final: str) -> str:
+    """Run ``write(tmp_path)`` and rename the result to ``final`` if it is not there yet.
+
+    Readers only ever see a complete folder; if another writer got there
+    first, its copy is kept.
+    """
+    import uuid
+
+    tmp = f"{final}.tmp-{uuid.uuid4().hex}"
+    write(tmp)
+    fs, src = _fs(spark, tmp)
+    _, dst = _fs(spark, final)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst) and not fs.exists(dst):
+        raise RuntimeError(f"could not move {tmp} to {final}")
+    return final
