@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame
 
 from riskfold.functions.scoring import DEFAULT_THRESHOLD, risk_level, threshold_label
 from riskfold.plans.train import model_feature_columns, probability_of_default, spread
+from riskfold.session import guard_wide_plans
 from riskfold.sources.requests import request_columns, split_requests
 
 
 def score(df: DataFrame, model: PipelineModel, id_col: str = "customer_id",
           threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+    numeric, categorical = model_feature_columns(model)
+    guard_wide_plans(df.sparkSession, len(numeric) + len(categorical))
     p = probability_of_default()
     return model.transform(spread(df)).select(
         id_col,

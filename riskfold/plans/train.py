@@ -24,6 +24,7 @@ from riskfold.operators.clean import DEFAULT_MISSING_THRESHOLD, clean
 from riskfold.operators.prep import CAT, FEATURES, NUM, preparation_stages
 from riskfold.operators.split import DEFAULT_SEED, DEFAULT_TRAIN_PCT, hash_split, random_split
 from riskfold.roles import Roles
+from riskfold.session import guard_wide_plans
 
 # The two training settings of the original pipeline (the
 # notebook's and the script's), plus a small setting for tests and benchmarks.
@@ -99,6 +100,7 @@ def fit(df: DataFrame, roles: Roles, preset: str = "script", id_col: str | None
     """Clean, split, weight and fit; returns the fitted PipelineModel and the splits."""
     if roles.label_col is None:
         raise ValueError("no label column")
+    guard_wide_plans(df.sparkSession, len(roles.features))
     cleaned = clean(df, roles, missing_threshold)
     roles = cleaned.roles
     lab = labelled(cleaned.df, roles.label_col)
@@ -140,6 +142,8 @@ def probability_of_default() -> F.Column:
 
 def scored_rows(model: PipelineModel, df: DataFrame, keep, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """``keep`` columns + ``prob`` and ``prediction`` (``prob >= threshold``)."""
+    numeric, categorical = model_feature_columns(model)
+    guard_wide_plans(df.sparkSession, len(numeric) + len(categorical))
     p = probability_of_default()
     return model.transform(df).select(
         *keep, p.alias("prob"), threshold_label(p, threshold).alias("prediction")

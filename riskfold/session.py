@@ -93,3 +93,21 @@ def publish(spark: SparkSession, write, final: str) -> str:
     if not fs.rename(src, dst) and not fs.exists(dst):
         raise RuntimeError(f"could not move {tmp} to {final}")
     return final
+
+
+WIDE_FEATURES = 32
+
+
+def guard_wide_plans(spark: SparkSession, n_features: int) -> None:
+    """Turn off constraint propagation for pipelines over many features.
+
+    A filter that names every feature (the all-missing row filter) under a
+    projection that aliases each feature (the pipeline's cast stage) makes
+    Catalyst's constraint set double per alias: 2^k constraints for k
+    features.  Spark's documented switch for plans with many predicates and
+    aliases is ``spark.sql.constraintPropagation.enabled=false``; it only
+    drops inferred IS NOT NULL filters.  Narrow pipelines keep the default.
+    """
+    key = "spark.sql.constraintPropagation.enabled"
+    if n_features >= WIDE_FEATURES and spark.conf.get(key, "true").lower() == "true":
+        spark.conf.set(key, "false")

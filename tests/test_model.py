@@ -110,3 +110,18 @@ def test_model_info_latest_per_name(spark, trained, tmp_path):
     info = {r["model_name"]: r for r in runs.model_info(spark, path).collect()}
     assert info["m1"]["n_versions"] == 2 and info["m1"]["auc"] == 0.93
     assert info["m2"]["n_versions"] == 1 and info["m2"]["n_features"] == 2
+
+
+def test_wide_pipeline_trains_and_scores(spark):
+    """~190 columns with the default roles: the constraint guard keeps planning bounded."""
+    from tests.conftest import SF001
+
+    df = fixtures.wide_statements(spark, SF001)
+    roles = fixtures.wide_roles(df)
+    assert len(roles.numeric) == 179 and len(roles.categorical) == 11
+    tr = train_plan.fit(df, roles, preset="quick", id_col="customer_ID")
+    assert sorted(tr.dropped) == ["D_68", "n_007", "n_052", "n_097", "n_142"]
+    scored = train_plan.scored_rows(tr.model, tr.test, ["target"])
+    rep = evaluate.metric_report(scored, "target", "prob").first()
+    assert rep["auc"] > 0.9
+    assert rep["tp"] + rep["tn"] + rep["fp"] + rep["fn"] == tr.test.count()
