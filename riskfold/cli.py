@@ -1,4 +1,4 @@
-"""Command-line jobs (run with ``spark-submit`` or ``python -m riskfold.cli``).
+"""Command-line jobs (``spark-submit riskfold/cli.py <job> ...`` or ``python -m riskfold.cli``).
 
     profile --input T [--out P]                      null/NaN profile of a Parquet table
     train   --input T --model M [--runs R] [--preset script|notebook|quick]
@@ -16,11 +16,15 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
-from pyspark.sql import SparkSession
+if __package__ in (None, ""):  # run as a file by spark-submit
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from riskfold.roles import DEFAULT_CATEGORICAL_COLS, DEFAULT_ID_COLS, DEFAULT_LABEL_COL, Roles
+from pyspark.sql import SparkSession  # noqa: E402
+
+from riskfold.roles import DEFAULT_CATEGORICAL_COLS, DEFAULT_ID_COLS, DEFAULT_LABEL_COL, Roles  # noqa: E402
 
 
 def _roles(df, args) -> Roles:
