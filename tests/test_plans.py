@@ -88,7 +88,9 @@ def test_publish_and_written_table(spark, tmp_path):
         calls.append(1)
         return spark.range(3)
 
-    name = f"probe-{tmp_path.name}"
+    import uuid
+
+    name = f"probe-{uuid.uuid4().hex}"
     assert written_table(spark, name, build).count() == 3
     assert written_table(spark, name, build).count() == 3
     assert len(calls) == 1
