@@ -46,11 +46,20 @@ def class_weights_frame(df: DataFrame, label_col: str, method: str = "balanced")
 
 
 def class_weights(df: DataFrame, label_col: str, method: str = "balanced") -> dict:
-    """Weights as a driver dict; refuses labels with more than MAX_CLASSES values."""
-    rows = class_weights_frame(df, label_col, method).limit(MAX_CLASSES + 1).collect()
+    """Weights as a driver dict; refuses labels with more than MAX_CLASSES values.
+
+    At most MAX_CLASSES + 1 per-class counts ever reach the driver, and the
+    weights are computed from those few numbers.
+    """
+    rows = class_counts(df, label_col).limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"{label_col} has more than {MAX_CLASSES} classes")
-    return {r[label_col]: float(r["weight"]) for r in rows}
+    total, k = sum(r["n"] for r in rows), len(rows)
+    if method == "inverse":
+        return {r[label_col]: total / r["n"] for r in rows}
+    if method == "balanced":
+        return {r[label_col]: total / (k * r["n"]) for r in rows}
+    raise ValueError(f"unknown weighting {method!r}")
 
 
 def with_class_weight(df: DataFrame, label_col: str, weights: dict, out: str = "class_weight",

@@ -78,23 +78,31 @@ def confusion_percent(df: DataFrame, label_col: str = "target", score_col: str |
     )
 
 
-def score_points(df: DataFrame, label_col: str = "target", score_col: str = "prob") -> DataFrame:
-    """One row per distinct score: ``score, pos, neg`` (partial aggregation absorbs hot scores)."""
+def score_points(df: DataFrame, label_col: str = "target", score_col: str = "prob",
+                 decimals: int | None = None) -> DataFrame:
+    """One row per distinct score: ``score, pos, neg`` (partial aggregation absorbs hot scores).
+
+    ``decimals`` (default: exact) rounds scores first, bounding the number of
+    ROC points for continuous scores; every row still counts.
+    """
     y = F.col(label_col)
+    s = F.col(score_col).cast("double")
+    if decimals is not None:
+        s = F.round(s, decimals)
     return (
         _labelled(df, label_col).where(F.col(score_col).isNotNull())
-        .groupBy(F.col(score_col).cast("double").alias("score"))
+        .groupBy(s.alias("score"))
         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg"))
     )
 
 
 def roc_curve(df: DataFrame, label_col: str = "target", score_col: str = "prob",
-              n_ranges: int | None = None) -> DataFrame:
+              n_ranges: int | None = None, decimals: int | None = None) -> DataFrame:
     """ROC point at every distinct score s (predict positive when score >= s).
 
     Columns: ``score, pos, neg, tp, fp, tpr, fpr, n_pos, n_neg``.
     """
-    pts = running_totals(score_points(df, label_col, score_col), "score", ["pos", "neg"],
+    pts = running_totals(score_points(df, label_col, score_col, decimals), "score", ["pos", "neg"],
                          descending=True, n_ranges=n_ranges)
     return pts.select(
         "score", "pos", "neg",
@@ -110,9 +118,9 @@ def _auc_sum(roc: DataFrame) -> Column:
 
 
 def auc_exact(df: DataFrame, label_col: str = "target", score_col: str = "prob",
-              n_ranges: int | None = None) -> DataFrame:
+              n_ranges: int | None = None, decimals: int | None = None) -> DataFrame:
     """One row ``auc, n_pos, n_neg`` (AUC NULL when a class is absent)."""
-    roc = roc_curve(df, label_col, score_col, n_ranges)
+    roc = roc_curve(df, label_col, score_col, n_ranges, decimals)
     return roc.agg(
         F.try_divide(_auc_sum(roc), F.max("n_pos").cast("double") * F.max("n_neg")).alias("auc"),
         F.max("n_pos").alias("n_pos"), F.max("n_neg").alias("n_neg"),
@@ -121,13 +129,13 @@ def auc_exact(df: DataFrame, label_col: str = "target", score_col: str = "prob",
 
 def metric_report(df: DataFrame, label_col: str = "target", score_col: str = "prob",
                   threshold: float = DEFAULT_THRESHOLD, lb_factor: float = LB_FACTOR,
-                  n_ranges: int | None = None) -> DataFrame:
+                  n_ranges: int | None = None, decimals: int | None = None) -> DataFrame:
     """All headline metrics in one row, from one pass over the ROC points.
 
     The confusion counts at ``threshold`` are sums over the distinct-score
     rows, so no second scan of the scored table is needed.
     """
-    roc = roc_curve(df, label_col, score_col, n_ranges)
+    roc = roc_curve(df, label_col, score_col, n_ranges, decimals)
     above = F.col("score") >= F.lit(threshold)
     agg = roc.agg(
         F.try_divide(_auc_sum(roc), F.max("n_pos").cast("double") * F.max("n_neg")).alias("auc"),

@@ -175,3 +175,20 @@ def test_fused_scale_equals_ml_stages(spark):
     sb = b.agg(*[F.sum(F.abs(x)).alias(x) for x in cols]).first()
     for x in cols:
         assert sa[x] == pytest.approx(sb[x], rel=1e-9)
+
+
+def test_rounded_scores_keep_every_row(spark):
+    rng = random.Random(3)
+    pairs = [(rng.randint(0, 1), rng.random()) for _ in range(400)]
+    df = spark.createDataFrame(pairs, "target int, prob double")
+    exact = evaluate.auc_exact(df).first()
+    coarse = evaluate.auc_exact(df, decimals=2).first()
+    assert (coarse["n_pos"], coarse["n_neg"]) == (exact["n_pos"], exact["n_neg"])
+    assert coarse["auc"] == pytest.approx(exact["auc"], abs=0.02)
+    assert evaluate.roc_curve(df, decimals=2).count() <= 101
+
+
+def test_too_many_classes_refused(spark):
+    df = spark.range(0, 1500).withColumnRenamed("id", "target")
+    with pytest.raises(ValueError):
+        balance.class_weights(df, "target")
