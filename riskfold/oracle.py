@@ -105,7 +105,7 @@ LABELLED = "(SELECT target, count(*) AS n FROM statements WHERE target IS NOT NU
 RQ = S.replace("WITH ", "WITH " + lineitem_requests_sql() + ", ", 1)
 
 SCHEMA_TYPES = {
-    "customer_id": "bigint", "line_no": "int", "date": "timestamp_ntz", "test": "boolean",
+    "customer_id": "bigint", "line_no": "int", "date": "string", "test": "boolean",
     "target": "int", "n_qty": "double", "n_price": "double", "n_disc": "double",
     "n_sparse": "double", "n_line": "int", "c_flag": "string", "c_status": "string", "c_rare": "string",
 }

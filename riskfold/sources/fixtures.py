@@ -21,7 +21,7 @@ _TS = {"spark": "TIMESTAMP_NTZ '2001-01-01 00:00:00'", "duckdb": "TIMESTAMP '200
 STATEMENTS = (
     ("customer_id", "l_orderkey"),
     ("line_no", "l_linenumber"),
-    ("date", "l_shipdate"),
+    ("date", "CAST(CAST(l_shipdate AS DATE) AS STRING)"),
     ("test", "l_shipdate >= {ts}"),
     ("target", "CASE WHEN l_suppkey % 13 = 3 THEN NULL "
                "WHEN l_quantity > 30 AND l_discount >= 0.05 THEN 1 "
@@ -117,7 +117,7 @@ def _wide_columns():
 
     cols = [
         ("customer_ID", "CAST(l_orderkey AS STRING)"),
-        ("date", "l_shipdate"),
+        ("date", "CAST(CAST(l_shipdate AS DATE) AS STRING)"),
         ("test", "l_shipdate >= {ts}"),
         ("target", dict(STATEMENTS)["target"]),
     ]
@@ -143,7 +143,9 @@ def _fingerprint(sf_dir: str) -> str:
     if os.path.exists(lp):
         st = os.stat(lp)
         stamp = f"{st.st_size}:{int(st.st_mtime)}"
-    return hashlib.sha1(f"{os.path.abspath(lp)}|{stamp}".encode()).hexdigest()[:12]
+    # the fixture definitions are part of the key: a changed view never reuses old output
+    views = view_sql(STATEMENTS) + view_sql(WIDE) + view_sql(SCORED)
+    return hashlib.sha1(f"{os.path.abspath(lp)}|{stamp}|{views}".encode()).hexdigest()[:12]
 
 
 def wide_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
