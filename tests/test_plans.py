@@ -2,7 +2,6 @@
 
 import re
 
-import pytest
 
 from riskfold import queries as Q
 from riskfold.plans.train import spread
