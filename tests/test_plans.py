@@ -2,7 +2,6 @@
 
 import re
 
-
 from riskfold import queries as Q
 from riskfold.plans.train import spread
 from riskfold.session import guard_wide_plans, publish, shared_root, written_table
