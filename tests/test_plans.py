@@ -105,3 +105,16 @@ def test_guard_only_for_wide_pipelines(spark):
         assert spark.conf.get(key) == "false"
     finally:
         spark.conf.set(key, before)
+
+
+def test_bulk_scoring_plan_has_one_spread_and_no_python(spark):
+    from riskfold.plans import score as score_plan, train as train_plan
+    from riskfold.sources import fixtures, requests as req
+
+    st = fixtures.statements(spark, SF001)
+    trained = train_plan.fit(st, fixtures.statement_roles(st), preset="quick", id_col="customer_id")
+    scored, _ = score_plan.score_requests(req.lineitem_requests(spark, SF001), trained.model)
+    p = plan(spark, scored)
+    n = nodes(p)
+    assert n.count("Exchange") == 1 and "RoundRobinPartitioning" in p  # the thin-input spread only
+    assert not any("Join" in x or "Python" in x or "ArrowEval" in x for x in n)
