@@ -37,3 +37,38 @@ def test_confusion_partitions_rows(spark, ps, t):
     cm = evaluate.confusion_counts(df, threshold=t).first()
     assert cm["tp"] + cm["tn"] + cm["fp"] + cm["fn"] == len(ps)
     assert cm["tp"] == sum(1 for y, p in ps if y == 1 and p >= t)
+
+
+rows3 = st.lists(
+    st.tuples(
+        st.one_of(st.none(), st.just(float("nan")), st.floats(-5, 5, allow_nan=False)),
+        st.one_of(st.none(), st.integers(-3, 3)),
+        st.one_of(st.none(), st.sampled_from(["x", "y", ""])),
+    ),
+    min_size=1, max_size=40,
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=rows3)
+def test_missing_semantics_equal_brute_force(spark, rows):
+    import math
+
+    from riskfold.operators import clean, profile
+    from riskfold.roles import Roles
+
+    df = spark.createDataFrame(rows, "a double, b int, c string")
+    roles = Roles.of(df, id_cols=(), label_col=None, categorical=("c",))
+
+    def miss_a(v):
+        return v is None or math.isnan(v)
+
+    want_missing = {
+        "a": sum(miss_a(r[0]) for r in rows),
+        "b": sum(r[1] is None for r in rows),
+        "c": sum(r[2] is None for r in rows),
+    }
+    got = {r["column_name"]: r["n_missing"] for r in profile.null_nan_profile(df, roles).collect()}
+    assert got == want_missing
+    keep = sum(not (miss_a(r[0]) and r[1] is None and r[2] is None) for r in rows)
+    assert clean.drop_all_missing_rows(df, roles).count() == keep
