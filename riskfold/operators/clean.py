@@ -7,7 +7,7 @@ row filter is pushed to the scan and the dropped columns are pruned from it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,16 @@ def missing_rates(df: DataFrame, roles: Roles) -> DataFrame:
     )
 
 
+def _feature_stats(df: DataFrame, roles: Roles) -> dict:
+    """One pass: row count, present count per feature, approximate distinct
+    count per categorical (``__card__<col>``)."""
+    from riskfold.functions.missing import q
+
+    nan_cols = [c for c in roles.numeric if c in roles.floating]
+    extra = [f"approx_count_distinct({q(c)}) AS {q('__card__' + c)}" for c in roles.categorical]
+    return present_counts_row(df, roles.features, nan_cols, extra).first().asDict()
+
+
 def sparse_columns(
     df: DataFrame, roles: Roles, threshold: float = DEFAULT_MISSING_THRESHOLD
 ) -> tuple[list[str], int]:
@@ -43,14 +53,19 @@ def sparse_columns(
     Brings one row (one number per feature) to the driver.  An empty table has
     no rates and drops nothing.
     """
+    dropped, n, _ = _sparse_and_cardinality(df, roles, threshold)
+    return dropped, n
+
+
+def _sparse_and_cardinality(df: DataFrame, roles: Roles, threshold: float):
     if not roles.features:
-        return [], 0
-    nan_cols = [c for c in roles.numeric if c in roles.floating]
-    row = present_counts_row(df, roles.features, nan_cols).first()
+        return [], 0, {}
+    row = _feature_stats(df, roles)
     n = row["n_rows"]
+    card = {c: row["__card__" + c] for c in roles.categorical}
     if n == 0:
-        return [], 0
-    return [c for c in roles.features if (n - row[c]) / n > threshold], n
+        return [], 0, card
+    return [c for c in roles.features if (n - row[c]) / n > threshold], n, card
 
 
 def drop_sparse_columns(
@@ -67,11 +82,16 @@ class Cleaned:
     roles: Roles
     dropped: list[str]
     n_rows: int
+    cardinality: dict = field(default_factory=dict)  # approx distinct values per categorical
 
 
 def clean(df: DataFrame, roles: Roles, threshold: float = DEFAULT_MISSING_THRESHOLD) -> Cleaned:
-    """Row filter, then sparse-column drop with the filtered row count as denominator."""
+    """Row filter, then sparse-column drop with the filtered row count as denominator.
+
+    The same aggregate also estimates each categorical's number of distinct
+    values, so callers can check cardinality without another pass.
+    """
     rows = drop_all_missing_rows(df, roles)
-    dropped, n = sparse_columns(rows, roles, threshold)
+    dropped, n, card = _sparse_and_cardinality(rows, roles, threshold)
     out = rows.drop(*dropped)
-    return Cleaned(out, roles.refresh(out.schema), dropped, n)
+    return Cleaned(out, roles.refresh(out.schema), dropped, n, card)

@@ -20,12 +20,16 @@ def _floating_columns(df: DataFrame) -> set[str]:
     return {f.name for f in df.schema.fields if is_floating_type(f.dataType)}
 
 
-def present_counts_row(df: DataFrame, columns, nan_columns=None) -> DataFrame:
-    """One wide row: ``n_rows`` and ``count(present)`` per column, one aggregate."""
+def present_counts_row(df: DataFrame, columns, nan_columns=None, extra=()) -> DataFrame:
+    """One wide row: ``n_rows`` and ``count(present)`` per column, one aggregate.
+
+    ``extra`` adds further aggregate SQL expressions to the same pass.
+    """
     nan_columns = _floating_columns(df) if nan_columns is None else set(nan_columns)
     return df.selectExpr(
         "count(1) AS n_rows",
         *[f"count({present_sql(c, c in nan_columns)}) AS {q(c)}" for c in columns],
+        *extra,
     )
 
 

@@ -37,6 +37,7 @@ PRESETS = {
                   weighting="balanced"),
 }
 WEIGHT_COL = "class_weight"
+MAX_CATEGORIES = 100_000  # StringIndexer holds the label array of each column on the driver
 
 
 @dataclass
@@ -103,6 +104,12 @@ def fit(df: DataFrame, roles: Roles, preset: str = "script", id_col: str | None
     guard_wide_plans(df.sparkSession, len(roles.features))
     cleaned = clean(df, roles, missing_threshold)
     roles = cleaned.roles
+    too_many = {c: k for c, k in cleaned.cardinality.items() if c in roles.categorical and k > MAX_CATEGORIES}
+    if too_many:
+        raise ValueError(
+            f"categorical columns with more than {MAX_CATEGORIES} distinct values (approx.): {too_many}; "
+            "StringIndexer keeps every label on the driver"
+        )
     lab = labelled(cleaned.df, roles.label_col)
     if split == "hash":
         train, test = hash_split(lab, id_col or roles.id_cols[0], train_pct, seed)

@@ -192,3 +192,22 @@ def test_too_many_classes_refused(spark):
     df = spark.range(0, 1500).withColumnRenamed("id", "target")
     with pytest.raises(ValueError):
         balance.class_weights(df, "target")
+
+
+def test_high_cardinality_categorical_is_refused(spark):
+    from riskfold.plans import train as train_plan
+
+    df = spark.range(0, 3000).selectExpr(
+        "id AS customer_id", "CAST(id AS STRING) AS k", "CAST(id % 7 AS DOUBLE) AS x",
+        "CAST(id % 2 AS INT) AS target",
+    )
+    roles = Roles.of(df, id_cols=("customer_id",), label_col="target", categorical=("k",))
+    c = clean.clean(df, roles)
+    assert c.cardinality["k"] > 2500
+    old = train_plan.MAX_CATEGORIES
+    train_plan.MAX_CATEGORIES = 1000
+    try:
+        with pytest.raises(ValueError, match="distinct values"):
+            train_plan.fit(df, roles, preset="quick", id_col="customer_id")
+    finally:
+        train_plan.MAX_CATEGORIES = old
