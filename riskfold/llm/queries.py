@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfold.llm import mixing, sharding
+from riskfold.llm import decontamination, mixing, quality_rules, sharding
 from riskfold.llm.tables import ROW
 from riskfold.sources.tables import read_table
 
@@ -36,9 +36,26 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.with_shards(slotted, ["doc_id"], [1.0] * (N_SHARDS + 1), into="grown_shard")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.quality(docs, into="q").select("doc_id", "q.*")
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    leaks = decontamination.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), into="leak")
+    return leaks.select(
+        "doc_id", "leak.n_words", "leak.n_hit", F.size("leak.items").cast("long").alias("n_items"),
+        decontamination.items_digest(F.col("leak.items")).alias("items_sha256"),
+        (F.col("leak.n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op5_sharding": op5_sharding,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_decontamination": op7_decontamination,
 }
 
 ORACLE: dict[str, str] = {
@@ -73,4 +90,30 @@ ORACLE: dict[str, str] = {
                CAST(greatest(0, least(start + size, take) - start)
                     + greatest(0, least(source_size + start + size, take) - source_size - start) AS BIGINT) AS taken
         FROM p""",
+    "op7_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        b AS (
+            SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark),
+        p AS (
+            SELECT DISTINCT item, array_to_string(w[i:i + 9], ' ') AS pattern, least(len(w), 10) AS n
+            FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+        n AS (SELECT DISTINCT n FROM p),
+        g AS (
+            SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+            FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, n WHERE len(w) >= n)),
+        m AS (SELECT r, i, g.n, item FROM g JOIN p ON g.gram = p.pattern AND g.n = p.n),
+        h AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM m) GROUP BY r),
+        s AS (
+            SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN h USING (r) LEFT JOIN s USING (r)""",
 }
