@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfold.llm import decontamination, mixing, quality_rules, sharding
-from riskfold.llm.tables import ROW
+from riskfold.llm import chat, decontamination, mixing, quality_rules, sharding, token_output, warc
+from riskfold.llm.tables import ROW, fresh_path, written
 from riskfold.sources.tables import read_table
 
 N_SHARDS = 40
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """A public tokenizer's file; every machine has the package that holds it."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
     taken = mixed.groupBy(ROW).agg(F.sum("words").alias("taken"))
@@ -23,6 +30,38 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return chat.read_back(chat.format_chat(turns.unionByName(more)))
+
+
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "tokens")
+    token_output.write_tokens(read_table(spark, sf_dir, "documents"), path, tokenizer_file())
+    return token_output.with_checksums(token_output.read_tokens(spark, path))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write_warc(read_table(spark, sf_dir, "pages"), path)
+    records = warc.read_warc(spark, path).select(
+        "record_id", "record_type", "page_id", "refers_to_id",
+        F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"),
+    )
+    records = written(records, "warc-read")
+    stored = records.where("record_type = 'response'").select(
+        F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest",
+    )
+    revisits = records.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest").join(
+        stored, "refers_to_id", "left"
+    )
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    responses = records.where("record_type = 'response'").withColumn("refers_to", F.lit(None).cast("long"))
+    return responses.select(*columns).unionByName(revisits.select(*columns))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     docs = read_table(spark, sf_dir, "documents").select(
@@ -53,6 +92,9 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_chat": op2_chat,
+    "op3_token_output": op3_token_output,
+    "op4_warc": op4_warc,
     "op5_sharding": op5_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontamination": op7_decontamination,
@@ -90,6 +132,46 @@ ORACLE: dict[str, str] = {
                CAST(greatest(0, least(start + size, take) - start)
                     + greatest(0, least(source_size + start + size, take) - source_size - start) AS BIGINT) AS taken
         FROM p""",
+    "op2_chat": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        k AS (
+            SELECT unnest(['\', '<s>', '</s>', '[INST]', '[/INST]', '<<SYS>>', '<</SYS>>', '<<ROLE>>', '<</ROLE>>']) AS c),
+        n AS (
+            SELECT *, len(text) + (SELECT CAST(sum((len(text) - len(replace(text, c, ''))) // len(c)) AS BIGINT) FROM k)
+                   + CASE role WHEN 'system' THEN 24 WHEN 'user' THEN 22 WHEN 'assistant' THEN 7
+                     ELSE 24 + len(role) + (SELECT CAST(sum((len(role) - len(replace(role, c, ''))) // len(c)) AS BIGINT) FROM k)
+                     END AS chars,
+                   lag(role) OVER w AS last, lead(role) OVER w AS next, row_number() OVER w AS no
+            FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+        v AS (
+            SELECT *, CASE
+                WHEN last IS NULL AND no = 1 THEN role IN ('system', 'user')
+                WHEN last NOT IN ('system', 'user', 'assistant') THEN role IN ('system', 'user')
+                ELSE (last, role) IN (('system', 'user'), ('user', 'assistant'), ('assistant', 'user')) END AS ok
+            FROM n)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY no)) AS turns_sha256,
+               CAST(sum(CASE WHEN role = 'assistant' THEN len(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+               sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY no)) AS loss_sha256,
+               CAST(sum(chars) AS BIGINT) AS formatted_chars,
+               bool_and(ok) AND arg_max(role, no) = 'assistant' AS valid,
+               CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS n_wrong_turns
+        FROM v GROUP BY conv_id""",
+    "op4_warc": r"""
+        WITH p AS (
+            SELECT page_id, row_number() OVER () AS r, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        f AS (
+            SELECT *, first_value(r) OVER w AS fr, first_value(page_id) OVER w AS fp
+            FROM p WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id NULLS LAST, r))
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND r <> fr THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND r <> fr THEN fp END AS refers_to
+        FROM f""",
     "op7_decontamination": r"""
         WITH d AS (
             SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
