@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfold.llm import chat, decontamination, mixing, quality_rules, sharding, token_output, warc
+from riskfold.llm import chat, decontamination, mixing, ngram_join, quality_rules, sharding, token_output, warc
 from riskfold.llm.tables import ROW, fresh_path, written
 from riskfold.sources.tables import read_table
 
@@ -90,6 +90,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_chat": op2_chat,
@@ -98,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontamination": op7_decontamination,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLE: dict[str, str] = {
@@ -198,4 +203,25 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN h USING (r) LEFT JOIN s USING (r)""",
+    "op10_ngram_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+            FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+        l AS (
+            SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+            WHERE 100 * i >= 80 * (na.n + nb.n - i)),
+        r(doc_id, root) AS (
+            SELECT doc_id, doc_id FROM d
+            UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.doc_id WHERE r.root < l.b)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.root) AS component_id
+        FROM d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY 1, 2""",
 }

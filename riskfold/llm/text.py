@@ -26,8 +26,12 @@ class Numbers(dict):
         return n
 
 
+PIECE_ROWS = 8192
+
+
 def pieces(batch: pa.RecordBatch, text: int, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """``batch`` in slices whose texts (column ``text``) have about ``most`` bytes."""
+    """``batch`` in slices of ``PIECE_ROWS`` rows and ``most`` bytes in column ``text`` at most,
+    or of one row."""
     if batch.num_rows == 0:
         return
     sizes = batch.column(text).cast(pa.large_binary())
@@ -35,7 +39,7 @@ def pieces(batch: pa.RecordBatch, text: int, most: int = PIECE_BYTES) -> Iterato
     at = 0
     while at < len(sizes):
         to = int(np.searchsorted(ends, ends[at] + most, side="right")) - 1
-        to = min(max(to, at + 1), len(sizes))
+        to = min(max(to, at + 1), at + PIECE_ROWS, len(sizes))
         yield batch.slice(at, to - at)
         at = to
 
