@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfold.llm import chat, decontamination, mixing, ngram_join, quality_rules, sharding, token_output, warc
+from riskfold.llm import chat, decontamination, mixing, ngram_join, quality_rules, sharding, token_output, toxicity, warc
 from riskfold.llm.tables import ROW, fresh_path, written
 from riskfold.sources.tables import read_table
 
@@ -90,6 +90,16 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = toxicity.held_out(F.col("doc_id"))
+    field = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), ~held)
+    return toxicity.score(docs, field, into="t").select(
+        "doc_id", held.alias("held_out"), "t.score", (F.col("t.score") >= 0.5).cast("int").alias("predicted"),
+        F.size("t.spans").cast("long").alias("n_spans"),
+    )
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -102,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontamination": op7_decontamination,
+    "op9_toxicity": op9_toxicity,
     "op10_ngram_join": op10_ngram_join,
 }
 
