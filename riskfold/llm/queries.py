@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfold.llm import chat, decontamination, mixing, ngram_join, quality_rules, sharding, token_output, toxicity, warc
+from riskfold.llm import chat, decontamination, lm_scoring, mixing, ngram_join, quality_rules, sharding, token_output, toxicity, warc
 from riskfold.llm.tables import ROW, fresh_path, written
 from riskfold.sources.tables import read_table
 
@@ -90,6 +90,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return lm_scoring.lm_scores(docs, lm_scoring.trained(F.col("doc_id"))).withColumnRenamed("id", "doc_id")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     held = toxicity.held_out(F.col("doc_id"))
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontamination": op7_decontamination,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_join": op10_ngram_join,
 }
