@@ -9,7 +9,9 @@ decodes the chunked transfer framing of the HTTP message.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskfold.llm.tables import ROW, with_row_ids
-from riskfold.llm.text import pieces
+from riskfold.llm.text import pieces, utf8
 
 #: Payloads of at least this many bytes are stored once.
 LEAST_SHARED = 100
@@ -142,20 +144,32 @@ def write_warc(
     pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
     least_shared: int = LEAST_SHARED, segment_bytes: int = SEGMENT_BYTES, file_records: int = FILE_RECORDS,
 ) -> None:
-    """Write a record for each row of ``pages`` into archive files under ``path``.
+    """Write a record for each row of ``pages`` into gzip archive files under ``path``.
 
     Of rows with equal payloads of at least ``least_shared`` bytes, the one
     with the smallest page id (null last; of repeated rows any one) is the
     response, the others revisit it.  A null html is an empty payload.  The
     text writer puts each record's bytes between blank lines, so Spark's
-    commit protocol covers the archives.
+    commit protocol covers the archives.  Until then the payloads are kept and
+    shuffled deflated.
     """
-    payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = with_row_ids(pages.select(
-        F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"),
-        F.sha2(payload, 256).alias("digest"),
-    ), "warc-pages")
-    shared = F.octet_length("payload") >= least_shared
+    given = pages.select(
+        F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
+        F.coalesce(F.col(html_col), F.lit("")).alias("payload"),
+    )
+
+    def pack(batches):
+        for batch in batches:
+            for part in pieces(batch, 2):
+                payloads = utf8(part.column(2))
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), part.column(1), pa.array([zlib.compress(p, 6) for p in payloads], pa.binary()),
+                    pa.array([hashlib.sha256(p).hexdigest() for p in payloads]), pa.array(list(map(len, payloads)), pa.int64()),
+                ], names=["page_id", "url", "payload", "digest", "bytes"])
+
+    rows = with_row_ids(
+        given.mapInArrow(pack, "page_id long, url string, payload binary, digest string, bytes long"), "warc-pages")
+    shared = F.col("bytes") >= least_shared
     firsts = rows.where(shared).groupBy("digest").agg(
         F.min(F.struct(F.col("page_id").isNull(), "page_id", ROW))[ROW].alias("first"), F.count(F.lit(1)).alias("copies"),
     ).where("copies > 1").select("digest", "first")
@@ -169,16 +183,17 @@ def write_warc(
             for part in pieces(batch, 3):
                 out = []
                 for page, row, url, data, digest, first, is_shared in zip(*(c.to_pylist() for c in part.columns)):
-                    out.extend(records_of(page, row, url, data or b"", digest, first, is_shared, segment_bytes))
+                    whole = b"" if data is None else zlib.decompress(data)
+                    out.extend(records_of(page, row, url, whole, digest, first, is_shared, segment_bytes))
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
     decided.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value")).write.option(
         "lineSep", END.decode()
-    ).option("compression", "none").option("maxRecordsPerFile", file_records).text(path)
+    ).option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """All records under ``path``; a task reads whole files, which the writer keeps small."""
+    """All records under ``path``; a task reads whole files, of ``FILE_RECORDS`` segments at most each."""
 
     def run(batches):
         types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(),
@@ -190,7 +205,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 rows, held = [], 0
-                for r in parsed(batch.column(0)[i].as_py()):
+                for r in parsed(zlib.decompress(batch.column(0)[i].as_py(), wbits=31)):
                     rows.append(r)
                     held += len(r[-1])
                     if held > 4 << 20:
