@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskfold.llm.tables import ROW, totals_before, with_row_ids, written
+from riskfold.llm.tables import ROW, free_name, totals_before, with_row_ids, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in code point order, repeating.
@@ -107,10 +107,11 @@ def schedule(sources: DataFrame, n_blocks: int, n_sources: int) -> DataFrame:
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights=WEIGHTS, budget: float = BUDGET, most: int = MOST, block_words: int = BLOCK_WORDS, seed: str = "mix",
+    row_col: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The sized documents and the mix.
 
-    Sized: ``__row`` (unique), ``id``, ``source``, ``size`` (words), and the
+    Sized: ``__row`` (unique; ``row_col`` if given), ``id``, ``source``, ``size`` (words), and the
     source's ``source_size`` and ``target``.  Mix: a row for each stretch of a
     document in a block: ``slot, epoch, __row, from_word, words``; ordered by
     slot this is the training order.
@@ -119,9 +120,11 @@ def mix(
     like any other; documents without words and empty tables give no stretch.
     Repeated rows are documents of their own.  Only the named columns are read.
     """
-    sized = with_row_ids(docs.select(
+    sized = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-    ), "mix-sizes")
+        *([F.col(row_col).alias(ROW)] if row_col else []),
+    )
+    sized = written(sized, "mix-sizes") if row_col else with_row_ids(sized, "mix-sizes")
     targets = written(source_targets(
         sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget, most
     ), "mix-targets")
@@ -162,3 +165,20 @@ def mix(
     mixed = slots.join(pieces, ["rank", "block"]).select("slot", "epoch", ROW, "from_word", "words")
     documents = full.select(ROW, "id", "source", "size", "source_size", "target")
     return documents, mixed
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of ``docs`` as often as the mix starts them, whole; all columns are kept.
+
+    A source's last document may be cut in the mix; here it is whole, so a
+    source goes over its target by less than a document.  Documents without
+    words are in no mix.
+    """
+    row = free_name(docs, ROW)
+    rows = with_row_ids(docs, "mix-rows", row)
+    _, mixed = mix(rows, id_col, text_col, source_col, row_col=row, **options)
+    started = mixed.where("from_word = 0").groupBy(F.col(ROW).alias(row)).agg(F.count(F.lit(1)).alias("times"))
+    times, copy = free_name(docs, "__times"), free_name(docs, "__copy")
+    return rows.join(started.withColumnRenamed("times", times), row).withColumn(
+        copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))
+    ).drop(row, times, copy)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskfold.llm.components import components
-from riskfold.llm.tables import ROW, with_row_ids, written
+from riskfold.llm.tables import ROW, free_name, with_row_ids, written
 from riskfold.llm.text import Numbers, pieces, starts_of, utf8, words_of
 
 WIDTH = 5
@@ -407,3 +407,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_node = rooted.join(least, "root").select(F.col(ROW).alias("node"), "component_id")
     return documents.join(of_node, "node", "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each group of near copies: that with the smallest id, null last; all columns are kept.
+
+    Rows are told apart by numbers of their own, so ids may be null or repeat.
+    """
+    row = free_name(docs, ROW)
+    rows = with_row_ids(docs, "join-rows", row)
+    groups = written(near_duplicates(rows, row, text_col, **options).select(F.col("id").alias(row), "component_id"), "join-groups")
+    several = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("component_id")
+    members = groups.join(several, "component_id").join(rows.select(row, F.col(id_col).alias("__id")), row)
+    stays = members.groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull(), "__id", row))[row].alias("stays"))
+    goes = members.join(stays, "component_id").where(F.col(row) != F.col("stays")).select(row)
+    return rows.join(goes, row, "left_anti").drop(row)

@@ -29,12 +29,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_row_ids(df: DataFrame, label: str) -> DataFrame:
-    """``df`` with a unique ``__row`` that stays the same in every later read.
+def with_row_ids(df: DataFrame, label: str, name: str = ROW) -> DataFrame:
+    """``df`` with a unique ``name`` that stays the same in every later read.
 
     Rows may repeat in every column, so later joins need a key of their own.
     """
-    return written(df.withColumn(ROW, F.monotonically_increasing_id()), label)
+    return written(df.withColumn(name, F.monotonically_increasing_id()), label)
+
+
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, with underscores before it until no column of ``df`` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = f"_{base}"
+    return base
 
 
 def shuffle_width(spark: SparkSession) -> int:
