@@ -2,6 +2,7 @@
 
     profile --input T [--out P]                      null/NaN profile of a Parquet table
     train   --input T --model M [--runs R] [--preset script|notebook|quick]
+            writes a new version under M; the other jobs read the newest one
     score   --input T --model M --out P [--requests] bulk scoring (typed rows or request JSON)
     stream  --source D --model M --out P --checkpoint C [--continuous]
     info    --runs R                                 latest run per model name
@@ -42,36 +43,36 @@ def cmd_profile(spark, args):
     if args.out:
         prof.write.mode("overwrite").parquet(args.out)
     else:
-        prof.orderBy("column_name").show(prof.count(), truncate=False)
+        prof.orderBy("column_name").show(len(df.columns), truncate=False)
 
 
 def cmd_train(spark, args):
     from riskfold.operators.evaluate import metric_report
     from riskfold.operators.prep import feature_input_cols
     from riskfold.plans import train as T
-    from riskfold.session import publish
     from riskfold.sources import runs
 
     df = spark.read.parquet(args.input)
     roles = _roles(df, args)
-    trained = T.fit(df, roles, preset=args.preset, id_col=args.split_col or roles.id_cols[0], seed=args.seed)
-    publish(spark, lambda tmp: T.save(trained.model, tmp), args.model)
+    trained = T.fit(df, roles, preset=args.preset, id_col=args.split_col or roles.id_cols[0], seed=args.seed,
+                    num_partitions=args.partitions)
+    path = T.save(trained.model, args.model)
     scored = T.scored_rows(trained.model, trained.test, [roles.label_col])
     metrics = metric_report(scored, roles.label_col, "prob").first().asDict()
     if args.runs:
-        rec = runs.run_record(spark, args.name, args.model, trained, metrics, feature_input_cols(trained.roles))
+        rec = runs.run_record(spark, args.name, path, trained, metrics, feature_input_cols(trained.roles))
         runs.append_run(rec, args.runs)
-    print(json.dumps({"model": args.model, "dropped": trained.dropped, **metrics}, default=str))
+    print(json.dumps({"model": path, "dropped": trained.dropped, **metrics}, default=str))
 
 
 def cmd_score(spark, args):
     from riskfold.plans import score as S
     from riskfold.plans.train import load
-    from riskfold.sources.requests import REQUEST_SCHEMA
+    from riskfold.sources.requests import read_requests
 
     model = load(args.model)
     if args.requests:
-        scored, rejected = S.score_requests(spark.read.schema(REQUEST_SCHEMA).json(args.input), model)
+        scored, rejected = S.score_requests(read_requests(spark, args.input), model)
         rejected.write.mode("overwrite").parquet(args.out + "/rejected")
         scored.write.mode("overwrite").parquet(args.out + "/scored")
     else:
@@ -82,10 +83,8 @@ def cmd_stream(spark, args):
     from riskfold.plans.train import load
     from riskfold.streaming import start_scoring_stream
 
-    queries = start_scoring_stream(spark, load(args.model), args.source, args.out, args.checkpoint,
-                                   available_now=not args.continuous)
-    for q in queries:
-        q.awaitTermination()
+    start_scoring_stream(spark, load(args.model), args.source, args.out, args.checkpoint,
+                         available_now=not args.continuous).awaitTermination()
 
 
 def cmd_info(spark, args):
@@ -117,6 +116,7 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--preset", default="script", choices=["script", "notebook", "quick"])
     sp.add_argument("--split-col", default=None, help="hash-split key (default: first id column)")
     sp.add_argument("--seed", type=int, default=42)
+    sp.add_argument("--partitions", type=int, default=None, help="deal the training rows out over so many partitions")
     roles_args(sp)
 
     sp = sub.add_parser("score")

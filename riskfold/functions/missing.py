@@ -47,18 +47,19 @@ def is_missing(name: str, floating: bool) -> Column:
 def any_feature_present_sql(roles: Roles) -> str | None:
     """SQL for "at least one feature is present"; ``None`` with no features.
 
-    Numeric and categorical features are folded by two separate flat
-    ``coalesce`` calls (categoricals as strings, so text and integer codes
-    never rely on implicit coercion); this is the negation of "every feature
-    is missing" and stays one flat expression for hundreds of columns.
+    One flat ``coalesce`` for each feature type: it is the negation of "every
+    feature is missing", needs no cast and no coercion, and no later
+    expression repeats one of its arguments.
     """
+    by_type: dict[str, list[str]] = {}
+    types = dict(roles.types)
+    for c in roles.features:
+        by_type.setdefault(types.get(c, "double" if c in roles.floating else c), []).append(c)
     parts = []
-    if roles.numeric:
-        nums = [f"CAST({present_sql(c, c in roles.floating)} AS DOUBLE)" for c in roles.numeric]
-        parts.append(f"coalesce({', '.join(nums)}) IS NOT NULL")
-    if roles.categorical:
-        cats = [f"CAST({q(c)} AS STRING)" for c in roles.categorical]
-        parts.append(f"coalesce({', '.join(cats)}) IS NOT NULL")
+    for kind, names in by_type.items():
+        null = "CAST(NULL AS FLOAT)" if kind == "float" else "CAST(NULL AS DOUBLE)"
+        values = [f"nanvl({q(c)}, {null})" if c in roles.floating else q(c) for c in names]
+        parts.append(f"coalesce({', '.join(values)}) IS NOT NULL")
     if not parts:
         return None
     return " OR ".join(f"({p})" for p in parts)

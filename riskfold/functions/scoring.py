@@ -16,14 +16,19 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def known_score(prob) -> Column:
+    """The score, or NULL where it is NULL or NaN: a NaN is no score."""
+    return F.nanvl(_col(prob).cast("double"), F.lit(None).cast("double"))
+
+
 def threshold_label(prob, threshold: float = DEFAULT_THRESHOLD) -> Column:
-    """1 when ``prob >= threshold`` (inclusive), else 0; NULL stays NULL."""
-    return (_col(prob) >= F.lit(threshold)).cast("int")
+    """1 when ``prob >= threshold`` (inclusive), else 0; NULL and NaN give NULL."""
+    return (known_score(prob) >= F.lit(threshold)).cast("int")
 
 
 def risk_level(prob, low_below: float = LOW_BELOW, medium_below: float = MEDIUM_BELOW) -> Column:
-    """'low' below 0.3, 'medium' below 0.7, 'high' from 0.7 up (0.7 is high)."""
-    p = _col(prob)
+    """'low' below 0.3, 'medium' below 0.7, 'high' from 0.7 up (0.7 is high); NULL and NaN give NULL."""
+    p = known_score(prob)
     return (
         F.when(p.isNull(), F.lit(None).cast("string"))
         .when(p < low_below, "low")

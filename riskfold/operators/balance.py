@@ -11,9 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 1000
-
-
 def class_counts(df: DataFrame, label_col: str) -> DataFrame:
     return (
         df.where(F.col(label_col).isNotNull())
@@ -46,19 +43,22 @@ def class_weights_frame(df: DataFrame, label_col: str, method: str = "balanced")
 
 
 def class_weights(df: DataFrame, label_col: str, method: str = "balanced") -> dict:
-    """Weights as a driver dict; refuses labels with more than MAX_CLASSES values.
+    """Weights of the binary label's classes as a dict; other label values are an error.
 
-    At most MAX_CLASSES + 1 per-class counts ever reach the driver, and the
-    weights are computed from those few numbers.
+    One aggregate counts the two classes and checks the contract.
     """
-    rows = class_counts(df, label_col).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label_col} has more than {MAX_CLASSES} classes")
-    total, k = sum(r["n"] for r in rows), len(rows)
+    y = F.col(label_col)
+    r = df.agg(
+        F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1"), F.count_if(~y.isin(0, 1)).alias("other")
+    ).first()
+    if r["other"]:
+        raise ValueError(f"{label_col} must be 0 or 1; {r['other']} rows have other values")
+    counts = {k: n for k, n in ((0.0, r["n0"]), (1.0, r["n1"])) if n}
+    total, k = sum(counts.values()), len(counts)
     if method == "inverse":
-        return {r[label_col]: total / r["n"] for r in rows}
+        return {label: total / n for label, n in counts.items()}
     if method == "balanced":
-        return {r[label_col]: total / (k * r["n"]) for r in rows}
+        return {label: total / (k * n) for label, n in counts.items()}
     raise ValueError(f"unknown weighting {method!r}")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from riskfold.operators.profile import _long, missing_counts_row, present_counts_row
 from riskfold.roles import Roles
 
-DEFAULT_MISSING_THRESHOLD = 0.95
+DEFAULT_MISSING_THRESHOLD = 0.95  # fixed value
 
 
 def drop_all_missing_rows(df: DataFrame, roles: Roles) -> DataFrame:
@@ -35,16 +35,27 @@ def missing_rates(df: DataFrame, roles: Roles) -> DataFrame:
     )
 
 
-def _feature_stats(df: DataFrame, roles: Roles) -> dict:
-    """One pass: row count, present count per feature, approximate distinct
-    count per categorical (``__card__<col>``)."""
-    from riskfold.functions.missing import q
+def feature_stats(df: DataFrame, roles: Roles, moments: bool = False) -> dict:
+    """One row of one pass: ``n_rows`` and the present count of each feature.
+
+    With ``moments`` also mean and sample variance of the present values of
+    each numeric feature, ``__mean__<col>`` and ``__var__<col>``.
+    """
+    from riskfold.functions.missing import present_sql, q
 
     nan_cols = [c for c in roles.numeric if c in roles.floating]
-    extra = [f"approx_count_distinct({q(c)}) AS {q('__card__' + c)}" for c in roles.categorical]
+    extra = []
+    for c in roles.numeric if moments else ():
+        v = f"CAST({present_sql(c, c in roles.floating)} AS DOUBLE)"
+        extra += [f"avg({v}) AS {q('__mean__' + c)}", f"var_samp({v}) AS {q('__var__' + c)}"]
     return present_counts_row(df, roles.features, nan_cols, extra).first().asDict()
 
 
+def _sparse(stats: dict, roles: Roles, threshold: float) -> list[str]:
+    n = stats["n_rows"]
+    return [c for c in roles.features if (n - stats[c]) / n > threshold] if n else []
+
+
 def sparse_columns(
     df: DataFrame, roles: Roles, threshold: float = DEFAULT_MISSING_THRESHOLD
 ) -> tuple[list[str], int]:
@@ -53,19 +64,10 @@ def sparse_columns(
     Brings one row (one number per feature) to the driver.  An empty table has
     no rates and drops nothing.
     """
-    dropped, n, _ = _sparse_and_cardinality(df, roles, threshold)
-    return dropped, n
-
-
-def _sparse_and_cardinality(df: DataFrame, roles: Roles, threshold: float):
     if not roles.features:
-        return [], 0, {}
-    row = _feature_stats(df, roles)
-    n = row["n_rows"]
-    card = {c: row["__card__" + c] for c in roles.categorical}
-    if n == 0:
-        return [], 0, card
-    return [c for c in roles.features if (n - row[c]) / n > threshold], n, card
+        return [], 0
+    stats = feature_stats(df, roles)
+    return _sparse(stats, roles, threshold), stats["n_rows"]
 
 
 def drop_sparse_columns(
@@ -82,16 +84,17 @@ class Cleaned:
     roles: Roles
     dropped: list[str]
     n_rows: int
-    cardinality: dict = field(default_factory=dict)  # approx distinct values per categorical
+    stats: dict = field(default_factory=dict)  # see feature_stats
 
 
-def clean(df: DataFrame, roles: Roles, threshold: float = DEFAULT_MISSING_THRESHOLD) -> Cleaned:
+def clean(df: DataFrame, roles: Roles, threshold: float = DEFAULT_MISSING_THRESHOLD, moments: bool = False) -> Cleaned:
     """Row filter, then sparse-column drop with the filtered row count as denominator.
 
-    The same aggregate also estimates each categorical's number of distinct
-    values, so callers can check cardinality without another pass.
+    ``moments`` adds the numeric means and variances to the same pass, so an
+    imputation or scaling of the cleaned table needs no pass of its own.
     """
     rows = drop_all_missing_rows(df, roles)
-    dropped, n, card = _sparse_and_cardinality(rows, roles, threshold)
+    stats = feature_stats(rows, roles, moments) if roles.features else {"n_rows": 0}
+    dropped = _sparse(stats, roles, threshold)
     out = rows.drop(*dropped)
-    return Cleaned(out, roles.refresh(out.schema), dropped, n, card)
+    return Cleaned(out, roles.refresh(out.schema), dropped, stats["n_rows"], stats)

@@ -6,22 +6,27 @@
   range-partitioned running totals of :mod:`riskfold.operators.prefix`;
   AUC = sum over scores of neg * (tp_at_or_above - pos / 2) / (P * N),
   i.e. the Mann-Whitney statistic with half credit for ties;
-* histogram per class: fixed bins on [0, 1], one grouped count.
+* histogram per class: bins on [0, 1] or between the class's own extremes.
+
+One rule holds throughout: rows with label 1 are positive, with label 0
+negative, all others are not evaluated; a score that is NULL or NaN is no
+score, and such rows are counted as ``n_unscored``, in no cell.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskfold.functions.scoring import DEFAULT_THRESHOLD, threshold_label
+from riskfold.functions.scoring import DEFAULT_THRESHOLD, known_score, threshold_label
 from riskfold.operators.prefix import running_totals
+from riskfold.session import shared_root
 
 # Fixed value: the factor the original report applies to AUC for its
 # "estimated private leaderboard" line.
 LB_FACTOR = 0.855
-HIST_BINS = 60
+HIST_BINS = 60  # fixed value
 
 
 def _div0(num: Column, den: Column) -> Column:
@@ -30,12 +35,15 @@ def _div0(num: Column, den: Column) -> Column:
 
 
 def _labelled(df: DataFrame, label_col: str) -> DataFrame:
-    return df.where(F.col(label_col).isNotNull())
+    return df.where(F.col(label_col).isin(0, 1))
 
 
 def confusion_counts(df: DataFrame, label_col: str = "target", score_col: str | None = "prob",
                      threshold: float = DEFAULT_THRESHOLD, pred_col: str | None = None) -> DataFrame:
-    """One row ``tp, tn, fp, fn, n_rows``; predictions from ``pred_col`` or ``score >= threshold``."""
+    """One row ``tp, tn, fp, fn, n_rows, n_unscored``; predictions from ``pred_col`` or ``score >= threshold``.
+
+    ``n_rows`` counts the labelled rows: the four cells and the unscored.
+    """
     y = F.col(label_col)
     pred = F.col(pred_col) if pred_col else threshold_label(score_col, threshold)
     return _labelled(df, label_col).agg(
@@ -44,6 +52,7 @@ def confusion_counts(df: DataFrame, label_col: str = "target", score_col: str |
         F.count_if((y == 0) & (pred == 1)).alias("fp"),
         F.count_if((y == 1) & (pred == 0)).alias("fn"),
         F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(pred.isNull()).alias("n_unscored"),
     )
 
 
@@ -65,7 +74,7 @@ def classification_metrics(df: DataFrame, label_col: str = "target", score_col:
                            threshold: float = DEFAULT_THRESHOLD, pred_col: str | None = None) -> DataFrame:
     cm = confusion_counts(df, label_col, score_col, threshold, pred_col)
     tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
-    return cm.select("tp", "tn", "fp", "fn", *_rates(tp, tn, fp, fn))
+    return cm.select("tp", "tn", "fp", "fn", "n_unscored", *_rates(tp, tn, fp, fn))
 
 
 def confusion_percent(df: DataFrame, label_col: str = "target", score_col: str | None = "prob",
@@ -73,27 +82,26 @@ def confusion_percent(df: DataFrame, label_col: str = "target", score_col: str |
     cm = confusion_counts(df, label_col, score_col, threshold, pred_col)
     n = F.col("n_rows")
     return cm.select(
-        "tp", "tn", "fp", "fn", "n_rows",
+        "tp", "tn", "fp", "fn", "n_rows", "n_unscored",
         *[(F.try_divide(F.col(c), n) * 100).alias(f"{c}_pct") for c in ("tp", "tn", "fp", "fn")],
     )
 
 
 def score_points(df: DataFrame, label_col: str = "target", score_col: str = "prob",
-                 decimals: int | None = None) -> DataFrame:
+                 decimals: int | None = None, unscored: bool = False) -> DataFrame:
     """One row per distinct score: ``score, pos, neg`` (partial aggregation absorbs hot scores).
 
     ``decimals`` (default: exact) rounds scores first, bounding the number of
-    ROC points for continuous scores; every row still counts.
+    ROC points for continuous scores; every row still counts.  ``unscored``
+    adds a point with NULL score for the rows without one.
     """
     y = F.col(label_col)
-    s = F.col(score_col).cast("double")
+    s = known_score(score_col)
     if decimals is not None:
         s = F.round(s, decimals)
-    return (
-        _labelled(df, label_col).where(F.col(score_col).isNotNull())
-        .groupBy(s.alias("score"))
-        .agg(F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg"))
-    )
+    points = _labelled(df, label_col).groupBy(s.alias("score")).agg(
+        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
+    return points if unscored else points.where(F.col("score").isNotNull())
 
 
 def roc_curve(df: DataFrame, label_col: str = "target", score_col: str = "prob",
@@ -102,8 +110,11 @@ def roc_curve(df: DataFrame, label_col: str = "target", score_col: str = "prob",
 
     Columns: ``score, pos, neg, tp, fp, tpr, fpr, n_pos, n_neg``.
     """
-    pts = running_totals(score_points(df, label_col, score_col, decimals), "score", ["pos", "neg"],
-                         descending=True, n_ranges=n_ranges)
+    return _roc(score_points(df, label_col, score_col, decimals), n_ranges)
+
+
+def _roc(points: DataFrame, n_ranges: int | None) -> DataFrame:
+    pts = running_totals(points, "score", ["pos", "neg"], descending=True, n_ranges=n_ranges)
     return pts.select(
         "score", "pos", "neg",
         F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
@@ -135,7 +146,11 @@ def metric_report(df: DataFrame, label_col: str = "target", score_col: str = "pr
     The confusion counts at ``threshold`` are sums over the distinct-score
     rows, so no second scan of the scored table is needed.
     """
-    roc = roc_curve(df, label_col, score_col, n_ranges, decimals)
+    shared_root(df.sparkSession)
+    points = score_points(df, label_col, score_col, decimals, unscored=True).checkpoint(eager=True)
+    unscored = points.where(F.col("score").isNull()).agg(
+        F.coalesce(F.sum(F.col("pos") + F.col("neg")), F.lit(0)).alias("n_unscored")).first()[0]
+    roc = _roc(points.where(F.col("score").isNotNull()), n_ranges)
     above = F.col("score") >= F.lit(threshold)
     agg = roc.agg(
         F.try_divide(_auc_sum(roc), F.max("n_pos").cast("double") * F.max("n_neg")).alias("auc"),
@@ -147,25 +162,42 @@ def metric_report(df: DataFrame, label_col: str = "target", score_col: str = "pr
     tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
     return agg.select(
         "auc", (F.col("auc") * lb_factor).alias("auc_scaled"), F.lit(threshold).alias("threshold"),
-        "tp", "tn", "fp", "fn", *_rates(tp, tn, fp, fn),
+        *[F.coalesce(c, F.lit(0)).alias(n) for n, c in (("tp", tp), ("tn", tn), ("fp", fp), ("fn", fn))],
+        F.lit(unscored).cast("long").alias("n_unscored"),
+        *_rates(*[F.coalesce(c, F.lit(0)) for c in (tp, tn, fp, fn)]),
     )
 
 
 def score_histogram(df: DataFrame, label_col: str = "target", score_col: str = "prob",
-                    bins: int = HIST_BINS) -> DataFrame:
-    """Per class and bin on [0, 1]: count and density n / (N_class * width)."""
-    p = F.col(score_col)
-    b = F.least(F.greatest(F.floor(p * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
-    counts = (
-        _labelled(df, label_col).where(p.isNotNull())
-        .groupBy(F.col(label_col), b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    )
-    n_class = F.sum("n").over(Window.partitionBy(label_col))
-    return counts.select(
-        label_col, "bin", "n",
-        (F.col("n") * bins / n_class).alias("density"),
-        (F.col("bin") / bins).alias("bin_lo"),
-        ((F.col("bin") + 1) / bins).alias("bin_hi"),
+                    bins: int = HIST_BINS, own_edges: bool = False) -> DataFrame:
+    """Per class and bin: count and density ``n / (N_class * width)``; empty bins count 0.
+
+    The bins divide [0, 1], or with ``own_edges`` the span between the class's
+    smallest and largest score (one more aggregate, a row a class).
+    """
+    p = known_score(score_col)
+    scored = _labelled(df, label_col).where(p.isNotNull()).select(F.col(label_col), p.alias("p"))
+    if own_edges:
+        edges = scored.groupBy(label_col).agg(F.min("p").alias("lo"), F.max("p").alias("hi"))
+        # a class with one score only gets bins around it
+        edges = edges.select(
+            label_col, F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+            F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
+        scored = scored.join(F.broadcast(edges), label_col)  # two rows
+    else:
+        scored = scored.withColumns({"lo": F.lit(0.0), "hi": F.lit(1.0)})
+    at = F.floor((F.col("p") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
+    b = F.least(F.greatest(at, F.lit(0)), F.lit(bins - 1)).cast("int")
+    counts = scored.groupBy(F.col(label_col), "lo", "hi", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # a map of the filled bins a class, then every bin
+    by_class = counts.groupBy(label_col, "lo", "hi").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("filled"), F.sum("n").alias("n_class"))
+    every = by_class.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    width = (F.col("hi") - F.col("lo")) / bins
+    n = F.coalesce(F.try_element_at("filled", F.col("bin")), F.lit(0).cast("long"))
+    return every.select(
+        label_col, "bin", n.alias("n"), (n / (F.col("n_class") * width)).alias("density"),
+        (F.col("lo") + F.col("bin") * width).alias("bin_lo"), (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_hi"),
     )
 
 

@@ -27,6 +27,7 @@ from riskfold.roles import Roles
 MISSING_CATEGORY = "missing"
 
 NUM, CAT, IMP, IDX = "__num", "__cat", "_imp", "_idx"
+# The names of the assembled and the scaled vector.
 UNSCALED, FEATURES = "features_unnorm", "features"
 
 
@@ -38,10 +39,12 @@ def cast_stage(roles: Roles) -> SQLTransformer:
     """Numeric features to double, categoricals to string with NULL -> 'missing'.
 
     Casting categoricals to string first means an integer code and its text
-    index the same way at training and serving time.
+    index the same way at training and serving time.  A numeric feature that
+    is a double already stays as it is: an alias of every feature would make
+    Catalyst's constraints on a wide table double with each.
     """
     parts = ["*"]
-    parts += [f"CAST({_q(c)} AS DOUBLE) AS {_q(c + NUM)}" for c in roles.numeric]
+    parts += [f"CAST({_q(c)} AS DOUBLE) AS {_q(c + NUM)}" for c in roles.numeric if numeric_input(roles, c) != c]
     parts += [
         f"COALESCE(CAST({_q(c)} AS STRING), '{MISSING_CATEGORY}') AS {_q(c + CAT)}"
         for c in roles.categorical
@@ -49,10 +52,15 @@ def cast_stage(roles: Roles) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT {', '.join(parts)} FROM __THIS__")
 
 
+def numeric_input(roles: Roles, column: str) -> str:
+    """The column the imputer reads for a numeric feature: itself if a double, else its cast."""
+    return column if roles.type_of(column) == "double" else column + NUM
+
+
 def imputer_stage(roles: Roles) -> Imputer:
     return Imputer(
         strategy="mean",
-        inputCols=[c + NUM for c in roles.numeric],
+        inputCols=[numeric_input(roles, c) for c in roles.numeric],
         outputCols=[c + IMP for c in roles.numeric],
     )
 
@@ -115,11 +123,20 @@ def fill_categorical(df: DataFrame, roles: Roles, keep=None) -> DataFrame:
     )
 
 
-def impute_mean(df: DataFrame, roles: Roles, keep=None, fit_on: DataFrame | None = None) -> DataFrame:
-    """Numeric features with NULL and NaN replaced by the column mean."""
+def impute_mean(df: DataFrame, roles: Roles, keep=None, means: dict | None = None) -> DataFrame:
+    """Numeric features with NULL and NaN replaced by the column mean.
+
+    ``means`` (of the present values) spare a pass where they are known.
+    """
     keep = list(roles.id_cols) if keep is None else list(keep)
-    model = Pipeline(stages=[cast_stage(roles), imputer_stage(roles)]).fit(fit_on or df)
-    return model.transform(df).select(*keep, *[F.col(c + IMP).alias(c) for c in roles.numeric])
+    if means is None:
+        means = {r["column_name"]: r["mean"] for r in column_means(df, roles).collect()} if roles.numeric else {}
+    return df.selectExpr(
+        *[_q(c) for c in keep],
+        *[f"coalesce(CAST({present_sql(c, c in roles.floating)} AS DOUBLE), CAST({means[c]!r} AS DOUBLE)) AS {_q(c)}"
+          if means[c] is not None else f"CAST({present_sql(c, c in roles.floating)} AS DOUBLE) AS {_q(c)}"
+          for c in roles.numeric],
+    )
 
 
 def string_index(df: DataFrame, roles: Roles, keep=None, fit_on: DataFrame | None = None) -> DataFrame:
@@ -133,24 +150,23 @@ def string_index(df: DataFrame, roles: Roles, keep=None, fit_on: DataFrame | Non
     return out.select(*keep, *cols)
 
 
-def standard_scale(df: DataFrame, roles: Roles, keep=None) -> DataFrame:
+def standard_scale(df: DataFrame, roles: Roles, keep=None, stats: dict | None = None) -> DataFrame:
     """Mean-imputed numeric features standardised; one ``<col>_z`` per feature.
 
-    Same numbers as Imputer + VectorAssembler + StandardScaler(withMean,
-    withStd), in one aggregate pass plus one projection instead of three
-    passes: imputing with the mean keeps the mean, and the imputed sample
-    variance is ``var_present * (n_present - 1) / (n - 1)``.  A constant
-    column scales to 0.  Only ``3 x features`` numbers reach the driver.
+    Same numbers as the pipeline's stages (see :func:`prepared_columns`) on
+    numeric features, in one aggregate pass plus one projection: imputing with
+    the mean keeps the mean, and the imputed sample variance is
+    ``var_present * (n_present - 1) / (n - 1)``.  A constant column scales to
+    0.  ``stats`` (:func:`riskfold.operators.clean.feature_stats` with
+    moments) spare the pass.
     """
+    from riskfold.operators.clean import feature_stats
+
     keep = list(roles.id_cols) if keep is None else list(keep)
-    aggs = ["count(1) AS n"]
-    for i, c in enumerate(roles.numeric):
-        v = f"CAST({present_sql(c, c in roles.floating)} AS DOUBLE)"
-        aggs += [f"avg({v}) AS m{i}", f"var_samp({v}) AS v{i}", f"count({v}) AS k{i}"]
-    stats = df.selectExpr(*aggs).first()
-    cols = []
-    for i, c in enumerate(roles.numeric):
-        mean, var, k, n = stats[f"m{i}"], stats[f"v{i}"], stats[f"k{i}"], stats["n"]
+    stats = feature_stats(df, roles, moments=True) if stats is None else stats
+    n, cols = stats["n_rows"], []
+    for c in roles.numeric:
+        mean, var, k = stats[f"__mean__{c}"], stats[f"__var__{c}"], stats[c]
         if mean is None:
             raise ValueError(f"column {c} has no present value to impute from")
         std = (var * (k - 1) / (n - 1)) ** 0.5 if (var is not None and n > 1) else 0.0
@@ -160,10 +176,12 @@ def standard_scale(df: DataFrame, roles: Roles, keep=None) -> DataFrame:
     return df.selectExpr(*[_q(c) for c in keep], *cols)
 
 
-def standard_scale_stages(df: DataFrame, roles: Roles, keep=None, fit_on: DataFrame | None = None) -> DataFrame:
-    """:func:`standard_scale` through the ML stages the saved pipeline uses."""
-    keep = list(roles.id_cols) if keep is None else list(keep)
-    stages = [cast_stage(roles), imputer_stage(roles), assembler_stage(roles, False), scaler_stage()]
-    out = Pipeline(stages=stages).fit(fit_on or df).transform(df)
+def prepared_columns(df: DataFrame, roles: Roles, keep, fit_on: DataFrame) -> DataFrame:
+    """The stages that ship, fitted on ``fit_on``: the scaled vector as one column a feature.
+
+    ``<col>_z`` for numeric features, ``<col>_idx_z`` for indexed ones.
+    """
+    out = Pipeline(stages=preparation_stages(roles)).fit(fit_on).transform(df)
     arr = vector_to_array(F.col(FEATURES))
-    return out.select(*keep, *[arr[i].alias(c + "_z") for i, c in enumerate(roles.numeric)])
+    names = [c + "_z" for c in roles.numeric] + [c + IDX + "_z" for c in roles.categorical]
+    return out.select(*keep, *[arr[i].alias(n) for i, n in enumerate(names)])

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The original's seed and training share.
 DEFAULT_SEED = 42
 DEFAULT_TRAIN_PCT = 80
 
@@ -38,15 +39,18 @@ def hash_split(df: DataFrame, id_col: str, train_pct: int = DEFAULT_TRAIN_PCT,
     return df.where(b < train_pct), df.where(b >= train_pct)
 
 
-def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = DEFAULT_SEED) -> list[DataFrame]:
-    """Row-level ``randomSplit`` (result depends on the input partitioning)."""
-    return df.randomSplit(list(weights), seed=seed)
-
-
 def with_random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = DEFAULT_SEED,
                       out: str = "split") -> DataFrame:
-    train, test = random_split(df, weights, seed)
-    return train.withColumn(out, F.lit("train")).unionByName(test.withColumn(out, F.lit("test")))
+    """Row-level random split in one pass; the draw depends on the input's partitioning."""
+    share = weights[0] / sum(weights)
+    return df.withColumn(out, F.when(F.rand(seed) < share, "train").otherwise("test"))
+
+
+def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = DEFAULT_SEED) -> tuple[DataFrame, DataFrame]:
+    """The two parts of :func:`with_random_split`; persist it first if ``df`` may change between reads."""
+    both = with_random_split(df, weights, seed, "__split")
+    return (both.where(F.col("__split") == "train").drop("__split"),
+            both.where(F.col("__split") == "test").drop("__split"))
 
 
 def bernoulli_sample(df: DataFrame, fraction: float = 0.05, seed: int = DEFAULT_SEED) -> DataFrame:

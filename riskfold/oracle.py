@@ -88,13 +88,14 @@ CM = (
     "CAST(sum(CASE WHEN target = 0 AND prob < 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS tn, "
     "CAST(sum(CASE WHEN target = 0 AND prob >= 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS fp, "
     "CAST(sum(CASE WHEN target = 1 AND prob < 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS fn, "
-    "count(*) AS n_rows FROM scored WHERE target IS NOT NULL)\n"
+    "count(*) AS n_rows, CAST(sum(CASE WHEN prob IS NULL OR isnan(prob) THEN 1 ELSE 0 END) AS BIGINT) AS n_unscored "
+    "FROM scored WHERE target IN (0, 1))\n"
 )
 ROC = (
     ", pts AS (SELECT CAST(prob AS DOUBLE) AS score, "
     "CAST(sum(CASE WHEN target = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos, "
-    "CAST(sum(CASE WHEN target <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS neg "
-    "FROM scored WHERE target IS NOT NULL AND prob IS NOT NULL GROUP BY 1)\n"
+    "CAST(sum(CASE WHEN target = 0 THEN 1 ELSE 0 END) AS BIGINT) AS neg "
+    "FROM scored WHERE target IN (0, 1) AND prob IS NOT NULL AND NOT isnan(prob) GROUP BY 1)\n"
     ", cum AS (SELECT score, pos, neg, "
     "CAST(sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_pos, "
     "CAST(sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_neg, "
@@ -104,6 +105,23 @@ AUC = "sum(neg * (cum_pos - pos / 2.0)) / (CAST(max(n_pos) AS DOUBLE) * max(n_ne
 LABELLED = "(SELECT target, count(*) AS n FROM statements WHERE target IS NOT NULL GROUP BY target)"
 RQ = S.replace("WITH ", "WITH " + lineitem_requests_sql() + ", ", 1)
 
+
+
+def _histogram(lo: str, hi: str) -> str:
+    """60 bins a class between two aggregates of its scores; empty bins count 0."""
+    return (
+        f", e AS (SELECT target, {lo} AS lo, {hi} AS hi, count(*) AS n_class FROM scored "
+        "WHERE target IN (0, 1) AND NOT isnan(prob) GROUP BY target)\n"
+        ", b AS (SELECT s.target, CAST(least(greatest(floor((prob - lo) / (hi - lo) * 60), 0), 59) AS INTEGER) AS bin, "
+        "count(*) AS n FROM scored s JOIN e ON s.target = e.target WHERE NOT isnan(prob) GROUP BY 1, 2)\n"
+        ", g AS (SELECT target, lo, hi, n_class, CAST(unnest(range(60)) AS INTEGER) AS bin FROM e)\n"
+        "SELECT g.target, g.bin, coalesce(b.n, 0) AS n, "
+        + R("coalesce(b.n, 0) / (n_class * ((hi - lo) / 60))", "density") + ", "
+        + R("lo + g.bin * ((hi - lo) / 60)", "bin_lo") + ", " + R("lo + (g.bin + 1) * ((hi - lo) / 60)", "bin_hi")
+        + " FROM g LEFT JOIN b ON g.target = b.target AND g.bin = b.bin"
+    )
+
+
 SCHEMA_TYPES = {
     "customer_id": "bigint", "line_no": "int", "date": "string", "test": "boolean",
     "target": "int", "n_qty": "double", "n_price": "double", "n_disc": "double",
@@ -177,27 +195,25 @@ ORACLE = {
     "risk_band": SC + "SELECT CASE WHEN prob IS NULL THEN NULL WHEN prob < 0.3 THEN 'low' "
     "WHEN prob < 0.7 THEN 'medium' ELSE 'high' END AS risk_level, count(*) AS n, "
     "min(prob) AS min_prob, max(prob) AS max_prob FROM scored GROUP BY 1",
-    "confusion_matrix": SC + CM + "SELECT tp, tn, fp, fn, n_rows FROM cm",
-    "confusion_percent": SC + CM + "SELECT tp, tn, fp, fn, n_rows, " + ", ".join(
+    "confusion_matrix": SC + CM + "SELECT tp, tn, fp, fn, n_rows, n_unscored FROM cm",
+    "confusion_percent": SC + CM + "SELECT tp, tn, fp, fn, n_rows, n_unscored, " + ", ".join(
         R(f"CAST({c} AS DOUBLE) / n_rows * 100", f"{c}_pct") for c in ("tp", "tn", "fp", "fn")
     ) + " FROM cm",
-    "classification_metrics": SC + CM + "SELECT tp, tn, fp, fn, " + ", ".join(_rates()) + " FROM cm",
+    "classification_metrics": SC + CM + "SELECT tp, tn, fp, fn, n_unscored, " + ", ".join(_rates()) + " FROM cm",
     "roc_curve": SC + ROC + "SELECT score, pos, neg, cum_pos AS tp, cum_neg AS fp, "
     + R("CAST(cum_pos AS DOUBLE) / n_pos", "tpr") + ", " + R("CAST(cum_neg AS DOUBLE) / n_neg", "fpr")
     + ", n_pos, n_neg FROM cum",
     "auc_exact": SC + ROC + f"SELECT {R(AUC, 'auc')}, max(n_pos) AS n_pos, max(n_neg) AS n_neg FROM cum",
-    "score_histogram": SC + ", h AS (SELECT target, "
-    "CAST(least(greatest(floor(prob * 60), 0), 59) AS INTEGER) AS bin, count(*) AS n "
-    "FROM scored WHERE target IS NOT NULL AND prob IS NOT NULL GROUP BY 1, 2)\n"
-    "SELECT target, bin, n, " + R("CAST(n * 60 AS DOUBLE) / sum(n) OVER (PARTITION BY target)", "density")
-    + ", " + R("bin / 60", "bin_lo") + ", " + R("(bin + 1) / 60", "bin_hi") + " FROM h",
+    "score_histogram": SC + _histogram("0.0::DOUBLE", "1.0::DOUBLE"),
+    "score_histogram_edges": SC + _histogram("min(prob)", "max(prob)"),
     "metric_report": SC + ROC + f", agg AS (SELECT {AUC} AS auc, "
     "CAST(sum(CASE WHEN score >= 0.5 THEN pos ELSE 0 END) AS BIGINT) AS tp, "
     "CAST(sum(CASE WHEN score >= 0.5 THEN 0 ELSE neg END) AS BIGINT) AS tn, "
     "CAST(sum(CASE WHEN score >= 0.5 THEN neg ELSE 0 END) AS BIGINT) AS fp, "
     "CAST(sum(CASE WHEN score >= 0.5 THEN 0 ELSE pos END) AS BIGINT) AS fn FROM cum)\n"
     f"SELECT {R('auc', 'auc')}, {R('auc * 0.855', 'auc_scaled')}, CAST(0.5 AS DOUBLE) AS threshold, "
-    "tp, tn, fp, fn, " + ", ".join(_rates()) + " FROM agg",
+    "tp, tn, fp, fn, (SELECT count(*) FROM scored WHERE target IN (0, 1) AND (prob IS NULL OR isnan(prob))) AS n_unscored, "
+    + ", ".join(_rates()) + " FROM agg",
     "output_contract": SC + "SELECT count(*) AS n_rows, "
     "CAST(sum(CASE WHEN prediction IS NULL OR prediction NOT IN (0, 1) THEN 1 ELSE 0 END) AS BIGINT) "
     "AS bad_prediction, CAST(sum(CASE WHEN probability IS NULL OR isnan(probability) OR probability < 0 "
@@ -215,6 +231,72 @@ ORACLE = {
 }
 
 
+# --- models, samples and layouts: what is exact of them ----------------------
+
+LAB = CLEAN + ", lab AS (SELECT * FROM clean WHERE target IS NOT NULL)\n"
+TRAIN = LAB + f", train AS (SELECT * FROM lab WHERE {hash_bucket_sql('customer_id')} < 80)\n"
+HOLDOUT = f"(SELECT count(*) FROM lab WHERE {hash_bucket_sql('customer_id')} >= 80)"
+VALID = "(SELECT count(*) FROM requests WHERE features IS NOT NULL AND cardinality(features) > 0)"
+
+
+def _prepared() -> str:
+    """Means and index orders of the training rows, then mean and deviation of what these give there."""
+    sql = TRAIN + ", tm AS (SELECT " + ", ".join(f"avg(CAST({pv(c)} AS DOUBLE)) AS {c}" for c in CLEAN_NUMERIC) + " FROM train)\n"
+    for c in CLEAN_CATEGORICAL:
+        sql += (
+            f", ix_{c} AS (SELECT v, CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS DOUBLE) AS i "
+            f"FROM (SELECT coalesce({c}, 'missing') AS v, count(*) AS n FROM train GROUP BY 1))\n"
+        )
+    num = ", ".join(f"coalesce(CAST({pv(c, 't.')} AS DOUBLE), tm.{c}) AS {c}" for c in CLEAN_NUMERIC)
+    # a value that training has not seen gets the index after the last
+    cat = ", ".join(f"coalesce(ix_{c}.i, (SELECT CAST(count(*) AS DOUBLE) FROM ix_{c})) AS {c}_idx" for c in CLEAN_CATEGORICAL)
+    joins = " ".join(f"LEFT JOIN ix_{c} ON coalesce(t.{c}, 'missing') = ix_{c}.v" for c in CLEAN_CATEGORICAL)
+    for name, source in (("pt", "train"), ("pc", "clean")):
+        sql += f", {name} AS (SELECT t.customer_id, t.line_no, {num}, {cat} FROM {source} t CROSS JOIN tm {joins})\n"
+    cols = [*CLEAN_NUMERIC, *[f"{c}_idx" for c in CLEAN_CATEGORICAL]]
+    sql += ", st AS (SELECT " + ", ".join(f"avg({c}) AS a_{c}, stddev_samp({c}) AS s_{c}" for c in cols) + " FROM pt)\n"
+    return sql + "SELECT customer_id, line_no, " + ", ".join(
+        R(f"CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - a_{c}) / s_{c} END", f"{c}_z") for c in cols) + " FROM pc, st"
+
+
+def _trained(preset: str, trees: int) -> str:
+    n = len(CLEAN_NUMERIC) + len(CLEAN_CATEGORICAL)
+    return LAB + (f"SELECT '{preset}' AS preset, {trees} AS n_trees, {n} AS n_features, {HOLDOUT} AS n_holdout, "
+                  "CAST(0 AS BIGINT) AS n_unscored, true AS auc_above_floor")
+
+
+_RUN = (
+    f"'statements-quick' AS model_name, 'quick' AS preset, '{','.join(sorted(CLEAN_NUMERIC))}' AS numeric_cols, "
+    f"'{','.join(sorted(CLEAN_CATEGORICAL))}' AS categorical_cols, {HOLDOUT} AS n_holdout, true AS auc_above_floor"
+)
+_INPUTS = ",".join(sorted([*[f"{c}_imp" for c in CLEAN_NUMERIC], *[f"{c}_idx" for c in CLEAN_CATEGORICAL]]))
+
+ORACLE.update({
+    "partition_stats": S + "SELECT count(*) AS n_rows, true AS one_row_each FROM statements",
+    "random_split": S + "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_extra, "
+    "true AS share_near_80 FROM statements WHERE target IS NOT NULL",
+    "split_sizes": S + f", l AS (SELECT CASE WHEN {hash_bucket_sql('customer_id')} < 80 THEN 'train' ELSE 'test' END AS split "
+    "FROM statements WHERE target IS NOT NULL)\nSELECT 'hash' AS method, split, count(*) AS n_rows FROM l GROUP BY split "
+    "UNION ALL SELECT 'random', 'all', count(*) FROM l",
+    "bernoulli_sample": SC + "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_extra, true AS share_near_5 FROM scored",
+    "prepare_features": _prepared(),
+    "train_gbt_a": _trained("notebook", 60),
+    "train_gbt_b": _trained("script", 100),
+    "score_holdout": LAB + "SELECT customer_id, line_no, CAST(target AS DOUBLE) AS target, true AS in_contract FROM lab "
+    f"WHERE {hash_bucket_sql('customer_id')} >= 80",
+    "auc_evaluator": SC + ROC + f"SELECT {R(AUC, 'auc')}, {R(AUC, 'evaluator_auc')}, max(n_pos) AS n_pos, "
+    "max(n_neg) AS n_neg FROM cum",
+    "score_reload": LAB + f"SELECT {HOLDOUT} AS n_rows, CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_extra",
+    "score_bulk": RQ + "SELECT customer_id, true AS in_contract FROM requests "
+    "WHERE features IS NOT NULL AND cardinality(features) > 0",
+    "score_stream": RQ + f"SELECT {VALID} AS n_rows, CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_extra, "
+    f"(SELECT count(*) FROM requests) - {VALID} AS n_rejected",
+    "run_record": LAB + f"SELECT {_RUN}, '{','.join(sorted(SPARSE))}' AS dropped_cols, '{_INPUTS}' AS feature_input_cols, "
+    "'target' AS label_col FROM range(2)",
+    "model_info": LAB + f"SELECT {_RUN}, CAST(2 AS BIGINT) AS n_versions, {len(CLEAN_NUMERIC) + len(CLEAN_CATEGORICAL)} AS n_features",
+})
+
+
 # --- wide statements: the same questions at ~190 columns ---------------------
 
 from riskfold.roles import DEFAULT_CATEGORICAL_COLS  # noqa: E402

@@ -24,7 +24,7 @@ from riskfold.operators.clean import DEFAULT_MISSING_THRESHOLD, clean
 from riskfold.operators.prep import CAT, FEATURES, NUM, preparation_stages
 from riskfold.operators.split import DEFAULT_SEED, DEFAULT_TRAIN_PCT, hash_split, random_split
 from riskfold.roles import Roles
-from riskfold.session import guard_wide_plans
+from riskfold.session import publish, versions
 
 # The two training settings of the original pipeline (the
 # notebook's and the script's), plus a small setting for tests and benchmarks.
@@ -37,7 +37,6 @@ PRESETS = {
                   weighting="balanced"),
 }
 WEIGHT_COL = "class_weight"
-MAX_CATEGORIES = 100_000  # StringIndexer holds the label array of each column on the driver
 
 
 @dataclass
@@ -57,20 +56,16 @@ def labelled(df: DataFrame, label_col: str) -> DataFrame:
     return df.where(F.col(label_col).isNotNull()).withColumn(label_col, F.col(label_col).cast("double"))
 
 
-CHECKPOINT_EVERY = 10
-
-
 def gbt(label_col: str, preset: str = "script", seed: int = DEFAULT_SEED, weight_col: str = WEIGHT_COL,
-        **overrides) -> GBTClassifier:
-    """GBT with a preset; long fits checkpoint the boosting state every 10 rounds.
+        checkpoint_every: int = 10, **overrides) -> GBTClassifier:
+    """GBT with a preset; the boosting state is checkpointed every ``checkpoint_every`` rounds (-1: never).
 
     Checkpoints go to the shared checkpoint folder and bound the lineage an
-    executor loss has to replay; a fit of at most 10 rounds has nothing to
-    bound, so it skips them.
+    executor loss has to replay.
     """
     p = {k: v for k, v in PRESETS[preset].items() if k != "weighting"}
     p.update(overrides)
-    p.setdefault("checkpointInterval", CHECKPOINT_EVERY if p["maxIter"] > CHECKPOINT_EVERY else -1)
+    p.setdefault("checkpointInterval", checkpoint_every)
     return GBTClassifier(featuresCol=FEATURES, labelCol=label_col, weightCol=weight_col, seed=seed, **p)
 
 
@@ -78,38 +73,33 @@ def build_pipeline(roles: Roles, preset: str = "script", seed: int = DEFAULT_SEE
     return Pipeline(stages=[*preparation_stages(roles), gbt(roles.label_col, preset, seed, **overrides)])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin only when the input has fewer partitions than task slots.
-
-    A large table already arrives in many scan splits and passes through
-    untouched; a one-file input would otherwise run every boosting round or
-    every scored row in a single task.
-    """
-    if df.isStreaming:
-        return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    # An input that already shuffles has spark.sql.shuffle.partitions parts;
-    # asking a plan with an exchange for its RDD would run its stages early.
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+def check_categories(df: DataFrame, columns, most: int) -> None:
+    """Refuse categorical columns with more than ``most`` different values (exact counts, one pass)."""
+    if not columns:
+        return
+    counts = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first().asDict()
+    too_many = {c: n for c, n in counts.items() if n > most}
+    if too_many:
+        raise ValueError(f"categorical columns with more than {most} values: {too_many}; "
+                         "the string indexer keeps every value on the driver")
 
 
 def fit(df: DataFrame, roles: Roles, preset: str = "script", id_col: str | None = None,
         seed: int = DEFAULT_SEED, train_pct: int = DEFAULT_TRAIN_PCT, split: str = "hash",
-        missing_threshold: float = DEFAULT_MISSING_THRESHOLD, **overrides) -> Trained:
-    """Clean, split, weight and fit; returns the fitted PipelineModel and the splits."""
+        missing_threshold: float = DEFAULT_MISSING_THRESHOLD, num_partitions: int | None = None,
+        max_categories: int | None = None, **overrides) -> Trained:
+    """Clean, split, weight and fit; returns the fitted PipelineModel and the splits.
+
+    ``num_partitions`` deals the training rows out anew; by default they stay
+    as the scan reads them.  With row subsampling the fit depends on the
+    partitions, so name a number where fits on other clusters must agree.
+    ``max_categories`` refuses categorical columns with more values, of which
+    the string indexer keeps all on the driver; by default none is refused.
+    """
     if roles.label_col is None:
         raise ValueError("no label column")
-    guard_wide_plans(df.sparkSession, len(roles.features))
     cleaned = clean(df, roles, missing_threshold)
     roles = cleaned.roles
-    too_many = {c: k for c, k in cleaned.cardinality.items() if c in roles.categorical and k > MAX_CATEGORIES}
-    if too_many:
-        raise ValueError(
-            f"categorical columns with more than {MAX_CATEGORIES} distinct values (approx.): {too_many}; "
-            "StringIndexer keeps every label on the driver"
-        )
     lab = labelled(cleaned.df, roles.label_col)
     if split == "hash":
         train, test = hash_split(lab, id_col or roles.id_cols[0], train_pct, seed)
@@ -119,9 +109,12 @@ def fit(df: DataFrame, roles: Roles, preset: str = "script", id_col: str | None
     needed = [roles.label_col, *roles.numeric, *roles.categorical]
     # Persist the narrow training projection first: the class-weight count
     # fills the cache in the same scan, and every later fit reads the cache.
-    base = spread(train.select(*needed)).persist(StorageLevel.MEMORY_AND_DISK)
+    base = train.select(*needed)
+    base = (base.repartition(num_partitions) if num_partitions else base).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         weights = class_weights(base, roles.label_col, method)
+        if max_categories is not None:
+            check_categories(base, roles.categorical, max_categories)
         train_w = with_class_weight(base, roles.label_col, weights, WEIGHT_COL)
         model = build_pipeline(roles, preset, seed, **overrides).fit(train_w)
     finally:
@@ -137,7 +130,7 @@ def model_feature_columns(model: PipelineModel) -> tuple[list[str], list[str]]:
     for st in model.stages:
         java_name = st.__class__.__name__
         if java_name == "ImputerModel":
-            numeric = [c[: -len(NUM)] for c in st.getOrDefault("inputCols")]
+            numeric = [c.removesuffix(NUM) for c in st.getOrDefault("inputCols")]
         elif java_name == "StringIndexerModel":
             categorical = [c[: -len(CAT)] for c in st.getOrDefault("inputCols")]
     return numeric, categorical
@@ -147,27 +140,51 @@ def probability_of_default() -> F.Column:
     return vector_to_array(F.col("probability"))[1]
 
 
+def model_input(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with every feature of the model: absent ones as NULL, numbers of other types as double.
+
+    Only the plan's schema is looked at.
+    """
+    numeric, categorical = model_feature_columns(model)
+    imputers = [st for st in model.stages if st.__class__.__name__ == "ImputerModel"]
+    direct = {c for st in imputers for c in st.getOrDefault("inputCols")}  # read without a cast of the pipeline's own
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    add = {c: F.lit(None).cast("double") for c in numeric if c not in types}
+    add |= {c: F.col(f"`{c}`").try_cast("double") for c in numeric if c in direct and types.get(c, "double") != "double"}
+    add |= {c: F.lit(None).cast("string") for c in categorical if c not in types}
+    return df.withColumns(add) if add else df
+
+
 def scored_rows(model: PipelineModel, df: DataFrame, keep, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """``keep`` columns + ``prob`` and ``prediction`` (``prob >= threshold``)."""
-    numeric, categorical = model_feature_columns(model)
-    guard_wide_plans(df.sparkSession, len(numeric) + len(categorical))
     p = probability_of_default()
-    return model.transform(df).select(
+    return model.transform(model_input(model, df)).select(
         *keep, p.alias("prob"), threshold_label(p, threshold).alias("prediction")
     )
 
 
-def save(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
-    return path
+def save(model: PipelineModel, base: str) -> str:
+    """Save into a version of its own under ``base`` and return that path; other versions stay."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    return publish(spark, lambda path: model.write().save(path), base)
+
+
+def latest(path: str) -> str:
+    """The newest complete version under ``path``, or ``path`` itself if it is a saved model."""
+    from pyspark.sql import SparkSession
+
+    found = versions(SparkSession.getActiveSession(), path)
+    return found[-1] if found else path
 
 
 def load(path: str) -> PipelineModel:
-    """Load a saved pipeline; raises when the path holds none."""
-    return PipelineModel.load(path)
+    """Load the newest version under ``path``, or the model at ``path``; raises when there is none."""
+    return PipelineModel.load(latest(path))
 
 
 __all__ = [
-    "PRESETS", "Trained", "build_pipeline", "fit", "gbt", "labelled", "load",
-    "model_feature_columns", "probability_of_default", "save", "scored_rows", "spread",
+    "PRESETS", "Trained", "build_pipeline", "check_categories", "fit", "gbt", "labelled", "latest", "load",
+    "model_feature_columns", "model_input", "probability_of_default", "save", "scored_rows",
 ]

@@ -8,9 +8,8 @@ Spark and in the DuckDB oracle (``riskfold.oracle``).
 from __future__ import annotations
 
 import functools
-import uuid
 
-from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +18,7 @@ from riskfold.functions.scoring import risk_level, threshold_label
 from riskfold.operators import balance, clean as clean_ops, evaluate, prep, profile, split
 from riskfold.plans import score as score_plan, train as train_plan
 from riskfold.roles import schema_report as _schema_report
-from riskfold.session import path_exists, publish, shared_path
+from riskfold.session import new_version, shared_path, versions
 from riskfold.sources import fixtures, requests as req, runs
 from riskfold.sources.tables import TABLES, read_table
 from riskfold.streaming.score_stream import start_scoring_stream
@@ -45,9 +44,9 @@ def _statements(spark, sf_dir):
     return df, fixtures.statement_roles(df)
 
 
-def _cleaned(spark, sf_dir):
+def _cleaned(spark, sf_dir, moments=False):
     df, roles = _statements(spark, sf_dir)
-    return clean_ops.clean(df, roles)
+    return clean_ops.clean(df, roles, moments=moments)
 
 
 # ---------------------------------------------------------------- scans ----
@@ -94,8 +93,10 @@ def q_null_nan_percent(spark, sf_dir):
 
 
 def q_partition_stats(spark, sf_dir):
+    """Totals over the partitions, whose own sizes depend on the layout."""
     df, _ = _statements(spark, sf_dir)
-    return profile.partition_stats(df)
+    return profile.partition_stats(df).agg(
+        F.sum("n_rows").alias("n_rows"), (F.count(F.lit(1)) == F.count_distinct("partition_id")).alias("one_row_each"))
 
 
 # ---------------------------------------------------------------- clean ----
@@ -130,8 +131,9 @@ def q_column_means(spark, sf_dir):
 
 
 def q_impute_mean(spark, sf_dir):
-    c = _cleaned(spark, sf_dir)
-    return rounded(prep.impute_mean(c.df, c.roles))
+    c = _cleaned(spark, sf_dir, moments=True)
+    means = {k: c.stats["__mean__" + k] for k in c.roles.numeric}
+    return rounded(prep.impute_mean(c.df, c.roles, means=means))
 
 
 def q_fill_categorical(spark, sf_dir):
@@ -145,8 +147,8 @@ def q_string_index(spark, sf_dir):
 
 
 def q_standard_scale(spark, sf_dir):
-    c = _cleaned(spark, sf_dir)
-    return rounded(prep.standard_scale(c.df, c.roles))
+    c = _cleaned(spark, sf_dir, moments=True)
+    return rounded(prep.standard_scale(c.df, c.roles, stats=c.stats))
 
 
 def q_label_prepare(spark, sf_dir):
@@ -165,19 +167,45 @@ def q_hash_split(spark, sf_dir):
     return split.with_hash_split(_labelled_statements(spark, sf_dir), "customer_id")
 
 
+def _differences(base: DataFrame, other: DataFrame) -> DataFrame:
+    """One row: rows of ``base``, rows of it that ``other`` lacks, rows that ``other`` has beyond it."""
+    columns = [F.col(c) for c in base.columns]
+    both = base.select(*columns, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(
+        other.select(*columns, F.lit(0).alias("a"), F.lit(1).alias("b")))
+    each = both.groupBy(*base.columns).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    return each.agg(
+        F.sum("a").alias("n_rows"), F.sum(F.greatest(F.col("a") - F.col("b"), F.lit(0))).alias("n_missing"),
+        F.sum(F.greatest(F.col("b") - F.col("a"), F.lit(0))).alias("n_extra"))
+
+
 def q_random_split(spark, sf_dir):
-    return split.with_random_split(_labelled_statements(spark, sf_dir))
+    """The two parts together are the table: no row is lost, doubled or in both."""
+    base = _labelled_statements(spark, sf_dir)
+    both = split.with_random_split(base)
+    sizes = split.split_sizes(both)
+    share = sizes.agg((F.sum(F.when(F.col("split") == "train", F.col("n_rows"))) / F.sum("n_rows")).alias("share"))
+    return _differences(base, both).crossJoin(F.broadcast(share)).select(  # one row
+        "n_rows", "n_missing", "n_extra", F.col("share").between(0.77, 0.83).alias("share_near_80"))
 
 
 def q_split_sizes(spark, sf_dir):
-    lab = _labelled_statements(spark, sf_dir)
-    by_hash = split.split_sizes(split.with_hash_split(lab, "customer_id")).withColumn("method", F.lit("hash"))
-    by_rand = split.split_sizes(split.with_random_split(lab)).withColumn("method", F.lit("random"))
-    return by_hash.unionByName(by_rand)
+    """Sizes of both splits from one pass; the random parts vary, so they come as their total."""
+    lab = split.with_random_split(split.with_hash_split(_labelled_statements(spark, sf_dir), "customer_id", out="hash"), out="random")
+    counts = lab.groupBy("hash", "random").agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.select(F.explode(F.array(
+        F.struct(F.lit("hash").alias("method"), F.col("hash").alias("split"), F.col("n")),
+        F.struct(F.lit("random").alias("method"), F.lit("all").alias("split"), F.col("n")),
+    )).alias("r"))
+    return rows.groupBy("r.method", "r.split").agg(F.sum("r.n").alias("n_rows"))
 
 
 def q_bernoulli_sample(spark, sf_dir):
-    return split.bernoulli_sample(fixtures.scored(spark, sf_dir))
+    """A sample has only rows of the table, and about the share asked for."""
+    base = fixtures.scored(spark, sf_dir)
+    sample = split.bernoulli_sample(base)
+    share = sample.agg(F.count(F.lit(1)).alias("n"))
+    return _differences(base, sample).crossJoin(F.broadcast(share)).select(  # one row
+        "n_rows", "n_extra", (F.col("n") / F.col("n_rows")).between(0.03, 0.07).alias("share_near_5"))
 
 
 # -------------------------------------------------------------- balance ----
@@ -243,6 +271,11 @@ def q_score_histogram(spark, sf_dir):
     return rounded(evaluate.score_histogram(fixtures.scored(spark, sf_dir)))
 
 
+def q_score_histogram_edges(spark, sf_dir):
+    """Bins between each class's own smallest and largest score."""
+    return rounded(evaluate.score_histogram(fixtures.scored(spark, sf_dir), own_edges=True))
+
+
 def q_metric_report(spark, sf_dir):
     return rounded(evaluate.metric_report(fixtures.scored(spark, sf_dir)))
 
@@ -278,7 +311,7 @@ def q_request_reject(spark, sf_dir):
 # ------------------------------------------------- wide statements (~190) ----
 
 def _wide(spark, sf_dir):
-    df = fixtures.wide_statements(spark, sf_dir)
+    df = fixtures.wide_statements(spark, sf_dir, fresh=True)
     return df, fixtures.wide_roles(df)
 
 
@@ -321,142 +354,170 @@ def q_wide_string_index(spark, sf_dir):
 
 # --------------------------------------------------------------- models ----
 
-_MODELS: dict[str, object] = {}
+def _code_of_training() -> str:
+    """Presets and source of the modules that make a model."""
+    import inspect
+
+    return repr(train_plan.PRESETS) + "".join(inspect.getsource(m) for m in (train_plan, prep, clean_ops, balance, split))
 
 
-_fingerprint = fixtures._fingerprint
+def _model_base(spark, sf_dir, preset):
+    print_ = fixtures.fingerprint(spark, sf_dir, preset, _code_of_training())
+    return shared_path(spark, "riskfold", "models", f"statements-{preset}-{print_}")
 
 
-def _model_dir(spark, sf_dir, preset):
-    return shared_path(spark, "riskfold", "models", f"statements-{preset}-{_fingerprint(sf_dir)}")
+def _fitted(spark, sf_dir, preset):
+    df, roles = _statements(spark, sf_dir)
+    return train_plan.fit(df, roles, preset=preset, id_col="customer_id")
 
 
-def _runs_dir(spark, sf_dir):
-    return shared_path(spark, "riskfold", "runs", f"statements-{_fingerprint(sf_dir)}")
+def serving_model(spark, sf_dir, preset=SERVING_PRESET):
+    """The newest saved model for these files, preset and code; fitted and saved if there is none."""
+    base = _model_base(spark, sf_dir, preset)
+    if not versions(spark, base):
+        train_plan.save(_fitted(spark, sf_dir, preset).model, base)
+    return train_plan.load(base)
 
 
-def holdout_metrics(trained) -> DataFrame:
+def holdout_metrics(model, test) -> DataFrame:
     """One row of hold-out metrics (exact AUC, confusion at ``prob >= 0.5``, rates).
 
     One scoring pass: the scored hold-out is reduced to distinct scores once
     and every metric is read off that table.
     """
-    scored = train_plan.scored_rows(trained.model, trained.test, ["target"])
-    return evaluate.metric_report(scored, "target", "prob")
-
-
-def trained_model(spark, sf_dir, preset=SERVING_PRESET):
-    """Fit (or reuse) the pipeline for ``statements`` with a preset; saved under the shared folder."""
-    path = _model_dir(spark, sf_dir, preset)
-    key = f"{spark.sparkContext.applicationId}|{path}"
-    if key in _MODELS:
-        return _MODELS[key]
-    if path_exists(spark, path + "/metadata"):
-        model = train_plan.load(path)
-        trained = None
-    else:
-        df, roles = _statements(spark, sf_dir)
-        trained = train_plan.fit(df, roles, preset=preset, id_col="customer_id")
-        model = trained.model
-        publish(spark, lambda tmp: train_plan.save(model, tmp), path)
-        metrics = holdout_metrics(trained).first().asDict()
-        rec = runs.run_record(spark, f"statements-{preset}", path, trained, metrics,
-                              prep.feature_input_cols(trained.roles))
-        runs.append_run(rec, _runs_dir(spark, sf_dir))
-    _MODELS[key] = (model, trained)
-    return _MODELS[key]
+    return evaluate.metric_report(train_plan.scored_rows(model, test, ["target"]), "target", "prob")
 
 
 def _holdout(spark, sf_dir):
-    """Hold-out rows of the cleaned, labelled statements (same split as training)."""
-    c = _cleaned(spark, sf_dir)
-    lab = train_plan.labelled(c.df, "target")
+    """Hold-out rows of the labelled statements; dropped columns are the model's affair."""
+    df, roles = _statements(spark, sf_dir)
+    lab = train_plan.labelled(clean_ops.drop_all_missing_rows(df, roles), "target")
     _, test = split.hash_split(lab, "customer_id")
     return test
 
 
-def _train_report(spark, sf_dir, preset):
-    """Fit (or reuse the saved fit of) a preset and report its hold-out metrics."""
-    model, _ = trained_model(spark, sf_dir, preset)
-    gbt = model.stages[-1]
-    scored = train_plan.scored_rows(model, _holdout(spark, sf_dir), ["target"])
-    return evaluate.metric_report(scored, "target", "prob").select(
+def train_report(spark, sf_dir, preset) -> DataFrame:
+    """Fit a preset, save it and report its hold-out metrics."""
+    trained = _fitted(spark, sf_dir, preset)
+    train_plan.save(trained.model, _model_base(spark, sf_dir, preset))
+    gbt = trained.model.stages[-1]
+    return holdout_metrics(trained.model, trained.test).select(
         F.lit(preset).alias("preset"),
         F.lit(gbt.getNumTrees).alias("n_trees"),
         F.lit(gbt.numFeatures).alias("n_features"),
-        "auc", "tp", "tn", "fp", "fn", "precision", "recall", "f1_score",
+        "auc", "tp", "tn", "fp", "fn", "n_unscored", "precision", "recall", "f1_score",
+    )
+
+
+def _train_counts(spark, sf_dir, preset):
+    """The exact part of :func:`train_report`; the cells sum up to the hold-out."""
+    return train_report(spark, sf_dir, preset).select(
+        "preset", "n_trees", "n_features", (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")).alias("n_holdout"),
+        "n_unscored", (F.col("auc") > 0.9).alias("auc_above_floor"),
     )
 
 
 def q_train_gbt_a(spark, sf_dir):
-    return _train_report(spark, sf_dir, "notebook")
+    return _train_counts(spark, sf_dir, "notebook")
 
 
 def q_train_gbt_b(spark, sf_dir):
-    return _train_report(spark, sf_dir, "script")
+    return _train_counts(spark, sf_dir, "script")
 
 
 def q_prepare_features(spark, sf_dir):
-    from pyspark.ml import Pipeline
-
+    """The preparation stages that ship, fitted on the training rows; one column a feature of the vector."""
     c = _cleaned(spark, sf_dir)
     lab = train_plan.labelled(c.df, "target")
     train, _ = split.hash_split(lab, "customer_id")
-    model = Pipeline(stages=prep.preparation_stages(c.roles)).fit(train)
-    return model.transform(c.df).select(
-        "customer_id", "line_no", vector_to_array(prep.FEATURES).alias("features")
-    )
+    train = train.select(*c.roles.features).persist(StorageLevel.MEMORY_AND_DISK)  # three stages are fitted on it
+    try:
+        out = prep.prepared_columns(c.df, c.roles, ["customer_id", "line_no"], train)
+    finally:
+        train.unpersist()
+    return rounded(out)
 
 
 def q_score_holdout(spark, sf_dir):
-    model, _ = trained_model(spark, sf_dir)
-    return train_plan.scored_rows(model, _holdout(spark, sf_dir), ["customer_id", "line_no", "target"])
+    model = serving_model(spark, sf_dir)
+    scored = train_plan.scored_rows(model, _holdout(spark, sf_dir), ["customer_id", "line_no", "target"])
+    good = F.col("prob").between(0, 1) & (F.col("prediction") == (F.col("prob") >= 0.5).cast("int"))
+    return scored.select("customer_id", "line_no", "target", good.alias("in_contract"))
 
 
 def q_auc_evaluator(spark, sf_dir):
-    model, _ = trained_model(spark, sf_dir)
-    scored = train_plan.scored_rows(model, _holdout(spark, sf_dir), ["customer_id", "line_no", "target"])
-    binned = evaluate.evaluator_auc(scored, "target", "prob")
-    exact = evaluate.evaluator_auc(scored, "target", "prob", num_bins=0)
-    return evaluate.auc_exact(scored, "target", "prob").select(
-        "auc", F.lit(exact).alias("evaluator_auc_exact"), F.lit(binned).alias("evaluator_auc_binned"),
-        "n_pos", "n_neg",
-    )
+    """Spark's evaluator over all scores and the exact AUC, on one copy of (label, score)."""
+    scored = fixtures.scored(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        exact = evaluate.evaluator_auc(scored, "target", "prob", num_bins=0)
+        own = evaluate.auc_exact(scored, "target", "prob")
+    finally:
+        scored.unpersist()
+    return rounded(own.select("auc", F.lit(exact).alias("evaluator_auc"), "n_pos", "n_neg"))
 
 
 def q_score_reload(spark, sf_dir):
-    trained_model(spark, sf_dir)
-    model = train_plan.load(_model_dir(spark, sf_dir, SERVING_PRESET))
-    return train_plan.scored_rows(model, _holdout(spark, sf_dir), ["customer_id", "line_no", "target"])
+    """Scores of a model before it is saved and after it is loaded: rows and differences."""
+    trained = _fitted(spark, sf_dir, "quick")
+    again = train_plan.load(train_plan.save(trained.model, _model_base(spark, sf_dir, "quick")))
+    keep = ["customer_id", "line_no", "target"]
+    return _differences(
+        train_plan.scored_rows(trained.model, trained.test, keep), train_plan.scored_rows(again, trained.test, keep))
+
+
+def _in_contract() -> F.Column:
+    p = F.col("probability")
+    band = F.when(p < 0.3, "low").when(p < 0.7, "medium").otherwise("high")
+    return p.between(0, 1) & (F.col("prediction") == (p >= 0.5).cast("int")) & (F.col("risk_level") == band)
 
 
 def q_score_bulk(spark, sf_dir):
-    model, _ = trained_model(spark, sf_dir)
-    scored, _ = score_plan.score_requests(req.lineitem_requests(spark, sf_dir), model)
-    return scored
+    scored, _ = score_plan.score_requests(req.lineitem_requests(spark, sf_dir), serving_model(spark, sf_dir))
+    return scored.select("customer_id", _in_contract().alias("in_contract"))
 
 
 def q_score_stream(spark, sf_dir):
-    model, _ = trained_model(spark, sf_dir)
-    run = shared_path(spark, "riskfold", "streams", uuid.uuid4().hex)
-    req.lineitem_requests(spark, sf_dir).write.json(f"{run}/requests")
-    queries = start_scoring_stream(spark, model, f"{run}/requests", f"{run}/out", f"{run}/checkpoints")
-    for q in queries:
-        q.awaitTermination()
-    return spark.read.parquet(f"{run}/out/scored")
+    """Scored and rejected rows of a stream over request files, and how they differ from bulk scoring."""
+    model = serving_model(spark, sf_dir)
+    run = new_version(shared_path(spark, "riskfold", "streams"))
+    requests = req.lineitem_requests(spark, sf_dir)
+    requests.write.json(f"{run}/requests")
+    start_scoring_stream(spark, model, f"{run}/requests", f"{run}/out", f"{run}/checkpoint").awaitTermination()
+    bulk, _ = score_plan.score_requests(requests, model)
+    streamed = spark.read.parquet(f"{run}/out/scored").select(*bulk.columns)
+    rejected = spark.read.parquet(f"{run}/out/rejected").agg(F.count(F.lit(1)).alias("n_rejected"))
+    return _differences(rounded(bulk), rounded(streamed)).crossJoin(F.broadcast(rejected))  # one row
+
+
+def _recorded_run(spark, sf_dir) -> str:
+    """A runs table with two runs of the quick preset, made in this call; its path."""
+    runs_path = new_version(shared_path(spark, "riskfold", "runs"))
+    trained = _fitted(spark, sf_dir, "quick")
+    path = train_plan.save(trained.model, _model_base(spark, sf_dir, "quick"))
+    metrics = holdout_metrics(trained.model, trained.test).first().asDict()
+    for _ in range(2):
+        runs.append_run(runs.run_record(
+            spark, "statements-quick", path, trained, metrics, prep.feature_input_cols(trained.roles)), runs_path)
+    return runs_path
+
+
+def _recorded(df: DataFrame) -> DataFrame:
+    """The exact part of run rows: names, and the cells' sum, which is the hold-out."""
+    joined = lambda c: F.array_join(F.sort_array(c), ",").alias(c)
+    return df.select(
+        "model_name", "preset", joined("numeric_cols"), joined("categorical_cols"),
+        (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")).alias("n_holdout"), (F.col("auc") > 0.9).alias("auc_above_floor"),
+        *[c for c in ("n_versions", "n_features") if c in df.columns],
+        *([joined("dropped_cols"), joined("feature_input_cols"), "label_col"] if "dropped_cols" in df.columns else []),
+    )
 
 
 def q_run_record(spark, sf_dir):
-    trained_model(spark, sf_dir)
-    return runs.read_runs(spark, _runs_dir(spark, sf_dir)).select(
-        "model_name", "preset", "auc", "precision", "recall", "f1_score", "tp", "tn", "fp", "fn",
-        F.size("numeric_cols").alias("n_numeric"), F.size("dropped_cols").alias("n_dropped"),
-    )
+    return _recorded(runs.read_runs(spark, _recorded_run(spark, sf_dir)))
 
 
 def q_model_info(spark, sf_dir):
-    trained_model(spark, sf_dir)
-    return runs.model_info(spark, _runs_dir(spark, sf_dir))
+    return _recorded(runs.model_info(spark, _recorded_run(spark, sf_dir)))
 
 
 QUERIES = {
@@ -490,6 +551,7 @@ QUERIES = {
     "roc_curve": q_roc_curve,
     "auc_exact": q_auc_exact,
     "score_histogram": q_score_histogram,
+    "score_histogram_edges": q_score_histogram_edges,
     "metric_report": q_metric_report,
     "output_contract": q_output_contract,
     "request_to_columns": q_request_to_columns,
@@ -500,7 +562,7 @@ QUERIES = {
     "wide_clean_table": q_wide_clean_table,
     "wide_column_means": q_wide_column_means,
     "wide_string_index": q_wide_string_index,
-    # rows-only (model output, sampling, partition layout)
+    # of model output, samples and layouts the part that is exact
     "partition_stats": q_partition_stats,
     "random_split": q_random_split,
     "split_sizes": q_split_sizes,

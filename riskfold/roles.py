@@ -49,6 +49,7 @@ class Roles:
     categorical: tuple[str, ...]
     numeric: tuple[str, ...]
     floating: frozenset[str] = frozenset()
+    types: tuple[tuple[str, str], ...] = ()  # each feature's type name
 
     @classmethod
     def from_schema(
@@ -71,7 +72,8 @@ class Roles:
             f.name for f in schema.fields
             if f.name in numeric and is_floating_type(f.dataType)
         )
-        return cls(ids, label, cats, numeric, floating)
+        types = tuple((f.name, f.dataType.simpleString()) for f in schema.fields if f.name in numeric or f.name in cats)
+        return cls(ids, label, cats, numeric, floating, types)
 
     @classmethod
     def of(cls, df: DataFrame, **kwargs) -> "Roles":
@@ -91,8 +93,12 @@ class Roles:
             categorical=tuple(c for c in self.categorical if c in names),
             numeric=tuple(c for c in self.numeric if c in names),
             floating=frozenset(c for c in self.floating if c in names),
+            types=tuple((c, t) for c, t in self.types if c in names),
         )
 
+    def type_of(self, name: str) -> str | None:
+        return dict(self.types).get(name)
+
     def role_of(self, name: str) -> str:
         if name in self.id_cols:
             return "id"

@@ -1,11 +1,19 @@
-"""Session-level helpers: the shared folder for checkpoints, models and runs."""
+"""Session-level helpers: the shared folder for checkpoints, models and runs.
+
+Everything that outlives a job is written to a folder of its own (a version);
+nothing is renamed or overwritten, so object stores need no special care.  A
+version counts once its marker file exists, which is written last.
+"""
 
 from __future__ import annotations
 
-import os
+import datetime as dt
 import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import SparkSession
+COMPLETE = "_COMPLETE"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -20,13 +28,14 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None
     )
+    if not root:
+        root = sc.getCheckpointDir()
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder"
             )
         root = tempfile.mkdtemp(prefix="riskfold-")
-        sc.setCheckpointDir(root)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -37,77 +46,71 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_root(spark), *parts])
 
 
-def local_path(path: str) -> str | None:
-    """The local filesystem path of ``path`` if it is one, else ``None``."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's FileSystem, so it works on any store."""
-    lp = local_path(path)
-    if lp is not None:
-        return os.path.exists(lp)
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
-
-
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
-def written_table(spark: SparkSession, name: str, build, fmt: str = "parquet"):
-    """Read table ``name`` from the shared folder, writing it with ``build()`` first if absent.
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through Hadoop's FileSystem, so it works on any store."""
+    fs, jpath = _fs(spark, path)
+    return bool(fs.exists(jpath))
+
+
+def file_stamps(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, length and modification time of every file at or under ``path``, in name order."""
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
+        return []
+    if fs.getFileStatus(jpath).isFile():
+        s = fs.getFileStatus(jpath)
+        return [(s.getPath().toString(), s.getLen(), s.getModificationTime())]
+    out, files = [], fs.listFiles(jpath, True)
+    while files.hasNext():
+        s = files.next()
+        out.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return sorted(out)
+
+
+def new_version(base: str) -> str:
+    """A folder name under ``base`` that no other writer uses; later ones sort last."""
+    now = dt.datetime.now(dt.timezone.utc)
+    return f"{base.rstrip('/')}/v{now:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
+def mark_complete(spark: SparkSession, path: str) -> str:
+    fs, jpath = _fs(spark, f"{path}/{COMPLETE}")
+    fs.create(jpath, True).close()
+    return path
 
-    The write goes to a unique sibling folder and is renamed into place, so a
-    failed or concurrent writer never leaves a partial table behind.
-    """
-    final = shared_path(spark, "riskfold", "tables", name)
-    if not path_exists(spark, final + "/_SUCCESS"):
-        from riskfold.plans.train import spread
 
-        publish(spark, lambda tmp: spread(build()).write.format(fmt).save(tmp), final)
-    return spark.read.format(fmt).load(final)
+def versions(spark: SparkSession, base: str) -> list[str]:
+    """The complete versions under ``base``, oldest first."""
+    fs, jpath = _fs(spark, base)
+    if not fs.exists(jpath):
+        return []
+    found = [s.getPath() for s in fs.listStatus(jpath) if s.isDirectory() and s.getPath().getName().startswith("v")]
+    names = sorted(p.getName() for p in found)
+    return [f"{base.rstrip('/')}/{n}" for n in names if path_exists(spark, f"{base.rstrip('/')}/{n}/{COMPLETE}")]
 
 
-def publish(spark: SparkSession, write, final: str) -> str:
-    """Run ``write(tmp_path)`` and rename the result to ``final`` if it is not there yet.
+def publish(spark: SparkSession, write, base: str) -> str:
+    """Run ``write(path)`` on a fresh version under ``base`` and return its path.
 
-    Readers only ever see a complete folder; if another writer got there
-    first, its copy is kept.
+    Readers see the version only once it is whole; other versions stay.
     """
-    import uuid
-
-    tmp = f"{final}.tmp-{uuid.uuid4().hex}"
-    write(tmp)
-    fs, src = _fs(spark, tmp)
-    _, dst = _fs(spark, final)
-    fs.mkdirs(dst.getParent())
-    if not fs.rename(src, dst) and not fs.exists(dst):
-        raise RuntimeError(f"could not move {tmp} to {final}")
-    return final
-
-
-WIDE_FEATURES = 32
+    path = new_version(base)
+    write(path)
+    return mark_complete(spark, path)
 
 
-def guard_wide_plans(spark: SparkSession, n_features: int) -> None:
-    """Turn off constraint propagation for pipelines over many features.
+def written_table(spark: SparkSession, name: str, build) -> DataFrame:
+    """The oldest version of table ``name`` in the shared folder, written with ``build()`` if there is none.
 
-    A filter that names every feature (the all-missing row filter) under a
-    projection that aliases each feature (the pipeline's cast stage) makes
-    Catalyst's constraint set double per alias: 2^k constraints for k
-    features.  Spark's documented switch for plans with many predicates and
-    aliases is ``spark.sql.constraintPropagation.enabled=false``; it only
-    drops inferred IS NOT NULL filters.  Narrow pipelines keep the default.
+    ``name`` must identify the content: two writers at once write the same
+    rows twice, and all readers agree on one of the copies.
     """
-    key = "spark.sql.constraintPropagation.enabled"
-    if n_features >= WIDE_FEATURES and spark.conf.get(key, "true").lower() == "true":
-        spark.conf.set(key, "false")
+    base = shared_path(spark, "riskfold", "tables", name)
+    if not versions(spark, base):
+        publish(spark, lambda path: build().write.parquet(path), base)
+    return spark.read.parquet(versions(spark, base)[0])

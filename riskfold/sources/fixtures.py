@@ -133,33 +133,38 @@ def wide_statements_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "lineitem").selectExpr(*_exprs(WIDE, "spark"))
 
 
-def _fingerprint(sf_dir: str) -> str:
+def fingerprint(spark: SparkSession, sf_dir: str, *more) -> str:
+    """Identifies what is derived from ``lineitem``: its files, the views and ``more``.
+
+    Name, length and modification time of every file come through Hadoop's
+    FileSystem, so a changed input on any store, or a changed file within a
+    folder, gives another fingerprint.
+    """
     import hashlib
-    import os
-
-    p = f"{sf_dir.rstrip('/')}/lineitem.parquet"
-    lp = p[len("file:"):] if p.startswith("file:") else p
-    stamp = ""
-    if os.path.exists(lp):
-        st = os.stat(lp)
-        stamp = f"{st.st_size}:{int(st.st_mtime)}"
-    # the fixture definitions are part of the key: a changed view never reuses old output
+
+    from riskfold.session import file_stamps
+
+    stamps = file_stamps(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
     views = view_sql(STATEMENTS) + view_sql(WIDE) + view_sql(SCORED)
-    return hashlib.sha1(f"{os.path.abspath(lp)}|{stamp}|{views}".encode()).hexdigest()[:12]
+    return hashlib.sha256(repr((stamps, views, more)).encode()).hexdigest()[:16]
 
 
-def wide_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide view as a Parquet table of plain columns, written once per input.
+def wide_statements(spark: SparkSession, sf_dir: str, fresh: bool = False) -> DataFrame:
+    """The wide view as a Parquet table of plain columns.
 
     A real statement table arrives as ~190 plain Parquet columns.  Evaluated
     as a view, every feature is a CASE expression that Catalyst inlines into
     any predicate over all features (the all-missing row filter), which
-    exceeds the JVM's 64 KB method limit; writing the derived table once
-    gives the queries the same plan they would see on real data.
+    exceeds the JVM's 64 KB method limit; writing the derived table gives the
+    queries the same plan they would see on real data.  ``fresh`` derives it
+    anew; else a version of the same input files and rules is read.
     """
-    from riskfold.session import written_table
+    from riskfold.session import publish, shared_path, written_table
 
-    return written_table(spark, f"wide-{_fingerprint(sf_dir)}", lambda: wide_statements_view(spark, sf_dir))
+    if fresh:
+        base = shared_path(spark, "riskfold", "tables", "wide-fresh")
+        return spark.read.parquet(publish(spark, lambda p: wide_statements_view(spark, sf_dir).write.parquet(p), base))
+    return written_table(spark, f"wide-{fingerprint(spark, sf_dir)}", lambda: wide_statements_view(spark, sf_dir))
 
 
 def wide_roles(df: DataFrame) -> Roles:

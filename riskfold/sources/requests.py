@@ -3,7 +3,9 @@
 A request is the bulk form of one HTTP prediction body.  Known feature keys
 become typed columns (numeric through ``try_cast`` to double, so text in a
 numeric field becomes NULL instead of failing the job), absent keys become
-NULL, unknown keys are ignored.  An empty map is rejected.
+NULL, unknown keys are ignored.  An empty map is rejected.  Text that is no
+request (a truncated line, ``features`` that is no map) is rejected as
+malformed, with the line as it came.
 """
 
 from __future__ import annotations
@@ -35,17 +37,42 @@ def request_columns(
     )
 
 
-def reject_reason() -> Column:
-    """Why a request is rejected, or NULL when it is valid."""
+CORRUPT = "_corrupt_record"
+
+
+def parse_requests(lines: DataFrame) -> DataFrame:
+    """Text lines (column ``value``) to ``customer_id, features, raw``; blank lines are no requests.
+
+    ``raw`` holds the line of a malformed request and is NULL otherwise.  The
+    options keep Catalyst from narrowing the schema that decides what is
+    malformed.
+    """
+    schema = T.StructType([*REQUEST_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return lines.where(F.trim("value") != "").select(F.col("value"), parsed.alias("r")).select(
+        "r.customer_id", "r.features",
+        F.when(F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull(), F.col("value")).alias("raw"),
+    )
+
+
+def read_requests(spark: SparkSession, path: str) -> DataFrame:
+    """Request files with one JSON object a line; see :func:`parse_requests`."""
+    return parse_requests(spark.read.text(path))
+
+
+def reject_reason(raw: bool = False) -> Column:
+    """Why a request is rejected, or NULL when it is valid; ``raw``: whether there is such a column."""
+    malformed = F.col("raw").isNotNull() if raw else F.lit(False)
     return (
-        F.when(F.col("features").isNull(), "features missing")
+        F.when(malformed, "malformed")
+        .when(F.col("features").isNull(), "features missing")
         .when(F.size("features") == 0, "features empty")
     )
 
 
 def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected-with-reason); both are filters of the same scan."""
-    reason = reject_reason()
+    reason = reject_reason("raw" in requests.columns)
     valid = requests.where(reason.isNull())
     rejected = requests.where(reason.isNotNull()).withColumn("reason", reason)
     return valid, rejected

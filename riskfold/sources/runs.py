@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The field names of the original record, where it has the field.
 RUN_SCHEMA = T.StructType([
     T.StructField("model_name", T.StringType()),
     T.StructField("model_path", T.StringType()),
@@ -32,6 +33,8 @@ RUN_SCHEMA = T.StructType([
     T.StructField("fn", T.LongType()),
     T.StructField("shuffle_partitions", T.IntegerType()),
     T.StructField("default_parallelism", T.IntegerType()),
+    T.StructField("cores", T.StringType()),
+    T.StructField("driver_memory", T.StringType()),
 ])
 
 
@@ -48,10 +51,18 @@ def run_record(spark: SparkSession, name: str, path: str, trained, metrics: dict
         *(int(metrics[k]) for k in ("tp", "tn", "fp", "fn")),
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         int(spark.sparkContext.defaultParallelism),
+        _cores(spark),
+        spark.sparkContext.getConf().get("spark.driver.memory", None),
     )
     return spark.createDataFrame([row], RUN_SCHEMA)
 
 
+def _cores(spark: SparkSession) -> str:
+    """The cores that were asked for: of a local master, or of each executor."""
+    conf, master = spark.sparkContext.getConf(), spark.sparkContext.master
+    return master.partition("[")[2].rstrip("]") if master.startswith("local[") else conf.get("spark.executor.cores", "")
+
+
 def append_run(record: DataFrame, runs_path: str) -> None:
     record.coalesce(1).write.mode("append").parquet(runs_path)
 
@@ -61,15 +72,26 @@ def read_runs(spark: SparkSession, runs_path: str) -> DataFrame:
 
 
 def model_info(spark: SparkSession, runs_path: str) -> DataFrame:
-    """Latest run per model name (``max_by`` aggregate, no sort of the table)."""
+    """Latest run per model name (``max_by`` aggregate, no sort of the table).
+
+    ``version`` is the last part of the model's path.
+    """
     runs = read_runs(spark, runs_path)
     latest = runs.groupBy("model_name").agg(
-        F.max_by(F.struct(*[c for c in runs.columns if c != "model_name"]), F.col("created_at")).alias("r"),
+        F.max_by(F.struct(*[c for c in runs.columns if c != "model_name"]), F.struct("created_at", "model_path")).alias("r"),
         F.count(F.lit(1)).alias("n_versions"),
     )
     return latest.select(
-        "model_name", "n_versions", "r.created_at", "r.model_path", "r.preset",
-        "r.auc", "r.precision", "r.recall", "r.f1_score",
+        "model_name", "n_versions", F.element_at(F.split("r.model_path", "/"), -1).alias("version"),
+        "r.created_at", "r.model_path", "r.preset",
+        "r.auc", "r.precision", "r.recall", "r.f1_score", "r.tp", "r.tn", "r.fp", "r.fn",
+        "r.categorical_cols", "r.numeric_cols",
         F.size("r.numeric_cols").alias("n_numeric"), F.size("r.categorical_cols").alias("n_categorical"),
         F.size("r.feature_input_cols").alias("n_features"),
     )
+
+
+def latest_model_path(spark: SparkSession, runs_path: str, name: str) -> str | None:
+    """Path of the newest run's model of that name."""
+    r = model_info(spark, runs_path).where(F.col("model_name") == name).select("model_path").first()
+    return r["model_path"] if r else None

@@ -1,35 +1,42 @@
 """Score a stream of JSON request files with a saved pipeline.
 
-The same stateless plan as bulk scoring, on ``readStream``: schema given up
-front, scored rows and rejected requests go to two Parquet file sinks, each
-with its own checkpoint, so a restarted query resumes where it stopped and
-the file sink log keeps the output exactly-once.
+The same stateless plan as bulk scoring, on ``readStream``.  One query scans
+and parses the source once and writes each micro-batch's scored and rejected
+rows into folders named by the batch; a batch that is repeated after a restart
+overwrites its own folders, so the output is exactly-once.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from riskfold.plans.score import score_requests
-from riskfold.sources.requests import REQUEST_SCHEMA
+from riskfold.sources.requests import parse_requests
+
+BATCH = "batch_id"
 
 
 def start_scoring_stream(spark: SparkSession, model: PipelineModel, source_dir: str, sink_dir: str,
                          checkpoint_dir: str, available_now: bool = True,
-                         max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
-    reader = spark.readStream.schema(REQUEST_SCHEMA)
+                         max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the query; its output is ``sink_dir/scored`` and ``sink_dir/rejected``, partitioned by ``batch_id``."""
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    requests = reader.json(source_dir)
-    scored, rejected = score_requests(requests, model)
-    queries = []
-    for name, frame in (("scored", scored), ("rejected", rejected)):
-        writer = (
-            frame.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", f"{checkpoint_dir}/{name}")
-        )
-        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
-        queries.append(writer.start(f"{sink_dir}/{name}"))
-    return queries
+    requests = parse_requests(reader.text(source_dir))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            scored, rejected = score_requests(batch, model)
+            for name, frame in (("scored", scored), ("rejected", rejected)):
+                frame.write.mode("overwrite").parquet(f"{sink_dir}/{name}/{BATCH}={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = requests.writeStream.option("checkpointLocation", checkpoint_dir).foreachBatch(write)
+    trigger = {"availableNow": True} if available_now else {"processingTime": "10 seconds"}
+    return writer.trigger(**trigger).start()

@@ -15,7 +15,7 @@ def test_train_score_stream_info(spark, tmp_path, capsys):
     model, runs = str(tmp_path / "model"), str(tmp_path / "runs")
     cli.main(["train", "--input", data, "--model", model, "--runs", runs, "--preset", "quick", *roles], spark)
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert out["auc"] > 0.9 and sorted(out["dropped"]) == ["c_rare", "n_sparse"]
+    assert out["auc"] > 0.9 and sorted(out["dropped"]) == ["c_rare", "n_sparse"] and out["model"].startswith(model + "/v")
 
     cli.main(["score", "--input", data, "--model", model, "--out", str(tmp_path / "scored"),
               "--id-col", "customer_id"], spark)

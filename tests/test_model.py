@@ -30,7 +30,7 @@ def test_no_customer_on_both_sides(spark, trained):
 
 def test_reload_gives_identical_scores(spark, trained, tmp_path):
     path = str(tmp_path / "model")
-    train_plan.save(trained.model, path)
+    assert train_plan.save(trained.model, path).startswith(path + "/v")
     again = train_plan.load(path)
     keep = ["customer_id", "line_no", "target"]
     a = train_plan.scored_rows(trained.model, trained.test, keep).withColumnRenamed("prob", "p1")
@@ -61,11 +61,9 @@ def test_stream_equals_bulk(spark, trained, tmp_path):
 
     src = str(tmp_path / "requests")
     req.lineitem_requests(spark, SF01).write.json(src)
-    qs = start_scoring_stream(spark, trained.model, src, str(tmp_path / "out"), str(tmp_path / "ck"))
-    for q in qs:
-        q.awaitTermination()
-    streamed = spark.read.parquet(str(tmp_path / "out" / "scored"))
-    bulk, _ = score_plan.score_requests(spark.read.schema(req.REQUEST_SCHEMA).json(src), trained.model)
+    start_scoring_stream(spark, trained.model, src, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    streamed = spark.read.parquet(str(tmp_path / "out" / "scored")).drop("batch_id")
+    bulk, _ = score_plan.score_requests(req.read_requests(spark, src), trained.model)
     assert streamed.count() == bulk.count()
     assert streamed.exceptAll(bulk).count() == 0
     rejected = spark.read.parquet(str(tmp_path / "out" / "rejected"))
@@ -86,15 +84,12 @@ def test_stream_restart_is_exactly_once(spark, trained, tmp_path):
     reqs.limit(0).write.json(src)  # empty source folder with the right layout
     first = reqs.where(F.col("customer_id").cast("long") % 2 == 0)
     first.write.mode("append").json(src)
-    for q in start_scoring_stream(spark, trained.model, src, out, ck):
-        q.awaitTermination()
+    start_scoring_stream(spark, trained.model, src, out, ck).awaitTermination()
     n1 = spark.read.parquet(f"{out}/scored").count()
-    for q in start_scoring_stream(spark, trained.model, src, out, ck):  # restart, nothing new
-        q.awaitTermination()
+    start_scoring_stream(spark, trained.model, src, out, ck).awaitTermination()  # restart, nothing new
     assert spark.read.parquet(f"{out}/scored").count() == n1
     reqs.where(F.col("customer_id").cast("long") % 2 == 1).write.mode("append").json(src)
-    for q in start_scoring_stream(spark, trained.model, src, out, ck):  # only the new files
-        q.awaitTermination()
+    start_scoring_stream(spark, trained.model, src, out, ck).awaitTermination()  # only the new files
     valid = reqs.where(F.size("features") > 0).count()
     assert spark.read.parquet(f"{out}/scored").count() == valid
 
@@ -113,9 +108,11 @@ def test_model_info_latest_per_name(spark, trained, tmp_path):
 
 
 def test_wide_pipeline_trains_and_scores(spark):
-    """~190 columns with the default roles: the constraint guard keeps planning bounded."""
+    """~190 columns with the default roles, under Spark's default settings."""
     from tests.conftest import SF001
 
+    assert spark.conf.get("spark.sql.constraintPropagation.enabled", "true") == "true"
+
     df = fixtures.wide_statements(spark, SF001)
     roles = fixtures.wide_roles(df)
     assert len(roles.numeric) == 179 and len(roles.categorical) == 11
@@ -135,7 +132,7 @@ def test_imputer_learned_on_training_split_only(spark, trained):
     surrogate = imputer.surrogateDF.first().asDict()
     means = {r["column_name"]: r["mean"] for r in prep.column_means(trained.train, trained.roles).collect()}
     for c in trained.roles.numeric:
-        assert surrogate[c + prep.NUM] == pytest.approx(means[c], rel=1e-12)
+        assert surrogate[prep.numeric_input(trained.roles, c)] == pytest.approx(means[c], rel=1e-12)
 
 
 def test_serving_imputes_training_means(spark, trained):
@@ -143,7 +140,7 @@ def test_serving_imputes_training_means(spark, trained):
     from riskfold.operators import prep
 
     imputer = [s for s in trained.model.stages if s.__class__.__name__ == "ImputerModel"][0]
-    mean_qty = imputer.surrogateDF.first()[f"n_qty{prep.NUM}"]
+    mean_qty = imputer.surrogateDF.first()[prep.numeric_input(trained.roles, "n_qty")]
     rows = trained.test.select("customer_id", "line_no", "n_qty", "n_price", "n_disc", "n_line",
                                "c_flag", "c_status").limit(200)
     a = rows.withColumn("n_qty", F.lit(None).cast("double"))
@@ -151,3 +148,63 @@ def test_serving_imputes_training_means(spark, trained):
     sa = {(r["customer_id"], r["line_no"]): r["prob"] for r in train_plan.scored_rows(trained.model, a, ["customer_id", "line_no"]).collect()}
     sb = {(r["customer_id"], r["line_no"]): r["prob"] for r in train_plan.scored_rows(trained.model, b, ["customer_id", "line_no"]).collect()}
     assert sa.keys() == sb.keys() and all(sa[k] == pytest.approx(sb[k], abs=1e-12) for k in sa)
+
+
+def test_training_again_gives_the_new_model(spark, tmp_path):
+    """Two fits under one name: the second is loaded, and its recorded AUC is that of the loaded model."""
+    from riskfold.sources import runs
+
+    df = fixtures.statements(spark, SF01)
+    base, table = str(tmp_path / "model"), str(tmp_path / "runs")
+    for seed in (42, 7):
+        tr = train_plan.fit(df, fixtures.statement_roles(df), preset="quick", id_col="customer_id", seed=seed, maxIter=3)
+        path = train_plan.save(tr.model, base)
+        metrics = Q.holdout_metrics(tr.model, tr.test).first().asDict()
+        runs.append_run(runs.run_record(spark, "m", path, tr, metrics, ["a"]), table)
+    again = train_plan.load(base)
+    assert again.stages[-1].getOrDefault("seed") == 7
+    assert runs.latest_model_path(spark, table, "m") == train_plan.latest(base) == path
+    info = runs.model_info(spark, table).first()
+    assert info["n_versions"] == 2 and info["version"] == path.rsplit("/", 1)[1]
+    assert info["auc"] == pytest.approx(Q.holdout_metrics(again, tr.test).first()["auc"], abs=1e-12)
+    assert list(info["categorical_cols"]) == ["c_flag", "c_status"] and info["tp"] == metrics["tp"]
+
+
+@pytest.mark.parametrize("preset,trees,depth", [("notebook", 60, 6), ("script", 100, 5)])
+def test_presets_train(spark, preset, trees, depth):
+    df = fixtures.statements(spark, SF01.replace("0.01", "0.001"))
+    tr = train_plan.fit(df, fixtures.statement_roles(df), preset=preset, id_col="customer_id")
+    last = tr.model.stages[-1]
+    assert last.getNumTrees == trees and last.getOrDefault("maxDepth") == depth
+    assert Q.holdout_metrics(tr.model, tr.test).first()["auc"] > 0.9
+
+
+def test_absent_features_count_as_missing(spark, trained):
+    rows = trained.test.select("customer_id", "n_qty", "n_price", "n_disc", "c_flag").limit(100)
+    full = rows.withColumns({"n_line": F.lit(None).cast("double"), "c_status": F.lit(None).cast("string")})
+    a = score_plan.score(rows, trained.model).collect()
+    b = score_plan.score(full, trained.model).collect()
+    assert sorted(map(str, a)) == sorted(map(str, b))
+    text = rows.withColumn("n_qty", F.col("n_qty").cast("string"))
+    assert sorted(map(str, score_plan.score(text, trained.model).collect())) == sorted(map(str, a))
+
+
+def test_malformed_requests_keep_their_text(spark, trained, tmp_path):
+    from riskfold.streaming import start_scoring_stream
+
+    src = tmp_path / "requests"
+    src.mkdir()
+    lines = [
+        '{"customer_id": "1", "features": {"n_qty": "3"}}', '{"customer_id": "2", "features": {"n_qty": ',
+        '{"customer_id": "3", "features": "none"}', '{"customer_id": null, "features": {"n_qty": "4"}}', "",
+        '{"customer_id": "5", "features": {}}', '{"customer_id": "6"}', "not json",
+    ]
+    (src / "a.json").write_text("\n".join(lines))
+    start_scoring_stream(spark, trained.model, str(src), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    batch = score_plan.score_requests(req.read_requests(spark, str(src)), trained.model)
+    stream = [spark.read.parquet(str(tmp_path / "out" / n)) for n in ("scored", "rejected")]
+    for scored, rejected in (batch, stream):
+        assert sorted(str(r["customer_id"]) for r in scored.collect()) == ["1", "None"]
+        got = sorted((r["reason"], r["raw"] or r["customer_id"]) for r in rejected.collect())
+        assert got == sorted([
+            ("malformed", lines[1]), ("malformed", lines[2]), ("malformed", lines[7]), ("features empty", "5"), ("features missing", "6")])

@@ -3,8 +3,7 @@
 import re
 
 from riskfold import queries as Q
-from riskfold.plans.train import spread
-from riskfold.session import guard_wide_plans, publish, shared_root, written_table
+from riskfold.session import file_stamps, publish, shared_root, versions, written_table
 from tests.conftest import SF001
 
 
@@ -50,22 +49,52 @@ def test_roc_window_is_partitioned_by_range(spark):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
+#: one-row sides, joined to results of one row
+ONE_ROW = {"random_split", "bernoulli_sample", "score_stream"}
+#: a fit each: their plans are checked once, in test_model_query_plans
+MODELS = {"train_gbt_a", "train_gbt_b", "score_holdout", "score_bulk", "score_stream", "score_reload", "run_record", "model_info"}
+
+
+def own_queries():
+    return {k: v for k, v in Q.QUERIES.items() if k not in MODELS}
+
+
 def test_no_query_uses_cross_products(spark):
-    for name in sorted(set(Q.QUERIES) - {"train_gbt_a", "train_gbt_b", "score_stream", "score_bulk",
-                                         "score_holdout", "score_reload", "auc_evaluator",
-                                         "run_record", "model_info", "prepare_features"}):
+    for name in sorted(set(own_queries()) - ONE_ROW):
         p = plan(spark, Q.QUERIES[name](spark, SF001))
         assert "CartesianProduct" not in p and "NestedLoopJoin" not in p, name
 
 
-def test_spread_only_thin_inputs(spark):
-    one = spark.read.parquet(f"{SF001}/lineitem.parquet")
-    assert one.rdd.getNumPartitions() == 1
-    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=32)
-    assert spread(many) is many
-    agg = one.groupBy("l_returnflag").count()
-    assert spread(agg) is agg
+def test_model_query_plans(spark):
+    for name in ("score_holdout", "score_bulk"):
+        p = plan(spark, Q.QUERIES[name](spark, SF001))
+        n = nodes(p)
+        assert not any("Join" in x or "Exchange" in x or "Python" in x or "ArrowEval" in x for x in n), name
+
+
+def jobs_of(spark, work) -> int:
+    """Number of jobs that ``work`` starts."""
+    spark.sparkContext.setJobGroup("scan-count", "scan-count")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("scan-count"))
+    work()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup("scan-count")) - before
+
+
+def scans(text: str) -> int:
+    return nodes(text).count("Scan")
+
+
+def test_scans(spark):
+    """Cleaning is one aggregate; the results add one scan of their own."""
+    for name in ("impute_mean", "standard_scale", "clean_table"):
+        made = []
+        n = jobs_of(spark, lambda name=name: made.append(Q.QUERIES[name](spark, SF001)))
+        assert n <= 3 and scans(plan(spark, made[0])) == 1, name  # the footer, and the one aggregate's two stages
+    assert scans(plan(spark, Q.QUERIES["split_sizes"](spark, SF001))) == 1
+    from riskfold.operators import split
+
+    assert scans(plan(spark, split.with_random_split(spark.read.parquet(f"{SF001}/lineitem.parquet")))) == 1
 
 
 def test_shared_root_reads_session_setting(spark):
@@ -75,46 +104,86 @@ def test_shared_root_reads_session_setting(spark):
     assert spark.sparkContext.getCheckpointDir() is not None
 
 
-def test_publish_and_written_table(spark, tmp_path):
-    target = str(tmp_path / "t")
-    publish(spark, lambda p: spark.range(5).write.parquet(p), target)
-    publish(spark, lambda p: spark.range(7).write.parquet(p), target)  # first writer wins
-    assert spark.read.parquet(target).count() == 5
+def test_versions_never_replace_each_other(spark, tmp_path):
+    base = str(tmp_path / "t")
+    assert versions(spark, base) == []
+    first = publish(spark, lambda p: spark.range(5).write.parquet(p), base)
+    second = publish(spark, lambda p: spark.range(7).write.parquet(p), base)
+    assert versions(spark, base) == [first, second]
+    assert spark.read.parquet(first).count() == 5 and spark.read.parquet(second).count() == 7
+
+    def broken(path):
+        spark.range(3).write.parquet(path)
+        raise OSError("lost")
+
+    try:
+        publish(spark, broken, base)
+    except OSError:
+        pass
+    assert versions(spark, base) == [first, second]  # an unfinished version does not count
+
+
+def test_written_table_is_built_once(spark):
+    import uuid
+
     calls = []
 
     def build():
         calls.append(1)
         return spark.range(3)
 
-    import uuid
-
     name = f"probe-{uuid.uuid4().hex}"
     assert written_table(spark, name, build).count() == 3
     assert written_table(spark, name, build).count() == 3
     assert len(calls) == 1
 
 
-def test_guard_only_for_wide_pipelines(spark):
-    key = "spark.sql.constraintPropagation.enabled"
-    before = spark.conf.get(key, "true")
-    try:
-        spark.conf.set(key, "true")
-        guard_wide_plans(spark, 10)
-        assert spark.conf.get(key) == "true"
-        guard_wide_plans(spark, 200)
-        assert spark.conf.get(key) == "false"
-    finally:
-        spark.conf.set(key, before)
+def test_fingerprint_follows_inner_files_and_parameters(spark, tmp_path):
+    from riskfold.sources.fixtures import fingerprint
+
+    base = tmp_path / "sf"
+    spark.range(5).write.parquet(str(base / "lineitem.parquet"))
+    one = fingerprint(spark, str(base), "a")
+    assert one == fingerprint(spark, str(base), "a") == fingerprint(spark, f"file://{base}", "a")
+    assert one != fingerprint(spark, str(base), "b")
+    inner = next(p for p in (base / "lineitem.parquet").iterdir() if p.name.startswith("part-"))
+    inner.write_bytes(inner.read_bytes() + b"x")
+    assert one != fingerprint(spark, str(base), "a")
+    assert len(file_stamps(spark, str(base / "lineitem.parquet"))) >= 2
+    assert file_stamps(spark, str(tmp_path / "absent")) == []
+
 
+def test_training_leaves_the_session_as_it_is(spark):
+    from riskfold.plans import train as train_plan
+    from riskfold.sources import fixtures
 
-def test_bulk_scoring_plan_has_one_spread_and_no_python(spark):
+    conf = lambda: {(r["key"], r["value"]) for r in spark.sql("SET").collect()}
+    before = conf()
+    st = fixtures.statements(spark, SF001)
+    trained = train_plan.fit(st, fixtures.statement_roles(st), preset="quick", id_col="customer_id", maxIter=1)
+    train_plan.scored_rows(trained.model, trained.test, ["target"]).count()
+    assert conf() == before
+
+
+def test_categories_and_labels_are_checked_on_request(spark):
+    import pytest
+
+    from riskfold.operators import balance
+    from riskfold.plans import train as train_plan
+
+    df = spark.createDataFrame([("a", 1.0), ("b", 0.0), ("c", 1.0)], "k string, y double")
+    train_plan.check_categories(df, ["k"], 3)
+    with pytest.raises(ValueError, match="more than 2"):
+        train_plan.check_categories(df, ["k"], 2)
+    with pytest.raises(ValueError, match="0 or 1"):
+        balance.class_weights(df.withColumn("y", df["y"] * 2), "y")
+
+
+def test_explicit_partitions(spark):
     from riskfold.plans import score as score_plan, train as train_plan
-    from riskfold.sources import fixtures, requests as req
+    from riskfold.sources import fixtures
 
     st = fixtures.statements(spark, SF001)
-    trained = train_plan.fit(st, fixtures.statement_roles(st), preset="quick", id_col="customer_id")
-    scored, _ = score_plan.score_requests(req.lineitem_requests(spark, SF001), trained.model)
-    p = plan(spark, scored)
-    n = nodes(p)
-    assert n.count("Exchange") == 1 and "RoundRobinPartitioning" in p  # the thin-input spread only
-    assert not any("Join" in x or "Python" in x or "ArrowEval" in x for x in n)
+    trained = train_plan.fit(st, fixtures.statement_roles(st), preset="quick", id_col="customer_id", maxIter=1, num_partitions=4)
+    p = plan(spark, score_plan.score(st, trained.model, num_partitions=4))
+    assert nodes(p).count("Exchange") == 1 and "RoundRobinPartitioning(4)" in p

@@ -72,3 +72,24 @@ def test_missing_semantics_equal_brute_force(spark, rows):
     assert got == want_missing
     keep = sum(not (miss_a(r[0]) and r[1] is None and r[2] is None) for r in rows)
     assert clean.drop_all_missing_rows(df, roles).count() == keep
+
+
+any_pairs = st.lists(
+    st.tuples(st.sampled_from([0, 1, None, 2]), st.sampled_from([0.1, 0.5, 0.5, 0.9, None, float("nan")])),
+    min_size=1, max_size=40,
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ps=any_pairs, t=st.sampled_from([0.3, 0.5, 0.95]))
+def test_both_matrices_follow_one_rule(spark, ps, t):
+    import math
+
+    df = spark.createDataFrame(ps, "target int, prob double")
+    cm, rep = evaluate.confusion_counts(df, threshold=t).first(), evaluate.metric_report(df, threshold=t).first()
+    cells = ("tp", "tn", "fp", "fn", "n_unscored")
+    assert [cm[c] for c in cells] == [rep[c] for c in cells]
+    assert sum(cm[c] for c in cells) == cm["n_rows"] == sum(y in (0, 1) for y, _ in ps)
+    assert cm["n_unscored"] == sum(y in (0, 1) and (p is None or math.isnan(p)) for y, p in ps)
+    roc = evaluate.roc_curve(df).collect()
+    assert sum(r["pos"] + r["neg"] for r in roc) == cm["n_rows"] - cm["n_unscored"]
