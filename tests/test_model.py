@@ -70,12 +70,6 @@ def test_stream_equals_bulk(spark, trained, tmp_path):
     assert rejected.count() == 60000 - bulk.count()
 
 
-def test_registered_model_queries_run(spark):
-    for name in ("score_bulk", "run_record", "model_info"):
-        df = Q.QUERIES[name](spark, SF01)
-        assert df.count() >= 1
-
-
 def test_stream_restart_is_exactly_once(spark, trained, tmp_path):
     from riskfold.streaming import start_scoring_stream
 
@@ -170,13 +164,12 @@ def test_training_again_gives_the_new_model(spark, tmp_path):
     assert list(info["categorical_cols"]) == ["c_flag", "c_status"] and info["tp"] == metrics["tp"]
 
 
-@pytest.mark.parametrize("preset,trees,depth", [("notebook", 60, 6), ("script", 100, 5)])
-def test_presets_train(spark, preset, trees, depth):
-    df = fixtures.statements(spark, SF01.replace("0.01", "0.001"))
-    tr = train_plan.fit(df, fixtures.statement_roles(df), preset=preset, id_col="customer_id")
-    last = tr.model.stages[-1]
-    assert last.getNumTrees == trees and last.getOrDefault("maxDepth") == depth
-    assert Q.holdout_metrics(tr.model, tr.test).first()["auc"] > 0.9
+def test_presets_hold_the_reference_settings():
+    """Both presets are trained by the queries train_gbt_a and train_gbt_b in test_oracle."""
+    a, b = (train_plan.gbt("y", preset) for preset in ("notebook", "script"))
+    assert (a.getMaxIter(), a.getMaxDepth(), a.getSubsamplingRate()) == (60, 6, 0.8)
+    assert (b.getMaxIter(), b.getMaxDepth(), b.getSubsamplingRate()) == (100, 5, 1.0)
+    assert a.getCheckpointInterval() == 10 and train_plan.gbt("y", checkpoint_every=-1).getCheckpointInterval() == -1
 
 
 def test_absent_features_count_as_missing(spark, trained):
