@@ -3,19 +3,21 @@
 A text's set is its distinct word 5-grams, as 50-bit hashes.  The hashes fall
 into ``GROUPS`` groups; a set's counts by group are a point, and the summed
 coordinate minima of two points bound the overlap of their sets.  R-trees over
-these points find the pairs whose bound allows a link; the sets themselves
-decide.
+these points find the pairs whose bound allows a link, by the counts of
+``COARSE`` groups of groups first; the sets themselves decide.
 
 One tree over all points prunes nothing: unrelated texts of equal length have
-nearly equal boxes.  So the points are first dealt out to cells.  With all
+nearly equal boxes.  So the points are first dealt out to trees.  With all
 grams in one global order, rare ones (by a sample) first, two sets that link
-share a gram among the first ``n - ceil(0.8 n) + 1`` of each; each of these is
-a cell, with a tree of its own.  The order only decides how full the cells
-are, never which pairs are found.
-
-Equal sets are one node.  A cell's nodes are first tried against the cell's
-smallest node, its hub, so a large group of near copies becomes one component
-with a link each; the trees then only look for pairs between components.
+share a gram among the first ``n - ceil(0.8 n) + 1`` of each.  The smallest
+node with such a gram is the gram's hub, and all nodes with grams of the same
+hub share a tree; so every pair that links meets in a tree.  The order only
+decides how full the trees are, never which pairs are found.
+
+Equal sets are one node.  The trees are asked in rounds.  First each node gets
+its partners with the best bounds; those that link are united, so a large
+group of near copies becomes one component with few links a node.  Last, all
+pairs between different components whose bound allows a link are verified.
 """
 
 from __future__ import annotations
@@ -33,13 +35,19 @@ from riskfold.llm.text import Numbers, pieces, starts_of, utf8, words_of
 
 WIDTH = 5
 PERCENT = 80
-GROUPS = 256
-#: Documents whose grams are counted for the order of rarity, and the grams kept (the most frequent).
+GROUPS = 1024
+COARSE = 128
+#: Documents whose grams are counted for the order of rarity, the grams kept (the most frequent),
+#: and the count there from which a gram counts as hot: its nodes meet in a join that Spark splits.
 SAMPLE_DOCS = 8192
 ORDERED_GRAMS = 200_000
-#: Nodes in one task's tree at most; a fuller cell is joined block by block.
+HOT = 8
+#: Nodes in one task's tree at most; a fuller one is joined block by block.
 BLOCK = 8192
 LEAF = 16
+#: Rounds in which each node is tried with its best partners, and how many.
+BEST_ROUNDS = 2
+BEST = 3
 #: Buckets of document ids that are broadcast, to leave out most texts before a shuffle.
 ID_BUCKETS = 1 << 18
 
@@ -109,16 +117,26 @@ def count_vectors(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return flat.reshape(-1, GROUPS)
 
 
+_WIDTHS = {GROUPS: "u1", 2 * GROUPS: "<u2", 4 * GROUPS: "<u4"}
+
+
 def _packed(vectors: np.ndarray) -> pa.Array:
-    """Vectors as binaries, in two bytes a count where these suffice, else in four."""
-    small = vectors.max(axis=1, initial=0) < 1 << 16
-    return pa.array([v.astype("<u2" if s else "<u4").tobytes() for v, s in zip(vectors, small)], pa.binary())
+    """Vectors as binaries, with one byte a count where that suffices, else two or four."""
+    top = vectors.max(axis=1, initial=0)
+    kinds = np.where(top < 1 << 8, "u1", np.where(top < 1 << 16, "<u2", "<u4"))
+    return pa.array([v.astype(k).tobytes() for v, k in zip(vectors, kinds)], pa.binary())
 
 
 def _unpacked(column: list[bytes]) -> np.ndarray:
-    if all(len(b) == 2 * GROUPS for b in column):
-        return np.frombuffer(b"".join(column), dtype="<u2").reshape(-1, GROUPS)
-    return np.array([np.frombuffer(b, dtype="<u2" if len(b) == 2 * GROUPS else "<u4") for b in column], dtype=np.uint32)
+    if all(len(b) == GROUPS for b in column):
+        return np.frombuffer(b"".join(column), dtype="u1").reshape(-1, GROUPS)
+    return np.array([np.frombuffer(b, dtype=_WIDTHS[len(b)]) for b in column], dtype=np.uint32)
+
+
+def _coarse(vectors: np.ndarray) -> np.ndarray:
+    """The counts of each group of groups."""
+    out = vectors.reshape(len(vectors), COARSE, -1).sum(axis=2, dtype=np.uint32)
+    return out.astype(np.uint16) if out.max(initial=0) < 1 << 16 else out
 
 
 def _bounded(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -136,8 +154,9 @@ class RTree:
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
         self.order = np.argsort(sizes, kind="stable")
         self.points, self.sizes = points[self.order], sizes[self.order]
-        self.levels = []  # from the leaves up: largest coordinates, smallest and largest sum of each node
-        high, low, top = self.points, self.sizes, self.sizes
+        self.coarse = _coarse(self.points)
+        self.levels = []  # from the leaves up: largest coarse coordinates, smallest and largest sum of each node
+        high, low, top = self.coarse, self.sizes, self.sizes
         while True:
             cut = np.arange(0, len(high), LEAF)
             high, low, top = np.maximum.reduceat(high, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(top, cut)
@@ -161,28 +180,51 @@ class RTree:
             nodes = below
         return nodes
 
-    def pairs(self, percent: int = PERCENT, group: np.ndarray | None = None, side: np.ndarray | None = None):
+    def pairs(self, percent: int = PERCENT, group: np.ndarray | None = None, side: np.ndarray | None = None,
+              best: int | None = None):
         """Pairs of entries (as given) whose bound allows a link, in different ``group`` and,
-        if ``side`` is given, on different sides."""
+        if ``side`` is given, on different sides.
+
+        Each pair once; with ``best``, for each entry the so many partners with
+        the highest bound on the similarity.
+        """
         group = None if group is None else group[self.order]
         side = None if side is None else side[self.order]
         for at in range(0, len(self.points), LEAF):
             own = np.arange(at, min(at + LEAF, len(self.points)))
             other = self.leaves(self.levels[0][0][at // LEAF], self.sizes[own[0]], self.sizes[own[-1]], percent)
-            other = other[other >= at]
+            if best is None:
+                other = other[other >= at]
+            found_a, found_b, found_s = [], [], []
             for part in (other[i:i + 512] for i in range(0, len(other), 512)):
                 sizes_a, sizes_b = self.sizes[own][:, None], self.sizes[part][None, :]
-                near = (part[None, :] > own[:, None]) & (100 * sizes_a >= percent * sizes_b)
+                near = (100 * sizes_a >= percent * sizes_b) & (100 * sizes_b >= percent * sizes_a)
+                near &= part[None, :] > own[:, None] if best is None else part[None, :] != own[:, None]
                 if group is not None:
                     near &= group[own][:, None] != group[part][None, :]
                 if side is not None:
                     near &= side[own][:, None] != side[part][None, :]
                 i, j = np.nonzero(near)
-                for cut in (slice(k, k + 16_384) for k in range(0, len(i), 16_384)):
-                    a, b = own[i[cut]], part[j[cut]]
-                    ok = allowed(_bounded(self.points[a], self.points[b]), self.sizes[a], self.sizes[b], percent)
-                    if ok.any():
-                        yield self.order[a[ok]], self.order[b[ok]]
+                a, b = own[i], part[j]
+                ok = allowed(_bounded(self.coarse[a], self.coarse[b]), self.sizes[a], self.sizes[b], percent)
+                a, b = a[ok], b[ok]
+                bound = _bounded(self.points[a], self.points[b])
+                sizes = self.sizes[a] + self.sizes[b]
+                ok = allowed(bound, sizes, 0, percent)
+                found_a.append(a[ok])
+                found_b.append(b[ok])
+                found_s.append(bound[ok] / (sizes[ok] - bound[ok]))
+            if not found_a:
+                continue
+            a, b, s = np.concatenate(found_a), np.concatenate(found_b), np.concatenate(found_s)
+            if best is not None and len(a):
+                by = np.lexsort((b, -s, a))
+                a, b = a[by], b[by]
+                first = np.searchsorted(a, a)  # a is in order: the first of each entry
+                top = np.arange(len(a)) - first < best
+                a, b = a[top], b[top]
+            if len(a):
+                yield self.order[a], self.order[b]
 
 
 def _gram_order(docs: DataFrame, sample_docs: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,8 +251,15 @@ def _gram_order(docs: DataFrame, sample_docs: int) -> tuple[np.ndarray, np.ndarr
 SETS = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("n", T.LongType(), False),
     T.StructField("sig1", T.LongType(), False), T.StructField("sig2", T.LongType(), False),
-    T.StructField("prefix", T.ArrayType(T.LongType(), False), False), T.StructField("vector", T.BinaryType(), False),
+    T.StructField("prefix", T.ArrayType(T.LongType(), False), False),
+    T.StructField("hot", T.ArrayType(T.LongType(), False), False), T.StructField("vector", T.BinaryType(), False),
 ])
+_LONGS = pa.list_(pa.field("element", pa.int64(), False))
+
+
+def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Ragged rows of 64-bit values as an array of lists."""
+    return pa.LargeListArray.from_arrays(pa.array(starts_of(sizes)), pa.array(values.view(np.int64))).cast(_LONGS)
 
 
 def _described(docs: DataFrame, order, percent: int) -> DataFrame:
@@ -224,48 +273,89 @@ def _described(docs: DataFrame, order, percent: int) -> DataFrame:
                 grams, sizes = gram_sets(utf8(part.column(1), lower=True))
                 sig1, sig2 = signatures(grams, sizes)
                 vectors = _packed(count_vectors(grams, sizes))
-                text = np.repeat(np.arange(len(sizes)), sizes)
+                text, seen = np.repeat(np.arange(len(sizes)), sizes), np.zeros(len(grams), dtype=np.int64)
                 if len(frequent):
                     at = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
                     seen = np.where(frequent[at] == grams, times[at], 0)
                     # within a text ascending grams stay so, behind those that are rarer
                     by = np.argsort(text * (int(times.max()) + 1) + seen, kind="stable")
-                    grams = grams[by]
+                    grams, seen = grams[by], seen[by]
                 most = prefix_length(sizes, percent)
                 first = np.arange(len(grams)) - np.repeat(starts_of(sizes)[:-1], sizes) < np.repeat(most, sizes)
-                lists = pa.LargeListArray.from_arrays(
-                    pa.array(starts_of(most)), pa.array(grams[first].view(np.int64))
-                ).cast(pa.list_(pa.field("element", pa.int64(), False)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes), pa.array(sig1), pa.array(sig2), lists, vectors], names=SETS.names)
+                rare, hot = first & (seen < HOT), first & (seen >= HOT)
+                count = lambda which: np.bincount(text[which], minlength=len(sizes))  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), pa.array(sizes), pa.array(sig1), pa.array(sig2),
+                    _lists(grams[rare], count(rare)), _lists(grams[hot], count(hot)), vectors], names=SETS.names)
 
     return docs.mapInArrow(run, SETS)
 
 
-def _bounded_pairs(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of nodes whose count vectors allow a link."""
-    both = pairs.join(points.select(F.col(ROW).alias("a"), F.col("vector").alias("va"), F.col("n").alias("na")), "a").join(
-        points.select(F.col(ROW).alias("b"), F.col("vector").alias("vb"), F.col("n").alias("nb")), "b")
+def _different(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs, in order."""
+    by = np.lexsort((b, a))
+    a, b = a[by], b[by]
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
 
-    def run(batches):
-        for batch in batches:
-            for i in range(0, batch.num_rows, 2048):
-                part = batch.slice(i, 2048)
-                col = lambda n: part.column(part.schema.get_field_index(n))
-                bound = _bounded(_unpacked(col("va").to_pylist()), _unpacked(col("vb").to_pylist()))
-                ok = pa.array(allowed(bound, col("na").to_numpy(), col("nb").to_numpy(), percent))
-                yield pa.RecordBatch.from_arrays([col("a").filter(ok), col("b").filter(ok)], names=["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+def _bucket(column: str) -> F.Column:
+    return F.pmod(F.xxhash64(column), F.lit(ID_BUCKETS))
+
+
+def _without(rows: DataFrame, goes: DataFrame, key: str) -> DataFrame:
+    """``rows`` without those whose ``key`` is in the written table ``goes``.
+
+    The buckets of these keys, at most ``ID_BUCKETS`` of them, are broadcast:
+    rows in no such bucket stay without a shuffle.
+    """
+    bucket = free_name(rows, "__bucket")
+    buckets = F.broadcast(goes.select(_bucket(key).alias(bucket)).distinct())
+    marked, columns = rows.withColumn(bucket, _bucket(key)), [F.col(f"`{c}`") for c in rows.columns]
+    sure = marked.join(buckets, bucket, "left_anti").select(*columns)
+    unsure = marked.join(buckets, bucket, "left_semi").join(goes.select(key), key, "left_anti").select(*columns)
+    return sure.unionByName(unsure)
+
+
+def _meetings(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``hub, __row``: each node with the smallest node of each gram that it shares with others.
+
+    Rows that repeat another's set are left out.  Rare grams stream by in
+    order, one row in memory.  A hot gram's hub is a minimum by
+    gram, joined back, and Spark splits that join.
+    """
+    repeated = written(sets.where("n > 0").select(ROW).join(nodes.select(ROW), ROW, "left_anti"), "join-repeated")
+    first = _without(sets.select(ROW, "prefix", "hot"), repeated, ROW)
+    rare = first.select(F.explode("prefix").alias("gram"), ROW).repartition("gram").sortWithinPartitions("gram", ROW)
+
+    def stream(batches):
+        last, hub = None, None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            gram, row = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            new = np.concatenate(([gram[0] != last if last is not None else True], gram[1:] != gram[:-1]))
+            at = np.maximum.accumulate(np.where(new, np.arange(len(gram)), -1))
+            hubs = np.where(at >= 0, row[np.maximum(at, 0)], hub if hub is not None else -1)
+            last, hub = gram[-1], hubs[-1]
+            a, b = _different(hubs[~new], row[~new])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["hub", ROW])
+
+    often = first.select(F.explode("hot").alias("gram"), ROW)
+    hubs = often.groupBy("gram").agg(F.min(ROW).alias("hub"), F.max(ROW).alias("top")).where("hub < top")
+    met = rare.mapInArrow(stream, f"hub long, {ROW} long").unionByName(
+        often.join(hubs, "gram").where(F.col(ROW) != F.col("hub")).select("hub", ROW)).distinct()
+    met = written(met, "join-met")
+    return met.unionByName(met.select("hub", F.col("hub").alias(ROW)).distinct())
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs whose sets link; the sets are made anew from the texts of both nodes."""
     ends = written(pairs.select(F.col("a").alias(ROW)).unionByName(pairs.select(F.col("b").alias(ROW))).distinct(), "join-ends")
     wanted = ends.join(nodes.select(ROW, "first_id", "sig1", "sig2"), ROW)
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_BUCKETS))
-    buckets = wanted.select(bucket("first_id").alias("bucket")).distinct()  # at most ID_BUCKETS rows
-    near = docs.withColumn("bucket", bucket("id")).join(F.broadcast(buckets), "bucket", "left_semi").drop("bucket")
+    buckets = wanted.select(_bucket("first_id").alias("bucket")).distinct()  # at most ID_BUCKETS rows
+    near = docs.withColumn("bucket", _bucket("id")).join(F.broadcast(buckets), "bucket", "left_semi").drop("bucket")
     texts = near.join(wanted, near["id"].eqNullSafe(wanted["first_id"])).select(ROW, "sig1", "sig2", "text")
 
     def sets(batches):
@@ -274,9 +364,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int)
                 grams, sizes = gram_sets(utf8(part.column(3), lower=True))
                 one, two = signatures(grams, sizes)  # rows may share an id with other texts
                 same = (one == part.column(1).to_numpy()) & (two == part.column(2).to_numpy())
-                lists = pa.LargeListArray.from_arrays(pa.array(starts_of(sizes)), pa.array(grams.view(np.int64))).cast(
-                    pa.list_(pa.field("element", pa.int64(), False)))
-                kept = pa.RecordBatch.from_arrays([part.column(0), lists], names=[ROW, "grams"])
+                kept = pa.RecordBatch.from_arrays([part.column(0), _lists(grams, sizes)], names=[ROW, "grams"])
                 yield kept.filter(pa.array(same))
 
     schema = T.StructType([T.StructField(ROW, T.LongType()), T.StructField("grams", T.ArrayType(T.LongType(), False), False)])
@@ -301,23 +389,32 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int)
     return both.mapInArrow(check, "a long, b long")
 
 
-def _tree_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs in the same cell but different components whose bound allows a link.
+def _tree_pairs(members: DataFrame, nodes: DataFrame, vectors: DataFrame, percent: int, block: int, best: int | None) -> DataFrame:
+    """``hub, a, b``: pairs in the same tree but different components whose bound allows a link.
 
-    ``members``: ``gram, s, t, mine, node, root, n, vector``, a cell's block
-    pair ``s, t`` together; within ``s = t`` all pairs are looked at, else
-    those between the two blocks.  Blocks stream by in order; one is held.
+    ``members``: ``hub, __row, root``.  Trees of one component only are left
+    out.  A tree of more than ``block`` nodes is dealt out as pairs of blocks,
+    within ``s = t`` all pairs, else those between the two blocks.  Blocks
+    stream by in order; one is held.
     """
-    dealt = members.repartition("gram", "s", "t").sortWithinPartitions("gram", "s", "t")
+    trees = members.groupBy("hub").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi")
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    rows = members.join(trees.select("hub", "size"), "hub").withColumn(
+        "mine", F.pmod(F.xxhash64(ROW), blocks).cast("int")
+    ).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).join(nodes.select(ROW, "n"), ROW).join(
+        vectors, ROW
+    ).select(
+        "hub", F.least("mine", "other").alias("s"), F.greatest("mine", "other").alias("t"), "mine",
+        F.col(ROW).alias("node"), "root", "n", "vector",
+    )
+    dealt = rows.repartition("hub", "s", "t").sortWithinPartitions("hub", "s", "t")
 
-    def of(block):
-        gram, s, t, mine, node, root, n, vector = block
-        tree = RTree(_unpacked(vector), np.array(n))
-        sides = np.array(mine) if s != t else None
-        node = np.array(node)
-        for a, b in tree.pairs(percent, np.array(root), sides):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.maximum(node[a], node[b])), pa.array(np.minimum(node[a], node[b]))], names=["a", "b"])
+    def of(hub, s, t, mine, node, root, n, vector):
+        tree, node = RTree(_unpacked(vector), np.array(n)), np.array(node)
+        for a, b in tree.pairs(percent, np.array(root), np.array(mine) if s != t else None, best):
+            x, y = _different(np.maximum(node[a], node[b]), np.minimum(node[a], node[b]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), hub)), pa.array(x), pa.array(y)], names=["hub", "a", "b"])
 
     def run(batches):
         held, key = None, None
@@ -330,14 +427,14 @@ def _tree_pairs(members: DataFrame, percent: int) -> DataFrame:
                     continue
                 if keys[lo] != key:
                     if held is not None:
-                        yield from of((*key, *held))
+                        yield from of(*key, *held)
                     key, held = keys[lo], [[] for _ in columns]
                 for h, c in zip(held, columns):
                     h.extend(c[lo:hi])
         if held is not None:
-            yield from of((*key, *held))
+            yield from of(*key, *held)
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "hub long, a long, b long")
 
 
 def join_sets(
@@ -356,44 +453,30 @@ def join_sets(
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     order = _gram_order(docs, sample_docs)
-    sets = written(_described(docs, order, percent), "join-docs")
-    nodes = with_row_ids(
-        sets.where("n > 0").groupBy("n", "sig1", "sig2").agg(
-            F.min("id").alias("first_id"), F.first("prefix").alias("prefix"), F.first("vector").alias("vector")
-        ), "join-nodes",
-    )
-    grams = nodes.select(ROW, "n", F.explode("prefix").alias("gram"))
-    cells = grams.groupBy("gram").agg(
-        F.min(ROW).alias("hub"), F.max(ROW).alias("last"), F.count(F.lit(1)).alias("size")).where("hub < last").drop("last")
-    members = written(grams.join(cells, "gram").where(F.col(ROW) != F.col("hub")), "join-members")
-
-    sizes = nodes.select(F.col(ROW).alias("hub"), F.col("n").alias("hub_n"))
-    stars = members.select(F.col(ROW), "n", "hub").distinct().join(sizes, "hub").where(
-        f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)").select(F.col(ROW).alias("a"), F.col("hub").alias("b"))
-    near = written(_bounded_pairs(stars, nodes, percent), "join-stars")
-    first = written(_verified(near, nodes, docs, percent), "join-links")
-    roots = components(first)
-
-    # all pairs with a hub are done; two others of a cell are left where their components differ
-    left = members.where("size > 2").join(roots, members[ROW] == roots["node"], "left").select(
-        "gram", ROW, "n", "size", F.coalesce("root", F.col(ROW)).alias("root"))
-    open_cells = left.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("gram")
-    blocks = F.ceil(F.col("size") / block).cast("int")
-    mine = F.pmod(F.xxhash64(ROW), blocks).cast("int")
-    rows = left.join(open_cells, "gram").withColumn("mine", mine).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
-    ).join(nodes.select(ROW, "vector"), ROW).select(
-        "gram", F.least("mine", "other").alias("s"), F.greatest("mine", "other").alias("t"), "mine",
-        F.col(ROW).alias("node"), "root", "n", "vector",
-    )
-    found = written(_tree_pairs(rows, percent).distinct(), "join-trees")
-    second = _verified(found, nodes, docs, percent)
-    links = written(first.unionByName(second), "join-all-links")
+    sets = with_row_ids(_described(docs, order, percent), "join-docs")
+    nodes = written(sets.where("n > 0").groupBy("n", "sig1", "sig2").agg(
+        F.min("id").alias("first_id"), F.min(ROW).alias(ROW)), "join-nodes")
+    members = written(_meetings(sets, nodes), "join-members")
+    vectors = sets.select(ROW, "vector")
+    links = tried = None
+    for best in (*[BEST] * BEST_ROUNDS, None):
+        if links is None:
+            rooted = members.withColumn("root", F.col(ROW))
+        else:
+            roots = components(links)
+            rooted = members.join(roots, members[ROW] == roots["node"], "left").select(
+                "hub", ROW, F.coalesce("root", F.col(ROW)).alias("root"))
+        met = written(_tree_pairs(rooted, nodes, vectors, percent, block, best), "join-trees")
+        pairs = met.select("a", "b").distinct()
+        pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "join-pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        more = _verified(pairs, nodes, docs, percent)
+        links = written(more if links is None else links.unionByName(more), "join-links")
+        if best is not None:  # who has no partner in a tree now has none later
+            members = written(met.select("hub", F.col("a").alias(ROW)).unionByName(
+                met.select("hub", F.col("b").alias(ROW))).distinct(), "join-members")
     documents = sets.select("id", "n", "sig1", "sig2").join(
-        nodes.select("sig1", "sig2", F.col("n").alias("node_n"), F.col(ROW).alias("node")).where("node_n > 0").select(
-            "sig1", "sig2", "node", F.col("node_n")),
-        ["sig1", "sig2"], "left",
-    ).select("id", "n", F.when(F.col("n") == F.col("node_n"), F.col("node")).alias("node"))
+        nodes.select("n", "sig1", "sig2", F.col(ROW).alias("node")), ["n", "sig1", "sig2"], "left").select("id", "n", "node")
     return documents, nodes.select(ROW, "first_id", "n"), links
 
 
@@ -420,5 +503,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     several = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("component_id")
     members = groups.join(several, "component_id").join(rows.select(row, F.col(id_col).alias("__id")), row)
     stays = members.groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull(), "__id", row))[row].alias("stays"))
-    goes = members.join(stays, "component_id").where(F.col(row) != F.col("stays")).select(row)
-    return rows.join(goes, row, "left_anti").drop(row)
+    goes = written(members.join(stays, "component_id").where(F.col(row) != F.col("stays")).select(row), "join-goes")
+    return _without(rows, goes, row).drop(row)
