@@ -23,12 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskfold.llm.ngram_join import gram_sets
 from riskfold.llm.text import Numbers, annotate, starts_of, utf8, words_of
 
 #: The field is fitted on at most so many documents of each label, of at most
 #: so many characters each.  Scoring takes whole texts of any length.
-SAMPLE_DOCS = 1500
-SAMPLE_CHARS = 10_000
+SAMPLE_DOCS = 1000
+SAMPLE_CHARS = 8_000
 #: Units of a word: itself, and its first characters. Units with weights of
 #: their own are in so many sample documents at least, and so many at most.
 PREFIXES = (4, 5, 6)
@@ -176,6 +177,22 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-
     return w
 
 
+def without_copies(texts: list[bytes], sketch: int = 8) -> list[int]:
+    """Positions of texts that share none of their ``sketch`` smallest word 5-grams with an earlier one.
+
+    A text with many copies would make each of its words look like a mark of
+    its label.
+    """
+    grams, sizes = gram_sets(texts)
+    starts, seen, kept = starts_of(sizes), set(), []
+    for i, (a, b) in enumerate(zip(starts[:-1], starts[1:])):
+        low = grams[a:min(b, a + sketch)].tolist()
+        if seen.isdisjoint(low):
+            kept.append(i)
+        seen.update(low)
+    return kept
+
+
 def numbered(flat: list[bytes]) -> tuple[np.ndarray, Numbers]:
     """The tokens as numbers of their different words, and these words."""
     numbers = Numbers()
@@ -184,6 +201,8 @@ def numbered(flat: list[bytes]) -> tuple[np.ndarray, Numbers]:
 
 def fit_field(texts: list[bytes], toxic: np.ndarray, prior: float, rounds: int = ROUNDS) -> Field:
     """The field of a labelled sample; ``prior``: share of toxic documents where they come from."""
+    kept = without_copies(texts)
+    texts, toxic = [texts[i] for i in kept], toxic[kept]
     flat, counts = words_of(texts)
     words, different = numbered(flat)
     text = np.repeat(np.arange(len(texts)), counts)
