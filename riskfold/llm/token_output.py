@@ -11,6 +11,7 @@ place in the whole corpus needs one total a file.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from itertools import islice
 
@@ -38,6 +39,23 @@ FILE = T.StructType([
     T.StructField("ids", T.ArrayType(T.IntegerType(), False), False),
 ])
 
+#: Kinds of words for the encoder besides the number of their parts.
+_ALONE, _MARKED = -1, 0
+
+
+def _parts(word: str) -> int:
+    """1 or 2 for letters and letters with a mark after them, which stay so when normalised; else a kind."""
+    if word.isalpha():
+        n = 1
+    elif word[-1] in ".,;:!?" and word[:-1].isalpha():
+        n = 2
+    else:
+        return _ALONE if "0" in word else _MARKED
+    if word.isascii() or (unicodedata.is_normalized("NFC", word) and word.lower()[: None if n == 1 else -1].isalpha()):
+        return n
+    return _MARKED
+
+
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -58,6 +76,9 @@ class WordEncoder:
         self.ids = np.zeros(0, dtype=np.int32)
         self.starts = np.zeros(1, dtype=np.int64)
         (self._mark,) = self.tokenizer.encode("0", add_special_tokens=False).ids
+        vocabulary = self.tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     @classmethod
     def of(cls, path: str) -> "WordEncoder":
@@ -69,33 +90,47 @@ class WordEncoder:
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and the number of each word.
 
-        Words go in one call with the word ``0`` after each, whose single id
-        marks the ends; words that hold this digit are encoded one by one.
+        Words of letters alone, or of letters and one mark after them, go in
+        one call: the tokenizer makes one or two parts of them, and the last id
+        of each part is one that ends a part.  All other words go with the
+        word ``0`` after each, whose single id marks the ends, or one by one
+        if they hold this digit.
         """
         plain = [w.decode() for w in words]
-        alone = np.array(["0" in w for w in plain], dtype=bool)
-        mark = self._mark
-        ids, counts = [], np.zeros(len(plain), dtype=np.int64)
-        joined = np.flatnonzero(~alone)
-        for some in np.array_split(joined, max(1, len(joined) // 20_000)) if len(joined) else []:
-            text = "".join(f"{plain[i]}\n0\n" for i in some)
-            got = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int32)
-            ends = np.flatnonzero(got == mark)
-            if len(ends) != len(some):
-                raise ValueError("the tokenizer does not give each word 0 its own id")
-            counts[some] = np.diff(ends, prepend=-1) - 1
-            ids.append(got[got != mark])
-        some = np.flatnonzero(alone)
-        each = [e.ids for e in self.tokenizer.encode_batch_fast([plain[i] for i in some], add_special_tokens=False)]
-        counts[some] = [len(e) for e in each]
-        flat = np.concatenate([*ids, np.array([x for e in each for x in e], dtype=np.int32)]).astype(np.int32)
+        kinds = np.fromiter(map(_parts, plain), dtype=np.int64, count=len(plain))
+        order = np.argsort(kinds, kind="stable")
+        cuts = np.searchsorted(kinds[order], [_ALONE, _MARKED, 1, 3])
+        texts = [[plain[i] for i in order[a:b]] for a, b in zip(cuts, cuts[1:])]
+        got = [self._alone(texts[0]), self._marked(texts[1]), self._parted(texts[2], kinds[order[cuts[2]:cuts[3]]])]
+        flat, n = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
         # back to the words' own order
-        starts = starts_of(counts[np.concatenate((joined, some))])[:-1]
-        begin = np.empty(len(plain), dtype=np.int64)
-        begin[np.concatenate((joined, some))] = starts
+        counts, begin = np.empty(len(plain), dtype=np.int64), np.empty(len(plain), dtype=np.int64)
+        counts[order], begin[order] = n, starts_of(n)[:-1]
         at = np.repeat(begin - starts_of(counts)[:-1], counts) + np.arange(counts.sum())
         return flat[at], counts
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int32)
+
+    def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        each = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([x for e in each for x in e], dtype=np.int32), np.array([len(e) for e in each], dtype=np.int64)
+
+    def _marked(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = self._ids("".join(f"{w}\n0\n" for w in words))
+        ends = np.flatnonzero(got == self._mark)
+        if len(ends) != len(words):
+            raise ValueError("the tokenizer does not give each word 0 its own id")
+        return got[got != self._mark], np.diff(ends, prepend=-1) - 1
+
+    def _parted(self, words: list[str], parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        got = self._ids("\n".join(words))
+        ends = np.flatnonzero(self._ends[got])
+        if len(ends) != parts.sum():
+            raise ValueError("the tokenizer does not make one part of letters and one of marks")
+        last = ends[np.cumsum(parts) - 1] if len(parts) else ends
+        return got, np.diff(last, prepend=-1)
+
     def __call__(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, each text's with ``end_id``, and the number of each text."""
         flat, counts = words_of(texts)
