@@ -48,6 +48,8 @@ LEAF = 16
 #: Rounds in which each node is tried with its best partners, and how many.
 BEST_ROUNDS = 2
 BEST = 3
+#: Text bytes that a task turns into grams and vectors at a time.
+PIECE_BYTES = 4 << 20
 #: Buckets of document ids that are broadcast, to leave out most texts before a shuffle.
 ID_BUCKETS = 1 << 18
 
@@ -237,7 +239,7 @@ def _gram_order(docs: DataFrame, sample_docs: int) -> tuple[np.ndarray, np.ndarr
 
     def run(batches):
         for batch in batches:
-            for part in pieces(batch, 0):
+            for part in pieces(batch, 0, PIECE_BYTES):
                 grams, _ = gram_sets(utf8(part.column(0), lower=True))
                 yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64))], names=["gram"])
 
@@ -269,7 +271,7 @@ def _described(docs: DataFrame, order, percent: int) -> DataFrame:
     def run(batches):
         frequent, times = held.value
         for batch in batches:
-            for part in pieces(batch, 1):
+            for part in pieces(batch, 1, PIECE_BYTES):
                 grams, sizes = gram_sets(utf8(part.column(1), lower=True))
                 sig1, sig2 = signatures(grams, sizes)
                 vectors = _packed(count_vectors(grams, sizes))
@@ -360,7 +362,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int)
 
     def sets(batches):
         for batch in batches:
-            for part in pieces(batch, 3):
+            for part in pieces(batch, 3, PIECE_BYTES):
                 grams, sizes = gram_sets(utf8(part.column(3), lower=True))
                 one, two = signatures(grams, sizes)  # rows may share an id with other texts
                 same = (one == part.column(1).to_numpy()) & (two == part.column(2).to_numpy())
