@@ -5,22 +5,25 @@ are over the whole training corpus:
 
 1. Word counts, a shuffle by word.  The words of at least some count, at most
    ``KNOWN_WORDS``, get numbers; each text becomes a list of numbers, with its
-   rarer words beside it.
-2. Exchange clustering: the bigrams of the ``EXCHANGE_WORDS`` most frequent
-   words are counted, and words move one by one to the class that gains the
-   most likelihood, until none moves or ``SWEEPS`` have passed.
-3. All other numbered words join the class under which their contexts (the
-   classes before and after them) are likeliest; one pass counts these.
-4. Transitions between classes are counted and smoothed.  Rare words are a
-   class of their own, whose emissions come from their counts by a join; the
-   end of a text is a class, and the context of a text's first word.
+   other words beside it.  The numbers only save joins: every word counted
+   twice or more, numbered or not, gets a class of its choice.  The classes and
+   contexts of those without a number are a Spark table, a row a word.
+2. The start, by exchange clustering on the driver: the bigrams of the
+   ``EXCHANGE_WORDS`` most frequent words are counted, and words move one by one
+   to the class that gains the most likelihood.
+3. All other words join the class under which their contexts (the classes
+   before and after them) are likeliest.
+4. Transitions between classes are counted and smoothed.  Words seen once, and
+   unseen ones, are a class of their own, whose emissions come from their
+   counts by a join; the end of a text is a class, and the context of a text's
+   first word.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ from riskfold.llm.counts import summed
 from riskfold.llm.tables import ROW, with_row_ids, written
 from riskfold.llm.text import pieces, starts_of, sums_of, utf8, words_of
 
-#: The model's size: classes, words that the exchange moves, words with a class of their choice.
+#: Classes, words that start the clustering, words with a number (all others are joined).
 CLASSES = 32
 EXCHANGE_WORDS = 1024
 KNOWN_WORDS = 131_072
@@ -102,7 +105,8 @@ def known_words(vocabulary: DataFrame, most: int) -> tuple[list[str], np.ndarray
 ENCODED = T.StructType([
     T.StructField("ids", T.ArrayType(T.IntegerType(), False), False),
     T.StructField("rare", T.ArrayType(T.StructType([
-        T.StructField("word", T.StringType(), False), T.StructField("times", T.IntegerType(), False),
+        T.StructField("word", T.StringType(), False), T.StructField("at", T.IntegerType(), False),
+        T.StructField("left", T.IntegerType(), False), T.StructField("right", T.IntegerType(), False),
     ]), False), False),
 ])
 
@@ -111,13 +115,14 @@ def encode(docs: DataFrame, text_col: str, words: list[str]) -> DataFrame:
     """``docs`` with ``text_col`` replaced by ``ids`` and ``rare``.
 
     A number for each word of ``words``, then ``len(words)`` for all others and
-    ``len(words) + 1`` at the end of each text.
+    ``len(words) + 1`` at the end of each text.  ``rare`` has these others in
+    order, with their place and the numbers beside them.
     """
     held = docs.sparkSession.sparkContext.broadcast(words)  # KNOWN_WORDS words at most
     at = docs.columns.index(text_col)
     keep = [i for i in range(len(docs.columns)) if i != at]
     schema = T.StructType([*[docs.schema.fields[i] for i in keep], *ENCODED.fields])
-    rare_type = pa.struct([pa.field("word", pa.string(), False), pa.field("times", pa.int32(), False)])
+    rare_type = pa.struct([pa.field("word", pa.string(), False), *[pa.field(n, pa.int32(), False) for n in ("at", "left", "right")]])
 
     def run(batches):
         numbers = {w.encode(): i for i, w in enumerate(held.value)}
@@ -127,17 +132,18 @@ def encode(docs: DataFrame, text_col: str, words: list[str]) -> DataFrame:
                 flat, counts = words_of(utf8(part.column(at), lower=True))
                 ids = np.fromiter(map(numbers.get, flat, repeat(k)), dtype=np.int32, count=len(flat))
                 starts = starts_of(counts)
+                with_end = np.insert(ids, starts[1:], k + 1)
                 others = np.flatnonzero(ids == k)
-                cuts = np.searchsorted(others, starts).tolist()
-                rare = [Counter([flat[i] for i in others[a:b]]) for a, b in zip(cuts, cuts[1:])]
+                text = np.searchsorted(starts, others, side="right") - 1
+                places = others + text  # in with_end: one end a text before
                 pairs = pa.StructArray.from_arrays([
-                    pa.array(list(chain.from_iterable(rare)), pa.binary()).cast(pa.string()),
-                    pa.array([n for r in rare for n in r.values()], pa.int32()),
+                    pa.array([flat[i] for i in others.tolist()], pa.binary()).cast(pa.string()),
+                    pa.array((others - starts[text]).astype(np.int32)),
+                    pa.array(_before(with_end, k + 1)[places].astype(np.int32)), pa.array(with_end[places + 1].astype(np.int32)),
                 ], fields=list(rare_type))
-                ends = starts_of(np.array([len(r) for r in rare]))
+                ends = np.searchsorted(others, starts)
                 rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs).cast(
                     pa.list_(pa.field("element", rare_type, False)))
-                with_end = np.insert(ids, starts[1:], k + 1)
                 lists = pa.ListArray.from_arrays(pa.array(starts_of(counts + 1), pa.int32()), pa.array(with_end, pa.int32())).cast(
                     pa.list_(pa.field("element", pa.int32(), False)))
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in keep], lists, rows], names=schema.names)
@@ -238,6 +244,7 @@ class ClassModel:
 
     classes: np.ndarray
     moves: np.ndarray  # class before x class
+    sizes: np.ndarray  # tokens of each class
     emits: np.ndarray  # of each number; 0 for other words, whose emissions are joined
     unigram: np.ndarray  # of each number, add-one; for other words without their count
     tokens: int
@@ -249,9 +256,224 @@ class ClassModel:
         return int(self.tokens > 0)
 
 
+def best_classes(table: np.ndarray, sizes: np.ndarray, around: np.ndarray, times: np.ndarray, of: np.ndarray, classes: int) -> np.ndarray:
+    """The class of largest gain for each word; a word keeps its class ``of`` unless another gains more.
+
+    ``around`` has a row a word: counts of the class before it, of the class
+    after it, and of the word after itself.  ``table`` and ``sizes`` hold all
+    words; a word is taken out of its own class, if that is one of ``classes``.
+    """
+    out = np.array(of)
+    for lo in range(0, len(out), 2048):
+        part = slice(lo, lo + 2048)
+        out[part] = _best(table.astype(float), sizes.astype(float), around[part].astype(float), times[part].astype(float), out[part], classes)
+    return out
+
+
+def _best(table, sizes, around, times, of, classes: int) -> np.ndarray:
+    width, words = len(table), np.arange(len(around))
+    ahead, after, own = around[:, :width].copy(), around[:, width:2 * width].copy(), around[:, 2 * width]
+    ahead[words, of] -= own  # contexts without the word itself, which moves along
+    after[words, of] -= own
+    leaves = of < classes
+    mine = np.where(leaves, of, 0)
+
+    def added(contexts, others, cells):
+        """Gain in the cells of each class (a row) with the contexts' classes, but its own."""
+        gain = np.zeros((len(contexts), classes))
+        i, d = np.nonzero(contexts)
+        if len(i):
+            n, at = contexts[i, d], cells[:classes, d].T
+            more = _h(at + n[:, None]) - _h(at)
+            r = np.flatnonzero(d < classes)
+            more[r, d[r]] = 0
+            more[leaves[i] & (d == mine[i])] = 0
+            r = np.flatnonzero(leaves[i] & (d != mine[i]))
+            at = cells[mine[i[r]], d[r]]  # holds the word
+            more[r, mine[i[r]]] = _h(at) - _h(at - n[r])
+            first = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1])))
+            gain[i[first]] = np.add.reduceat(more, first)
+        at = cells[:classes, mine].T - others[:, :classes]  # beside the class that the word leaves
+        more = _h(at + contexts[words, mine][:, None]) - _h(at)
+        more[words, mine] = 0
+        return gain + np.where(leaves[:, None], more, 0)
+
+    corner, beside, size = np.diagonal(table)[:classes], ahead[:, :classes] + after[:, :classes] + own[:, None], sizes[:classes]
+    rest = _h(corner + beside) - _h(corner) - 2 * (_h(size + times[:, None]) - _h(size))
+    at, n = table[mine, mine], beside[words, mine]
+    back = _h(at) - _h(at - n) - 2 * (_h(size[mine]) - _h(size[mine] - times))
+    rest[words, mine] = np.where(leaves, back, rest[words, mine])
+    gain = added(after, ahead, table) + added(ahead, after, table.T) + rest
+    best = np.argmax(gain, axis=1)
+    return np.where(leaves & (gain[words, best] <= gain[words, mine] + 1e-9), of, best)
+
+
+def joined_words(encoded: DataFrame, tail: DataFrame, start: int) -> tuple[DataFrame, DataFrame]:
+    """Contexts of the words of ``tail`` (``word, n``), which have no number.
+
+    Words: ``word, n, cls`` (``start``) ``, lefts, rights``, the numbers beside
+    each occurrence.  A word's lists have ``n`` entries, and all words with
+    more occurrences than some count have numbers.  Bigrams: ``a, b, times``
+    of two words of ``tail``.
+    """
+    seen = encoded.select(F.explode("rare").alias("r")).select("r.word", "r.left", "r.right")
+    words = written(tail.select("word", "n").join(seen, "word").groupBy("word", "n").agg(
+        F.collect_list("left").alias("lefts"), F.collect_list("right").alias("rights"),
+    ).select("word", "n", F.lit(start).cast("int").alias("cls"), "lefts", "rights"), "lm-words-around")
+
+    def beside(batches):
+        for batch in batches:
+            lists = batch.column(0)
+            offsets = np.asarray(lists.offsets)
+            flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+            word, at = flat.field(0), np.asarray(flat.field(1))
+            text = np.repeat(np.arange(len(lists)), np.diff(offsets))
+            i = np.flatnonzero((at[1:] == at[:-1] + 1) & (text[1:] == text[:-1]))
+            yield pa.RecordBatch.from_arrays([word.take(pa.array(i)), word.take(pa.array(i + 1))], names=["a", "b"])
+
+    both = encoded.select("rare").mapInArrow(beside, "a string, b string").groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
+    for side in ("a", "b"):
+        both = both.join(tail.select(F.col("word").alias(side)), side, "left_semi")
+    return words, written(both.select("a", "b", "times"), "lm-word-pairs")
+
+
+@dataclass
+class State:
+    """Classes of all words, and the counts under them."""
+
+    classes: np.ndarray  # of the numbers
+    words: DataFrame | None  # of the words without a number, with their contexts
+    pairs: DataFrame | None  # bigrams of these, with both classes
+    around: np.ndarray  # of each number: classes before and after it, and itself after itself
+    moves: np.ndarray  # class before x class
+    sizes: np.ndarray
+
+    def likelihood(self) -> float:
+        return float(_h(self.moves).sum() - 2 * _h(self.sizes).sum())
+
+
+def counted(ids: DataFrame, words: DataFrame | None, bigrams: DataFrame | None, of: np.ndarray, counts: np.ndarray, tokens: int,
+            texts: int) -> State:
+    """The counts under the classes ``of`` the numbers and those of ``words``.
+
+    Bigrams with a word seen once are not counted: they are what is left of
+    each word's and each class's number of tokens.
+    """
+    k, width = len(counts), int(of[-1]) + 1
+    rare, slots = width - 2, 2 * width + 1
+    size = k * slots + width * width
+
+    def numbers():
+        def more(batch, totals):
+            values = _ids(batch)[0].astype(np.int64)
+            if not len(values):
+                return
+            left, right = _before(values, k + 1), np.concatenate((values[1:], [k + 1]))
+            here = values < k
+            at = here & (left != k)
+            np.add.at(totals, values[at] * slots + of[left[at]], 1)
+            at = here & (right != k)
+            np.add.at(totals, values[at] * slots + width + of[right[at]], 1)
+            np.add.at(totals, values[here & (left == values)] * slots + 2 * width, 1)
+            at = (values != k) & (left != k)
+            totals[k * slots:] += np.bincount(of[left[at]] * width + of[values[at]], minlength=width * width)
+
+        return more
+
+    def beside():
+        def more(batch, totals):
+            cls = batch.column(0).to_numpy().astype(np.int64)
+            for column, place in ((1, width), (2, 0)):
+                near, offsets = _ids(batch, column)
+                mine, near = np.repeat(cls, np.diff(offsets)), near.astype(np.int64)
+                at = near < k
+                np.add.at(totals, near[at] * slots + place + mine[at], 1)
+                at = near != k
+                first, second = (of[near[at]], mine[at]) if place else (mine[at], of[near[at]])
+                totals[k * slots:] += np.bincount(first * width + second, minlength=width * width)
+
+        return more
+
+    totals, sizes, pairs = summed(ids, size, numbers, "lm-around"), np.bincount(of[:k], counts, minlength=width).astype(np.int64), None
+    rare_tokens = tokens - texts - int(counts.sum())
+    if words is not None:
+        totals += summed(words.select("cls", "lefts", "rights"), size, beside, "lm-around")
+        for r in words.groupBy("cls").agg(F.sum("n").alias("n")).collect():  # a row a class
+            sizes[r["cls"]] += r["n"]
+            rare_tokens -= r["n"]
+        known = words.select("word", "cls")
+        pairs = written(bigrams.join(known.select(F.col("word").alias("a"), F.col("cls").alias("ca")), "a").join(
+            known.select(F.col("word").alias("b"), F.col("cls").alias("cb")), "b"), "lm-pair-classes")
+        for r in pairs.groupBy("ca", "cb").agg(F.sum("times").alias("n")).collect():  # a row two classes
+            totals[k * slots + r["ca"] * width + r["cb"]] += r["n"]
+    sizes[rare] += rare_tokens
+    sizes[width - 1] = texts
+    around, moves = totals[:k * slots].reshape(k, slots), totals[k * slots:].reshape(width, width)
+    for lo in (0, width):
+        around[:, lo + rare] += counts - around[:, lo:lo + width].sum(axis=1)
+    others = np.arange(width) != rare
+    moves[others, rare] += (sizes - moves.sum(axis=1))[others]
+    moves[rare] += sizes - moves.sum(axis=0)
+    return State(of, words, pairs, around, moves, sizes)
+
+
+def moved(state: State, counts: np.ndarray) -> tuple[np.ndarray, DataFrame | None]:
+    """The classes of the numbers, and the words without one, after each word has moved to its best class."""
+    k, width = len(counts), len(state.moves)
+    rare, slots, table, sizes = width - 2, 2 * width + 1, state.moves, state.sizes
+    of = np.concatenate((best_classes(table, sizes, state.around, counts, state.classes[:k], rare), state.classes[k:]))
+    if state.words is None:
+        return of, None
+    numbers = state.classes
+    held = state.words.sparkSession.sparkContext.broadcast((numbers, table, sizes))  # KNOWN_WORDS + 2 classes at most
+    pair = lambda word, slot: F.struct(F.col(word).alias("word"), slot.cast("int").alias("slot"), "times")
+    sides = F.array(pair("a", F.col("cb") + width), pair("b", F.col("ca")))
+    own = F.when(F.col("a") == F.col("b"), F.array(pair("a", F.lit(2 * width)))).otherwise(F.array())
+    beside = state.pairs.select(F.explode(F.concat(sides, own)).alias("p")).select("p.*").groupBy("word", "slot").agg(
+        F.sum("times").alias("times")).groupBy("word").agg(
+        F.collect_list("slot").alias("slots"), F.collect_list("times").alias("times"))
+
+    def run(batches):
+        of, table, sizes = held.value
+        for batch in batches:
+            m = batch.num_rows
+            if not m:
+                continue
+            n, cls = batch.column(1).to_numpy(), batch.column(2).to_numpy().astype(np.int64)
+            around = np.zeros((m, slots), dtype=np.int64)
+            for column, place in ((3, 0), (4, width)):
+                near, offsets = _ids(batch, column)
+                row, near = np.repeat(np.arange(m), np.diff(offsets)), near.astype(np.int64)
+                at = near != k
+                np.add.at(around, (row[at], place + of[near[at]]), 1)
+            at, offsets = _ids(batch, 5)
+            np.add.at(around, (np.repeat(np.arange(m), np.diff(offsets)), at), _ids(batch, 6)[0])
+            for lo in (0, width):
+                around[:, lo + rare] += n - around[:, lo:lo + width].sum(axis=1)
+            best = best_classes(table, sizes, around, n, cls, rare)
+            yield pa.RecordBatch.from_arrays([
+                *[batch.column(i) for i in (0, 1)], pa.array(best, pa.int32()), batch.column(3), batch.column(4), pa.array(cls, pa.int32()),
+            ], names=["word", "n", "cls", "lefts", "rights", "was"])
+
+    rows = state.words.select("word", "n", "cls", "lefts", "rights").join(beside, "word", "left").select(
+        "word", "n", "cls", "lefts", "rights", F.coalesce("slots", F.array().cast("array<int>")).alias("slots"),
+        F.coalesce("times", F.array().cast("array<bigint>")).alias("times"))
+    schema = "word string, n long, cls int, lefts array<int>, rights array<int>, was int"
+    return of, written(rows.mapInArrow(run, schema), "lm-words-around")
+
+
 def fit(encoded: DataFrame, counts: np.ndarray, tokens: int, types: int, texts: int, classes: int = CLASSES,
         exchange_words: int = EXCHANGE_WORDS) -> ClassModel:
-    """The model of training rows ``ids``; ``counts`` of the known words, all ``tokens`` and ``types`` with the end's."""
+    """The model of training rows ``ids``; ``counts`` of the numbered words, all ``tokens`` and ``types`` with the end's.
+
+    All words without a number are in the class of the rare ones.
+    """
+    return fit_words(encoded, counts, None, tokens, types, texts, classes, exchange_words)[0]
+
+
+def fit_words(encoded: DataFrame, counts: np.ndarray, tail: DataFrame | None, tokens: int, types: int, texts: int,
+              classes: int = CLASSES, exchange_words: int = EXCHANGE_WORDS) -> tuple[ClassModel, DataFrame | None]:
+    """The model and ``word, n, cls`` of the words of ``tail`` (``word, n``), which have no number but a class."""
     k = len(counts)
     e = min(exchange_words, k)
     ids = encoded.select("ids")
@@ -268,54 +490,33 @@ def fit(encoded: DataFrame, counts: np.ndarray, tokens: int, types: int, texts:
     table = summed(ids, (e + 2) ** 2, bigrams, "lm-bigrams").reshape(e + 2, e + 2)
     of = exchange(table, classes)
     c = int(of.max()) - 1  # exchange classes; then those of other words and of the end
-    context = np.concatenate((of[:e], np.full(k - e + 1, c), [c + 1])).astype(np.int64)
+    start = np.concatenate((of[:e], np.full(k - e + 1, c), [c + 1])).astype(np.int64)
+    words, pairs = (None, None) if tail is None else joined_words(encoded, tail, c)
+    state = settled(ids, words, pairs, start, counts, tokens, texts)
     width = c + 2
-
-    def contexts():
-        def more(batch, totals):
-            values, _ = _ids(batch)
-            seen = context[values]
-            left = _before(seen, c + 1)
-            right = np.concatenate((seen[1:], [c + 1]))
-            known = np.flatnonzero((values >= e) & (values < k))
-            at = (values[known].astype(np.int64) - e) * (2 * width)
-            np.add.at(totals, at + left[known], 1)
-            np.add.at(totals, at + width + right[known], 1)
-
-        return more
-
-    final = context
-    if k > e:
-        around = summed(ids, (k - e) * 2 * width, contexts, "lm-contexts").reshape(k - e, 2, width)
-        member = np.zeros((e + 2, width))
-        member[np.arange(e + 2), of] = 1
-        by_class = member.T @ table @ member
-        first, second = by_class.sum(axis=1), by_class.sum(axis=0)
-        for lo in range(0, k - e, 8192):
-            part = around[lo:lo + 8192].astype(float)
-            times = counts[e + lo:e + lo + 8192].astype(float)
-            gain = gains(by_class, first, second, part[:, 1], part[:, 0], np.zeros(len(part)), times, times, c)
-            final[e + lo:e + lo + len(part)] = np.argmax(gain, axis=1)
-
-    def transitions():
-        def more(batch, totals):
-            seen = final[_ids(batch)[0]]
-            totals += np.bincount(_before(seen, c + 1) * width + seen, minlength=len(totals))
-
-        return more
-
-    moves = summed(ids, width * width, transitions, "lm-moves").reshape(width, width)
-    sizes = moves.sum(axis=0)
+    sizes = state.sizes
     share = (sizes + 1) / (sizes.sum() + width)
-    moves = (moves + TRANSITION_MASS * share) / (moves.sum(axis=1, keepdims=True) + TRANSITION_MASS)
-    rare_tokens = tokens - int(counts.sum()) - texts
-    rare_types = types - k - (texts > 0)
-    return ClassModel(
-        final, np.log10(moves), np.concatenate((np.log10(counts / np.maximum(1, sizes[final[:k]])), [0.0, 0.0])),
+    moves = (state.moves + TRANSITION_MASS * share) / (state.moves.sum(axis=1, keepdims=True) + TRANSITION_MASS)
+    rare_types, rare_tokens = types - k - (texts > 0), int(sizes[c])  # no word of a choice is left in that class
+    if tail is not None:
+        rare_types -= state.words.count()
+    model = ClassModel(
+        state.classes, np.log10(moves), sizes,
+        np.concatenate((np.log10(counts / np.maximum(1, sizes[state.classes[:k]])), [0.0, 0.0])),
         np.concatenate((np.log10((counts + 1) / (tokens + types + 1)), -np.log10([tokens + types + 1.0]),
                         np.log10([(texts + 1) / (tokens + types + 1)]))),
         tokens, types, rare_tokens + RARE_MASS * (rare_types + 1),
     )
+    return model, None if tail is None else state.words.select("word", "n", "cls")
+
+
+def settled(ids: DataFrame, words: DataFrame | None, pairs: DataFrame | None, start: np.ndarray, counts: np.ndarray, tokens: int,
+            texts: int) -> State:
+    """All words in the class that their contexts under the classes ``start`` favour."""
+    state = counted(ids, words, pairs, start, counts, tokens, texts)
+    of, words = moved(state, counts)
+    of[:len(counts)] = np.where(start[:len(counts)] < start[-2], start[:len(counts)], of[:len(counts)])
+    return counted(ids, words, pairs, of, counts, tokens, texts)
 
 
 def lm_scores(
@@ -329,6 +530,8 @@ def lm_scores(
     null text is empty.  ``base_score``: add-one unigram; ``score``: the class
     model's log10 probability.  Without training rows both are the
     probabilities of a model that has seen nothing.  Rows may repeat.
+    ``known_most`` words at most have numbers in a broadcast; the others are
+    joined, with the same result.
     """
     rows = docs.select(F.col(id_col).alias("id"), (~train).alias("held_out"), F.col(text_col).alias("text"))
     vocabulary = written(count_words(rows.where("not held_out"), "text"), "lm-words")
@@ -338,16 +541,19 @@ def lm_scores(
     tokens, types, texts = sums["tokens"] or 0, sums["types"], sums["texts"] or 0
     words, counts, first_step = known_words(vocabulary, known_most)
     encoded = with_row_ids(encode(rows, "text", words), "lm-ids")
-    model = fit(encoded.where("not held_out"), counts, tokens, types, texts, classes, exchange_words)
-    k = len(words)
+    others = vocabulary.where((F.col("word") != END) & (_step(F.col("n")) < first_step))
+    tail = others.where("n > 1")
+    model, classed = fit_words(
+        encoded.where("not held_out"), counts, tail if tail.limit(1).count() else None, tokens, types, texts, classes, exchange_words)
+    k, rare = len(words), len(model.moves) - 2
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         m = held.value
         for batch in batches:
             values, offsets = _ids(batch, 3)
-            seen = m.classes[values]
-            moves = m.moves[_before(seen, len(m.moves) - 1), seen]
+            before, numbered = _before(values, k + 1), values != k
+            moves = np.where(numbered & (before != k), m.moves[m.classes[before], m.classes[values]], 0.0)  # the others' are joined
             names = ["id", "held_out", ROW, "n_tokens", "known", "rare_tokens", "base", "model"]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), batch.column(2), pa.array(np.diff(offsets)),
@@ -363,14 +569,35 @@ def lm_scores(
         T.StructField("base", T.DoubleType()), T.StructField("model", T.DoubleType()),
     ])
     scored = encoded.select("id", "held_out", ROW, "ids").mapInArrow(run, schema)
-    rare = encoded.select(ROW, F.explode("rare").alias("r")).select(ROW, "r.word", "r.times")
-    counted = rare.join(vocabulary.where((F.col("word") != END) & (_step(F.col("n")) < first_step)), "word", "left")
-    n = F.coalesce("n", F.lit(0))
-    beside = counted.groupBy(ROW).agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * F.log10(n + 1)).alias("rare_base"),
-        F.sum(F.col("times") * F.log10((n + RARE_MASS) / model.rare_total)).alias("rare_model"),
-    )
+    places = encoded.select(ROW, F.explode("rare").alias("r")).select(ROW, "r.*")
+    if classed is not None:
+        others = written(classed.unionByName(others.where("n = 1").withColumn("cls", F.lit(rare))), "lm-others")
+    else:
+        others = others.withColumn("cls", F.lit(rare))
+    found = places.join(others, "word", "left").select(
+        ROW, "at", "left", "right", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("cls", F.lit(rare)).alias("cls"))
+    # a text's words without a number come together, as they do in its own row
+    beside = found.groupBy(ROW).agg(F.array_sort(F.collect_list(F.struct("at", "left", "right", "n", "cls"))).alias("r"))
+
+    def joined(batches):
+        m = held.value
+        for batch in batches:
+            lists = batch.column(1)
+            offsets = np.asarray(lists.offsets, dtype=np.int64)
+            flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+            at, left, right, n, cls = (np.asarray(flat.field(i)) for i in range(5))
+            offsets = offsets - offsets[0]
+            # a neighbour without a number is the entry before or after
+            before = np.where(left == k, np.concatenate(([0], cls[:-1])), m.classes[left])
+            moves = m.moves[before, cls] + np.where(right == k, 0.0, m.moves[cls, m.classes[right]])
+            rare_word = cls == len(m.moves) - 2
+            emits = np.where(rare_word, np.log10((n + RARE_MASS) / m.rare_total), np.log10(np.maximum(n, 1) / np.maximum(1, m.sizes[cls])))
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array(sums_of((n > 0).astype(np.int64), offsets)),
+                pa.array(_float_sums(np.log10(n + 1), offsets)), pa.array(_float_sums(moves + emits, offsets)),
+            ], names=[ROW, "rare_known", "rare_base", "rare_model"])
+
+    beside = beside.mapInArrow(joined, f"{ROW} long, rare_known long, rare_base double, rare_model double")
     zero = F.lit(0.0)
     both = scored.join(beside, ROW, "left")
     score = F.col("model") + F.coalesce("rare_model", zero)

@@ -419,6 +419,41 @@ def test_the_class_model_is_a_probability(spark):
     assert len(known) <= 50 and min(counts) > 1
 
 
+def test_words_without_a_number_have_classes_too(spark):
+    df = spark.createDataFrame(lm_fixture(), "doc_id long, text string").repartition(4)
+    some, every = (
+        {(r["id"], r["n_tokens"]): (r["score"], r["base_score"]) for r in lm_scoring.lm_scores(
+            df, lm_scoring.trained(F.col("doc_id")), classes=4, exchange_words=4, known_most=most).collect()}
+        for most in (12, 1000))
+    assert some.keys() == every.keys()
+    for row in every:
+        assert some[row] == pytest.approx(every[row])
+
+
+def test_best_class_equals_brute_force():
+    rng = np.random.default_rng(4)
+    n, classes = 30, 4  # then the rare words' class and the end's
+    counts = rng.integers(0, 4, (n, n))
+    of = np.concatenate((rng.integers(0, classes + 1, n - 2), [classes, classes + 1]))
+
+    def value(of):
+        member = np.eye(classes + 2)[of]
+        table = member.T @ counts @ member
+        h = lambda x: (x * np.log(np.maximum(x, 1))).sum()
+        return h(table) - h(table.sum(axis=0)) - h(table.sum(axis=1))
+
+    counts += counts.T  # so each word is as often first as second
+    member = np.eye(classes + 2, dtype=np.int64)[of]
+    around = np.hstack((counts.T @ member, counts @ member, np.diagonal(counts)[:, None]))
+    got = lm_scoring.best_classes(member.T @ counts @ member, member.T @ counts.sum(axis=0), around, counts.sum(axis=0), of, classes)
+    for w in range(n - 2):
+        values = [value(np.where(np.arange(n) == w, c, of)) for c in range(classes)]
+        if of[w] < classes:
+            assert values[got[w]] == pytest.approx(max(values))
+        else:  # it joins a class without leaving one
+            assert got[w] < classes
+
+
 def test_exchange_separates_words_by_context():
     rng = np.random.default_rng(0)
     n = 40
