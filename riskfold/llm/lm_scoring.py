@@ -11,8 +11,9 @@ are over the whole training corpus:
 2. The start, by exchange clustering on the driver: the bigrams of the
    ``EXCHANGE_WORDS`` most frequent words are counted, and words move one by one
    to the class that gains the most likelihood.
-3. All other words join the class under which their contexts (the classes
-   before and after them) are likeliest.
+3. Sweeps over all words, the first ones too: the classes before and after
+   each word are counted, and each joins the class under which these are
+   likeliest, until few move.
 4. Transitions between classes are counted and smoothed.  Words seen once, and
    unseen ones, are a class of their own, whose emissions come from their
    counts by a join; the end of a text is a class, and the context of a text's
@@ -40,6 +41,11 @@ CLASSES = 32
 EXCHANGE_WORDS = 1024
 KNOWN_WORDS = 131_072
 SWEEPS = 8
+#: Sweeps over all words end when less than this share of the tokens would move, at this gain in nats a
+#: token, or when moves lose even if only one word in so many moves at once.
+FEW_MOVES = 0.01
+LEAST_GAIN = 0.005
+MOST_PARTS = 16
 #: Smoothing: pseudo-count of a class's share in each transition, and of a rare word.
 TRANSITION_MASS = 5.0
 RARE_MASS = 1.0
@@ -186,6 +192,12 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndar
     table = member.T @ after
     times_first, times_second = counts.sum(axis=1), counts.sum(axis=0)
     size_first, size_second = member.T @ times_first, member.T @ times_second
+    return exchanged(counts, of, after, ahead, table, size_first, size_second, times_first, times_second, classes, sweeps)
+
+
+def exchanged(counts, of, after, ahead, table, size_first, size_second, times_first, times_second, classes: int, sweeps: int):
+    """The classes ``of`` after sweeps over the first ``len(counts) - 2`` words; all counts, of classes of any words, follow in place."""
+    n = len(counts) - 2
     for _ in range(sweeps):
         moved = 0
         for w in range(n):
@@ -308,6 +320,14 @@ def _best(table, sizes, around, times, of, classes: int) -> np.ndarray:
     return np.where(leaves & (gain[words, best] <= gain[words, mine] + 1e-9), of, best)
 
 
+def turn(around: np.ndarray, step: int, parts: int) -> np.ndarray:
+    """Whether a word may move in this step, about one in ``parts``; by its counts, so with and without a number alike."""
+    weights = np.arange(1, around.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (around.astype(np.uint64) * weights).sum(axis=1, dtype=np.uint64) + np.uint64(step)
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return (mixed >> np.uint64(32)) % np.uint64(parts) == 0
+
+
 def joined_words(encoded: DataFrame, tail: DataFrame, start: int) -> tuple[DataFrame, DataFrame]:
     """Contexts of the words of ``tail`` (``word, n``), which have no number.
 
@@ -417,13 +437,19 @@ def counted(ids: DataFrame, words: DataFrame | None, bigrams: DataFrame | None,
     return State(of, words, pairs, around, moves, sizes)
 
 
-def moved(state: State, counts: np.ndarray) -> tuple[np.ndarray, DataFrame | None]:
-    """The classes of the numbers, and the words without one, after each word has moved to its best class."""
+def moved(state: State, counts: np.ndarray, e: int, step: int, parts: int) -> tuple[np.ndarray, DataFrame | None, int]:
+    """The classes of the numbers, and the words without one, after each word whose turn it is has moved to its best class.
+
+    The first ``e`` stay.  Last, the tokens of all words that another class suits better.
+    """
     k, width = len(counts), len(state.moves)
     rare, slots, table, sizes = width - 2, 2 * width + 1, state.moves, state.sizes
-    of = np.concatenate((best_classes(table, sizes, state.around, counts, state.classes[:k], rare), state.classes[k:]))
+    best = best_classes(table, sizes, state.around, counts, state.classes[:k], rare)
+    best[:e] = state.classes[:e]
+    of = np.concatenate((np.where(turn(state.around, step, parts), best, state.classes[:k]), state.classes[k:]))
+    wish = int(counts[best != state.classes[:k]].sum())
     if state.words is None:
-        return of, None
+        return of, None, wish
     numbers = state.classes
     held = state.words.sparkSession.sparkContext.broadcast((numbers, table, sizes))  # KNOWN_WORDS + 2 classes at most
     pair = lambda word, slot: F.struct(F.col(word).alias("word"), slot.cast("int").alias("slot"), "times")
@@ -451,15 +477,17 @@ def moved(state: State, counts: np.ndarray) -> tuple[np.ndarray, DataFrame | Non
             for lo in (0, width):
                 around[:, lo + rare] += n - around[:, lo:lo + width].sum(axis=1)
             best = best_classes(table, sizes, around, n, cls, rare)
+            now = np.where(turn(around, step, parts), best, cls)
             yield pa.RecordBatch.from_arrays([
-                *[batch.column(i) for i in (0, 1)], pa.array(best, pa.int32()), batch.column(3), batch.column(4), pa.array(cls, pa.int32()),
-            ], names=["word", "n", "cls", "lefts", "rights", "was"])
+                *[batch.column(i) for i in (0, 1)], pa.array(now, pa.int32()), batch.column(3), batch.column(4), pa.array(best != cls),
+            ], names=["word", "n", "cls", "lefts", "rights", "wish"])
 
     rows = state.words.select("word", "n", "cls", "lefts", "rights").join(beside, "word", "left").select(
         "word", "n", "cls", "lefts", "rights", F.coalesce("slots", F.array().cast("array<int>")).alias("slots"),
         F.coalesce("times", F.array().cast("array<bigint>")).alias("times"))
-    schema = "word string, n long, cls int, lefts array<int>, rights array<int>, was int"
-    return of, written(rows.mapInArrow(run, schema), "lm-words-around")
+    schema = "word string, n long, cls int, lefts array<int>, rights array<int>, wish boolean"
+    words = written(rows.mapInArrow(run, schema), "lm-words-around")
+    return of, words, wish + (words.where("wish").agg(F.sum("n")).first()[0] or 0)
 
 
 def fit(encoded: DataFrame, counts: np.ndarray, tokens: int, types: int, texts: int, classes: int = CLASSES,
@@ -492,7 +520,7 @@ def fit_words(encoded: DataFrame, counts: np.ndarray, tail: DataFrame | None, to
     c = int(of.max()) - 1  # exchange classes; then those of other words and of the end
     start = np.concatenate((of[:e], np.full(k - e + 1, c), [c + 1])).astype(np.int64)
     words, pairs = (None, None) if tail is None else joined_words(encoded, tail, c)
-    state = settled(ids, words, pairs, start, counts, tokens, texts)
+    state = settled(ids, words, pairs, start, table, counts, tokens, texts)
     width = c + 2
     sizes = state.sizes
     share = (sizes + 1) / (sizes.sum() + width)
@@ -510,13 +538,52 @@ def fit_words(encoded: DataFrame, counts: np.ndarray, tail: DataFrame | None, to
     return model, None if tail is None else state.words.select("word", "n", "cls")
 
 
-def settled(ids: DataFrame, words: DataFrame | None, pairs: DataFrame | None, start: np.ndarray, counts: np.ndarray, tokens: int,
-            texts: int) -> State:
-    """All words in the class that their contexts under the classes ``start`` favour."""
-    state = counted(ids, words, pairs, start, counts, tokens, texts)
-    of, words = moved(state, counts)
-    of[:len(counts)] = np.where(start[:len(counts)] < start[-2], start[:len(counts)], of[:len(counts)])
-    return counted(ids, words, pairs, of, counts, tokens, texts)
+def exchanged_first(state: State, table: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Classes of the first words, of the bigrams ``table``, after exchange among all words, the others of which stay."""
+    e, width = len(table) - 2, len(state.moves)
+    around, sizes = state.around[:e].astype(float), state.sizes.astype(float)
+    of, ends = np.concatenate((state.classes[:e], state.classes[-2:])), np.zeros((2, width))  # the last two never move
+    ahead, after = (np.concatenate((around[:, lo:lo + width], ends)) for lo in (0, width))
+    times = np.concatenate((counts[:e], [0, 0])).astype(float)
+    return exchanged(table.astype(float), of, after, ahead, state.moves.astype(float), sizes, sizes.copy(), times, times,
+                     width - 2, SWEEPS)[:e]
+
+
+def settled(ids: DataFrame, words: DataFrame | None, pairs: DataFrame | None, start: np.ndarray, table: np.ndarray,
+            counts: np.ndarray, tokens: int, texts: int) -> State:
+    """Sweeps over all words from the classes ``start``: count, and move each word to its best class.
+
+    In a step the first words, those of the bigrams ``table``, move one by one
+    among all others, and the others at once, on the counts before it.  A step
+    that loses likelihood is not kept; from then on half as many words move at
+    a time.  The steps end when another class suits the words of less than
+    ``FEW_MOVES`` of the tokens, when a step gains less than ``LEAST_GAIN`` a
+    token that may move, or when even ``MOST_PARTS`` parts lose.
+    """
+    best, step, parts = counted(ids, words, pairs, start, counts, tokens, texts), 0, 1
+    k, e = len(counts), len(table) - 2
+    unclassed = bool((start[:len(counts)] == start[-2]).any()) or words is not None
+    while True:
+        of, words, wish = moved(best, counts, e, step, parts)
+        if not unclassed:
+            first = exchanged_first(best, table, counts)
+            wish += int(counts[:e][first != best.classes[:e]].sum())
+            of[:e] = first
+        if not wish or (not unclassed and wish < FEW_MOVES * tokens):
+            return best
+        state = counted(ids, words, pairs, of, counts, tokens, texts)
+        gain = state.likelihood() - best.likelihood()
+        step += 1
+        if unclassed:  # the first step gives a class to all words
+            best, unclassed = state, False
+        elif gain > 0:
+            best = state
+            if gain < LEAST_GAIN * tokens / parts:
+                return best
+        else:
+            parts *= 2
+            if parts > MOST_PARTS:
+                return best
 
 
 def lm_scores(

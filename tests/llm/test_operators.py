@@ -430,6 +430,20 @@ def test_words_without_a_number_have_classes_too(spark):
         assert some[row] == pytest.approx(every[row])
 
 
+def test_all_words_move_until_few_gain(spark):
+    rng = random.Random(8)
+    sides = [[f"l{i}" for i in range(40)], [f"r{i}" for i in range(40)]]
+    heads = [f"h{i % 2}" for i in range(60)]  # frequent, and beside words of either side
+    texts = [" ".join(w for _ in range(12) for w in (rng.choice(sides[0]), rng.choice(sides[1]), rng.choice(heads))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    vocabulary = lm_scoring.count_words(df, "text")
+    held = {r["word"]: r["n"] for r in vocabulary.collect()}
+    words, counts, _ = lm_scoring.known_words(vocabulary, 1000)
+    m = lm_scoring.fit(lm_scoring.encode(df, "text", words), counts, sum(held.values()), len(held), 300, classes=2, exchange_words=2)
+    by_side = [{m.classes[i] for i, w in enumerate(words) if w[0] == side} for side in "lrh"]
+    assert [len(s) for s in by_side] == [1, 1, 1] and by_side[0] == by_side[1] != by_side[2]
+
+
 def test_best_class_equals_brute_force():
     rng = np.random.default_rng(4)
     n, classes = 30, 4  # then the rare words' class and the end's
