@@ -18,6 +18,8 @@ Equal sets are one node.  The trees are asked in rounds.  First each node gets
 its partners with the best bounds; those that link are united, so a large
 group of near copies becomes one component with few links a node.  Last, all
 pairs between different components whose bound allows a link are verified.
+That is all that components need; an exact join asks the trees once for all
+pairs and lists every link.
 """
 
 from __future__ import annotations
@@ -441,14 +443,16 @@ def _tree_pairs(members: DataFrame, nodes: DataFrame, vectors: DataFrame, percen
 
 def join_sets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-    sample_docs: int = SAMPLE_DOCS, block: int = BLOCK,
+    sample_docs: int = SAMPLE_DOCS, block: int = BLOCK, exact: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``documents, nodes, links`` of the join.
 
     Documents: ``id, n, node`` for every row (null node: no words).  Nodes: one
     for each different set, ``__row, first_id`` (its smallest id) ``, n``.
     Links: ``a, b``, verified pairs of nodes that connect all nodes that link:
-    pairs inside a component found so far are not listed again.
+    pairs inside a component found so far are not listed again.  With
+    ``exact`` they are all pairs of nodes that link, each once, so a group of
+    m different near copies may give m (m - 1) / 2 of them.
 
     Null and empty texts and those without words have empty sets, which link
     with nothing.  Null ids come after all others.  Rows may repeat.
@@ -460,6 +464,13 @@ def join_sets(
         F.min("id").alias("first_id"), F.min(ROW).alias(ROW)), "join-nodes")
     members = written(_meetings(sets, nodes), "join-members")
     vectors = sets.select(ROW, "vector")
+    documents = sets.select("id", "n", "sig1", "sig2").join(
+        nodes.select("n", "sig1", "sig2", F.col(ROW).alias("node")), ["n", "sig1", "sig2"], "left").select("id", "n", "node")
+    if exact:
+        rooted = members.withColumn("root", F.col(ROW))
+        met = _tree_pairs(rooted, nodes, vectors, percent, block, None).select("a", "b").distinct()
+        links = written(_verified(written(met, "join-pairs"), nodes, docs, percent), "join-links")
+        return documents, nodes.select(ROW, "first_id", "n"), links
     links = tried = None
     for best in (*[BEST] * BEST_ROUNDS, None):
         if links is None:
@@ -477,11 +488,15 @@ def join_sets(
         if best is not None:  # who has no partner in a tree now has none later
             members = written(met.select("hub", F.col("a").alias(ROW)).unionByName(
                 met.select("hub", F.col("b").alias(ROW))).distinct(), "join-members")
-    documents = sets.select("id", "n", "sig1", "sig2").join(
-        nodes.select("n", "sig1", "sig2", F.col(ROW).alias("node")), ["n", "sig1", "sig2"], "left").select("id", "n", "node")
     return documents, nodes.select(ROW, "first_id", "n"), links
 
 
+def link_counts(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``nodes`` with ``n_links``, the number of other nodes that each links with; ``links`` are those of an exact join."""
+    ends = links.select(F.explode(F.array("a", "b")).alias(ROW)).groupBy(ROW).agg(F.count(F.lit(1)).alias("n_links"))
+    return nodes.join(ends, ROW, "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``id, n_shingles, component_id`` of every row: the smallest id that its links reach."""
     documents, nodes, links = join_sets(docs, id_col, text_col, **options)

@@ -68,6 +68,38 @@ def test_equals_brute_force(spark, monkeypatch, seed, options):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("block", [J.BLOCK, 9])
+def test_exact_join_lists_every_link(spark, block):
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(150)]
+    near = []
+    for _ in range(40):  # a group of different near copies: far more links than components need
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 3])):
+            copy[rng.randrange(len(copy))] = f"x{rng.randrange(10_000)}"
+        near.append(" ".join(copy))
+    rows = families(4, 100)
+    rows += [(len(rows) + i, t) for i, t in enumerate([*near, near[0], "", None])]
+    sets = {d: frozenset(sets_of(t)) for d, t in rows}
+    least = {}
+    for d in sorted(sets):
+        least.setdefault(sets[d], d)
+    ids = sorted(d for s, d in least.items() if s)
+    want = set()
+    for x in ids:
+        for y in ids:
+            n = len(sets[x] & sets[y])
+            if x < y and n and 100 * n >= 80 * (len(sets[x]) + len(sets[y]) - n):
+                want.add((x, y))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    _, nodes, links = J.join_sets(df, block=block, exact=True)
+    first = {r[J.ROW]: r["first_id"] for r in nodes.collect()}
+    got = [tuple(sorted((first[r["a"]], first[r["b"]]))) for r in links.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 300
+    counts = {r["first_id"]: r["n_links"] for r in J.link_counts(nodes, links).collect()}
+    assert counts == {d: sum(d in pair for pair in want) for d in ids}
+
+
 def test_edge_cases(spark):
     rows = [(r[0], r[1]) for r in edge_rows()]
     got = [(r["id"], r["n_shingles"], r["component_id"]) for r in J.near_duplicates(edge_docs(spark)).collect()]
