@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfold.llm import chat, decontamination, lm_scoring, mixing, ngram_join, quality_rules, sharding, token_output, toxicity, warc
+from riskfold.llm import (
+    alignment, chat, decontamination, licenses, lm_scoring, mixing, ngram_join, prefix_trie, quality_rules, sharding, token_output,
+    toxicity, warc,
+)
 from riskfold.llm.tables import ROW, fresh_path, written
 from riskfold.sources.tables import read_table
 
@@ -109,6 +112,63 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, into="found")
+    scanned = F.col("found")
+    return found.select(
+        "doc_id", "found.n_words", "found.n_base", "found.first_word", "found.last_word",
+        F.array_join("found.base_labels", ",").alias("base_labels"),
+        F.array_join(licenses.labels_of(scanned), ",").alias("labels"), licenses.score_of(scanned).alias("score"),
+    )
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = alignment.Tokenizers(tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    return alignment.aligned_scores(read_table(spark, sf_dir, "documents"), both).withColumnRenamed("id", "doc_id")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def _license_sql() -> str:
+    """DuckDB SQL of ``op11_license_scan``: places of the phrases, and each block's words against each template's."""
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    words = lambda t: [w.decode() for w in licenses.normal_words(t.encode())]
+    templates = ", ".join(f"({quoted(label)}, [{', '.join(map(quoted, words(t)))}])" for label, t in licenses.TEMPLATES)
+    phrases = ", ".join(f"({quoted(label)}, [{', '.join(map(quoted, words(t)))}])" for t, label in licenses.PHRASES)
+    half = max(len(words(t)) for _, t in licenses.TEMPLATES)
+    return rf"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        t AS (SELECT label, list_distinct(w) AS w, len(list_distinct(w)) AS size FROM (VALUES {templates}) AS v(label, w)),
+        p AS (SELECT * FROM (VALUES {phrases}) AS v(label, w)),
+        x AS (SELECT r, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS i FROM d),
+        base AS (
+            SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+                   string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels, list(DISTINCT label) AS ls
+            FROM (SELECT d.r, p.label, x.i FROM x JOIN p ON x.word = p.w[1] JOIN d ON d.r = x.r
+                  WHERE d.w[x.i + 1:x.i + len(p.w)] = p.w) GROUP BY r),
+        tw AS (SELECT label, size, unnest(w) AS word FROM t),
+        b AS (
+            SELECT r, n, word, unnest([i // {half}, i // {half} - 1]) AS block FROM x WHERE word IN (SELECT word FROM tw)),
+        m AS (
+            SELECT r, block, label, size, count(DISTINCT b.word) AS shared
+            FROM b JOIN tw ON b.word = tw.word
+            WHERE block BETWEEN 0 AND greatest(0, (n + {half} - 1) // {half} - 2)
+            GROUP BY r, block, label, size HAVING 100 * count(DISTINCT b.word) >= {licenses.THRESHOLD} * size),
+        f AS (SELECT r, max(CAST(shared AS DOUBLE) / size) AS share, list(DISTINCT label) AS ls FROM m GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               coalesce(base_labels, '') AS base_labels,
+               array_to_string(list_sort(list_distinct(list_concat(coalesce(base.ls, []), coalesce(f.ls, [])))), ',') AS labels,
+               CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0) END AS score
+        FROM d LEFT JOIN base USING (r) LEFT JOIN f USING (r)"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_chat": op2_chat,
@@ -120,6 +180,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_join": op10_ngram_join,
+    "op11_license_scan": op11_license_scan,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
@@ -241,4 +304,38 @@ ORACLE: dict[str, str] = {
             UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.doc_id WHERE r.root < l.b)
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.root) AS component_id
         FROM d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY 1, 2""",
+    "op11_license_scan": _license_sql(),
+    "op13_prefix_trie": r"""
+        WITH o AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS i
+            FROM conversations WHERE conv_id IS NOT NULL),
+        k AS (
+            SELECT c, xor(list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ord(s) AS BIGINT))),
+                lambda h, x: list_reduce(
+                    [xor(h, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384::BIGINT * (y & 1)))), 4294967295::BIGINT) % 9 AS h
+            FROM (SELECT DISTINCT c FROM o)),
+        u AS (
+            SELECT k.c, 0 AS part, i, role, text FROM k JOIN o ON o.c = k.c - k.c % 5 AND o.i < k.h
+            UNION ALL SELECT k.c, 1, i, role, text FROM k JOIN o ON o.c = k.c AND o.i >= k.h),
+        n AS (
+            SELECT c, row_number() OVER w AS d, strlen(text) AS size,
+                   string_agg(len(role) || ':' || len(text) || ':' || role || text, '') OVER w AS prefix
+            FROM u WINDOW w AS (PARTITION BY c ORDER BY part, i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+        a AS (SELECT c, d, size, prefix FROM n UNION ALL SELECT c, 0, 0, '' FROM k),
+        e AS (SELECT c, max(d) AS turns FROM a GROUP BY c),
+        v AS (
+            SELECT d, prefix, min(a.c) AS conv_id, count(*) AS n_convs, min(size) AS size,
+                   coalesce(string_agg(CASE WHEN turns = d THEN CAST(a.c AS VARCHAR) END, ',' ORDER BY a.c), '') AS ends
+            FROM a JOIN e ON e.c = a.c GROUP BY d, prefix),
+        g AS (SELECT v.*, p.conv_id AS up FROM v JOIN a x ON x.c = v.conv_id AND x.d = v.d - 1 JOIN v p ON p.d = x.d AND p.prefix = x.prefix),
+        q AS (SELECT up AS conv_id, d - 1 AS d, count(*) AS n_children FROM g GROUP BY ALL),
+        l AS (SELECT v.*, coalesce(n_children, 0) AS n_children FROM v LEFT JOIN q USING (conv_id, d)),
+        s AS (
+            SELECT x.d, x.prefix, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * l.size) AS saved
+            FROM l JOIN a x ON x.c = l.conv_id AND x.d <= l.d GROUP BY x.d, x.prefix)
+        SELECT l.conv_id, CAST(l.d AS BIGINT) AS depth, g.up AS parent_conv_id, l.n_convs, l.n_children,
+               CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(l.ends) AS ends_sha256
+        FROM l JOIN s ON s.d = l.d AND s.prefix = l.prefix LEFT JOIN g ON g.d = l.d AND g.prefix = l.prefix""",
 }
