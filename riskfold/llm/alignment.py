@@ -33,15 +33,15 @@ from riskfold.llm.counts import summed
 from riskfold.llm.tables import written
 from riskfold.llm.text import Numbers, pieces, starts_of, sums_of, utf8
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 #: Texts above this length go to the tokenizers library, which has no limit on a run of one kind of characters.
 LONG_TEXT = 1 << 19
-#: Tokens that the first probe of a run compares; each further one has twice as many.
+#: Tokens of a run that are compared one by one; then probes of doubling length follow.
 FIRST_PROBE = 16
-#: A worker keeps the ids of so many different segments, then starts anew.
-MOST_SEGMENTS = 500_000
+#: A worker keeps the ids of so many different segments, then drops those that it has met only once.
+MOST_SEGMENTS = 200_000
 #: New segments that are encoded in one call.
-TOGETHER = 20_000
+TOGETHER = 1_000
 #: How byte-level BPE of this vocabulary cuts a text before it merges (a fixed value of the tokenizer).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -135,13 +135,26 @@ class Coder:
         if any(x.min() < 1 or x.max() > 255 for x in self.lengths):
             raise ValueError("a token has no bytes, or more than 255")
         self.splits = a.splits and b.splits
+        self.types = tuple(np.uint16 if len(t.bytes) <= 1 << 16 else np.int32 for t in self.both)
         self._forget()
 
-    def _forget(self) -> None:
+    def _forget(self, kept: np.ndarray | None = None) -> None:
+        """Drop all segments but those numbered ``kept``."""
+        kept = np.zeros(0, dtype=np.int64) if kept is None else kept
+        if len(kept):
+            words = list(self.numbers)
+            numbers = Numbers((words[i], n) for n, i in enumerate(kept.tolist()))
+            for k in range(2):
+                counts = np.diff(self.starts[k])[kept]
+                first = starts_of(counts)
+                self.ids[k] = self.ids[k][np.repeat(self.starts[k][kept] - first[:-1], counts) + np.arange(first[-1])]
+                self.starts[k] = first
+            self.numbers, self.whole, self.uses = numbers, self.whole[kept], np.zeros(len(kept), dtype=np.int64)
+            return
         self.numbers = Numbers()
-        self.ids = [np.zeros(0, dtype=np.int64) for _ in self.both]
+        self.ids = [np.zeros(0, dtype=t) for t in self.types]
         self.starts = [np.zeros(1, dtype=np.int64) for _ in self.both]
-        self.whole = np.zeros(0, dtype=bool)
+        self.whole, self.uses = np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int64)
 
     def segments(self, text: str) -> list[str]:
         if not text or not self.splits:
@@ -190,20 +203,24 @@ class Coder:
             counts, begin = np.empty(len(order), dtype=np.int64), np.empty(len(order), dtype=np.int64)
             counts[order], begin[order] = n, starts_of(n)[:-1]
             first = starts_of(counts)
-            self.ids[k] = np.concatenate((self.ids[k], flat[np.repeat(begin - first[:-1], counts) + np.arange(first[-1])]))
+            flat = flat[np.repeat(begin - first[:-1], counts) + np.arange(first[-1])]
+            self.ids[k] = np.concatenate((self.ids[k], flat.astype(self.types[k])))
             self.starts[k] = np.concatenate((self.starts[k], self.starts[k][-1] + first[1:]))
         self.whole = np.concatenate((self.whole, whole))
 
     def __call__(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For ``a`` and ``b``, all ids in a row and the number of each text; none for texts that the ids do not give back."""
         if len(self.numbers) > MOST_SEGMENTS:
-            self._forget()
+            again = np.flatnonzero(self.uses > 1)
+            self._forget(again[np.argsort(-self.uses[again], kind="stable")][:MOST_SEGMENTS // 2])
         known = len(self.numbers)
         each = [self.segments(t.decode()) for t in texts]
         counts = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
         words = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(each)), dtype=np.int64, count=counts.sum())
         if len(self.numbers) > known:
             self._learn(list(islice(self.numbers, known, None)))
+            self.uses = np.concatenate((self.uses, np.zeros(len(self.numbers) - known, dtype=np.int64)))
+        self.uses += np.bincount(words, minlength=len(self.uses))
         whole = sums_of((~self.whole[words]).astype(np.int64), starts_of(counts)) == 0
         words, counts = words[np.repeat(whole, counts)], np.where(whole, counts, 0)
         out = []
@@ -211,7 +228,7 @@ class Coder:
             lengths = starts[words + 1] - starts[words]
             first = starts_of(lengths)
             flat = ids[np.repeat(starts[words] - first[:-1], lengths) + np.arange(first[-1])]
-            out.append((flat, sums_of(lengths, starts_of(counts))))
+            out.append((flat.astype(np.int64), sums_of(lengths, starts_of(counts))))
         return out
 
 
@@ -224,43 +241,36 @@ def runs(lengths_a: np.ndarray, lengths_b: np.ndarray) -> tuple[list[int], list[
     """The maximal runs of equal ends: first index in ``a``, in ``b``, and length.
 
     ``lengths_a`` and ``lengths_b``: bytes of each token, 1 to 255.  Every end
-    that both have is in exactly one run.  Behind equal ends, the ends that
-    follow are equal as long as the lengths are, so a stretch of ends at the
-    current shift is compared through its lengths, a byte each.
+    that both have is in exactly one run.  Ends are compared from the last
+    equal ones on: there, the ends that follow are equal as long as the
+    lengths are, so a stretch of ends at the current shift is compared through
+    its lengths, a byte each.
     """
     n_a, n_b = len(lengths_a), len(lengths_b)
-    ends_a, ends_b = (memoryview(np.cumsum(x, dtype=np.int64)) for x in (lengths_a, lengths_b))
-    raw_a, raw_b = lengths_a.tobytes(), lengths_b.tobytes()
+    a, b = lengths_a.tobytes() + b"\0", lengths_b.tobytes() + b"\0"  # no token has this length
     first_a, first_b, length = [], [], []
     i = j = 0
     while i < n_a and j < n_b:
-        x, y = ends_a[i], ends_b[j]
-        while x != y:  # an irregular group: the side behind steps on, and the shift changes
-            if x < y:
+        ahead = a[i] - b[j]  # how far the end in a is beyond that in b
+        while ahead:  # an irregular group: the side behind steps on, and the shift changes
+            if ahead < 0:
                 i += 1
                 if i == n_a:
                     return first_a, first_b, length
-                x = ends_a[i]
+                ahead += a[i]
             else:
                 j += 1
                 if j == n_b:
                     return first_a, first_b, length
-                y = ends_b[j]
-        p, q, probe = i + 1, j + 1, FIRST_PROBE
-        while True:
-            s, t = raw_a[p:p + probe], raw_b[q:q + probe]
-            if s != t:  # the run ends in this stretch, at the first byte that differs
-                m = min(len(s), len(t))
-                d = int.from_bytes(s[:m], "little") ^ int.from_bytes(t[:m], "little")
-                n = (d & -d).bit_length() - 1 >> 3 if d else m
-                p += n
-                q += n
+                ahead -= b[j]
+        p, q = i + 1, j + 1
+        singles = p + FIRST_PROBE
+        while a[p] == b[q] and p < n_a and q < n_b:
+            p += 1
+            q += 1
+            if p == singles:  # a longer run: probes of doubling length
+                p, q = _probed(a, b, p, q, n_a, n_b)
                 break
-            p += len(s)
-            q += len(s)
-            if len(s) < probe:
-                break
-            probe *= 2
         first_a.append(i)
         first_b.append(j)
         length.append(p - i)
@@ -268,6 +278,25 @@ def runs(lengths_a: np.ndarray, lengths_b: np.ndarray) -> tuple[list[int], list[
     return first_a, first_b, length
 
 
+def _probed(a: bytes, b: bytes, p: int, q: int, n_a: int, n_b: int) -> tuple[int, int]:
+    """Where the run ends that has come to ``p`` and ``q``: jump while whole probes are equal, then halve the last one."""
+    probe = 2 * FIRST_PROBE
+    while True:
+        probe = min(probe, n_a - p, n_b - q)
+        if not probe:
+            return p, q
+        if a[p:p + probe] == b[q:q + probe]:
+            p, q, probe = p + probe, q + probe, 2 * probe
+            continue
+        while probe > 1:  # the first that differs lies in this probe
+            half = probe // 2
+            if a[p:p + half] == b[q:q + half]:
+                p, q, probe = p + half, q + half, probe - half
+            else:
+                probe = half
+        return p, q
+
+
 def linkable(a: list[bytes], b: list[bytes]) -> np.ndarray:
     """Sorted codes ``id_a * len(b) + id_b`` of the pairs of which one's bytes are a suffix of the other's."""
     def by_bytes(tokens):
