@@ -3,18 +3,20 @@
 ``P(word | before) = P(class | class before) * P(word | class)``.  All counts
 are over the whole training corpus:
 
-1. Word counts, a shuffle by word.  The words of at least some count, at most
-   ``KNOWN_WORDS``, get numbers; each text becomes a list of numbers, with its
-   other words beside it.  The numbers only save joins: every word counted
-   twice or more, numbered or not, gets a class of its choice.  The classes and
-   contexts of those without a number are a Spark table, a row a word.
+1. Word counts, a shuffle by word.  All words counted twice or more have a
+   number, by count and then by word.  The first ``KNOWN_WORDS`` of them reach
+   the tasks as a dictionary, so each text becomes a list of numbers with its
+   other words beside it; those get their numbers by a join.
 2. The start, by exchange clustering on the driver: the bigrams of the
    ``EXCHANGE_WORDS`` most frequent words are counted, and words move one by one
    to the class that gains the most likelihood.
-3. Sweeps over all words, the first ones too: the classes before and after
-   each word are counted, and each joins the class under which these are
-   likeliest, until few move.
-4. Transitions between classes are counted and smoothed.  Words seen once, and
+3. The bigrams of all other words are counted once, into a table with a row a
+   word: its neighbours on both sides, and how often each stands there.
+4. Sweeps over all words, the first ones too: the classes before and after
+   each word are counted from that table, and each joins the class under which
+   these are likeliest, until few move.  A sweep reads the table twice and
+   shuffles nothing; the classes of the words are a byte each in a broadcast.
+5. Transitions between classes are counted and smoothed.  Words seen once, and
    unseen ones, are a class of their own, whose emissions come from their
    counts by a join; the end of a text is a class, and the context of a text's
    first word.
@@ -33,14 +35,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskfold.llm.counts import summed
-from riskfold.llm.tables import ROW, with_row_ids, written
+from riskfold.llm.tables import ROW, totals_before, with_row_ids, written
 from riskfold.llm.text import pieces, starts_of, sums_of, utf8, words_of
 
-#: Classes, words that start the clustering, words with a number (all others are joined).
+#: Classes, words that start the clustering, words in the dictionary of the tasks (all others are joined).
 CLASSES = 32
 EXCHANGE_WORDS = 1024
 KNOWN_WORDS = 131_072
+#: Words whose classes are a broadcast of a byte each.  Words beyond take part in no sweep; each then joins
+#: the class that suits it best among the settled ones.
+SWEPT_WORDS = 1 << 24
 SWEEPS = 8
+#: Entries of the neighbour table that a task works on at a time.
+MOST_ENTRIES = 200_000
 #: Sweeps over all words end when less than this share of the tokens would move, at this gain in nats a
 #: token, or when moves lose even if only one word in so many moves at once.
 FEW_MOVES = 0.01
@@ -211,8 +218,7 @@ def exchanged(counts, of, after, ahead, table, size_first, size_second, times_fi
             table[a, a] -= own
             size_first[a] -= times_first[w]
             size_second[a] -= times_second[w]
-            gain = gains(table, size_first, size_second, f[None], p[None], np.array([own]),
-                         times_first[w:w + 1], times_second[w:w + 1], classes)[0]
+            gain = gains(table, size_first, size_second, f, p, own, times_first[w], times_second[w], classes)
             b = int(np.argmax(gain))
             if gain[b] <= gain[a] + 1e-9:
                 b = a
@@ -234,20 +240,19 @@ def exchanged(counts, of, after, ahead, table, size_first, size_second, times_fi
 
 
 def gains(table, size_first, size_second, after, ahead, own, first, second, classes: int) -> np.ndarray:
-    """Gain in log-likelihood of adding each word (a row of contexts) to each of the ``classes``.
+    """Gain in log-likelihood of adding a word (its contexts) to each of the ``classes``, all at once.
 
-    ``table``, ``size_first`` and ``size_second`` do not hold the words.
+    ``table``, ``size_first`` and ``size_second`` do not hold the word.
     """
-    out = np.empty((len(after), classes))
-    for c in range(classes):
-        row = _h(table[c] + after) - _h(table[c])
-        column = _h(table[:, c] + ahead) - _h(table[:, c])
-        corner = _h(table[c, c] + after[:, c] + ahead[:, c] + own) - _h(table[c, c])
-        out[:, c] = (
-            row.sum(axis=1) - row[:, c] + column.sum(axis=1) - column[:, c] + corner
-            - _h(size_first[c] + first) + _h(size_first[c]) - _h(size_second[c] + second) + _h(size_second[c])
-        )
-    return out
+    c = np.arange(classes)
+    held, corner = _h(table), np.diagonal(table)[:classes]
+    rows = _h(table[:classes] + after) - held[:classes]
+    columns = _h(table[:, :classes] + ahead[:, None]) - held[:, :classes]
+    rows[c, c] = columns[c, c] = 0
+    return (
+        rows.sum(axis=1) + columns.sum(axis=0) + _h(corner + after[:classes] + ahead[:classes] + own) - _h(corner)
+        - _h(size_first[:classes] + first) + _h(size_first[:classes]) - _h(size_second[:classes] + second) + _h(size_second[:classes])
+    )
 
 
 @dataclass
@@ -320,190 +325,289 @@ def _best(table, sizes, around, times, of, classes: int) -> np.ndarray:
     return np.where(leaves & (gain[words, best] <= gain[words, mine] + 1e-9), of, best)
 
 
-def turn(around: np.ndarray, step: int, parts: int) -> np.ndarray:
-    """Whether a word may move in this step, about one in ``parts``; by its counts, so with and without a number alike."""
-    weights = np.arange(1, around.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    mixed = (around.astype(np.uint64) * weights).sum(axis=1, dtype=np.uint64) + np.uint64(step)
+def turn(words: np.ndarray, step: int, parts: int) -> np.ndarray:
+    """Whether each word (a number) may move in this step, about one in ``parts``."""
+    mixed = (words.astype(np.uint64) + np.uint64(step << 32)) * np.uint64(0x9E3779B97F4A7C15)
     mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
     return (mixed >> np.uint64(32)) % np.uint64(parts) == 0
 
 
-def joined_words(encoded: DataFrame, tail: DataFrame, start: int) -> tuple[DataFrame, DataFrame]:
-    """Contexts of the words of ``tail`` (``word, n``), which have no number.
+def numbered_tail(tail: DataFrame, known: int) -> DataFrame:
+    """``word, n, number`` of the words without an entry in the dictionary; numbers go on from ``known``."""
+    order = [F.col("n").desc(), F.col("word")]
+    ranked = totals_before(tail.select("word", "n"), order, {"rank": F.lit(1)}, "lm-tail")
+    return written(ranked.select("word", "n", (F.col("rank") + known).alias("number")), "lm-tail")
+
+
+#: An entry's key: the word's number, then a neighbour's number and 1 if it comes after the word.
+#: The largest neighbour number stands for the word's own count.
+_OWN = (1 << 32) - 1
+#: The end of a text, as a neighbour.
+_END = (1 << 31) - 2
+
+
+def _entries(left: np.ndarray, right: np.ndarray, e: int) -> np.ndarray:
+    """Keys of the bigrams, under each of their words beyond the first ``e``; -1 (other words) and the end have none."""
+    both = (left >= 0) & (right >= 0)
+    left, right = left[both].astype(np.int64), right[both].astype(np.int64)
+    a, b = (left >= e) & (left != _END), (right >= e) & (right != _END)
+    return np.concatenate((left[a] << 32 | right[a] << 1 | 1, right[b] << 32 | left[b] << 1))
+
+
+def _counted_keys(keys: np.ndarray, times: np.ndarray | None = None) -> pa.RecordBatch:
+    keys, inverse, n = np.unique(keys, return_inverse=True, return_counts=True)
+    if times is not None:
+        n = np.bincount(inverse, times, minlength=len(keys)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "times"])
+
 
-    Words: ``word, n, cls`` (``start``) ``, lefts, rights``, the numbers beside
-    each occurrence.  A word's lists have ``n`` entries, and all words with
-    more occurrences than some count have numbers.  Bigrams: ``a, b, times``
-    of two words of ``tail``.
+def neighbours(encoded: DataFrame, counts: np.ndarray, tail: DataFrame | None, e: int) -> DataFrame:
+    """``word, n, codes, times`` of every word beyond the first ``e``, by number.
+
+    ``codes`` has a neighbour's number doubled, plus 1 if it comes after the
+    word; the end of a text has a number of its own.  Words seen once are no
+    neighbours.  Each bigram is counted once in each task, then by word.
     """
-    seen = encoded.select(F.explode("rare").alias("r")).select("r.word", "r.left", "r.right")
-    words = written(tail.select("word", "n").join(seen, "word").groupBy("word", "n").agg(
-        F.collect_list("left").alias("lefts"), F.collect_list("right").alias("rights"),
-    ).select("word", "n", F.lit(start).cast("int").alias("cls"), "lefts", "rights"), "lm-words-around")
+    spark, k = encoded.sparkSession, len(counts)
+    schema = "key long, times long"
 
-    def beside(batches):
+    def of_ids(batches):
+        held, size = [], 0
         for batch in batches:
-            lists = batch.column(0)
-            offsets = np.asarray(lists.offsets)
-            flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
-            word, at = flat.field(0), np.asarray(flat.field(1))
-            text = np.repeat(np.arange(len(lists)), np.diff(offsets))
-            i = np.flatnonzero((at[1:] == at[:-1] + 1) & (text[1:] == text[:-1]))
-            yield pa.RecordBatch.from_arrays([word.take(pa.array(i)), word.take(pa.array(i + 1))], names=["a", "b"])
+            values, _ = _ids(batch)
+            if not len(values):
+                continue
+            number = np.where(values < k, values, np.where(values == k, -1, _END)).astype(np.int64)
+            held.append(_entries(_before(number, _END), number, e))
+            size += len(held[-1])
+            if size > MOST_COUNTED * 10:
+                yield _counted_keys(np.concatenate(held))
+                held, size = [], 0
+        if held:
+            yield _counted_keys(np.concatenate(held))
+
+    rows = encoded.select("ids").mapInArrow(of_ids, schema)
+    if k > e:
+        own = pa.table({"key": (np.arange(e, k, dtype=np.int64) << 32) | _OWN, "times": counts[e:].astype(np.int64)})
+        rows = rows.unionByName(spark.createDataFrame(own))  # KNOWN_WORDS rows at most
+    if tail is not None:
+        # words outside the dictionary, with the numbers beside them
+        seen = encoded.select(F.explode("rare").alias("r")).select("r.word", "r.left", "r.right").join(
+            tail.select("word", "number"), "word").select("number", "left", "right")
+
+        def of_tail(batches):
+            for batch in batches:
+                number, left, right = (batch.column(i).to_numpy().astype(np.int64) for i in range(3))
+                left, right = (np.where(x < k, x, np.where(x == k, -1, _END)) for x in (left, right))
+                yield _counted_keys(np.concatenate((_entries(left, number, e), _entries(number, right, e))))
+
+        # two such words side by side: their pairs are joined with both numbers
+        pairs = encoded.select("rare").mapInArrow(_beside, "a string, b string").groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
+        for side in ("a", "b"):
+            pairs = pairs.join(tail.select(F.col("word").alias(side), F.col("number").alias(f"n{side}")), side)
+
+        def of_pairs(batches):
+            for batch in batches:
+                a, b, times = (batch.column(i).to_numpy().astype(np.int64) for i in range(3))
+                keys = np.concatenate((a << 32 | b << 1 | 1, b << 32 | a << 1))
+                yield _counted_keys(keys, np.concatenate((times, times)))
+
+        own = tail.select((F.shiftleft("number", 32).bitwiseOR(F.lit(_OWN))).alias("key"), F.col("n").alias("times"))
+        rows = rows.unionByName(seen.mapInArrow(of_tail, schema)).unionByName(
+            pairs.select("na", "nb", "times").mapInArrow(of_pairs, schema)).unionByName(own)
+
+    def lists(batches):
+        """Rows come sorted by key; a word's entries may go on in the next batch."""
+        left_keys, left_times = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        for batch in batches:
+            keys, times = (np.concatenate((x, batch.column(i).to_numpy())) for i, x in enumerate((left_keys, left_times)))
+            done = int(np.searchsorted(keys >> 32, keys[-1] >> 32)) if len(keys) else 0
+            left_keys, left_times = keys[done:], times[done:]
+            if len(left_keys) > MOST_ENTRIES:  # one word's: add up what is there
+                left_keys, left_times = _summed_keys(left_keys, left_times)
+            if done:
+                yield _word_rows(*_summed_keys(keys[:done], times[:done]))
+        if len(left_keys):
+            yield _word_rows(*_summed_keys(left_keys, left_times))
+
+    dealt = rows.repartition(F.shiftright("key", 32)).sortWithinPartitions("key")
+    return written(dealt.mapInArrow(lists, NEIGHBOURS), "lm-neighbours")
+
+
+NEIGHBOURS = T.StructType([
+    T.StructField("word", T.LongType(), False), T.StructField("n", T.LongType(), False),
+    T.StructField("codes", T.ArrayType(T.LongType(), False), False), T.StructField("times", T.ArrayType(T.LongType(), False), False),
+])
 
-    both = encoded.select("rare").mapInArrow(beside, "a string, b string").groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
-    for side in ("a", "b"):
-        both = both.join(tail.select(F.col("word").alias(side)), side, "left_semi")
-    return words, written(both.select("a", "b", "times"), "lm-word-pairs")
+
+def _beside(batches):
+    """Words outside the dictionary that stand side by side."""
+    for batch in batches:
+        lists = batch.column(0)
+        offsets = np.asarray(lists.offsets)
+        flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+        word, at = flat.field(0), np.asarray(flat.field(1))
+        text = np.repeat(np.arange(len(lists)), np.diff(offsets))
+        i = np.flatnonzero((at[1:] == at[:-1] + 1) & (text[1:] == text[:-1]))
+        yield pa.RecordBatch.from_arrays([word.take(pa.array(i)), word.take(pa.array(i + 1))], names=["a", "b"])
+
+
+def _summed_keys(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    heads = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[heads], np.add.reduceat(times, heads)
+
+
+def _word_rows(keys: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    """Each word's own count comes last of its entries; no word is without it."""
+    word, code = keys >> 32, keys & _OWN
+    own = code == _OWN
+    starts = starts_of(np.diff(np.flatnonzero(own), prepend=-1) - 1)
+    lists = [
+        pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(x[~own])).cast(pa.list_(pa.field("element", pa.int64(), False)))
+        for x in (code, times)]
+    return pa.RecordBatch.from_arrays([pa.array(word[own]), pa.array(times[own]), *lists], names=NEIGHBOURS.names)
+
+
+def _table(batch: pa.RecordBatch, end: int) -> tuple[np.ndarray, ...]:
+    """Words and their counts; the row, neighbour, side and times of each entry.
+
+    Neighbours are the words below ``end``, and ``end`` for a text's end.
+    """
+    codes, offsets = _ids(batch, 2)
+    times, _ = _ids(batch, 3)
+    row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+    other = codes >> 1
+    known = (other < end) | (other == _END)
+    other = np.where(other == _END, end, other)[known]
+    return batch.column(0).to_numpy(), batch.column(1).to_numpy(), row[known], other, codes[known] & 1, times[known]
+
+
+def _sliced(batches):
+    """Batches of whole rows with about ``MOST_ENTRIES`` entries, or of one row."""
+    for batch in batches:
+        ends = np.asarray(batch.column(2).offsets, dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + MOST_ENTRIES, side="right")) - 1)
+            yield batch.slice(at, to - at)
+            at = to
 
 
 @dataclass
 class State:
-    """Classes of all words, and the counts under them."""
+    """Classes of all numbered words and of the end, and the counts under them."""
 
-    classes: np.ndarray  # of the numbers
-    words: DataFrame | None  # of the words without a number, with their contexts
-    pairs: DataFrame | None  # bigrams of these, with both classes
-    around: np.ndarray  # of each number: classes before and after it, and itself after itself
+    classes: np.ndarray  # bytes
+    around: np.ndarray  # of the first words: classes before and after each, and itself after itself
     moves: np.ndarray  # class before x class
     sizes: np.ndarray
+    raw: np.ndarray  # moves without those that have a word seen once
 
     def likelihood(self) -> float:
         return float(_h(self.moves).sum() - 2 * _h(self.sizes).sum())
 
 
-def counted(ids: DataFrame, words: DataFrame | None, bigrams: DataFrame | None, of: np.ndarray, counts: np.ndarray, tokens: int,
-            texts: int) -> State:
-    """The counts under the classes ``of`` the numbers and those of ``words``.
-
-    Bigrams with a word seen once are not counted: they are what is left of
-    each word's and each class's number of tokens.
-    """
-    k, width = len(counts), int(of[-1]) + 1
-    rare, slots = width - 2, 2 * width + 1
-    size = k * slots + width * width
+def finished(raw: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``raw`` with the bigrams of words seen once: what is left of each class's tokens."""
+    rare, moves = len(raw) - 2, raw.copy()
+    others = np.arange(len(raw)) != rare
+    moves[others, rare] += (sizes - moves.sum(axis=1))[others]
+    moves[rare] += sizes - moves.sum(axis=0)
+    return moves
 
-    def numbers():
-        def more(batch, totals):
-            values = _ids(batch)[0].astype(np.int64)
-            if not len(values):
-                return
-            left, right = _before(values, k + 1), np.concatenate((values[1:], [k + 1]))
-            here = values < k
-            at = here & (left != k)
-            np.add.at(totals, values[at] * slots + of[left[at]], 1)
-            at = here & (right != k)
-            np.add.at(totals, values[at] * slots + width + of[right[at]], 1)
-            np.add.at(totals, values[here & (left == values)] * slots + 2 * width, 1)
-            at = (values != k) & (left != k)
-            totals[k * slots:] += np.bincount(of[left[at]] * width + of[values[at]], minlength=width * width)
 
-        return more
+def counted(near: DataFrame, of: np.ndarray, table: np.ndarray, counts: np.ndarray, tokens: int, texts: int) -> State:
+    """The counts under the classes ``of`` the words and the end, from the neighbour table and the first words' bigrams ``table``."""
+    e, width, end = len(table) - 2, int(of[-1]) + 1, len(of) - 1
+    rare, slots = width - 2, 2 * width + 1
+    held = near.sparkSession.sparkContext.broadcast(of)  # a byte a word, SWEPT_WORDS at most
 
-    def beside():
+    def add():
         def more(batch, totals):
-            cls = batch.column(0).to_numpy().astype(np.int64)
-            for column, place in ((1, width), (2, 0)):
-                near, offsets = _ids(batch, column)
-                mine, near = np.repeat(cls, np.diff(offsets)), near.astype(np.int64)
-                at = near < k
-                np.add.at(totals, near[at] * slots + place + mine[at], 1)
-                at = near != k
-                first, second = (of[near[at]], mine[at]) if place else (mine[at], of[near[at]])
-                totals[k * slots:] += np.bincount(first * width + second, minlength=width * width)
+            of = held.value
+            for part in _sliced([batch]):
+                word, n, row, other, after, times = _table(part, end)
+                mine = of[word]
+                cls, beside = mine[row].astype(np.int64), of[other].astype(np.int64)
+                once = (after == 1) | (other < e) | (other == end)  # the others are under their other word
+                cells = np.where(after == 1, cls * width + beside, beside * width + cls)[once]
+                totals[:width * width] += np.bincount(cells, times[once], minlength=width * width).astype(np.int64)
+                totals[width * width:width * width + width] += np.bincount(mine, n, minlength=width).astype(np.int64)
+                first = other < e
+                cells = other[first] * slots + np.where(after[first] == 1, 0, width) + cls[first]
+                totals[-e * slots:] += np.bincount(cells, times[first], minlength=e * slots).astype(np.int64) if e else 0
 
         return more
 
-    totals, sizes, pairs = summed(ids, size, numbers, "lm-around"), np.bincount(of[:k], counts, minlength=width).astype(np.int64), None
-    rare_tokens = tokens - texts - int(counts.sum())
-    if words is not None:
-        totals += summed(words.select("cls", "lefts", "rights"), size, beside, "lm-around")
-        for r in words.groupBy("cls").agg(F.sum("n").alias("n")).collect():  # a row a class
-            sizes[r["cls"]] += r["n"]
-            rare_tokens -= r["n"]
-        known = words.select("word", "cls")
-        pairs = written(bigrams.join(known.select(F.col("word").alias("a"), F.col("cls").alias("ca")), "a").join(
-            known.select(F.col("word").alias("b"), F.col("cls").alias("cb")), "b"), "lm-pair-classes")
-        for r in pairs.groupBy("ca", "cb").agg(F.sum("times").alias("n")).collect():  # a row two classes
-            totals[k * slots + r["ca"] * width + r["cb"]] += r["n"]
-    sizes[rare] += rare_tokens
+    totals = summed(near, width * width + width + e * slots, add, "lm-around")
+    raw, sizes = totals[:width * width].reshape(width, width), totals[width * width:width * width + width]
+    around = totals[width * width + width:].reshape(e, slots)
+    # the first words' and the ends' bigrams among themselves
+    held_by = np.concatenate((of[:e], of[-1:])).astype(np.int64)
+    inner = np.delete(np.delete(table, e, axis=0), e, axis=1)
+    np.add.at(raw, (np.repeat(held_by, e + 1), np.tile(held_by, e + 1)), inner.ravel())
+    member = np.zeros((e + 1, width), dtype=np.int64)
+    member[np.arange(e + 1), held_by] = 1
+    around[:, :width] += (inner.T @ member)[:e]
+    around[:, width:2 * width] += (inner @ member)[:e]
+    around[:, 2 * width] += np.diagonal(inner)[:e]
+    np.add.at(sizes, of[:e], counts[:e])
+    sizes[rare] += tokens - texts - sizes.sum()  # sizes has words only so far
     sizes[width - 1] = texts
-    around, moves = totals[:k * slots].reshape(k, slots), totals[k * slots:].reshape(width, width)
     for lo in (0, width):
-        around[:, lo + rare] += counts - around[:, lo:lo + width].sum(axis=1)
-    others = np.arange(width) != rare
-    moves[others, rare] += (sizes - moves.sum(axis=1))[others]
-    moves[rare] += sizes - moves.sum(axis=0)
-    return State(of, words, pairs, around, moves, sizes)
+        around[:, lo + rare] += counts[:e] - around[:, lo:lo + width].sum(axis=1)
+    return State(of, around, finished(raw, sizes), sizes, raw)
+
+
+def _around(part: pa.RecordBatch, of: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, their counts, and the classes around each."""
+    word, n, row, other, after, times = _table(part, len(of) - 1)
+    slots, rare = 2 * width + 1, width - 2
+    cells = row * slots + of[other] + np.where(after == 1, width, 0)
+    around = np.bincount(cells, times, minlength=len(word) * slots)
+    own = (other == word[row]) & (after == 1)
+    around += np.bincount(row[own] * slots + 2 * width, times[own], minlength=len(around))
+    around = around.astype(np.int64).reshape(len(word), slots)
+    for lo in (0, width):
+        around[:, lo + rare] += n - around[:, lo:lo + width].sum(axis=1)
+    return word, n, around
 
 
-def moved(state: State, counts: np.ndarray, e: int, step: int, parts: int) -> tuple[np.ndarray, DataFrame | None, int]:
-    """The classes of the numbers, and the words without one, after each word whose turn it is has moved to its best class.
-
-    The first ``e`` stay.  Last, the tokens of all words that another class suits better.
-    """
-    k, width = len(counts), len(state.moves)
-    rare, slots, table, sizes = width - 2, 2 * width + 1, state.moves, state.sizes
-    best = best_classes(table, sizes, state.around, counts, state.classes[:k], rare)
-    best[:e] = state.classes[:e]
-    of = np.concatenate((np.where(turn(state.around, step, parts), best, state.classes[:k]), state.classes[k:]))
-    wish = int(counts[best != state.classes[:k]].sum())
-    if state.words is None:
-        return of, None, wish
-    numbers = state.classes
-    held = state.words.sparkSession.sparkContext.broadcast((numbers, table, sizes))  # KNOWN_WORDS + 2 classes at most
-    pair = lambda word, slot: F.struct(F.col(word).alias("word"), slot.cast("int").alias("slot"), "times")
-    sides = F.array(pair("a", F.col("cb") + width), pair("b", F.col("ca")))
-    own = F.when(F.col("a") == F.col("b"), F.array(pair("a", F.lit(2 * width)))).otherwise(F.array())
-    beside = state.pairs.select(F.explode(F.concat(sides, own)).alias("p")).select("p.*").groupBy("word", "slot").agg(
-        F.sum("times").alias("times")).groupBy("word").agg(
-        F.collect_list("slot").alias("slots"), F.collect_list("times").alias("times"))
+def better_classes(near: DataFrame, state: State, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """The words beyond the first ones that another class suits better, that class, and their tokens."""
+    held = near.sparkSession.sparkContext.broadcast((state.classes, state.moves, state.sizes))
 
     def run(batches):
         of, table, sizes = held.value
-        for batch in batches:
-            m = batch.num_rows
-            if not m:
-                continue
-            n, cls = batch.column(1).to_numpy(), batch.column(2).to_numpy().astype(np.int64)
-            around = np.zeros((m, slots), dtype=np.int64)
-            for column, place in ((3, 0), (4, width)):
-                near, offsets = _ids(batch, column)
-                row, near = np.repeat(np.arange(m), np.diff(offsets)), near.astype(np.int64)
-                at = near != k
-                np.add.at(around, (row[at], place + of[near[at]]), 1)
-            at, offsets = _ids(batch, 5)
-            np.add.at(around, (np.repeat(np.arange(m), np.diff(offsets)), at), _ids(batch, 6)[0])
-            for lo in (0, width):
-                around[:, lo + rare] += n - around[:, lo:lo + width].sum(axis=1)
-            best = best_classes(table, sizes, around, n, cls, rare)
-            now = np.where(turn(around, step, parts), best, cls)
-            yield pa.RecordBatch.from_arrays([
-                *[batch.column(i) for i in (0, 1)], pa.array(now, pa.int32()), batch.column(3), batch.column(4), pa.array(best != cls),
-            ], names=["word", "n", "cls", "lefts", "rights", "wish"])
+        for part in _sliced(batches):
+            word, n, around = _around(part, of, len(table))
+            best = best_classes(table, sizes, around, n, of[word].astype(np.int64), len(table) - 2)
+            to = best != of[word]
+            if to.any():
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([word[to].astype("<i4").tobytes()], pa.binary()), pa.array([best[to].astype(np.uint8).tobytes()], pa.binary()),
+                    pa.array([int(n[to].sum())], pa.int64())], names=["words", "classes", "tokens"])
 
-    rows = state.words.select("word", "n", "cls", "lefts", "rights").join(beside, "word", "left").select(
-        "word", "n", "cls", "lefts", "rights", F.coalesce("slots", F.array().cast("array<int>")).alias("slots"),
-        F.coalesce("times", F.array().cast("array<bigint>")).alias("times"))
-    schema = "word string, n long, cls int, lefts array<int>, rights array<int>, wish boolean"
-    words = written(rows.mapInArrow(run, schema), "lm-words-around")
-    return of, words, wish + (words.where("wish").agg(F.sum("n")).first()[0] or 0)
+    # five bytes a word that would move, SWEPT_WORDS at most
+    rows = near.mapInArrow(run, "words binary, classes binary, tokens long").toArrow()
+    words, classes = (np.frombuffer(b"".join(rows.column(i).to_pylist()), dtype=d) for i, d in ((0, "<i4"), (1, np.uint8)))
+    return words, classes, sum(rows.column(2).to_pylist())
 
 
 def fit(encoded: DataFrame, counts: np.ndarray, tokens: int, types: int, texts: int, classes: int = CLASSES,
         exchange_words: int = EXCHANGE_WORDS) -> ClassModel:
     """The model of training rows ``ids``; ``counts`` of the numbered words, all ``tokens`` and ``types`` with the end's.
 
-    All words without a number are in the class of the rare ones.
+    All words outside the dictionary are in the class of the rare ones.
     """
     return fit_words(encoded, counts, None, tokens, types, texts, classes, exchange_words)[0]
 
 
 def fit_words(encoded: DataFrame, counts: np.ndarray, tail: DataFrame | None, tokens: int, types: int, texts: int,
-              classes: int = CLASSES, exchange_words: int = EXCHANGE_WORDS) -> tuple[ClassModel, DataFrame | None]:
-    """The model and ``word, n, cls`` of the words of ``tail`` (``word, n``), which have no number but a class."""
+              classes: int = CLASSES, exchange_words: int = EXCHANGE_WORDS, swept: int = SWEPT_WORDS) -> tuple[ClassModel, DataFrame | None]:
+    """The model and ``word, n, cls`` of the words of ``tail`` (``word, n``), which are not in the dictionary but have a class."""
     k = len(counts)
-    e = min(exchange_words, k)
+    e = min(exchange_words, k, swept)
     ids = encoded.select("ids")
 
     def bigrams():
@@ -516,41 +620,103 @@ def fit_words(encoded: DataFrame, counts: np.ndarray, tail: DataFrame | None, to
         return more
 
     table = summed(ids, (e + 2) ** 2, bigrams, "lm-bigrams").reshape(e + 2, e + 2)
-    of = exchange(table, classes)
-    c = int(of.max()) - 1  # exchange classes; then those of other words and of the end
-    start = np.concatenate((of[:e], np.full(k - e + 1, c), [c + 1])).astype(np.int64)
-    words, pairs = (None, None) if tail is None else joined_words(encoded, tail, c)
-    state = settled(ids, words, pairs, start, table, counts, tokens, texts)
+    first = exchange(table, classes)
+    c = int(first.max()) - 1  # exchange classes; then those of other words and of the end
     width = c + 2
-    sizes = state.sizes
+    if width > 256:
+        raise ValueError("254 classes at most")
+    tail = None if tail is None else numbered_tail(tail, k)
+    n_words = k + (0 if tail is None else tail.count())
+    near = neighbours(encoded, counts, tail, e)
+    beyond = near.where(F.col("word") >= swept) if n_words > swept else None
+    near = near.where(F.col("word") < swept) if n_words > swept else near
+    start = np.concatenate((first[:e], np.full(min(n_words, swept) - e, c), [c + 1])).astype(np.uint8)
+    state = settled(near, start, table, counts, tokens, texts)
+    of, sizes, raw = state.classes, state.sizes, state.raw
+    far = None
+    if beyond is not None:
+        far, sizes, raw = joined_last(beyond, state)
     share = (sizes + 1) / (sizes.sum() + width)
-    moves = (state.moves + TRANSITION_MASS * share) / (state.moves.sum(axis=1, keepdims=True) + TRANSITION_MASS)
-    rare_types, rare_tokens = types - k - (texts > 0), int(sizes[c])  # no word of a choice is left in that class
-    if tail is not None:
-        rare_types -= state.words.count()
+    moves = (finished(raw, sizes) + TRANSITION_MASS * share) / (finished(raw, sizes).sum(axis=1, keepdims=True) + TRANSITION_MASS)
+    rare_types, rare_tokens = types - n_words - (texts > 0), int(sizes[c])  # no word of a choice is left in that class
+    known = np.full(k + 2, c, dtype=np.int64)
+    known[:min(k, swept)], known[-1] = of[:min(k, swept)], c + 1
+    if far is not None and k > swept:  # the dictionary holds words beyond the sweeps
+        for r in far.where(F.col("number") < k).collect():
+            known[r["number"]] = r["cls"]
     model = ClassModel(
-        state.classes, np.log10(moves), sizes,
-        np.concatenate((np.log10(counts / np.maximum(1, sizes[state.classes[:k]])), [0.0, 0.0])),
+        known, np.log10(moves), sizes,
+        np.concatenate((np.log10(counts / np.maximum(1, sizes[known[:k]])), [0.0, 0.0])),
         np.concatenate((np.log10((counts + 1) / (tokens + types + 1)), -np.log10([tokens + types + 1.0]),
                         np.log10([(texts + 1) / (tokens + types + 1)]))),
         tokens, types, rare_tokens + RARE_MASS * (rare_types + 1),
     )
-    return model, None if tail is None else state.words.select("word", "n", "cls")
+    return model, None if tail is None else _classed(tail, of, far)
+
+
+def _classed(tail: DataFrame, of: np.ndarray, far: DataFrame | None) -> DataFrame:
+    """``word, n, cls`` of ``tail``."""
+    held = tail.sparkSession.sparkContext.broadcast(of)
+    schema = "word string, n long, cls int"
+
+    def run(batches):
+        for batch in batches:
+            cls = held.value[batch.column(2).to_numpy()].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cls)], names=["word", "n", "cls"])
+
+    near = tail.where(F.col("number") < len(of) - 1).select("word", "n", "number").mapInArrow(run, schema)
+    return near if far is None else near.unionByName(tail.join(far, "number").select("word", "n", "cls"))
+
+
+def joined_last(beyond: DataFrame, state: State) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """``number, cls`` of the words that took part in no sweep, and the sizes and raw moves with them.
+
+    Until then they count as words seen once; two of them side by side still do.
+    """
+    held, width = beyond.sparkSession.sparkContext.broadcast((state.classes, state.moves, state.sizes)), len(state.moves)
+
+    def run(batches):
+        of, table, sizes = held.value
+        for part in _sliced(batches):
+            word, n, around = _around(part, of, width)
+            best = best_classes(table, sizes, around, n, np.full(len(word), width - 2), width - 2)
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(best.astype(np.int32)), *part.columns[1:]], names=names)
+
+    names = ["word", "cls", "n", "codes", "times"]
+    chosen = written(beyond.mapInArrow(run, "word long, cls int, n long, codes array<bigint>, times array<bigint>"), "lm-beyond")
+
+    def add():
+        def more(batch, totals):
+            of = held.value[0]
+            n, row, other, after, times = _table(batch.select([0, 2, 3, 4]), len(of) - 1)[1:]
+            cls = batch.column(1).to_numpy().astype(np.int64)
+            mine, beside = cls[row], of[other].astype(np.int64)
+            cells = np.where(after == 1, mine * width + beside, beside * width + mine)
+            totals[:width * width] += np.bincount(cells, times, minlength=width * width).astype(np.int64)
+            totals[width * width:] += np.bincount(cls, n, minlength=width).astype(np.int64)
+
+        return more
+
+    totals = summed(chosen, width * width + width, add, "lm-beyond")
+    raw, more = state.raw + totals[:width * width].reshape(width, width), totals[width * width:]
+    sizes = state.sizes + more
+    sizes[width - 2] -= more.sum()
+    return chosen.select(F.col("word").alias("number"), "cls"), sizes, raw
 
 
 def exchanged_first(state: State, table: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Classes of the first words, of the bigrams ``table``, after exchange among all words, the others of which stay."""
     e, width = len(table) - 2, len(state.moves)
-    around, sizes = state.around[:e].astype(float), state.sizes.astype(float)
-    of, ends = np.concatenate((state.classes[:e], state.classes[-2:])), np.zeros((2, width))  # the last two never move
+    around, sizes = state.around.astype(float), state.sizes.astype(float)
+    of = np.concatenate((state.classes[:e], [width - 2, width - 1])).astype(np.int64)
+    ends = np.zeros((2, width))  # the last two never move
     ahead, after = (np.concatenate((around[:, lo:lo + width], ends)) for lo in (0, width))
     times = np.concatenate((counts[:e], [0, 0])).astype(float)
     return exchanged(table.astype(float), of, after, ahead, state.moves.astype(float), sizes, sizes.copy(), times, times,
                      width - 2, SWEEPS)[:e]
 
 
-def settled(ids: DataFrame, words: DataFrame | None, pairs: DataFrame | None, start: np.ndarray, table: np.ndarray,
-            counts: np.ndarray, tokens: int, texts: int) -> State:
+def settled(near: DataFrame, start: np.ndarray, table: np.ndarray, counts: np.ndarray, tokens: int, texts: int) -> State:
     """Sweeps over all words from the classes ``start``: count, and move each word to its best class.
 
     In a step the first words, those of the bigrams ``table``, move one by one
@@ -560,24 +726,30 @@ def settled(ids: DataFrame, words: DataFrame | None, pairs: DataFrame | None, st
     ``FEW_MOVES`` of the tokens, when a step gains less than ``LEAST_GAIN`` a
     token that may move, or when even ``MOST_PARTS`` parts lose.
     """
-    best, step, parts = counted(ids, words, pairs, start, counts, tokens, texts), 0, 1
-    k, e = len(counts), len(table) - 2
-    unclassed = bool((start[:len(counts)] == start[-2]).any()) or words is not None
+    best, step, parts = counted(near, start, table, counts, tokens, texts), 0, 1
+    e, rare = len(table) - 2, int(start[-1]) - 1
+    unclassed = bool((start == rare).any())
+    first = words = classes = None
     while True:
-        of, words, wish = moved(best, counts, e, step, parts)
-        if not unclassed:
-            first = exchanged_first(best, table, counts)
-            wish += int(counts[:e][first != best.classes[:e]].sum())
-            of[:e] = first
+        if words is None:  # the words that would move, under the best classes so far
+            words, classes, wish = better_classes(near, best, counts)
+            if not unclassed:
+                first = exchanged_first(best, table, counts)
+                wish += int(counts[:e][first != best.classes[:e]].sum())
         if not wish or (not unclassed and wish < FEW_MOVES * tokens):
             return best
-        state = counted(ids, words, pairs, of, counts, tokens, texts)
+        of = best.classes.copy()
+        now = turn(words, step, parts)
+        of[words[now]] = classes[now]
+        if not unclassed:
+            of[:e] = first
+        state = counted(near, of, table, counts, tokens, texts)
         gain = state.likelihood() - best.likelihood()
         step += 1
         if unclassed:  # the first step gives a class to all words
-            best, unclassed = state, False
+            best, unclassed, words = state, False, None
         elif gain > 0:
-            best = state
+            best, words = state, None
             if gain < LEAST_GAIN * tokens / parts:
                 return best
         else:
@@ -588,7 +760,7 @@ def settled(ids: DataFrame, words: DataFrame | None, pairs: DataFrame | None, st
 
 def lm_scores(
     docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", known_most: int = KNOWN_WORDS,
-    classes: int = CLASSES, exchange_words: int = EXCHANGE_WORDS,
+    classes: int = CLASSES, exchange_words: int = EXCHANGE_WORDS, swept: int = SWEPT_WORDS,
 ) -> DataFrame:
     """Scores of every text under the model of the rows for which ``train`` (of ``id_col``) holds.
 
@@ -597,8 +769,10 @@ def lm_scores(
     null text is empty.  ``base_score``: add-one unigram; ``score``: the class
     model's log10 probability.  Without training rows both are the
     probabilities of a model that has seen nothing.  Rows may repeat.
-    ``known_most`` words at most have numbers in a broadcast; the others are
-    joined, with the same result.
+    ``known_most`` words at most are in the tasks' dictionary; the others are
+    joined, with the same result.  ``swept`` words at most take part in the
+    sweeps; any others join the classes that these have settled.  Empty tables
+    stay empty.  Only the two named columns are read.
     """
     rows = docs.select(F.col(id_col).alias("id"), (~train).alias("held_out"), F.col(text_col).alias("text"))
     vocabulary = written(count_words(rows.where("not held_out"), "text"), "lm-words")
@@ -611,7 +785,8 @@ def lm_scores(
     others = vocabulary.where((F.col("word") != END) & (_step(F.col("n")) < first_step))
     tail = others.where("n > 1")
     model, classed = fit_words(
-        encoded.where("not held_out"), counts, tail if tail.limit(1).count() else None, tokens, types, texts, classes, exchange_words)
+        encoded.where("not held_out"), counts, tail if tail.limit(1).count() else None, tokens, types, texts, classes, exchange_words,
+        swept)
     k, rare = len(words), len(model.moves) - 2
     held = docs.sparkSession.sparkContext.broadcast(model)
 
