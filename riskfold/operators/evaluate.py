@@ -113,8 +113,8 @@ def roc_curve(df: DataFrame, label_col: str = "target", score_col: str = "prob",
     return _roc(score_points(df, label_col, score_col, decimals), n_ranges)
 
 
-def _roc(points: DataFrame, n_ranges: int | None) -> DataFrame:
-    pts = running_totals(points, "score", ["pos", "neg"], descending=True, n_ranges=n_ranges)
+def _roc(points: DataFrame, n_ranges: int | None, materialise: bool = True) -> DataFrame:
+    pts = running_totals(points, "score", ["pos", "neg"], descending=True, n_ranges=n_ranges, materialise=materialise)
     return pts.select(
         "score", "pos", "neg",
         F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
@@ -144,13 +144,14 @@ def metric_report(df: DataFrame, label_col: str = "target", score_col: str = "pr
     """All headline metrics in one row, from one pass over the ROC points.
 
     The confusion counts at ``threshold`` are sums over the distinct-score
-    rows, so no second scan of the scored table is needed.
+    rows, so no second scan of the scored table is needed; the points are
+    checkpointed once, and the unscored rows are one of them.
     """
     shared_root(df.sparkSession)
     points = score_points(df, label_col, score_col, decimals, unscored=True).checkpoint(eager=True)
+    roc = _roc(points.where(F.col("score").isNotNull()), n_ranges, materialise=False)
     unscored = points.where(F.col("score").isNull()).agg(
-        F.coalesce(F.sum(F.col("pos") + F.col("neg")), F.lit(0)).alias("n_unscored")).first()[0]
-    roc = _roc(points.where(F.col("score").isNotNull()), n_ranges)
+        F.coalesce(F.sum(F.col("pos") + F.col("neg")), F.lit(0)).alias("n_unscored"))
     above = F.col("score") >= F.lit(threshold)
     agg = roc.agg(
         F.try_divide(_auc_sum(roc), F.max("n_pos").cast("double") * F.max("n_neg")).alias("auc"),
@@ -158,12 +159,12 @@ def metric_report(df: DataFrame, label_col: str = "target", score_col: str = "pr
         F.sum(F.when(above, 0).otherwise(F.col("neg"))).alias("tn"),
         F.sum(F.when(above, F.col("neg")).otherwise(0)).alias("fp"),
         F.sum(F.when(above, 0).otherwise(F.col("pos"))).alias("fn"),
-    )
+    ).crossJoin(F.broadcast(unscored))  # one row each
     tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
     return agg.select(
         "auc", (F.col("auc") * lb_factor).alias("auc_scaled"), F.lit(threshold).alias("threshold"),
         *[F.coalesce(c, F.lit(0)).alias(n) for n, c in (("tp", tp), ("tn", tn), ("fp", fp), ("fn", fn))],
-        F.lit(unscored).cast("long").alias("n_unscored"),
+        "n_unscored",
         *_rates(*[F.coalesce(c, F.lit(0)) for c in (tp, tn, fp, fn)]),
     )
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskfold.session import fresh_table
+
 # The original's seed and training share.
 DEFAULT_SEED = 42
 DEFAULT_TRAIN_PCT = 80
@@ -47,8 +49,13 @@ def with_random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = DEFAULT_SEE
 
 
 def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = DEFAULT_SEED) -> tuple[DataFrame, DataFrame]:
-    """The two parts of :func:`with_random_split`; persist it first if ``df`` may change between reads."""
-    both = with_random_split(df, weights, seed, "__split")
+    """The two parts of one draw of :func:`with_random_split`.
+
+    The draw is written to the shared folder, once, and both parts are read
+    from there: whatever becomes of the layout of ``df`` or of an executor, a
+    row is in exactly one of them.
+    """
+    both = fresh_table(with_random_split(df, weights, seed, "__split"), "random-split")
     return (both.where(F.col("__split") == "train").drop("__split"),
             both.where(F.col("__split") == "test").drop("__split"))
 

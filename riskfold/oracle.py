@@ -266,7 +266,7 @@ def _trained(preset: str, trees: int) -> str:
 
 
 _RUN = (
-    f"'statements-quick' AS model_name, 'quick' AS preset, '{','.join(sorted(CLEAN_NUMERIC))}' AS numeric_cols, "
+    f"'statements-script' AS model_name, 'script' AS preset, '{','.join(sorted(CLEAN_NUMERIC))}' AS numeric_cols, "
     f"'{','.join(sorted(CLEAN_CATEGORICAL))}' AS categorical_cols, {HOLDOUT} AS n_holdout, true AS auc_above_floor"
 )
 _INPUTS = ",".join(sorted([*[f"{c}_imp" for c in CLEAN_NUMERIC], *[f"{c}_idx" for c in CLEAN_CATEGORICAL]]))
@@ -297,6 +297,62 @@ ORACLE.update({
 })
 
 
+# --- mergeable states, dictionaries as tables, request keys -------------------
+
+def _state(c: str, group: str, source: str = "statements") -> str:
+    number = f"CAST({pv(c)} AS DOUBLE)"
+    of_kept = "CAST(n_kept - n_present AS DOUBLE) / nullif(n_kept, 0)" if ROLE[c] in ("numeric", "categorical") else "CAST(NULL AS DOUBLE)"
+    stats = f"avg({number}) AS m, stddev_samp({number}) AS s" if ROLE[c] == "numeric" else "CAST(NULL AS DOUBLE) AS m, CAST(NULL AS DOUBLE) AS s"
+    key = f"{group} AS state_key, " if group else ""
+    return (
+        f"SELECT {'state_key, ' if group else ''}'{c}' AS column_name, '{ROLE[c]}' AS role, n_rows, n_rows - n_present AS n_missing, "
+        f"{R('CAST(n_rows - n_present AS DOUBLE) / n_rows * 100', 'pct_missing')}, n_kept, {R(of_kept, 'missing_rate')}, n_present, "
+        f"{R('m', 'mean')}, {R('s', 'stddev')} FROM (SELECT {key}count(*) AS n_rows, count(*) FILTER (WHERE {KEEP}) AS n_kept, "
+        f"count({pv(c) if ROLE[c] == 'numeric' else c}) AS n_present, {stats} FROM {source}{' GROUP BY 1' if group else ''})")
+
+
+def _index(c: str, value: str | None = None) -> str:
+    return (f"SELECT '{c}' AS column_name, v AS value, n, row_number() OVER (ORDER BY n DESC, v) - 1 AS idx "
+            f"FROM (SELECT coalesce(CAST({value or c} AS VARCHAR), 'missing') AS v, count(*) AS n FROM clean GROUP BY 1)")
+
+
+_PRICE = f"CASE WHEN line_no % 3 = 0 THEN 'hot' ELSE CAST(CAST({pv('n_price')} AS DECIMAL(18,2)) AS VARCHAR) END"
+_DICTIONARY = "\nUNION ALL\n".join([*[_index(c) for c in CLEAN_CATEGORICAL], _index("customer_id"), _index("v_price", _PRICE)])
+_KINDS = ("CASE WHEN key IN (" + ", ".join(f"'{c}'" for c in CLEAN_NUMERIC) + ") THEN 'numeric' WHEN key IN ("
+          + ", ".join(f"'{c}'" for c in CLEAN_CATEGORICAL) + ") THEN 'categorical' ELSE 'unknown' END")
+_KEYS = RQ + (f", e AS (SELECT key, value, {_KINDS} AS kind FROM (SELECT unnest(map_keys(features)) AS key, unnest(map_values(features)) AS value "
+              "FROM {features})),\nr AS (SELECT key, kind, count(*) AS n_requests, count(*) - count(value) AS n_null, "
+              "count(*) FILTER (WHERE kind = 'numeric' AND value IS NOT NULL AND TRY_CAST(value AS DOUBLE) IS NULL) AS n_failed_cast "
+              "FROM e GROUP BY key, kind)\n")
+
+ORACLE.update({
+    "profile_state_months": S + "\nUNION ALL\n".join(_state(c, "substr(date, 1, 7)") for c in ALL),
+    "profile_state_merged": S + "\nUNION ALL\n".join(_state(c, "") for c in ALL),
+    "value_dictionary": CLEAN + _DICTIONARY,
+    "string_index_joined": CLEAN + f", x AS ({_DICTIONARY})\nSELECT t.customer_id, t.line_no, " + ", ".join(
+        f"x_{c}.value AS {c}, CAST(x_{c}.idx AS DOUBLE) AS {c}_idx" for c in CLEAN_CATEGORICAL)
+    + ", CAST(x_customer_id.idx AS DOUBLE) AS customer_id_idx FROM clean t " + " ".join(
+        f"JOIN x x_{c} ON x_{c}.column_name = '{c}' AND x_{c}.value = coalesce(CAST(t.{c} AS VARCHAR), 'missing')"
+        for c in (*CLEAN_CATEGORICAL, "customer_id")),
+    "auc_sketch": SC + ROC + f", exact AS (SELECT {AUC} AS a FROM cum), k AS (SELECT least(greatest(floor(prob * 256), 0), 255) AS cell, "
+    "CAST(count(*) FILTER (WHERE target = 1) AS DOUBLE) AS p, CAST(count(*) FILTER (WHERE target = 0) AS DOUBLE) AS n, "
+    "min(prob) AS lo, max(prob) AS hi FROM scored GROUP BY 1), w AS (SELECT *, coalesce(sum(n) OVER (ORDER BY cell ROWS BETWEEN "
+    "UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM k)\nSELECT "
+    + R("sum(p * (below + n / 2)) / (sum(p) * sum(n))", "auc") + ", "
+    + R("sum(CASE WHEN lo < hi THEN p * n / 2 ELSE 0 END) / (sum(p) * sum(n))", "error_bound")
+    + ", CAST(sum(p) AS BIGINT) AS n_pos, CAST(sum(n) AS BIGINT) AS n_neg, CAST(0 AS BIGINT) AS n_unscored, "
+    "abs(sum(p * (below + n / 2)) / (sum(p) * sum(n)) - (SELECT a FROM exact)) "
+    "<= sum(CASE WHEN lo < hi THEN p * n / 2 ELSE 0 END) / (sum(p) * sum(n)) + 1e-12 AS within_bound FROM w",
+    "request_key_report": _KEYS.format(features="requests") + "SELECT * FROM r",
+    "request_key_top": _KEYS.format(features="""(SELECT CASE WHEN cardinality(features) > 0 THEN map_concat(features,
+        MAP([concat('x_', CAST(customer_id AS BIGINT) % 97)], ['1'])) ELSE features END AS features FROM requests)""")
+    + "SELECT CASE WHEN kind <> 'unknown' OR rank <= 10 THEN key END AS key, kind, CAST(sum(n_requests) AS BIGINT) AS n_requests, "
+    "CAST(sum(n_null) AS BIGINT) AS n_null, CAST(sum(n_failed_cast) AS BIGINT) AS n_failed_cast FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY kind ORDER BY n_requests DESC, key) AS rank FROM r) GROUP BY 1, 2",
+    "fit_layouts": "SELECT * FROM (VALUES (1, true), (4, true), (8, true)) AS v(input_partitions, same_trees)",
+})
+
+
 # --- wide statements: the same questions at ~190 columns ---------------------
 
 from riskfold.roles import DEFAULT_CATEGORICAL_COLS  # noqa: E402

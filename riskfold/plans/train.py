@@ -9,6 +9,9 @@ round re-reads it; it is unpersisted afterwards.
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -24,7 +27,8 @@ from riskfold.operators.clean import DEFAULT_MISSING_THRESHOLD, clean
 from riskfold.operators.prep import CAT, FEATURES, NUM, preparation_stages
 from riskfold.operators.split import DEFAULT_SEED, DEFAULT_TRAIN_PCT, hash_split, random_split
 from riskfold.roles import Roles
-from riskfold.session import publish, versions
+from riskfold.session import path_exists, publish, versions
+from riskfold.sources.bundles import BundleError, verify, write_manifest
 
 # The two training settings of the original pipeline (the
 # notebook's and the script's), plus a small setting for tests and benchmarks.
@@ -84,15 +88,43 @@ def check_categories(df: DataFrame, columns, most: int) -> None:
                          "the string indexer keeps every value on the driver")
 
 
+def dealt(df: DataFrame, row_key: Sequence[str], num_partitions: int, columns: Sequence[str]) -> DataFrame:
+    """``columns`` of ``df`` in a layout that depends on the rows alone.
+
+    Rows that tie in the key are ordered by the columns; those that tie in
+    these too are the same to the fit.  The number of partitions is stated, so
+    adaptive execution leaves it as it is.
+    """
+    rest = [c for c in columns if c not in row_key]
+    order = [F.col(f"`{c}`") for c in (*row_key, *rest)]
+    return df.select(*order).repartition(num_partitions, *order[:len(row_key)]).sortWithinPartitions(*order).select(
+        *[F.col(f"`{c}`") for c in columns])
+
+
+def model_digest(model: PipelineModel, digits: int = 9) -> str:
+    """SHA-256 of the trees: structure, split features, and all numbers to ``digits`` significant digits.
+
+    The last bits of a sum depend on the order in which tasks finish.
+    """
+    gbt_model = model.stages[-1]
+    text = re.sub(r"uid=\S+", "", gbt_model.toDebugString)
+    text = re.sub(r"-?\d+\.\d+(?:E-?\d+)?", lambda m: f"{float(m[0]):.{digits}g}", text)
+    weights = ",".join(f"{w:.{digits}g}" for w in gbt_model.treeWeights)
+    return hashlib.sha256(f"{text}\n{weights}".encode()).hexdigest()
+
+
 def fit(df: DataFrame, roles: Roles, preset: str = "script", id_col: str | None = None,
         seed: int = DEFAULT_SEED, train_pct: int = DEFAULT_TRAIN_PCT, split: str = "hash",
         missing_threshold: float = DEFAULT_MISSING_THRESHOLD, num_partitions: int | None = None,
-        max_categories: int | None = None, **overrides) -> Trained:
+        max_categories: int | None = None, row_key: Sequence[str] | None = None, **overrides) -> Trained:
     """Clean, split, weight and fit; returns the fitted PipelineModel and the splits.
 
     ``num_partitions`` deals the training rows out anew; by default they stay
-    as the scan reads them.  With row subsampling the fit depends on the
-    partitions, so name a number where fits on other clusters must agree.
+    as the scan reads them.  Row subsampling and the search for splits draw
+    rows by partition and place, so the same rows in another layout give
+    another model.  ``row_key`` (columns) with ``num_partitions`` makes the fit
+    independent of the layout: rows go to partitions by a hash of the key and
+    are sorted inside by the key, then by all that the fit reads.
     ``max_categories`` refuses categorical columns with more values, of which
     the string indexer keeps all on the driver; by default none is refused.
     """
@@ -109,8 +141,14 @@ def fit(df: DataFrame, roles: Roles, preset: str = "script", id_col: str | None
     needed = [roles.label_col, *roles.numeric, *roles.categorical]
     # Persist the narrow training projection first: the class-weight count
     # fills the cache in the same scan, and every later fit reads the cache.
-    base = train.select(*needed)
-    base = (base.repartition(num_partitions) if num_partitions else base).persist(StorageLevel.MEMORY_AND_DISK)
+    if row_key is not None:
+        if not num_partitions:
+            raise ValueError("row_key needs num_partitions: without it the layout is the cluster's")
+        base = dealt(train, row_key, num_partitions, needed)
+    else:
+        base = train.select(*needed)
+        base = base.repartition(num_partitions) if num_partitions else base
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         weights = class_weights(base, roles.label_col, method)
         if max_categories is not None:
@@ -164,11 +202,19 @@ def scored_rows(model: PipelineModel, df: DataFrame, keep, threshold: float = DE
 
 
 def save(model: PipelineModel, base: str) -> str:
-    """Save into a version of its own under ``base`` and return that path; other versions stay."""
+    """Save into a version of its own under ``base`` and return that path; other versions stay.
+
+    The version's manifest names its files and the columns that the model reads.
+    """
     from pyspark.sql import SparkSession
 
     spark = SparkSession.getActiveSession()
-    return publish(spark, lambda path: model.write().save(path), base)
+
+    def write(path: str) -> None:
+        model.write().save(path)
+        write_manifest(spark, path, *model_feature_columns(model))
+
+    return publish(spark, write, base)
 
 
 def latest(path: str) -> str:
@@ -179,12 +225,26 @@ def latest(path: str) -> str:
     return found[-1] if found else path
 
 
-def load(path: str) -> PipelineModel:
-    """Load the newest version under ``path``, or the model at ``path``; raises when there is none."""
-    return PipelineModel.load(latest(path))
+def load(path: str, contents: bool = True) -> PipelineModel:
+    """Load the newest version under ``path``, or the model at ``path``; raises when there is none.
+
+    A version whose files are not those of its manifest is refused by their
+    names (:class:`riskfold.sources.bundles.BundleError`); ``contents=False``
+    leaves out the digests.
+    """
+    from pyspark.sql import SparkSession
+
+    spark, path = SparkSession.getActiveSession(), latest(path)
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"no saved model at {path}")
+    manifest = verify(spark, path, contents)
+    model = PipelineModel.load(path)
+    if [list(c) for c in model_feature_columns(model)] != [manifest["numeric"], manifest["categorical"]]:
+        raise BundleError(path, ["the model's columns are not those of the manifest"])
+    return model
 
 
 __all__ = [
-    "PRESETS", "Trained", "build_pipeline", "check_categories", "fit", "gbt", "labelled", "latest", "load",
-    "model_feature_columns", "model_input", "probability_of_default", "save", "scored_rows",
+    "PRESETS", "Trained", "build_pipeline", "check_categories", "dealt", "fit", "gbt", "labelled", "latest", "load",
+    "model_digest", "model_feature_columns", "model_input", "probability_of_default", "save", "scored_rows",
 ]

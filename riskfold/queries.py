@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskfold.functions.scoring import risk_level, threshold_label
-from riskfold.operators import balance, clean as clean_ops, evaluate, prep, profile, split
+from riskfold.operators import balance, clean as clean_ops, dictionary, evaluate, prep, profile, profile_state, sketch, split
 from riskfold.plans import score as score_plan, train as train_plan
 from riskfold.roles import schema_report as _schema_report
 from riskfold.session import new_version, shared_path, versions
 from riskfold.sources import fixtures, requests as req, runs
 from riskfold.sources.tables import TABLES, read_table
-from riskfold.streaming.score_stream import start_scoring_stream
+from riskfold.streaming.score_stream import read_committed, start_scoring_stream
 
 DIGITS = 6
 PREVIEW_ROWS = 20
@@ -456,10 +456,21 @@ def q_auc_evaluator(spark, sf_dir):
     return rounded(own.select("auc", F.lit(exact).alias("evaluator_auc"), "n_pos", "n_neg"))
 
 
+_TRAINED: dict[str, train_plan.Trained] = {}
+
+
+def _trained(spark, sf_dir) -> train_plan.Trained:
+    """The serving preset fitted in this process on these files; the keys on saving and recording share one fit."""
+    key = _model_base(spark, sf_dir, SERVING_PRESET)
+    if key not in _TRAINED:
+        _TRAINED[key] = _fitted(spark, sf_dir, SERVING_PRESET)
+    return _TRAINED[key]
+
+
 def q_score_reload(spark, sf_dir):
     """Scores of a model before it is saved and after it is loaded: rows and differences."""
-    trained = _fitted(spark, sf_dir, "quick")
-    again = train_plan.load(train_plan.save(trained.model, _model_base(spark, sf_dir, "quick")))
+    trained = _trained(spark, sf_dir)
+    again = train_plan.load(train_plan.save(trained.model, _model_base(spark, sf_dir, SERVING_PRESET)))
     keep = ["customer_id", "line_no", "target"]
     return _differences(
         train_plan.scored_rows(trained.model, trained.test, keep), train_plan.scored_rows(again, trained.test, keep))
@@ -484,20 +495,22 @@ def q_score_stream(spark, sf_dir):
     requests.write.json(f"{run}/requests")
     start_scoring_stream(spark, model, f"{run}/requests", f"{run}/out", f"{run}/checkpoint").awaitTermination()
     bulk, _ = score_plan.score_requests(requests, model)
-    streamed = spark.read.parquet(f"{run}/out/scored").select(*bulk.columns)
-    rejected = spark.read.parquet(f"{run}/out/rejected").agg(F.count(F.lit(1)).alias("n_rejected"))
+    streamed = read_committed(spark, f"{run}/out", "scored").select(*bulk.columns)
+    rejected = read_committed(spark, f"{run}/out", "rejected").agg(F.count(F.lit(1)).alias("n_rejected"))
     return _differences(rounded(bulk), rounded(streamed)).crossJoin(F.broadcast(rejected))  # one row
 
 
 def _recorded_run(spark, sf_dir) -> str:
-    """A runs table with two runs of the quick preset, made in this call; its path."""
+    """A runs table with two runs of the serving preset, the first one compacted, made in this call; its path."""
     runs_path = new_version(shared_path(spark, "riskfold", "runs"))
-    trained = _fitted(spark, sf_dir, "quick")
-    path = train_plan.save(trained.model, _model_base(spark, sf_dir, "quick"))
+    trained = _trained(spark, sf_dir)
+    path = train_plan.save(trained.model, _model_base(spark, sf_dir, SERVING_PRESET))
     metrics = holdout_metrics(trained.model, trained.test).first().asDict()
-    for _ in range(2):
+    for n in range(2):
         runs.append_run(runs.run_record(
-            spark, "statements-quick", path, trained, metrics, prep.feature_input_cols(trained.roles)), runs_path)
+            spark, f"statements-{SERVING_PRESET}", path, trained, metrics, prep.feature_input_cols(trained.roles)), runs_path)
+        if n == 0:
+            runs.compact_runs(spark, runs_path)
     return runs_path
 
 
@@ -520,6 +533,90 @@ def q_model_info(spark, sf_dir):
     return _recorded(runs.model_info(spark, _recorded_run(spark, sf_dir)))
 
 
+# ------------------------------------------------------ mergeable states ----
+
+_MONTH = F.substring("date", 1, 7)
+
+
+def _profile_states(spark, sf_dir) -> DataFrame:
+    """States of all months, stored as two versions: all but the last month, then that one from its own rows."""
+    df, roles = _statements(spark, sf_dir)
+    base = new_version(shared_path(spark, "riskfold", "profile-states"))
+    last = df.agg(F.max(_MONTH)).first()[0]
+    for part in (df.where(_MONTH < last), df.where(_MONTH == last)):
+        profile_state.add_states(profile_state.profile_states(part, roles, _MONTH), base)
+    return profile_state.read_states(spark, base)
+
+
+def q_profile_state_months(spark, sf_dir):
+    """Profile of each month, from the stored states."""
+    states = _profile_states(spark, sf_dir)
+    return rounded(profile_state.profile_of(states, [profile_state.KEY])).select(
+        profile_state.KEY, "column_name", "role", "n_rows", "n_missing", "pct_missing", "n_kept", "missing_rate", "n_present", "mean", "stddev")
+
+
+def q_profile_state_merged(spark, sf_dir):
+    """Profile, missing rates, means and deviations of the whole table from the months' states: years first, then all."""
+    states = _profile_states(spark, sf_dir)
+    years = profile_state.merge_states(states.withColumn("year", F.substring(profile_state.KEY, 1, 4)), ["year"])
+    return rounded(profile_state.profile_of(profile_state.merge_states(years)))
+
+
+def q_value_dictionary(spark, sf_dir):
+    """The dictionary of the categoricals and of two columns of many values, one of them with a hot value."""
+    c = _cleaned(spark, sf_dir)
+    df = c.df.withColumn("v_price", F.when(F.col("line_no") % 3 == 0, F.lit("hot")).otherwise(F.col("n_price").try_cast("decimal(18,2)").cast("string")))
+    return dictionary.value_dictionary(df, [*c.roles.categorical, "customer_id", "v_price"])
+
+
+def q_string_index_joined(spark, sf_dir):
+    """Index of the categoricals and of every customer, by joins; few values are broadcast, so both joins are taken."""
+    c = _cleaned(spark, sf_dir)
+    columns = [*c.roles.categorical, "customer_id"]
+    values = dictionary.value_dictionary(c.df, columns)
+    out = dictionary.index_with(c.df.select("customer_id", "line_no", *c.roles.categorical), values, columns)
+    return out.select("customer_id", "line_no", *[x for k in c.roles.categorical for x in (
+        F.col(f"{k}__value").alias(k), F.col(f"{k}{prep.IDX}"))], f"customer_id{prep.IDX}")
+
+
+def q_auc_sketch(spark, sf_dir):
+    """Area and error bound from the merged sketches of parts of the rows, next to the exact area."""
+    df = fixtures.scored(spark, sf_dir).withColumn("part", F.floor(F.col("prob") * 7919) % 5)
+    merged = sketch.merge_sketches(sketch.score_sketch(df, bits=8, by=["part"]))
+    exact = evaluate.auc_exact(df).select(F.col("auc").alias("exact"))
+    both = sketch.auc_of(merged).crossJoin(F.broadcast(exact))  # one row each
+    within = F.abs(F.col("auc") - F.col("exact")) <= F.col("error_bound") + 1e-12
+    return rounded(both.select("auc", "error_bound", "n_pos", "n_neg", "n_unscored", within.alias("within_bound")))
+
+
+def q_request_key_report(spark, sf_dir):
+    return req.request_key_report(req.lineitem_requests(spark, sf_dir), MODEL_NUMERIC, MODEL_CATEGORICAL)
+
+
+def q_request_key_top(spark, sf_dir):
+    """Requests with a key of their own part's name: only the most frequent unknown keys are named."""
+    own = F.map_from_arrays(F.array(F.concat(F.lit("x_"), F.col("customer_id").cast("long") % 97)), F.array(F.lit("1")))
+    r = req.lineitem_requests(spark, sf_dir).withColumn(
+        "features", F.when(F.size("features") > 0, F.map_concat("features", own)).otherwise(F.col("features")))
+    return req.request_key_report(r, MODEL_NUMERIC, MODEL_CATEGORICAL, most_unknown=10)
+
+
+LAYOUTS = (1, 4, 8)
+
+
+def q_fit_layouts(spark, sf_dir):
+    """The notebook's row sampling over three layouts of the same rows: the trees are the same.
+
+    Twelve rounds a fit: each draws rows anew, which is what depends on the layout.
+    """
+    df, roles = _statements(spark, sf_dir)
+    digests = [train_plan.model_digest(train_plan.fit(
+        df.repartition(n), roles, preset="notebook", id_col="customer_id", num_partitions=8, row_key=["customer_id", "line_no"],
+        maxIter=12).model) for n in LAYOUTS]
+    rows = [(n, d == digests[0]) for n, d in zip(LAYOUTS, digests)]
+    return spark.createDataFrame(rows, "input_partitions int, same_trees boolean")
+
+
 QUERIES = {
     "scan_count": q_scan_count,
     "schema_report": q_schema_report,
@@ -577,4 +674,12 @@ QUERIES = {
     "score_stream": q_score_stream,
     "run_record": q_run_record,
     "model_info": q_model_info,
+    "profile_state_months": q_profile_state_months,
+    "profile_state_merged": q_profile_state_merged,
+    "value_dictionary": q_value_dictionary,
+    "string_index_joined": q_string_index_joined,
+    "auc_sketch": q_auc_sketch,
+    "request_key_report": q_request_key_report,
+    "request_key_top": q_request_key_top,
+    "fit_layouts": q_fit_layouts,
 }

@@ -114,3 +114,44 @@ def written_table(spark: SparkSession, name: str, build) -> DataFrame:
     if not versions(spark, base):
         publish(spark, lambda path: build().write.parquet(path), base)
     return spark.read.parquet(versions(spark, base)[0])
+
+
+def fresh_table(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read from there: a step that is not computed twice."""
+    path = shared_path(df.sparkSession, "riskfold", "steps", f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, through Hadoop's FileSystem."""
+    fs, jpath = _fs(spark, path)
+    fs.delete(jpath, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, through Hadoop's FileSystem."""
+    fs, jpath = _fs(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
+    """Write a small text file, through Hadoop's FileSystem; it must not be there unless ``overwrite``."""
+    fs, jpath = _fs(spark, path)
+    stream = fs.create(jpath, overwrite)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files right under ``path``, sorted; none if there is no such folder."""
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isFile())

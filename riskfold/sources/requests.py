@@ -78,6 +78,58 @@ def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, rejected
 
 
+def key_counts(requests: DataFrame, numeric, categorical) -> DataFrame:
+    """``key, kind, n_requests, n_null, n_failed_cast`` of every key that valid requests have.
+
+    ``kind``: numeric, categorical or unknown (dropped when requests become
+    columns).  ``n_failed_cast``: values of a numeric key that are text and no
+    number, which become NULL.  One aggregate over the exploded maps, with
+    partial sums before the shuffle, so a key in every request is no hot key.
+    """
+    valid, _ = split_requests(requests)
+    return _counted(_entries(valid, numeric, categorical))
+
+
+def _entries(valid: DataFrame, numeric, categorical) -> DataFrame:
+    kinds = {**{c: "categorical" for c in categorical}, **{c: "numeric" for c in numeric}}
+    pairs = ", ".join(f"{lit_str(c)}, {lit_str(k)}" for c, k in kinds.items())
+    known = f"try_element_at(map({pairs}), key)" if kinds else "CAST(NULL AS STRING)"
+    return valid.select(F.explode("features").alias("key", "value")).selectExpr(
+        "key", f"coalesce({known}, 'unknown') AS kind", "value")
+
+
+def _counted(entries: DataFrame) -> DataFrame:
+    failed = (F.col("kind") == "numeric") & F.col("value").isNotNull() & F.col("value").try_cast("double").isNull()
+    return entries.groupBy("key", "kind").agg(
+        F.count(F.lit(1)).alias("n_requests"), F.count_if(F.col("value").isNull()).alias("n_null"),
+        F.count_if(failed).alias("n_failed_cast"))
+
+
+def frequent_unknown_keys(valid: DataFrame, numeric, categorical, most: int) -> DataFrame:
+    """``key`` of the ``most`` unknown keys with the most requests, ties in key order.
+
+    Counted by a shuffle with partial sums; then each task keeps its ``most``
+    largest, so however many keys there are, no step holds more of them.
+    """
+    unknown = _entries(valid, numeric, categorical).where("kind = 'unknown'").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return unknown.orderBy(F.col("n").desc(), "key").limit(most).select("key")
+
+
+def request_key_report(requests: DataFrame, numeric, categorical, most_unknown: int | None = None) -> DataFrame:
+    """:func:`key_counts`, with only the ``most_unknown`` most frequent unknown keys by name where that is given.
+
+    All other unknown keys are one row with key NULL, so the report stays
+    small when keys are made up by the thousand; every count is exact.
+    """
+    if most_unknown is None:
+        return key_counts(requests, numeric, categorical)
+    valid, _ = split_requests(requests)
+    named = frequent_unknown_keys(valid, numeric, categorical, most_unknown).select("key", F.lit(True).alias("__named"))
+    entries = _entries(valid, numeric, categorical).join(F.broadcast(named), "key", "left")  # `most_unknown` rows
+    key = F.when((F.col("kind") != "unknown") | F.col("__named"), F.col("key"))
+    return _counted(entries.select(key.alias("key"), "kind", "value"))
+
+
 # Requests synthesised from lineitem for bulk and stream scoring: three known
 # keys as text, one integer-valued key, one unknown key, text in a numeric
 # field for some rows, and an empty map for others.
