@@ -671,7 +671,7 @@ def _classed(tail: DataFrame, of: np.ndarray, far: DataFrame | None) -> DataFram
 def joined_last(beyond: DataFrame, state: State) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """``number, cls`` of the words that took part in no sweep, and the sizes and raw moves with them.
 
-    Until then they count as words seen once; two of them side by side still do.
+    Until then they count as words seen once.
     """
     held, width = beyond.sparkSession.sparkContext.broadcast((state.classes, state.moves, state.sizes)), len(state.moves)
 
@@ -699,6 +699,14 @@ def joined_last(beyond: DataFrame, state: State) -> tuple[DataFrame, np.ndarray,
 
     totals = summed(chosen, width * width + width, add, "lm-beyond")
     raw, more = state.raw + totals[:width * width].reshape(width, width), totals[width * width:]
+    # bigrams of two such words: under the first of them
+    entry, other = F.col("e"), F.shiftright("e.codes", 1)
+    pairs = chosen.select("cls", F.explode(F.arrays_zip("codes", "times")).alias("e")).where(
+        (entry["codes"] % 2 == 1) & (other >= len(state.classes) - 1) & (other != _END)).select(
+        "cls", other.alias("word"), entry["times"].alias("times"))
+    pairs = pairs.join(chosen.select("word", F.col("cls").alias("to")), "word").groupBy("cls", "to").agg(F.sum("times").alias("n"))
+    for r in pairs.collect():  # a row two classes
+        raw[r["cls"], r["to"]] += r["n"]
     sizes = state.sizes + more
     sizes[width - 2] -= more.sum()
     return chosen.select(F.col("word").alias("number"), "cls"), sizes, raw

@@ -125,6 +125,29 @@ def test_words_beyond_the_sweeps_have_classes_too(spark):
     assert sum(r["score"] for r in some.values()) > sum(r["base_score"] for r in some.values())
 
 
+def test_all_bigrams_are_counted_with_words_beyond_the_sweeps(spark):
+    texts = corpus()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    vocabulary = lm_scoring.count_words(df, "text").persist()
+    known, counts, _ = lm_scoring.known_words(vocabulary, 1000)
+    encoded = lm_scoring.encode(df, "text", known)
+    tokens, types = sum(len(words(t)) + 1 for t in texts), vocabulary.count()
+    model, _ = lm_scoring.fit_words(encoded, counts, None, tokens, types, len(texts), 4, 6, swept=20)
+    width = len(model.moves)
+    cls = {w: model.classes[i] for i, w in enumerate(known)} | {"\n": width - 1}
+    moves = np.zeros((width, width))
+    for t in texts:
+        sequence = ["\n", *words(t), "\n"]
+        for a, b in zip(sequence, sequence[1:]):
+            moves[cls.get(a, width - 2), cls.get(b, width - 2)] += 1
+    sizes = moves.sum(axis=0)
+    assert (model.sizes == sizes).all()
+    share = (sizes + 1) / (sizes.sum() + width)
+    want = (moves + lm_scoring.TRANSITION_MASS * share) / (moves.sum(axis=1, keepdims=True) + lm_scoring.TRANSITION_MASS)
+    assert 10 ** model.moves == pytest.approx(want)
+    vocabulary.unpersist()
+
+
 def test_registered_query_beats_its_base_on_held_out_texts(spark):
     rows = op8_lm_scoring(spark, SF001).collect()
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()}
