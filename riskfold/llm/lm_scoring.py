@@ -35,13 +35,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskfold.llm.counts import summed
-from riskfold.llm.tables import ROW, totals_before, with_row_ids, written
+from riskfold.llm.tables import ROW, dropped, totals_before, with_row_ids, written
 from riskfold.llm.text import pieces, starts_of, sums_of, utf8, words_of
 
 #: Classes, words that start the clustering, words in the dictionary of the tasks (all others are joined).
 CLASSES = 32
 EXCHANGE_WORDS = 1024
-KNOWN_WORDS = 131_072
+KNOWN_WORDS = 524_288
 #: Words whose classes are a broadcast of a byte each.  Words beyond take part in no sweep; each then joins
 #: the class that suits it best among the settled ones.
 SWEPT_WORDS = 1 << 24
@@ -111,8 +111,9 @@ def known_words(vocabulary: DataFrame, most: int) -> tuple[list[str], np.ndarray
         if total > most:
             break
         first = r["step"]
-    rows = sorted(((r["word"], r["n"]) for r in words.where(_step(F.col("n")) >= first).collect()), key=lambda r: (-r[1], r[0]))
-    return [r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.int64), first
+    rows = words.where(_step(F.col("n")) >= first).select("word", "n").toArrow()
+    rows = rows.sort_by([("n", "descending"), ("word", "ascending")])  # by code point, as Spark orders text
+    return rows.column("word").to_pylist(), rows.column("n").to_numpy().astype(np.int64), first
 
 
 ENCODED = T.StructType([
@@ -627,7 +628,7 @@ def fit_words(encoded: DataFrame, counts: np.ndarray, tail: DataFrame | None, to
         raise ValueError("254 classes at most")
     tail = None if tail is None else numbered_tail(tail, k)
     n_words = k + (0 if tail is None else tail.count())
-    near = neighbours(encoded, counts, tail, e)
+    table_of_neighbours = near = neighbours(encoded, counts, tail, e)
     beyond = near.where(F.col("word") >= swept) if n_words > swept else None
     near = near.where(F.col("word") < swept) if n_words > swept else near
     start = np.concatenate((first[:e], np.full(min(n_words, swept) - e, c), [c + 1])).astype(np.uint8)
@@ -651,7 +652,10 @@ def fit_words(encoded: DataFrame, counts: np.ndarray, tail: DataFrame | None, to
                         np.log10([(texts + 1) / (tokens + types + 1)]))),
         tokens, types, rare_tokens + RARE_MASS * (rare_types + 1),
     )
-    return model, None if tail is None else _classed(tail, of, far)
+    classed = None if tail is None else _classed(tail, of, far)
+    if beyond is None:  # the last of the sweeps is done
+        dropped(table_of_neighbours)
+    return model, classed
 
 
 def _classed(tail: DataFrame, of: np.ndarray, far: DataFrame | None) -> DataFrame:

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskfold.session import shared_path
+from riskfold.session import delete_path, shared_path
 
 PART = "__part"
 ROW = "__row"
@@ -29,6 +29,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Remove the folder of a table of :func:`written` that nothing reads any more."""
+    spark = df.sparkSession
+    folder = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for path in folder:
+        if "/riskfold-llm/" not in path:
+            raise ValueError(f"{path} is no intermediate table")
+        delete_path(spark, path)
+
+
 def with_row_ids(df: DataFrame, label: str, name: str = ROW) -> DataFrame:
     """``df`` with a unique ``name`` that stays the same in every later read.
 
