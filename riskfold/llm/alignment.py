@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskfold.llm.bpe import same_as_ranks
 from riskfold.llm.counts import summed
 from riskfold.llm.tables import written
-from riskfold.llm.text import Numbers, pieces, starts_of, sums_of, utf8
+from riskfold.llm.text import Numbers, byte_symbols, pieces, starts_of, sums_of, utf8
 
 PIECE_BYTES = 1 << 20
 #: Texts above this length go to the tokenizers library, which has no limit on a run of one kind of characters.
@@ -46,13 +47,6 @@ TOGETHER = 1_000
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def byte_symbols() -> dict[str, int]:
-    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, then from 256 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class ByteTokenizer:
     """Byte-level BPE from a tokenizers file: ids of space and text, and the bytes of each id."""
 
@@ -70,14 +64,14 @@ class ByteTokenizer:
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes[i] = token.encode() if i in special else bytes(symbols[c] for c in token)
-        merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in spec["model"]["merges"]]
+        rules = [tuple(bytes(symbols[c] for c in t) for t in (m.split(" ") if isinstance(m, str) else m)) for m in spec["model"]["merges"]]
         steps = spec.get("pre_tokenizer") or {}
         #: Whether a space between two other characters always starts a token, whatever stands before it.
         self.splits = not spec.get("normalizer") and steps.get("type") == "ByteLevel" and steps.get("use_regex", True)
-        # where ids rise with the merges' order, ids are ranks, and tiktoken gives the same ids several times faster
+        # where ids are ranks, tiktoken gives the same ids several times faster
         self.fast = None
-        if self.splits and merged == sorted(merged):
-            ranks = {self.bytes[i]: i for i in vocabulary.values() if i not in special}
+        ranks = {self.bytes[i]: i for i in vocabulary.values() if i not in special}
+        if self.splits and same_as_ranks(ranks, rules):
             self.fast = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> np.ndarray:
