@@ -21,6 +21,7 @@ import json
 import os
 import re
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import chain, islice
 
 import numpy as np
@@ -34,13 +35,13 @@ from riskfold.llm.counts import summed
 from riskfold.llm.tables import written
 from riskfold.llm.text import Numbers, byte_symbols, pieces, starts_of, sums_of, utf8
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 #: Texts above this length go to the tokenizers library, which has no limit on a run of one kind of characters.
 LONG_TEXT = 1 << 19
 #: Tokens of a run that are compared one by one; then probes of doubling length follow.
 FIRST_PROBE = 16
 #: A worker keeps the ids of so many different segments, then drops those that it has met only once.
-MOST_SEGMENTS = 200_000
+MOST_SEGMENTS = 120_000
 #: New segments that are encoded in one call.
 TOGETHER = 1_000
 #: How byte-level BPE of this vocabulary cuts a text before it merges (a fixed value of the tokenizer).
@@ -51,12 +52,9 @@ class ByteTokenizer:
     """Byte-level BPE from a tokenizers file: ids of space and text, and the bytes of each id."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         symbols, vocabulary = byte_symbols(), spec["model"]["vocab"]
@@ -74,6 +72,16 @@ class ByteTokenizer:
         if self.splits and same_as_ranks(ranks, rules):
             self.fast = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def tokenizer(self):
+        """The library's own tokenizer, which most workers never need."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is not None and len(text) <= LONG_TEXT:
             return self.fast.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int64)
