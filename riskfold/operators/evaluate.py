@@ -149,17 +149,17 @@ def metric_report(df: DataFrame, label_col: str = "target", score_col: str = "pr
     """
     shared_root(df.sparkSession)
     points = score_points(df, label_col, score_col, decimals, unscored=True).checkpoint(eager=True)
-    roc = _roc(points.where(F.col("score").isNotNull()), n_ranges, materialise=False)
-    unscored = points.where(F.col("score").isNull()).agg(
-        F.coalesce(F.sum(F.col("pos") + F.col("neg")), F.lit(0)).alias("n_unscored"))
+    known = F.col("score").isNotNull()
+    roc = _roc(points.where(known), n_ranges, materialise=False).unionByName(points.where(~known), allowMissingColumns=True)
     above = F.col("score") >= F.lit(threshold)
     agg = roc.agg(
         F.try_divide(_auc_sum(roc), F.max("n_pos").cast("double") * F.max("n_neg")).alias("auc"),
         F.sum(F.when(above, F.col("pos")).otherwise(0)).alias("tp"),
-        F.sum(F.when(above, 0).otherwise(F.col("neg"))).alias("tn"),
+        F.sum(F.when(~above, F.col("neg")).otherwise(0)).alias("tn"),
         F.sum(F.when(above, F.col("neg")).otherwise(0)).alias("fp"),
-        F.sum(F.when(above, 0).otherwise(F.col("pos"))).alias("fn"),
-    ).crossJoin(F.broadcast(unscored))  # one row each
+        F.sum(F.when(~above, F.col("pos")).otherwise(0)).alias("fn"),
+        F.coalesce(F.sum(F.when(~known, F.col("pos") + F.col("neg"))), F.lit(0)).alias("n_unscored"),
+    )
     tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
     return agg.select(
         "auc", (F.col("auc") * lb_factor).alias("auc_scaled"), F.lit(threshold).alias("threshold"),

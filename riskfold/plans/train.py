@@ -101,15 +101,16 @@ def dealt(df: DataFrame, row_key: Sequence[str], num_partitions: int, columns: S
         *[F.col(f"`{c}`") for c in columns])
 
 
-def model_digest(model: PipelineModel, digits: int = 9) -> str:
-    """SHA-256 of the trees: structure, split features, and all numbers to ``digits`` significant digits.
+def model_digest(model: PipelineModel, digits: int = 8) -> str:
+    """SHA-256 of the trees: structure, split features, and all numbers to ``digits`` decimals.
 
-    The last bits of a sum depend on the order in which tasks finish.
+    The last bits of a sum depend on the order in which tasks finish; features
+    and predictions are of the size of 1.
     """
     gbt_model = model.stages[-1]
-    text = re.sub(r"uid=\S+", "", gbt_model.toDebugString)
-    text = re.sub(r"-?\d+\.\d+(?:E-?\d+)?", lambda m: f"{float(m[0]):.{digits}g}", text)
-    weights = ",".join(f"{w:.{digits}g}" for w in gbt_model.treeWeights)
+    text = re.sub(r"uid\s*=\s*\S+", "", gbt_model.toDebugString)
+    text = re.sub(r"-?\d+\.\d+(?:E-?\d+)?", lambda m: f"{round(float(m[0]), digits) + 0.0:.{digits}f}", text)
+    weights = ",".join(f"{w:.{digits}f}" for w in gbt_model.treeWeights)
     return hashlib.sha256(f"{text}\n{weights}".encode()).hexdigest()
 
 

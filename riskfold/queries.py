@@ -535,16 +535,17 @@ def q_model_info(spark, sf_dir):
 
 # ------------------------------------------------------ mergeable states ----
 
-_MONTH = F.substring("date", 1, 7)
+def _month() -> F.Column:
+    return F.substring("date", 1, 7)
 
 
 def _profile_states(spark, sf_dir) -> DataFrame:
     """States of all months, stored as two versions: all but the last month, then that one from its own rows."""
     df, roles = _statements(spark, sf_dir)
     base = new_version(shared_path(spark, "riskfold", "profile-states"))
-    last = df.agg(F.max(_MONTH)).first()[0]
-    for part in (df.where(_MONTH < last), df.where(_MONTH == last)):
-        profile_state.add_states(profile_state.profile_states(part, roles, _MONTH), base)
+    last = df.agg(F.max(_month())).first()[0]
+    for part in (df.where(_month() < last), df.where(_month() == last)):
+        profile_state.add_states(profile_state.profile_states(part, roles, _month()), base)
     return profile_state.read_states(spark, base)
 
 

@@ -166,3 +166,13 @@ def test_dealt_rows_do_not_depend_on_the_input_layout(spark):
     with pytest.raises(ValueError, match="num_partitions"):
         train.fit(df.withColumn("y", F.lit(1)), Roles.of(df.withColumn("y", F.lit(1)), id_cols=("k",), label_col="y", categorical=("c",)),
                   preset="quick", row_key=["k"])
+
+
+def test_a_dealt_fit_gives_the_same_trees_in_every_layout(spark):
+    rows = [(i, i % 40, float((i * 37) % 101), f"c{i % 4}", int((i * 37) % 101 + i % 9 > 60)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id int, k int, x double, c string, y int")
+    roles = Roles.of(df, id_cols=("id", "k"), label_col="y", categorical=("c",))
+    options = dict(preset="quick", id_col="id", num_partitions=4, row_key=["id"], maxIter=3, subsamplingRate=0.5)
+    digests = [train.model_digest(train.fit(df.repartition(n), roles, **options).model) for n in (1, 5)]
+    assert digests[0] == digests[1]
+    assert train.model_digest(train.fit(df, roles, **{**options, "seed": 7}).model) != digests[0]

@@ -50,9 +50,9 @@ def test_roc_window_is_partitioned_by_range(spark):
 
 
 #: one-row sides, joined to results of one row
-ONE_ROW = {"random_split", "bernoulli_sample", "score_stream"}
+ONE_ROW = {"random_split", "bernoulli_sample", "score_stream", "auc_sketch"}
 #: a fit each: their plans are checked once, in test_model_query_plans
-MODELS = {"train_gbt_a", "train_gbt_b", "score_holdout", "score_bulk", "score_stream", "score_reload", "run_record", "model_info"}
+MODELS = {"train_gbt_a", "train_gbt_b", "score_holdout", "score_bulk", "score_stream", "score_reload", "run_record", "model_info", "fit_layouts"}
 
 
 def own_queries():
