@@ -18,10 +18,10 @@ from riskfold.operators.profile import null_nan_percent as profile
 from riskfold.plans.score import score, score_requests
 from riskfold.plans.train import PRESETS, fit, load, save
 from riskfold.roles import Roles
-from riskfold.streaming.score_stream import start_scoring_stream
+from riskfold.streaming.score_stream import read_committed, start_scoring_stream
 
 __all__ = [
-    "PRESETS", "Roles", "clean", "evaluate", "fit", "load", "profile", "save", "score",
+    "PRESETS", "Roles", "clean", "evaluate", "fit", "load", "profile", "read_committed", "save", "score",
     "score_requests", "start_scoring_stream",
 ]
 __version__ = "0.1.0"

@@ -1,5 +1,5 @@
 """Structured Streaming scoring (stateless; no watermark needed)."""
 
-from riskfold.streaming.score_stream import start_scoring_stream
+from riskfold.streaming.score_stream import read_committed, start_scoring_stream
 
-__all__ = ["start_scoring_stream"]
+__all__ = ["read_committed", "start_scoring_stream"]

@@ -57,16 +57,16 @@ def test_bulk_scores_follow_contract(spark, trained):
 
 
 def test_stream_equals_bulk(spark, trained, tmp_path):
-    from riskfold.streaming import start_scoring_stream
+    from riskfold.streaming import read_committed, start_scoring_stream
 
     src = str(tmp_path / "requests")
     req.lineitem_requests(spark, SF01).write.json(src)
     start_scoring_stream(spark, trained.model, src, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
-    streamed = spark.read.parquet(str(tmp_path / "out" / "scored")).drop("batch_id")
+    streamed = read_committed(spark, str(tmp_path / "out"), "scored").drop("batch_id")
     bulk, _ = score_plan.score_requests(req.read_requests(spark, src), trained.model)
     assert streamed.count() == bulk.count()
     assert streamed.exceptAll(bulk).count() == 0
-    rejected = spark.read.parquet(str(tmp_path / "out" / "rejected"))
+    rejected = read_committed(spark, str(tmp_path / "out"), "rejected")
     assert rejected.count() == 60000 - bulk.count()
 
 
