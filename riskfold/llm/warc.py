@@ -77,13 +77,23 @@ def _record(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return "\r\n".join(lines).encode() + END + block
 
 
-def _one_line(url: str | None) -> str | None:
-    """A header's value; line ends would end the header."""
-    return None if url is None else url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
+def _lines_out(url: str) -> str:
+    return url.replace("\r", "%0D").replace("\n", "%0A")
 
 
-def _plain(value: str | None) -> str | None:
-    return None if value is None else value.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
+def _uri(url: str | None) -> list[tuple[str, object]]:
+    """The address as it is.  Line ends, which no address has, would end the header: they are escaped in it, and the
+    page's own text is in a header of ours, from which it is read back."""
+    if url is None or url == _lines_out(url):
+        return [("WARC-Target-URI", url)]
+    return [("WARC-Target-URI", _lines_out(url)), ("Page-Url", _lines_out(url.replace("%", "%25")))]
+
+
+def _url_of(headers: dict[str, str]) -> str | None:
+    own = headers.get("page-url")
+    if own is None:
+        return headers.get("warc-target-uri")
+    return own.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
 
 
 def records_of(
@@ -93,7 +103,7 @@ def records_of(
     own = record_name(f"row {row}")
     stored = record_name(f"payload {digest}")
     common = [
-        ("WARC-Date", DATE), ("WARC-Target-URI", _one_line(url)), ("Page-Id", page_id),
+        ("WARC-Date", DATE), *_uri(url), ("Page-Id", page_id),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
     ]
     http = [("Content-Type", "application/http;msgtype=response")]
@@ -132,7 +142,7 @@ def parsed(data: bytes):
             raise ValueError(f"the record at byte {at} has another length than it says")
         number = lambda k: int(h[k]) if k in h else None
         yield (
-            h["warc-record-id"], h["warc-type"], number("page-id"), _plain(h.get("warc-target-uri")),
+            h["warc-record-id"], h["warc-type"], number("page-id"), _url_of(h),
             h["warc-payload-digest"].removeprefix("sha256:") if "warc-payload-digest" in h else None,
             h.get("warc-refers-to"), number("warc-segment-number"), h.get("warc-segment-origin-id"),
             number("warc-segment-total-length"), data[start: start + n],

@@ -231,6 +231,16 @@ def test_archives_round_trip(spark):
         warc.reassembled(some).collect()
 
 
+def test_addresses_are_archived_as_they_are(spark):
+    urls = ["http://a/x%20y", "http://a/?q=%250A&r=é", "", None, " http://b", "http://c/%0D\r\n"]
+    pages = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    path = fresh_path(spark, "test-warc")
+    warc.write_warc(pages, path)
+    assert {r["page_id"]: r["url"] for r in warc.read_warc(spark, path).collect()} == dict(enumerate(urls))
+    raw = "".join(r["value"] for r in spark.read.option("lineSep", "\r\n\r\n").text(path).collect())
+    assert "WARC-Target-URI: http://a/x%20y\r\n" in raw and "WARC-Target-URI: http://a/?q=%250A&r=é\r\n" in raw
+
+
 def test_archives_of_nothing(spark):
     path = fresh_path(spark, "test-warc")
     warc.write_warc(spark.createDataFrame([], "page_id long, url string, html string"), path)
