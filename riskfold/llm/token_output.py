@@ -32,8 +32,8 @@ PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
 #: A worker keeps the ids of so many different words, those that most pieces had; when a quarter more
 #: have come, it drops the others.
-MOST_WORDS = 480_000
-PIECE_BYTES = 4 << 20
+MOST_WORDS = 300_000
+PIECE_BYTES = 2 << 20
 
 FILE = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("offset", T.LongType(), False),
