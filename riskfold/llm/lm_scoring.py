@@ -51,7 +51,7 @@ MOST_ENTRIES = 200_000
 #: Sweeps over all words end when less than this share of the tokens would move, at this gain in nats a
 #: token, or when moves lose even if only one word in so many moves at once.
 FEW_MOVES = 0.01
-LEAST_GAIN = 0.005
+LEAST_GAIN = 0.002
 MOST_PARTS = 16
 #: Smoothing: pseudo-count of a class's share in each transition, and of a rare word.
 TRANSITION_MASS = 5.0
@@ -731,43 +731,48 @@ def exchanged_first(state: State, table: np.ndarray, counts: np.ndarray) -> np.n
 def settled(near: DataFrame, start: np.ndarray, table: np.ndarray, counts: np.ndarray, tokens: int, texts: int) -> State:
     """Sweeps over all words from the classes ``start``: count, and move each word to its best class.
 
-    In a step the first words, those of the bigrams ``table``, move one by one
-    among all others, and the others at once, on the counts before it.  A step
-    that loses likelihood is not kept; from then on half as many words move at
-    a time.  The steps end when another class suits the words of less than
-    ``FEW_MOVES`` of the tokens, when a step gains less than ``LEAST_GAIN`` a
-    token that may move, or when even ``MOST_PARTS`` parts lose.
+    The first words, those of the bigrams ``table``, move one by one among all
+    others; then the others move at once, on the counts after that.  A move
+    that loses likelihood is not kept; after one of the others, half as many
+    of them move at a time.  The sweeps end when another class suits the words
+    of less than ``FEW_MOVES`` of the tokens, when a sweep gains less than
+    ``LEAST_GAIN`` a token that may move, or when even ``MOST_PARTS`` parts lose.
     """
     best, step, parts = counted(near, start, table, counts, tokens, texts), 0, 1
     e, rare = len(table) - 2, int(start[-1]) - 1
-    unclassed = bool((start == rare).any())
-    first = words = classes = None
-    while True:
-        if words is None:  # the words that would move, under the best classes so far
-            words, classes, wish = better_classes(near, best, counts)
-            if not unclassed:
-                first = exchanged_first(best, table, counts)
-                wish += int(counts[:e][first != best.classes[:e]].sum())
-        if not wish or (not unclassed and wish < FEW_MOVES * tokens):
-            return best
+    if (start == rare).any():  # first, every word gets a class
+        words, classes, _ = better_classes(near, best, counts)
         of = best.classes.copy()
-        now = turn(words, step, parts)
-        of[words[now]] = classes[now]
-        if not unclassed:
+        of[words] = classes
+        best = counted(near, of, table, counts, tokens, texts)
+    while True:
+        before, wish = best.likelihood(), 0
+        first = exchanged_first(best, table, counts)
+        changed = first != best.classes[:e]
+        if changed.any():
+            wish += int(counts[:e][changed].sum())
+            of = best.classes.copy()
             of[:e] = first
-        state = counted(near, of, table, counts, tokens, texts)
-        gain = state.likelihood() - best.likelihood()
-        step += 1
-        if unclassed:  # the first step gives a class to all words
-            best, unclassed, words = state, False, None
-        elif gain > 0:
-            best, words = state, None
-            if gain < LEAST_GAIN * tokens / parts:
-                return best
-        else:
+            state = counted(near, of, table, counts, tokens, texts)
+            best = state if state.likelihood() > before else best
+        words, classes, tokens_of = better_classes(near, best, counts)
+        wish += tokens_of
+        if not wish or wish < FEW_MOVES * tokens:
+            return best
+        while len(words):
+            now = turn(words, step, parts)
+            step += 1
+            of = best.classes.copy()
+            of[words[now]] = classes[now]
+            state = counted(near, of, table, counts, tokens, texts)
+            if state.likelihood() > best.likelihood():
+                best = state
+                break
             parts *= 2
             if parts > MOST_PARTS:
                 return best
+        if best.likelihood() - before < LEAST_GAIN * tokens / parts:
+            return best
 
 
 def lm_scores(
