@@ -716,16 +716,25 @@ def joined_last(beyond: DataFrame, state: State) -> tuple[DataFrame, np.ndarray,
     return chosen.select(F.col("word").alias("number"), "cls"), sizes, raw
 
 
-def exchanged_first(state: State, table: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Classes of the first words, of the bigrams ``table``, after exchange among all words, the others of which stay."""
+def exchanged_first(state: State, table: np.ndarray, counts: np.ndarray) -> State:
+    """The state after exchange of the first words, of the bigrams ``table``, among all words, the others of which stay.
+
+    All words have classes.  The exchange keeps the counts exactly, so nothing is counted anew.
+    """
     e, width = len(table) - 2, len(state.moves)
-    around, sizes = state.around.astype(float), state.sizes.astype(float)
+    around = state.around.astype(float)
     of = np.concatenate((state.classes[:e], [width - 2, width - 1])).astype(np.int64)
     ends = np.zeros((2, width))  # the last two never move
     ahead, after = (np.concatenate((around[:, lo:lo + width], ends)) for lo in (0, width))
+    moves, first, second = state.moves.astype(float), state.sizes.astype(float), state.sizes.astype(float)
     times = np.concatenate((counts[:e], [0, 0])).astype(float)
-    return exchanged(table.astype(float), of, after, ahead, state.moves.astype(float), sizes, sizes.copy(), times, times,
-                     width - 2, SWEEPS)[:e]
+    of = exchanged(table.astype(float), of, after, ahead, moves, first, second, times, times, width - 2, SWEEPS)
+    classes, moves = state.classes.copy(), moves.astype(np.int64)
+    classes[:e] = of[:e]
+    raw = moves.copy()
+    raw[width - 2] = raw[:, width - 2] = 0  # words seen once only
+    around = np.concatenate((ahead[:e], after[:e], around[:, 2 * width:]), axis=1).astype(np.int64)
+    return State(classes, around, moves, first.astype(np.int64), raw)
 
 
 def settled(near: DataFrame, start: np.ndarray, table: np.ndarray, counts: np.ndarray, tokens: int, texts: int) -> State:
@@ -746,15 +755,9 @@ def settled(near: DataFrame, start: np.ndarray, table: np.ndarray, counts: np.nd
         of[words] = classes
         best = counted(near, of, table, counts, tokens, texts)
     while True:
-        before, wish = best.likelihood(), 0
-        first = exchanged_first(best, table, counts)
-        changed = first != best.classes[:e]
-        if changed.any():
-            wish += int(counts[:e][changed].sum())
-            of = best.classes.copy()
-            of[:e] = first
-            state = counted(near, of, table, counts, tokens, texts)
-            best = state if state.likelihood() > before else best
+        before, state = best.likelihood(), exchanged_first(best, table, counts)
+        wish = int(counts[:e][state.classes[:e] != best.classes[:e]].sum())
+        best = state if state.likelihood() > before else best
         words, classes, tokens_of = better_classes(near, best, counts)
         wish += tokens_of
         if not wish or wish < FEW_MOVES * tokens:

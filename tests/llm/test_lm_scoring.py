@@ -108,6 +108,13 @@ def test_counts_under_classes_equal_loops(spark):
     assert (state.moves[np.ix_(others, others)] == moves[np.ix_(others, others)]).all()
     assert (state.moves.sum(axis=1) == state.sizes).all() and (state.moves.sum(axis=0) == state.sizes).all()
     assert (state.sizes == moves.sum(axis=0)).all() and (state.around == around).all()
+    # the exchange of the first words leaves the counts that a new count gives
+    moved = lm_scoring.exchanged_first(state, table, counts)
+    again = lm_scoring.counted(near, moved.classes, table, counts, tokens, len(texts))
+    assert (moved.classes[e:] == of[e:]).all() and (moved.classes[:e] != of[:e]).any()
+    for name in ("around", "moves", "sizes", "raw"):
+        assert (getattr(moved, name) == getattr(again, name)).all(), name
+    assert moved.likelihood() > state.likelihood()
     vocabulary.unpersist()
 
 
