@@ -51,7 +51,7 @@ MOST_ENTRIES = 200_000
 #: Sweeps over all words end when less than this share of the tokens would move, at this gain in nats a
 #: token, or when moves lose even if only one word in so many moves at once.
 FEW_MOVES = 0.01
-LEAST_GAIN = 0.002
+LEAST_GAIN = 0.005
 MOST_PARTS = 16
 #: Smoothing: pseudo-count of a class's share in each transition, and of a rare word.
 TRANSITION_MASS = 5.0
