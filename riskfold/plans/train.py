@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from riskfold.functions.scoring import DEFAULT_THRESHOLD, threshold_label
 from riskfold.operators.balance import class_weights, with_class_weight
 from riskfold.operators.clean import DEFAULT_MISSING_THRESHOLD, clean
-from riskfold.operators.prep import CAT, FEATURES, NUM, preparation_stages
+from riskfold.operators.pool import pooled
+from riskfold.operators.prep import CAT, FEATURES, NUM, feature_input_cols, preparation_stages
 from riskfold.operators.split import DEFAULT_SEED, DEFAULT_TRAIN_PCT, hash_split, random_split
 from riskfold.roles import Roles
 from riskfold.session import path_exists, publish, versions
@@ -77,6 +78,29 @@ def build_pipeline(roles: Roles, preset: str = "script", seed: int = DEFAULT_SEE
     return Pipeline(stages=[*preparation_stages(roles), gbt(roles.label_col, preset, seed, **overrides)])
 
 
+def fit_pipeline(df: DataFrame, roles: Roles, preset: str = "script", seed: int = DEFAULT_SEED, pool: bool = True,
+                 **overrides) -> PipelineModel:
+    """Fit :func:`build_pipeline` on ``df``; equal rows of bins are boosted as one weighted row.
+
+    See :mod:`riskfold.operators.pool`.  A fit that draws rows anew in each
+    round, or counts the rows of a node, needs them one by one.
+    """
+    pipeline = build_pipeline(roles, preset, seed, **overrides)
+    *steps, trees = pipeline.getStages()
+    if not pool or trees.getSubsamplingRate() < 1 or trees.getMinInstancesPerNode() > 1:
+        return pipeline.fit(df)
+    prepared = Pipeline(stages=steps).fit(df)
+    ready = prepared.transform(df)
+    cells = pooled(ready, FEATURES, roles.label_col, WEIGHT_COL, len(feature_input_cols(roles)), trees.getMaxBins())
+    if cells is None:
+        return PipelineModel([*prepared.stages, trees.fit(ready)])
+    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel([*prepared.stages, trees.fit(cells)])
+    finally:
+        cells.unpersist()
+
+
 def check_categories(df: DataFrame, columns, most: int) -> None:
     """Refuse categorical columns with more than ``most`` different values (exact counts, one pass)."""
     if not columns:
@@ -155,7 +179,7 @@ def fit(df: DataFrame, roles: Roles, preset: str = "script", id_col: str | None
         if max_categories is not None:
             check_categories(base, roles.categorical, max_categories)
         train_w = with_class_weight(base, roles.label_col, weights, WEIGHT_COL)
-        model = build_pipeline(roles, preset, seed, **overrides).fit(train_w)
+        model = fit_pipeline(train_w, roles, preset, seed, pool=row_key is None, **overrides)
     finally:
         base.unpersist()
     params = {k: v for k, v in PRESETS[preset].items()}
@@ -246,6 +270,6 @@ def load(path: str, contents: bool = True) -> PipelineModel:
 
 
 __all__ = [
-    "PRESETS", "Trained", "build_pipeline", "check_categories", "dealt", "fit", "gbt", "labelled", "latest", "load",
+    "PRESETS", "Trained", "build_pipeline", "check_categories", "dealt", "fit", "fit_pipeline", "gbt", "labelled", "latest", "load",
     "model_digest", "model_feature_columns", "model_input", "probability_of_default", "save", "scored_rows",
 ]
