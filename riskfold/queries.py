@@ -311,7 +311,7 @@ def q_request_reject(spark, sf_dir):
 # ------------------------------------------------- wide statements (~190) ----
 
 def _wide(spark, sf_dir):
-    df = fixtures.wide_statements(spark, sf_dir, fresh=True)
+    df = fixtures.wide_statements_view(spark, sf_dir)
     return df, fixtures.wide_roles(df)
 
 

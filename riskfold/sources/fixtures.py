@@ -130,6 +130,12 @@ WIDE = _wide_columns()
 
 
 def wide_statements_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide view, derived while it is read: nothing is written.
+
+    The all-missing row filter moves down to the scan and holds every CASE
+    expression, which is too long for one generated method.  Spark then leaves
+    whole-stage code for that filter (it logs so) and splits its code instead.
+    """
     return read_table(spark, sf_dir, "lineitem").selectExpr(*_exprs(WIDE, "spark"))
 
 
@@ -149,21 +155,18 @@ def fingerprint(spark: SparkSession, sf_dir: str, *more) -> str:
     return hashlib.sha256(repr((stamps, views, more)).encode()).hexdigest()[:16]
 
 
-def wide_statements(spark: SparkSession, sf_dir: str, fresh: bool = False) -> DataFrame:
-    """The wide view as a Parquet table of plain columns.
+def wide_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide view as a Parquet table of plain columns, for model fits.
 
-    A real statement table arrives as ~190 plain Parquet columns.  Evaluated
-    as a view, every feature is a CASE expression that Catalyst inlines into
-    any predicate over all features (the all-missing row filter), which
-    exceeds the JVM's 64 KB method limit; writing the derived table gives the
-    queries the same plan they would see on real data.  ``fresh`` derives it
-    anew; else a version of the same input files and rules is read.
+    A pipeline's many projections over ~190 CASE expressions are more than
+    Catalyst should carry; a real statement table arrives as plain columns.
+    One version is kept for the same input files and rules.  Queries that pass
+    over the rows once or twice take :func:`wide_statements_view`: deriving the
+    cells costs less than writing and reading them, row by row, in a table of
+    more columns than Spark's vectorised reader takes.
     """
-    from riskfold.session import publish, shared_path, written_table
+    from riskfold.session import written_table
 
-    if fresh:
-        base = shared_path(spark, "riskfold", "tables", "wide-fresh")
-        return spark.read.parquet(publish(spark, lambda p: wide_statements_view(spark, sf_dir).write.parquet(p), base))
     return written_table(spark, f"wide-{fingerprint(spark, sf_dir)}", lambda: wide_statements_view(spark, sf_dir))
 
 
