@@ -603,17 +603,22 @@ def q_request_key_top(spark, sf_dir):
 
 
 LAYOUTS = (1, 4, 8)
+#: Rows of one partition at most, in the layout of the fewest: more rows make all layouts wider by the same factor.
+LAYOUT_ROWS = 4_000_000
 
 
 def q_fit_layouts(spark, sf_dir):
     """The notebook's row sampling over three layouts of the same rows: the trees are the same.
 
     Twelve rounds a fit: each draws rows anew, which is what depends on the layout.
+    A table of more than ``LAYOUT_ROWS`` rows has so many times the partitions,
+    in every layout and in the fit, so no task reads more as the table grows.
     """
     df, roles = _statements(spark, sf_dir)
+    times = max(1, -(-df.count() // LAYOUT_ROWS))
     digests = [train_plan.model_digest(train_plan.fit(
-        df.repartition(n), roles, preset="notebook", id_col="customer_id", num_partitions=8, row_key=["customer_id", "line_no"],
-        maxIter=12).model) for n in LAYOUTS]
+        df.repartition(n * times), roles, preset="notebook", id_col="customer_id", num_partitions=8 * times,
+        row_key=["customer_id", "line_no"], maxIter=12).model) for n in LAYOUTS]
     rows = [(n, d == digests[0]) for n, d in zip(LAYOUTS, digests)]
     return spark.createDataFrame(rows, "input_partitions int, same_trees boolean")
 
