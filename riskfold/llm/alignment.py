@@ -35,13 +35,13 @@ from riskfold.llm.counts import summed
 from riskfold.llm.tables import written
 from riskfold.llm.text import Numbers, byte_symbols, pieces, starts_of, sums_of, utf8
 
-PIECE_BYTES = 1 << 19
+PIECE_BYTES = 1 << 18
 #: Texts above this length go to the tokenizers library, which has no limit on a run of one kind of characters.
 LONG_TEXT = 1 << 19
 #: Tokens of a run that are compared one by one; then probes of doubling length follow.
 FIRST_PROBE = 16
 #: A worker keeps the ids of so many different segments, then drops those that it has met only once.
-MOST_SEGMENTS = 120_000
+MOST_SEGMENTS = 60_000
 #: New segments that are encoded in one call.
 TOGETHER = 1_000
 #: How byte-level BPE of this vocabulary cuts a text before it merges (a fixed value of the tokenizer).
