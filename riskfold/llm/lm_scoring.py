@@ -24,7 +24,7 @@ are over the whole training corpus:
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from riskfold.llm.counts import summed
 from riskfold.llm.tables import ROW, dropped, totals_before, with_row_ids, written
-from riskfold.llm.text import pieces, starts_of, sums_of, utf8, words_of
+from riskfold.llm.text import bytes_of, numbered_words, pieces, starts_of, sums_of
 
 #: Classes, words that start the clustering, words in the dictionary of the tasks (all others are joined).
 CLASSES = 32
@@ -58,8 +58,9 @@ TRANSITION_MASS = 5.0
 RARE_MASS = 1.0
 #: The end of a text as a word; no word holds white space.
 END = "\n"
-#: A task hands on its word counts when it holds this many words.
-MOST_COUNTED = 400_000
+#: A task counts the words of so many bytes of text at a time; it sorts and counts so many neighbours at a time.
+COUNTED_BYTES = 16 << 20
+MOST_COUNTED = 4_000_000
 #: Steps of the histogram of counts, per doubling.
 STEPS = 16
 
@@ -73,22 +74,13 @@ def count_words(docs: DataFrame, text_col: str) -> DataFrame:
     """``word, n`` over all texts, lower-cased; each text also counts one ``END``."""
 
     def run(batches):
-        counter: Counter = Counter()
-
-        def flush():
-            words = pa.array(list(counter), pa.binary()).cast(pa.string())
-            return pa.RecordBatch.from_arrays([words, pa.array(list(counter.values()), pa.int64())], names=["word", "n"])
-
         for batch in batches:
-            for part in pieces(batch, 0):
-                flat, counts = words_of(utf8(part.column(0), lower=True))
-                counter.update(flat)
-                counter[END.encode()] += len(counts)
-                if len(counter) > MOST_COUNTED:
-                    yield flush()
-                    counter.clear()
-        if counter:
-            yield flush()
+            for part in pieces(batch, 0, COUNTED_BYTES):
+                words, at, counts = numbered_words(part.column(0), lower=True)
+                yield pa.RecordBatch.from_arrays([
+                    pa.concat_arrays([words, pa.array([END], words.type)]),
+                    pa.array(np.append(np.bincount(at, minlength=len(words)), len(counts)).astype(np.int64)),
+                ], names=["word", "n"])
 
     return docs.select(text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -143,15 +135,16 @@ def encode(docs: DataFrame, text_col: str, words: list[str]) -> DataFrame:
         k = len(numbers)
         for batch in batches:
             for part in pieces(batch, at):
-                flat, counts = words_of(utf8(part.column(at), lower=True))
-                ids = np.fromiter(map(numbers.get, flat, repeat(k)), dtype=np.int32, count=len(flat))
+                different, place, counts = numbered_words(part.column(at), lower=True)
+                each = bytes_of(different)
+                ids = np.fromiter(map(numbers.get, each, repeat(k)), dtype=np.int32, count=len(each))[place]
                 starts = starts_of(counts)
                 with_end = np.insert(ids, starts[1:], k + 1)
                 others = np.flatnonzero(ids == k)
                 text = np.searchsorted(starts, others, side="right") - 1
                 places = others + text  # in with_end: one end a text before
                 pairs = pa.StructArray.from_arrays([
-                    pa.array([flat[i] for i in others.tolist()], pa.binary()).cast(pa.string()),
+                    different.take(pa.array(place[others])).cast(pa.string()),
                     pa.array((others - starts[text]).astype(np.int32)),
                     pa.array(_before(with_end, k + 1)[places].astype(np.int32)), pa.array(with_end[places + 1].astype(np.int32)),
                 ], fields=list(rare_type))
@@ -355,11 +348,60 @@ def _entries(left: np.ndarray, right: np.ndarray, e: int) -> np.ndarray:
     return np.concatenate((left[a] << 32 | right[a] << 1 | 1, right[b] << 32 | left[b] << 1))
 
 
-def _counted_keys(keys: np.ndarray, times: np.ndarray | None = None) -> pa.RecordBatch:
-    keys, inverse, n = np.unique(keys, return_inverse=True, return_counts=True)
-    if times is not None:
-        n = np.bincount(inverse, times, minlength=len(keys)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "times"])
+def _bytes_of(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Ragged rows of numbers, each as its bytes."""
+    offsets = (starts * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _offsets(column: pa.Array) -> np.ndarray:
+    """Where each row of lists or bytes starts, and the last one ends."""
+    if not pa.types.is_binary(column.type) and not pa.types.is_large_binary(column.type):
+        return np.asarray(column.offsets, dtype=np.int64)
+    wide = column.cast(pa.large_binary())
+    return np.frombuffer(wide.buffers()[1], dtype=np.int64)[wide.offset:wide.offset + len(wide) + 1]
+
+
+def _numbers_of(column: pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """What :func:`_bytes_of` took."""
+    ends, data = _offsets(column), np.frombuffer(column.buffers()[2], dtype=np.uint8)
+    return data[ends[0]:ends[-1]].view(dtype), (ends - ends[0]) // np.dtype(dtype).itemsize
+
+
+#: Some of a word's entries: their codes as 4 bytes each, their times as 8.
+ENTRIES = "word long, codes binary, times binary"
+
+
+def _by_word(keys: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    """Sorted entries as a row a word."""
+    word = keys >> 32
+    heads = np.flatnonzero(np.concatenate((word[:1] >= 0, word[1:] != word[:-1])))
+    starts = np.append(heads, len(keys))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(word[heads]), _bytes_of((keys & _OWN).astype("<u4"), starts), _bytes_of(times.astype("<i8"), starts)],
+        names=["word", "codes", "times"])
+
+
+def _counted(parts: Iterator[tuple[np.ndarray, np.ndarray | None]]) -> Iterator[pa.RecordBatch]:
+    """Keys and their times (None: once each), counted some ``MOST_COUNTED`` at a time."""
+    held, size = [], 0
+
+    def flush():
+        if all(times is None for _, times in held):
+            return _by_word(*np.unique(np.concatenate([k for k, _ in held]), return_counts=True))
+        keys = np.concatenate([k for k, _ in held])
+        order = np.argsort(keys, kind="stable")
+        return _by_word(*_summed_keys(keys[order], np.concatenate([t for _, t in held])[order]))
+
+    for keys, times in parts:
+        if len(keys):
+            held.append((keys, times))
+            size += len(keys)
+        if size > MOST_COUNTED:
+            yield flush()
+            held, size = [], 0
+    if held:
+        yield flush()
 
 
 def neighbours(encoded: DataFrame, counts: np.ndarray, tail: DataFrame | None, e: int) -> DataFrame:
@@ -370,37 +412,40 @@ def neighbours(encoded: DataFrame, counts: np.ndarray, tail: DataFrame | None, e
     neighbours.  Each bigram is counted once in each task, then by word.
     """
     spark, k = encoded.sparkSession, len(counts)
-    schema = "key long, times long"
 
     def of_ids(batches):
-        held, size = [], 0
+        def parts():
+            for batch in batches:
+                values, _ = _ids(batch)
+                if len(values):
+                    number = np.where(values < k, values, np.where(values == k, -1, _END)).astype(np.int64)
+                    yield _entries(_before(number, _END), number, e), None
+
+        return _counted(parts())
+
+    def of_words(batches):
         for batch in batches:
-            values, _ = _ids(batch)
-            if not len(values):
-                continue
-            number = np.where(values < k, values, np.where(values == k, -1, _END)).astype(np.int64)
-            held.append(_entries(_before(number, _END), number, e))
-            size += len(held[-1])
-            if size > MOST_COUNTED * 10:
-                yield _counted_keys(np.concatenate(held))
-                held, size = [], 0
-        if held:
-            yield _counted_keys(np.concatenate(held))
-
-    rows = encoded.select("ids").mapInArrow(of_ids, schema)
+            number, n = (batch.column(i).to_numpy().astype(np.int64) for i in range(2))
+            order = np.argsort(number, kind="stable")
+            yield _by_word(number[order] << 32 | _OWN, n[order])
+
+    rows = encoded.select("ids").mapInArrow(of_ids, ENTRIES)
     if k > e:
-        own = pa.table({"key": (np.arange(e, k, dtype=np.int64) << 32) | _OWN, "times": counts[e:].astype(np.int64)})
-        rows = rows.unionByName(spark.createDataFrame(own))  # KNOWN_WORDS rows at most
+        own = pa.table({"number": np.arange(e, k, dtype=np.int64), "n": counts[e:].astype(np.int64)})
+        rows = rows.unionByName(spark.createDataFrame(own).mapInArrow(of_words, ENTRIES))  # KNOWN_WORDS rows at most
     if tail is not None:
         # words outside the dictionary, with the numbers beside them
         seen = encoded.select(F.explode("rare").alias("r")).select("r.word", "r.left", "r.right").join(
             tail.select("word", "number"), "word").select("number", "left", "right")
 
         def of_tail(batches):
-            for batch in batches:
-                number, left, right = (batch.column(i).to_numpy().astype(np.int64) for i in range(3))
-                left, right = (np.where(x < k, x, np.where(x == k, -1, _END)) for x in (left, right))
-                yield _counted_keys(np.concatenate((_entries(left, number, e), _entries(number, right, e))))
+            def parts():
+                for batch in batches:
+                    number, left, right = (batch.column(i).to_numpy().astype(np.int64) for i in range(3))
+                    left, right = (np.where(x < k, x, np.where(x == k, -1, _END)) for x in (left, right))
+                    yield np.concatenate((_entries(left, number, e), _entries(number, right, e))), None
+
+            return _counted(parts())
 
         # two such words side by side: their pairs are joined with both numbers
         pairs = encoded.select("rare").mapInArrow(_beside, "a string, b string").groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
@@ -408,30 +453,34 @@ def neighbours(encoded: DataFrame, counts: np.ndarray, tail: DataFrame | None, e
             pairs = pairs.join(tail.select(F.col("word").alias(side), F.col("number").alias(f"n{side}")), side)
 
         def of_pairs(batches):
-            for batch in batches:
-                a, b, times = (batch.column(i).to_numpy().astype(np.int64) for i in range(3))
-                keys = np.concatenate((a << 32 | b << 1 | 1, b << 32 | a << 1))
-                yield _counted_keys(keys, np.concatenate((times, times)))
+            def parts():
+                for batch in batches:
+                    a, b, times = (batch.column(i).to_numpy().astype(np.int64) for i in range(3))
+                    yield np.concatenate((a << 32 | b << 1 | 1, b << 32 | a << 1)), np.concatenate((times, times))
+
+            return _counted(parts())
 
-        own = tail.select((F.shiftleft("number", 32).bitwiseOR(F.lit(_OWN))).alias("key"), F.col("n").alias("times"))
-        rows = rows.unionByName(seen.mapInArrow(of_tail, schema)).unionByName(
-            pairs.select("na", "nb", "times").mapInArrow(of_pairs, schema)).unionByName(own)
+        rows = rows.unionByName(seen.mapInArrow(of_tail, ENTRIES)).unionByName(
+            pairs.select("na", "nb", "times").mapInArrow(of_pairs, ENTRIES)).unionByName(
+            tail.select("number", "n").mapInArrow(of_words, ENTRIES))
 
     def lists(batches):
-        """Rows come sorted by key; a word's entries may go on in the next batch."""
+        """Rows come sorted by word; a word's entries may go on in the next batch."""
         left_keys, left_times = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        for batch in batches:
-            keys, times = (np.concatenate((x, batch.column(i).to_numpy())) for i, x in enumerate((left_keys, left_times)))
-            done = int(np.searchsorted(keys >> 32, keys[-1] >> 32)) if len(keys) else 0
+        for part in _sliced(batches, 1, 4 * MOST_ENTRIES):
+            codes, starts = _numbers_of(part.column(1), "<u4")
+            keys = np.repeat(part.column(0).to_numpy(), np.diff(starts)) << 32 | codes
+            keys, times = np.concatenate((left_keys, keys)), np.concatenate((left_times, _numbers_of(part.column(2), "<i8")[0]))
+            order = np.argsort(keys, kind="stable")
+            keys, times = _summed_keys(keys[order], times[order])
+            done = int(np.searchsorted(keys, keys[-1] >> 32 << 32)) if len(keys) else 0
             left_keys, left_times = keys[done:], times[done:]
-            if len(left_keys) > MOST_ENTRIES:  # one word's: add up what is there
-                left_keys, left_times = _summed_keys(left_keys, left_times)
             if done:
-                yield _word_rows(*_summed_keys(keys[:done], times[:done]))
+                yield _word_rows(keys[:done], times[:done])
         if len(left_keys):
-            yield _word_rows(*_summed_keys(left_keys, left_times))
+            yield _word_rows(left_keys, left_times)
 
-    dealt = rows.repartition(F.shiftright("key", 32)).sortWithinPartitions("key")
+    dealt = rows.repartition("word").sortWithinPartitions("word")
     return written(dealt.mapInArrow(lists, NEIGHBOURS), "lm-neighbours")
 
 
@@ -483,13 +532,12 @@ def _table(batch: pa.RecordBatch, end: int) -> tuple[np.ndarray, ...]:
     return batch.column(0).to_numpy(), batch.column(1).to_numpy(), row[known], other, codes[known] & 1, times[known]
 
 
-def _sliced(batches):
-    """Batches of whole rows with about ``MOST_ENTRIES`` entries, or of one row."""
+def _sliced(batches, column: int = 2, most: int = MOST_ENTRIES):
+    """Batches of whole rows with about ``most`` entries (bytes, if binary) in ``column``, or of one row."""
     for batch in batches:
-        ends = np.asarray(batch.column(2).offsets, dtype=np.int64)
-        at = 0
+        ends, at = _offsets(batch.column(column)) if batch.num_rows else [], 0
         while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(ends, ends[at] + MOST_ENTRIES, side="right")) - 1)
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
             yield batch.slice(at, to - at)
             at = to
 

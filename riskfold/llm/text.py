@@ -12,6 +12,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -57,6 +58,32 @@ def words_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     return list(chain.from_iterable(each)), counts
 
 
+def numbered_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words of the texts, the place among them of every word in a row, and each text's count.
+
+    The words are those of :func:`words_of`; ``lower`` maps A-Z only.
+    """
+    lists = pc.ascii_split_whitespace(texts.fill_null(""))
+    flat = lists.flatten().dictionary_encode()
+    different, at = flat.dictionary, flat.indices.to_numpy()
+    if lower:
+        lowered = pc.ascii_lower(different).dictionary_encode()
+        different, at = lowered.dictionary, lowered.indices.to_numpy()[at]
+    starts = lists.offsets.to_numpy().astype(np.int64)
+    empty = pc.index(different, "").as_py()  # beside white space at either end of a text
+    if empty >= 0:
+        some = at != empty
+        starts = starts_of(some)[starts]
+        at = at[some] - (at[some] > empty)
+        different = different.filter(pc.not_equal(different, ""))
+    return different, at, np.diff(starts)
+
+
+def bytes_of(words: pa.Array) -> list[bytes]:
+    """Many short texts without nulls as UTF-8 bytes, several times faster than :func:`utf8`."""
+    return words.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+
+
 def starts_of(counts: np.ndarray) -> np.ndarray:
     """Offsets of ragged rows: ``len(counts) + 1`` entries from 0."""
     return np.concatenate(([0], np.cumsum(counts))).astype(np.int64)

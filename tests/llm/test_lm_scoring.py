@@ -6,10 +6,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from riskfold.llm import lm_scoring
+from riskfold.llm import lm_scoring, text
 from riskfold.llm.queries import op8_lm_scoring
 from tests.conftest import SF001
 from tests.llm.fixtures import words
@@ -169,3 +172,35 @@ def test_registered_query_beats_its_base_on_held_out_texts(spark):
         assert r["base_score"] == pytest.approx(sum(math.log10((counts[w] + 1) / (total + types + 1)) for w in tokens))
     held = [r for r in rows if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="aB \t\n\x0b\x0c\r\x1c\x1f\x85 éÉ日", max_size=12)), max_size=6), st.integers(0, 2), st.booleans())
+def test_numbered_words_are_the_words(texts, skipped, lower):
+    column = pa.array(["X y"] * skipped + texts, pa.string()).slice(skipped)
+    flat, counts = text.words_of(text.utf8(column, lower))
+    different, at, got = text.numbered_words(column, lower)
+    each = text.bytes_of(different)
+    assert [each[i] for i in at] == flat and got.tolist() == counts.tolist() and sorted(each) == sorted(set(flat))
+
+
+def test_entries_travel_as_a_row_a_word(monkeypatch):
+    rng = np.random.default_rng(3)
+    keys = rng.integers(0, 20, 5000) << 32 | rng.integers(0, 30, 5000)
+    times = rng.integers(1, 1 << 33, 5000)
+    monkeypatch.setattr(lm_scoring, "MOST_COUNTED", 2000)
+    for each in (None, times):
+        parts = [(keys[a:a + 500], None if each is None else each[a:a + 500]) for a in range(0, 5000, 500)]
+        rows, got = 0, Counter()
+        for batch in lm_scoring._counted(iter(parts)):
+            batch = batch.slice(1) if rows else batch  # a slice starts later in its bytes
+            rows += batch.num_rows
+            codes, starts = lm_scoring._numbers_of(batch.column(1), "<u4")
+            word = np.repeat(batch.column(0).to_numpy(), np.diff(starts))
+            for w, c, n in zip(word.tolist(), codes.tolist(), lm_scoring._numbers_of(batch.column(2), "<i8")[0].tolist()):
+                got[w, c] += n
+        want = Counter()
+        for n, (k, t) in enumerate(zip(keys.tolist(), times.tolist() if each is not None else [1] * 5000)):
+            if n < 2500 or k >> 32:  # the slices left out word 0
+                want[k >> 32, k & lm_scoring._OWN] += t
+        assert rows <= 2 * 20 and got == want
