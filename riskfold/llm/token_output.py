@@ -14,7 +14,7 @@ import json
 import os
 import unicodedata
 import zlib
-from itertools import islice
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,17 +23,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskfold.llm.bpe import same_as_ranks
-from riskfold.llm.text import Numbers, byte_symbols, pieces, starts_of, sums_of, utf8, words_of
+from riskfold.llm.text import byte_symbols, bytes_of, numbered_words, pieces, starts_of, sums_of
 
 END_ID = 1
 #: Written in row groups and pages of these sizes.
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
-#: A worker keeps the ids of so many different words, those that most pieces had; when a quarter more
-#: have come, it drops the others.
-MOST_WORDS = 300_000
-PIECE_BYTES = 2 << 20
+#: A worker keeps the ids of so many different words, those that most pieces had; it drops the others when it
+#: holds two and a half times as many.
+MOST_WORDS = 150_000
+PIECE_BYTES = 4 << 20
 
 FILE = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("offset", T.LongType(), False),
@@ -43,11 +43,25 @@ FILE = T.StructType([
 
 #: Kinds of words for the encoder besides the number of their parts.
 _ALONE, _MARKED = -1, 0
-#: Letters below this code point are lower-cased one by one, here as in the tokenizer.
-_LATIN_END = "\u0250"
+#: Letters below this code point are lower-cased one by one, here as in the tokenizer; nor does normalising join any.
+_LATIN_END = 0x250
 #: Added to the number of parts of words with other letters.
 _OTHER = 2
 
+_MARKS = ".,;:!?"
+#: What a character can be to a word's kind.
+_LETTER, _MARK, _ZERO, _NO_LETTER, _BEYOND = 1, 2, 4, 8, 16
+
+
+def _flag(c: str) -> int:
+    if c == "\n":
+        return 0  # between two words
+    if c.isalpha() and c.lower().isalpha():
+        return _LETTER
+    return _MARK if c in _MARKS else _ZERO if c == "0" else _NO_LETTER
+
+
+_FLAGS = np.array([*map(_flag, map(chr, range(_LATIN_END))), _BEYOND], dtype=np.uint8)
 
 
 def _parts(word: str) -> int:
@@ -55,17 +69,32 @@ def _parts(word: str) -> int:
     are not all Latin; else a kind."""
     if word.isalpha():
         n = 1
-    elif word[-1] in ".,;:!?" and word[:-1].isalpha():
+    elif word[-1] in _MARKS and word[:-1].isalpha():
         n = 2
     else:
         return _ALONE if "0" in word else _MARKED
     if word.isascii():
         return n
     if unicodedata.is_normalized("NFC", word) and word.lower()[: None if n == 1 else -1].isalpha():
-        return n if max(word) < _LATIN_END else n + _OTHER
+        return n if ord(max(word)) < _LATIN_END else n + _OTHER
     return _MARKED
 
 
+def _kinds(codes: np.ndarray, ends: np.ndarray, plain: list[str]) -> np.ndarray:
+    """:func:`_parts` of the words ``plain``, each of which ends before one of ``ends`` in the code points ``codes``."""
+    flags = _FLAGS[np.minimum(codes, _LATIN_END)]
+    starts, last = np.concatenate(([0], ends[:-1] + 1)), flags[ends - 1]
+    flags[ends - 1] = 0
+    body = np.bitwise_or.reduceat(flags, starts)
+    both = body | last
+    kinds = np.where(both & _ZERO, _ALONE, _MARKED)
+    kinds[both == _LETTER] = 1
+    kinds[(body == _LETTER) & (last == _MARK)] = 2
+    beyond = np.flatnonzero(both & _BEYOND)
+    kinds[beyond] = [_parts(plain[i]) for i in beyond.tolist()]
+    return kinds
+
+
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -82,7 +111,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.numbers = Numbers()
+        self.numbers: dict[bytes, int] = {}
         self.ids = np.zeros(0, dtype=np.int32)
         self.starts = np.zeros(1, dtype=np.int64)
         self.uses = np.zeros(0, dtype=np.int64)
@@ -132,13 +161,16 @@ class WordEncoder:
         word ``0`` after each, whose single id marks the ends, or one by one
         if they hold this digit.
         """
-        plain = [w.decode() for w in words]
-        kinds = np.fromiter(map(_parts, plain), dtype=np.int64, count=len(plain))
-        order = np.argsort(kinds, kind="stable")
-        cuts = np.searchsorted(kinds[order], [_ALONE, _MARKED, 1, 1 + _OTHER, 1 + 2 * _OTHER])
-        texts = [[plain[i] for i in order[a:b]] for a, b in zip(cuts, cuts[1:])]
-        got = [self._alone(texts[0]), self._marked(texts[1]), self._latin(texts[2], kinds[order[cuts[2]:cuts[3]]]),
-               self._parted(texts[3], kinds[order[cuts[3]:cuts[4]]] - _OTHER)]
+        text = b"\n".join([*words, b""]).decode()
+        plain, codes = text.split("\n")[:-1], np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+        ends = np.flatnonzero(codes == ord("\n"))
+        kinds = _kinds(codes, ends, plain)
+        groups = np.searchsorted([_MARKED, 1, 1 + _OTHER], kinds, side="right")
+        order = np.argsort(groups, kind="stable")
+        alone, marked, latin, parted = np.split(order, np.searchsorted(groups[order], [1, 2, 3]))
+        word_of = [[plain[i] for i in g.tolist()] for g in (alone, marked, parted)]
+        got = [self._alone(word_of[0]), self._marked(word_of[1]), self._latin(codes, ends, latin, kinds),
+               self._parted(word_of[2], kinds[parted] - _OTHER)]
         flat, n = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
         # back to the words' own order
         counts, begin = np.empty(len(plain), dtype=np.int64), np.empty(len(plain), dtype=np.int64)
@@ -160,11 +192,16 @@ class WordEncoder:
             raise ValueError("the tokenizer does not give each word 0 its own id")
         return got[got != self._mark], np.diff(ends, prepend=-1) - 1
 
-    def _latin(self, words: list[str], parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _latin(self, codes: np.ndarray, ends: np.ndarray, at: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words ``at``, in ascending order; a zero ends each part."""
+        mine = np.zeros(len(ends), dtype=bool)
+        mine[at] = True
+        letters = codes[np.repeat(mine, np.diff(ends, prepend=-1))]
+        between, parts = np.flatnonzero(letters == ord("\n")), kinds[at]
         if self._ranked is None:
-            return self._parted(words, parts)
-        split = [w if n == 1 else f"{w[:-1]}\0{w[-1]}" for w, n in zip(words, parts.tolist())]
-        text = "\0".join([*split, ""]).lower()
+            return self._parted(letters.tobytes().decode("utf-32-le").split("\n")[:-1], parts)
+        split = np.where(letters == ord("\n"), 0, letters).astype("<u4")
+        text = np.insert(split, between[parts == 2] - 1, 0).tobytes().decode("utf-32-le").lower()
         return self._ended(self._ranked.encode_to_numpy(text, disallowed_special=()).astype(np.int32), parts)
 
     def _parted(self, words: list[str], parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,30 +215,38 @@ class WordEncoder:
         last = ends[np.cumsum(parts) - 1] if len(parts) else ends
         return got, np.diff(last, prepend=-1)
 
-    def __call__(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in a row, each text's with ``end_id``, and the number of each text."""
-        flat, counts = words_of(texts)
-        known = len(self.numbers)
-        words = np.fromiter(map(self.numbers.__getitem__, flat), dtype=np.int64, count=len(flat))
-        if len(self.numbers) > known:
-            new = list(islice(self.numbers, known, None))
+    def __call__(self, texts: pa.Array | list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in a row, each text's with ``end_id``, and the number of each text.
+
+        The piece's different words are looked up once each.
+        """
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary()).cast(pa.string())
+        different, words, counts = numbered_words(texts)
+        each, known = bytes_of(different), len(self.numbers)
+        at = np.fromiter(map(self.numbers.get, each, repeat(-1)), dtype=np.int64, count=len(each))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [each[i] for i in missing.tolist()]
+            at[missing] = np.arange(known, known + len(new))
+            self.numbers.update(zip(new, range(known, known + len(new))))
             ids, n = self._encode(new)
             self.ids = np.concatenate((self.ids, ids.astype(self.ids.dtype)))
             self.uses = np.concatenate((self.uses, np.zeros(len(n), dtype=np.int64)))
             self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(n)))
-        self.uses += np.bincount(words, minlength=len(self.uses)) > 0
-        # the end id is one more word, after each text's last
-        ids = np.concatenate((self.ids, np.array([end_id], dtype=np.int32)))
-        starts = np.concatenate((self.starts, [len(ids)]))
-        ends = np.cumsum(counts)
-        words = np.insert(words, ends, len(starts) - 2)
-        lengths = starts[words + 1] - starts[words]
+        self.uses[at] += 1
+        # the piece's own words; the end id is one more, after each text's last
+        starts = self.starts[at]
+        lengths = np.append(self.starts[at + 1] - starts, 1)
         first = starts_of(lengths)
-        out = ids[np.repeat(starts[words] - first[:-1], lengths) + np.arange(first[-1])]
+        ids = np.append(self.ids[np.repeat(starts - first[:-2], lengths[:-1]) + np.arange(first[-2])].astype(np.int32), np.int32(end_id))
+        words = np.insert(words, np.cumsum(counts), len(each))
+        lengths, begin = lengths[words], first[words]
+        place = starts_of(lengths)
+        out = ids[np.repeat(begin - place[:-1], lengths) + np.arange(place[-1])]
         n = sums_of(lengths, starts_of(counts + 1))
-        if len(self.numbers) > MOST_WORDS + MOST_WORDS // 4:
+        if len(self.numbers) > MOST_WORDS * 5 // 2:
             self._keep(np.sort(np.argsort(-self.uses, kind="stable")[:MOST_WORDS]))
-        return out.astype(np.int32), n
+        return out, n
 
     def _keep(self, kept: np.ndarray) -> None:
         """Drop all words but those numbered ``kept``."""
@@ -209,7 +254,7 @@ class WordEncoder:
         first = starts_of(counts)
         self.ids = self.ids[np.repeat(self.starts[kept] - first[:-1], counts) + np.arange(first[-1])]
         self.starts, self.uses = first, self.uses[kept]
-        self.numbers = Numbers((words[i], n) for n, i in enumerate(kept.tolist()))
+        self.numbers = dict(zip(map(words.__getitem__, kept.tolist()), range(len(kept))))
 
 
 def write_tokens(
@@ -229,7 +274,7 @@ def write_tokens(
         encode, before = WordEncoder.of(tokenizer), 0
         for batch in batches:
             for part in pieces(batch, 1, PIECE_BYTES):
-                ids, n = encode(utf8(part.column(1)), end_id)
+                ids, n = encode(part.column(1), end_id)
                 ends = starts_of(n)
                 lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(ids)).cast(
                     pa.list_(pa.field("element", pa.int32(), False)))

@@ -201,6 +201,14 @@ def test_word_encoder_forgets_only_late_words(monkeypatch):
     assert first == [e.ids + [1] for e in encoder.tokenizer.encode_batch(["a b c d e", "f g a", "d e f zz"], add_special_tokens=False)]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="aBéßİªÅ各क़Σ\u0301\u024f\u0250\0017.,!-", min_size=1, max_size=5), min_size=1, max_size=8))
+def test_kinds_of_words_at_once_equal_one_by_one(words):
+    codes = np.frombuffer("\n".join([*words, ""]).encode("utf-32-le"), dtype="<u4")
+    kinds = token_output._kinds(codes, np.flatnonzero(codes == 10), words)
+    assert kinds.tolist() == [token_output._parts(w) for w in words]
+
+
 # ---- 4 WARC ----
 
 def test_archives_round_trip(spark):
