@@ -26,17 +26,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskfold.llm.counts import summed
 from riskfold.llm.tables import ROW, dropped, totals_before, with_row_ids, written
-from riskfold.llm.text import bytes_of, numbered_words, pieces, starts_of, sums_of
+from riskfold.llm.text import numbered_words, pieces, starts_of, sums_of
 
 #: Classes, words that start the clustering, words in the dictionary of the tasks (all others are joined).
 CLASSES = 32
@@ -58,7 +58,7 @@ TRANSITION_MASS = 5.0
 RARE_MASS = 1.0
 #: The end of a text as a word; no word holds white space.
 END = "\n"
-#: A task counts the words of so many bytes of text at a time; it sorts and counts so many neighbours at a time.
+#: A task counts and numbers the words of so many bytes of text at a time; it sorts and counts so many neighbours at a time.
 COUNTED_BYTES = 16 << 20
 MOST_COUNTED = 4_000_000
 #: Steps of the histogram of counts, per doubling.
@@ -124,27 +124,26 @@ def encode(docs: DataFrame, text_col: str, words: list[str]) -> DataFrame:
     ``len(words) + 1`` at the end of each text.  ``rare`` has these others in
     order, with their place and the numbers beside them.
     """
-    held = docs.sparkSession.sparkContext.broadcast(words)  # KNOWN_WORDS words at most
+    held = docs.sparkSession.sparkContext.broadcast(pa.array(words, pa.string()))  # KNOWN_WORDS words at most
     at = docs.columns.index(text_col)
     keep = [i for i in range(len(docs.columns)) if i != at]
     schema = T.StructType([*[docs.schema.fields[i] for i in keep], *ENCODED.fields])
     rare_type = pa.struct([pa.field("word", pa.string(), False), *[pa.field(n, pa.int32(), False) for n in ("at", "left", "right")]])
 
     def run(batches):
-        numbers = {w.encode(): i for i, w in enumerate(held.value)}
-        k = len(numbers)
+        k = len(held.value)
         for batch in batches:
-            for part in pieces(batch, at):
+            for part in pieces(batch, at, COUNTED_BYTES):
                 different, place, counts = numbered_words(part.column(at), lower=True)
-                each = bytes_of(different)
-                ids = np.fromiter(map(numbers.get, each, repeat(k)), dtype=np.int32, count=len(each))[place]
+                different = different.cast(pa.string())
+                ids = pc.index_in(different, value_set=held.value).fill_null(k).to_numpy()[place]
                 starts = starts_of(counts)
                 with_end = np.insert(ids, starts[1:], k + 1)
                 others = np.flatnonzero(ids == k)
                 text = np.searchsorted(starts, others, side="right") - 1
                 places = others + text  # in with_end: one end a text before
                 pairs = pa.StructArray.from_arrays([
-                    different.take(pa.array(place[others])).cast(pa.string()),
+                    different.take(pa.array(place[others])),
                     pa.array((others - starts[text]).astype(np.int32)),
                     pa.array(_before(with_end, k + 1)[places].astype(np.int32)), pa.array(with_end[places + 1].astype(np.int32)),
                 ], fields=list(rare_type))
