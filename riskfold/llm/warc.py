@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 import zlib
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskfold.llm.tables import ROW, with_row_ids
-from riskfold.llm.text import pieces, utf8
+from riskfold.llm.text import PIECE_ROWS, pieces, utf8
 
 #: Payloads of at least this many bytes are stored once.
 LEAST_SHARED = 100
@@ -27,6 +28,8 @@ SEGMENT_BYTES = 64 << 10
 CHUNK_BYTES = 16 << 10
 #: Records in one archive file; with the segment size, this bounds a file.
 FILE_RECORDS = 1000
+#: Bytes that a worker reads, unpacks or gives back at once, beside one record or page.
+PIECE_BYTES = 1 << 20
 END = b"\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
 _NAMES = uuid.uuid5(uuid.NAMESPACE_URL, "urn:riskfold:warc")
@@ -38,6 +41,8 @@ RECORD = T.StructType([
     T.StructField("segment", T.LongType()), T.StructField("origin_id", T.StringType()),
     T.StructField("total", T.LongType()), T.StructField("block", T.BinaryType(), False),
 ])
+#: What a record is known by once its segments are joined.
+KEPT = RECORD.names[:6]
 
 
 def record_name(key: str) -> str:
@@ -128,18 +133,48 @@ def records_of(
     return out
 
 
-def parsed(data: bytes):
-    """The records of an archive file, as the columns of ``RECORD``."""
-    at = 0
-    while at < len(data):
-        end = data.index(END, at)
+def unpacked(content: bytes, most: int = PIECE_BYTES) -> Iterator[bytes]:
+    """A gzip file's bytes, ``most`` of them at once."""
+    stream = zlib.decompressobj(wbits=31)
+    for at in range(0, len(content), most):
+        data, part = content[at: at + most], b""
+        while data or len(part) == most:
+            if part := stream.decompress(data, most):
+                yield part
+            data = stream.unconsumed_tail
+    if not stream.eof:
+        raise ValueError("an archive file is cut off")
+
+
+def parsed(parts: Iterable[bytes]) -> Iterator[tuple]:
+    """The records of an archive file given in parts, as the columns of ``RECORD``."""
+    parts, data, at, before = iter(parts), b"", 0, 0
+
+    def more(least: int) -> bool:
+        """Read on until ``least`` bytes are there from ``at`` on; false if the file ends before."""
+        nonlocal data, at, before
+        held, n = [data[at:]], len(data) - at
+        while n < least and (part := next(parts, None)) is not None:
+            held.append(part)
+            n += len(part)
+        before, data, at = before + at, b"".join(held), 0
+        return n >= least
+
+    while at < len(data) or more(1):
+        while (end := data.find(END, at)) < 0:
+            if not more(len(data) - at + 1):
+                raise ValueError(f"the record at byte {before + at} has no end of its headers")
         lines = data[at:end].decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
+            raise ValueError(f"no record at byte {before + at}")
         h = {k.lower(): v for k, _, v in (x.partition(": ") for x in lines[1:])}
-        start, n = end + 4, int(h["content-length"])
+        n = int(h["content-length"])
+        size = end + 4 - at + n + 4
+        if len(data) - at < size:
+            more(size)
+        start = at + size - 4 - n
         if data[start + n: start + n + 4] != END:
-            raise ValueError(f"the record at byte {at} has another length than it says")
+            raise ValueError(f"the record at byte {before + at} has another length than it says")
         number = lambda k: int(h[k]) if k in h else None
         yield (
             h["warc-record-id"], h["warc-type"], number("page-id"), _url_of(h),
@@ -150,6 +185,25 @@ def parsed(data: bytes):
         at = start + n + 4
 
 
+def _batches(rows: Iterable[tuple], schema: T.StructType) -> Iterator[pa.RecordBatch]:
+    """``rows``, whose last column is binary, in batches of about ``PIECE_BYTES``."""
+    arrow = pa.schema([(f.name, {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}[f.dataType.simpleString()])
+                       for f in schema])
+
+    def batch_of(held):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), arrow.types)], schema=arrow)
+
+    held, n = [], 0
+    for r in rows:
+        held.append(r)
+        n += len(r[-1] or b"")
+        if n >= PIECE_BYTES or len(held) >= PIECE_ROWS:
+            yield batch_of(held)
+            held, n = [], 0
+    if held:
+        yield batch_of(held)
+
+
 def write_warc(
     pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
     least_shared: int = LEAST_SHARED, segment_bytes: int = SEGMENT_BYTES, file_records: int = FILE_RECORDS,
@@ -161,7 +215,8 @@ def write_warc(
     response, the others revisit it.  A null html is an empty payload.  The
     text writer puts each record's bytes between blank lines, so Spark's
     commit protocol covers the archives.  Until then the payloads are kept and
-    shuffled deflated.
+    shuffled deflated.  A worker holds a batch as it comes, ``PIECE_BYTES`` of
+    what it makes of it, and one page with its records.
     """
     given = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
@@ -170,7 +225,7 @@ def write_warc(
 
     def pack(batches):
         for batch in batches:
-            for part in pieces(batch, 2):
+            for part in pieces(batch, 2, PIECE_BYTES):
                 payloads = utf8(part.column(2))
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), pa.array([zlib.compress(p, 6) for p in payloads], pa.binary()),
@@ -188,44 +243,39 @@ def write_warc(
         "digest", (F.col("first").isNull() | (F.col("first") == F.col(ROW))).alias("is_first"), shared.alias("is_shared"),
     )
 
-    def run(batches):
+    def records(batches):
         for batch in batches:
-            for part in pieces(batch, 3):
-                out = []
+            for part in pieces(batch, 3, PIECE_BYTES):
                 for page, row, url, data, digest, first, is_shared in zip(*(c.to_pylist() for c in part.columns)):
                     whole = b"" if data is None else zlib.decompress(data)
-                    out.extend(records_of(page, row, url, whole, digest, first, is_shared, segment_bytes))
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
+                    for r in records_of(page, row, url, whole, digest, first, is_shared, segment_bytes):
+                        yield (r,)
 
-    decided.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value")).write.option(
+    schema = T.StructType([T.StructField("record", T.BinaryType())])
+
+    def run(batches):
+        yield from _batches(records(batches), schema)
+
+    decided.mapInArrow(run, schema).select(F.col("record").cast("string").alias("value")).write.option(
         "lineSep", END.decode()
     ).option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """All records under ``path``; a task reads whole files, of ``FILE_RECORDS`` segments at most each."""
+def _read(spark: SparkSession, path: str, schema: T.StructType, rows_of: Callable[[Iterator[tuple]], Iterator[tuple]]) -> DataFrame:
+    """The rows that ``rows_of`` makes of each file's records; a task reads whole files, unpacked ``PIECE_BYTES`` at once."""
 
     def run(batches):
-        types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(),
-                 pa.int64(), pa.binary()]
+        yield from _batches(
+            (r for batch in batches for i in range(batch.num_rows) for r in rows_of(parsed(unpacked(batch.column(0)[i].as_py())))),
+            schema)
 
-        def batch_of(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=RECORD.names)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    return files.mapInArrow(run, schema)
 
-        for batch in batches:
-            for i in range(batch.num_rows):
-                rows, held = [], 0
-                for r in parsed(zlib.decompress(batch.column(0)[i].as_py(), wbits=31)):
-                    rows.append(r)
-                    held += len(r[-1])
-                    if held > 4 << 20:
-                        yield batch_of(rows)
-                        rows, held = [], 0
-                if rows:
-                    yield batch_of(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    return files.mapInArrow(run, RECORD)
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """All records under ``path``, of files of ``FILE_RECORDS`` segments at most each."""
+    return _read(spark, path, RECORD, lambda records: records)
 
 
 def reassembled(records: DataFrame) -> DataFrame:
@@ -234,43 +284,48 @@ def reassembled(records: DataFrame) -> DataFrame:
     Only segments are shuffled, grouped by the id of their first; a group is
     one record.  Missing or repeated segments and a wrong total length fail.
     """
-    kept = ["record_id", "record_type", "page_id", "url", "payload_digest", "refers_to_id"]
-    whole = records.where("segment is null").select(*kept, "block")
+    whole = records.where("segment is null").select(*KEPT, "block")
+    return whole.unionByName(_joined(records.where("segment is not null")))
+
+
+def _joined(segments: DataFrame) -> DataFrame:
     first = lambda c: F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c)
-    grouped = records.where("segment is not null").groupBy(
+    grouped = segments.groupBy(
         F.coalesce("origin_id", "record_id").alias("record_id")
     ).agg(
-        *[first(c) for c in kept[1:]], F.max("total").alias("total"),
+        *[first(c) for c in KEPT[1:]], F.max("total").alias("total"),
         F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("parts"),
     )
     numbers = F.transform("parts", lambda p: p["segment"])
     sizes = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + F.octet_length(p["block"]))
     good = (numbers == F.sequence(F.lit(1).cast("long"), F.size("parts").cast("long"))) & (sizes == F.col("total"))
-    joined = grouped.select(
-        *kept,
+    return grouped.select(
+        *KEPT,
         F.when(good, F.aggregate("parts", F.lit(b"").cast("binary"), lambda b, p: F.concat(b, p["block"])))
         .otherwise(F.raise_error(F.concat(F.lit("segments are missing of "), "record_id")).cast("binary")).alias("block"),
     )
-    return whole.unionByName(joined)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The responses and revisits under ``path``, with the payload of each response.
 
     ``record_id, record_type, page_id, url, payload_digest`` (as the header has
-    it), ``refers_to_id, payload`` (null for revisits).
+    it), ``refers_to_id, payload`` (null for revisits).  Records in one segment
+    get their payload where they are read, others once they are joined, so a
+    task has one worker.
     """
-    messages = reassembled(read_records(spark, path))
-    schema = T.StructType([*[f for f in messages.schema if f.name != "block"], T.StructField("payload", T.BinaryType())])
+    n = len(KEPT)
+    schema = T.StructType([*RECORD.fields[:n], T.StructField("payload", T.BinaryType())])
+    number = RECORD.names.index("segment")
+    whole = _read(spark, path, schema, lambda records: (
+        (*r[:n], payload_of(r[-1]) if r[1] == "response" else None) for r in records if r[number] is None))
+    segments = _read(spark, path, RECORD, lambda records: (r for r in records if r[number] is not None))
 
     def run(batches):
-        for batch in batches:
-            at = batch.schema.get_field_index("block")
-            for part in pieces(batch, at):
-                kinds = part.column(part.schema.get_field_index("record_type")).to_pylist()
-                blocks = part.column(at).to_pylist()
-                payloads = [payload_of(b) if k == "response" else None for k, b in zip(kinds, blocks)]
-                keep = [part.column(i) for i in range(part.num_columns) if i != at]
-                yield pa.RecordBatch.from_arrays([*keep, pa.array(payloads, pa.binary())], names=schema.names)
-
-    return messages.mapInArrow(run, schema)
+        yield from _batches((
+            (*row[:n], payload_of(row[n]) if row[1] == "response" else None)
+            for batch in batches for part in pieces(batch, n, PIECE_BYTES)
+            for row in zip(*(c.to_pylist() for c in part.columns))
+        ), schema)
+
+    return whole.unionByName(_joined(segments).mapInArrow(run, schema))

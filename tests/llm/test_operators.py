@@ -1,5 +1,6 @@
 """The operators on edge cases and against brute force, round trips and held-out accuracy."""
 
+import gzip
 import hashlib
 import itertools
 import math
@@ -15,6 +16,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskfold.llm import chat, decontamination, lm_scoring, mixing, quality_rules, sharding, token_output, toxicity, warc
 from riskfold.llm.counts import summed
@@ -255,6 +257,51 @@ def test_archives_of_nothing(spark):
     assert warc.read_warc(spark, path).count() == 0
 
 
+def test_a_task_reads_archives_with_one_worker(spark):
+    path = fresh_path(spark, "test-warc")
+    pages = [(i, f"http://{i}", "é" * size) for i, size in enumerate((0, 5, 100, 5000))]
+    warc.write_warc(spark.createDataFrame(pages, "page_id long, url string, html string"), path, segment_bytes=1000)
+    read = warc.read_warc(spark, path)
+    assert {r["page_id"]: r["payload"].decode() for r in read.collect()} == {i: h for i, _, h in pages}
+    plan = spark._jvm.PythonSQLUtils.explainString(read._jdf.queryExecution(), "simple")
+    above = []  # nodes from the root to this line's
+    for line in plan.splitlines()[1:]:
+        depth = len(line) - len(line.lstrip(" :+-"))
+        above = [x for x in above if x[0] < depth] + [(depth, line.lstrip(" :+-").split(" ")[0])]
+        stage = "".join("|" if n == "Exchange" else "M" if n == "MapInArrow" else "" for _, n in above)
+        assert "MM" not in stage, plan
+
+
+def test_workers_hold_archives_and_records_in_pieces():
+    archive = warc.unpacked(gzip.compress(bytes(20 << 20)), 1 << 16)
+    assert max(map(len, archive)) == 1 << 16
+    taken = []
+    rows = ((taken.append(i), bytes(10_000))[1:] for i in range(2000))  # 20 MB in all
+    schema = T.StructType([T.StructField("record", T.BinaryType())])
+    sizes, ahead = [], []
+    for batch in warc._batches(rows, schema):
+        sizes.append(batch.num_rows)
+        ahead.append(len(taken) - sum(sizes))
+    assert sum(sizes) == 2000 and max(ahead) == 0 and max(sizes) * 10_000 <= warc.PIECE_BYTES + 10_000
+
+
+def test_archives_in_parts_equal_whole_ones():
+    rng = random.Random(4)
+    pages = [rng.randbytes(rng.choice((0, 5, 900, 2500))) + b"\r\n\r\nWARC/1.1\r\n" for _ in range(20)]
+    records = [r for i, p in enumerate(pages) for r in warc.records_of(i, i, f"http://{i}", p, "d", True, False, 1000)]
+    data = b"".join(r + warc.END for r in records)
+    whole = list(warc.parsed([data]))
+    assert len(whole) == len(records) and [r[2] for r in whole if r[1] == "response"] == list(range(20))
+    for size in (1, 3, 64, 1000, 5000):
+        assert list(warc.parsed(data[i:i + size] for i in range(0, len(data), size))) == whole
+        packed = gzip.compress(data)
+        assert list(warc.parsed(warc.unpacked(packed, size + 1))) == whole
+        with pytest.raises(ValueError, match="cut off"):
+            list(warc.parsed(warc.unpacked(packed[:-5], size + 1)))
+        with pytest.raises(ValueError, match="length"):
+            list(warc.parsed(data[i:min(i + size, len(data) - 2)] for i in range(0, len(data) - 2, size)))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.binary(max_size=300), st.integers(1, 40))
 def test_chunked_framing(payload, size):
