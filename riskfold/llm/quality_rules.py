@@ -24,6 +24,8 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
+#: Texts measured together: the words, the suffixes and their ranks take some fifty times the texts' bytes.
+PIECE_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -230,4 +232,4 @@ def quality(
 
         return work
 
-    return annotate(docs, text_col, into, RESULT, make)
+    return annotate(docs, text_col, into, RESULT, make, PIECE_BYTES)

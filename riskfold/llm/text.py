@@ -97,12 +97,12 @@ def sums_of(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def annotate(
     df: DataFrame, text_col: str, into: str, fields: T.StructType,
-    make: Callable[[], Callable[[pa.Array], dict[str, pa.Array]]],
+    make: Callable[[], Callable[[pa.Array], dict[str, pa.Array]]], most: int = PIECE_BYTES,
 ) -> DataFrame:
     """``df`` with a struct column ``into`` computed from its texts.
 
     ``make`` runs once in each task and gives the function that maps an array
-    of texts to the struct's columns.  All other columns pass through, so rows
+    of texts, of ``most`` bytes together or one text, to the struct's columns.  All other columns pass through, so rows
     need no key and may repeat; extra columns may have any name but ``into``.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(into, fields, False)])
@@ -111,7 +111,7 @@ def annotate(
     def run(batches):
         work = make()
         for batch in batches:
-            for piece in pieces(batch, at):
+            for piece in pieces(batch, at, most):
                 got = work(piece.column(at))
                 columns = [got[f.name] for f in fields]
                 struct = pa.StructArray.from_arrays(columns, names=[f.name for f in fields])

@@ -7,10 +7,13 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
@@ -402,6 +405,23 @@ def test_one_long_repeat_fails_where_the_base_rules_pass(spark):
     assert not q["base_failed"][0] and q["longest_repeat"][0] == 60 and not q["kept"][0]
 
 
+def test_a_quality_worker_measures_texts_in_small_pieces():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(("word", "other", "third")) + str(rng.randrange(500)) for _ in range(2_500)) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(texts)], names=["doc_id", "text"])
+    fields = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+    # the function that Spark would run in its tasks
+    run = quality_rules.quality(SimpleNamespace(schema=fields, columns=fields.names, mapInArrow=lambda run, schema: run), into="q")
+    tracemalloc.start()
+    try:
+        got = pa.Table.from_batches(run([batch]))["q"].to_pylist()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [r["n_words"] for r in got] == [2_500] * 300
+    assert peak < 15 * sum(map(len, texts)), peak
+
+
 # ---- 7 decontamination ----
 
 def test_leaks_in_blocks_and_offsets(spark):
