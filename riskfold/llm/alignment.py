@@ -22,10 +22,11 @@ import os
 import re
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import chain, islice
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +34,7 @@ from pyspark.sql import types as T
 from riskfold.llm.bpe import same_as_ranks
 from riskfold.llm.counts import summed
 from riskfold.llm.tables import written
-from riskfold.llm.text import Numbers, byte_symbols, pieces, starts_of, sums_of, utf8
+from riskfold.llm.text import Numbers, byte_symbols, pieces, starts_of, sums_of
 
 PIECE_BYTES = 1 << 18
 #: Texts above this length go to the tokenizers library, which has no limit on a run of one kind of characters.
@@ -41,7 +42,7 @@ LONG_TEXT = 1 << 19
 #: Tokens of a run that are compared one by one; then probes of doubling length follow.
 FIRST_PROBE = 16
 #: A worker keeps the ids of so many different segments, then drops those that it has met only once.
-MOST_SEGMENTS = 60_000
+MOST_SEGMENTS = 120_000
 #: New segments that are encoded in one call.
 TOGETHER = 1_000
 #: How byte-level BPE of this vocabulary cuts a text before it merges (a fixed value of the tokenizer).
@@ -136,6 +137,8 @@ class Coder:
         self.lengths = tuple(np.fromiter(map(len, t.bytes), dtype=np.int64, count=len(t.bytes)) for t in self.both)
         if any(x.min() < 1 or x.max() > 255 for x in self.lengths):
             raise ValueError("a token has no bytes, or more than 255")
+        self.flat = tuple(np.frombuffer(b"".join(t.bytes), dtype=np.uint8) for t in self.both)
+        self.first = tuple(starts_of(n)[:-1] for n in self.lengths)
         self.splits = a.splits and b.splits
         self.types = tuple(np.uint16 if len(t.bytes) <= 1 << 16 else np.int32 for t in self.both)
         self._forget()
@@ -158,10 +161,27 @@ class Coder:
         self.starts = [np.zeros(1, dtype=np.int64) for _ in self.both]
         self.whole, self.uses = np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int64)
 
-    def segments(self, text: str) -> list[str]:
-        if not text or not self.splits:
-            return [text] if text else []
-        return _CUT.split(text) if _ODD.search(text) else text.split(" ")
+    def segments(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The different segments, the place among them of every segment in a row, and the number of each text."""
+        lists = pc.split_pattern(texts, " ")
+        flat = lists.flatten().dictionary_encode()
+        different, at = flat.dictionary.to_numpy(zero_copy_only=False).tolist(), flat.indices.to_numpy()
+        starts = lists.offsets.to_numpy().astype(np.int64)
+        # a space beside white space or at a text's end is no cut; it leaves such segments
+        spaced = np.fromiter((not s or s[0].isspace() or s[-1].isspace() for s in different), dtype=bool, count=len(different))
+        odd = np.flatnonzero(sums_of(spaced[at], starts) if self.splits else np.diff(starts))
+        if not len(odd):
+            return different, at, np.diff(starts)
+        each = [(_CUT.split(t) if self.splits else [t]) if t else [] for t in texts.take(pa.array(odd)).to_pylist()]
+        counts, begin = np.diff(starts), starts[:-1].copy()
+        counts[odd] = list(map(len, each))
+        begin[odd] = len(at) + starts_of(counts[odd])[:-1]
+        numbers = Numbers(zip(different, range(len(different))))
+        at = np.concatenate((at, np.fromiter(map(numbers.__getitem__, chain.from_iterable(each)), dtype=np.int64, count=counts[odd].sum())))
+        at = at[np.repeat(begin - starts_of(counts)[:-1], counts) + np.arange(counts.sum())]
+        used = np.zeros(len(numbers), dtype=bool)
+        used[at] = True
+        return list(compress(numbers, used)), (np.cumsum(used) - 1)[at], counts
 
     def _one(self, segment: str) -> tuple[list[np.ndarray], bool]:
         got, plain = [t(segment) for t in self.both], b" " + segment.encode()
@@ -170,15 +190,22 @@ class Coder:
 
     def _together(self, segments: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
         """Ids of segments that start and end with no white space, encoded as one text, and the number of each."""
-        both, whole = self._one(" ".join(segments))
-        if not whole:
-            return None
-        cuts = np.cumsum(np.fromiter((len(s.encode()) + 1 for s in segments), dtype=np.int64, count=len(segments)))
+        text = " ".join(segments)
+        plain = np.frombuffer(b" " + text.encode(), dtype=np.uint8)
+        # no segment holds a cut, so each of these spaces starts one
+        cuts = np.cumsum(np.fromiter(map(len, segments), dtype=np.int64, count=len(segments)) + 1)
+        if len(plain) > len(text) + 1:
+            cuts = np.append(np.flatnonzero((plain & 0xC0) != 0x80), len(plain))[cuts]
         out = []
-        for lengths, ids in zip(self.lengths, both):
-            ends = np.cumsum(lengths[ids])
+        for k, t in enumerate(self.both):
+            ids = t(text)
+            lengths = self.lengths[k][ids]
+            ends = np.cumsum(lengths)
+            if not len(ids) or ends[-1] != len(plain):
+                return None
+            got = self.flat[k][np.repeat(self.first[k][ids] - ends + lengths, lengths) + np.arange(len(plain))]
             at = np.searchsorted(ends, cuts)
-            if (ends[at] != cuts).any():
+            if not np.array_equal(got, plain) or (ends[at] != cuts).any():
                 return None
             out.append((ids, np.diff(at, prepend=-1)))
         return out
@@ -210,15 +237,18 @@ class Coder:
             self.starts[k] = np.concatenate((self.starts[k], self.starts[k][-1] + first[1:]))
         self.whole = np.concatenate((self.whole, whole))
 
-    def __call__(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For ``a`` and ``b``, all ids in a row and the number of each text; none for texts that the ids do not give back."""
+    def __call__(self, texts: pa.Array | list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For ``a`` and ``b``, all ids in a row and the number of each text; none for texts that the ids do not give back.
+
+        The piece's different segments are looked up once each.
+        """
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary()).cast(pa.string())).fill_null("")
         if len(self.numbers) > MOST_SEGMENTS:
             again = np.flatnonzero(self.uses > 1)
             self._forget(again[np.argsort(-self.uses[again], kind="stable")][:MOST_SEGMENTS // 2])
         known = len(self.numbers)
-        each = [self.segments(t.decode()) for t in texts]
-        counts = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
-        words = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(each)), dtype=np.int64, count=counts.sum())
+        different, at, counts = self.segments(texts)
+        words = np.fromiter(map(self.numbers.__getitem__, different), dtype=np.int64, count=len(different))[at]
         if len(self.numbers) > known:
             self._learn(list(islice(self.numbers, known, None)))
             self.uses = np.concatenate((self.uses, np.zeros(len(self.numbers) - known, dtype=np.int64)))
@@ -234,9 +264,8 @@ class Coder:
         return out
 
 
-#: A space between two characters that are no white space, and any other space.
+#: A space between two characters that are no white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_ODD = re.compile(r"(?<!\S) | (?!\S)")
 
 
 def runs(lengths_a: np.ndarray, lengths_b: np.ndarray) -> tuple[list[int], list[int], list[int]]:
@@ -267,7 +296,7 @@ def runs(lengths_a: np.ndarray, lengths_b: np.ndarray) -> tuple[list[int], list[
                 ahead -= b[j]
         p, q = i + 1, j + 1
         singles = p + FIRST_PROBE
-        while a[p] == b[q] and p < n_a and q < n_b:
+        while a[p] == b[q] and p < n_a:  # both are at their ends, or neither is
             p += 1
             q += 1
             if p == singles:  # a longer run: probes of doubling length
@@ -377,7 +406,7 @@ def align(
             _DIGITS[most] = _Digits(most)
         for batch in batches:
             for part in pieces(batch, 1, PIECE_BYTES):
-                got = _aligned(utf8(part.column(1)), coder, pairs.value, _DIGITS[most], with_groups)
+                got = _aligned(part.column(1), coder, pairs.value, _DIGITS[most], with_groups)
                 yield pa.RecordBatch.from_arrays([part.column(0), *got], names=schema.names)
 
     return rows.mapInArrow(run, schema)
@@ -388,7 +417,7 @@ def _pairs(tokenizers: Tokenizers) -> np.ndarray:
     return linkable(a.bytes, b.bytes)
 
 
-def _aligned(texts: list[bytes], coder: Coder, pairs: np.ndarray, digits: _Digits, with_groups: bool):
+def _aligned(texts: pa.Array, coder: Coder, pairs: np.ndarray, digits: _Digits, with_groups: bool):
     (flat_a, n_a), (flat_b, n_b) = coder(texts)
     lengths = [n[x].astype(np.uint8) for n, x in zip(coder.lengths, (flat_a, flat_b))]
     starts_a, starts_b = starts_of(n_a), starts_of(n_b)

@@ -130,6 +130,32 @@ def test_forgotten_segments_change_nothing(both, monkeypatch):
             assert x.tolist() == y.tolist() and n.tolist() == m.tolist()
 
 
+def test_a_piece_looks_up_each_segment_once(both):
+    looked_up = []
+
+    class Counted(alignment.Numbers):
+        def __getitem__(self, key):
+            looked_up.append(key)
+            return super().__getitem__(key)
+
+    coder = alignment.Coder(*both.load().both)
+    texts = [("one two one\n two  one " * 50).encode(), b"two one", b"", b" one"] * 20
+    want = [(x.tolist(), n.tolist()) for x, n in coder(texts)]
+    coder.numbers = Counted(coder.numbers)
+    assert [(x.tolist(), n.tolist()) for x, n in coder(texts)] == want
+    assert len(looked_up) == len(set(looked_up)) == len(coder.numbers)
+
+
+def test_segments_met_again_are_not_encoded_again(both, monkeypatch):
+    coder = alignment.Coder(*both.load().both)
+    learn, learned = coder._learn, []
+    monkeypatch.setattr(coder, "_learn", lambda segments: (learned.append(len(segments)), learn(segments)))
+    texts = [" ".join(f"w{i}" for i in range(lo, lo + 5_000)).encode() for lo in range(0, 80_000, 5_000)]
+    want = [coder([t])[0][0].tolist() for t in texts]
+    assert sum(learned) == 80_000
+    assert [coder([t])[0][0].tolist() for t in texts] == want and sum(learned) == 80_000
+
+
 def test_every_link_is_a_linkable_pair(both):
     coder = both.load()
     a, b = coder.both
