@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -22,10 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskfold.functions.scoring import DEFAULT_THRESHOLD, threshold_label
+from riskfold.operators import draws
 from riskfold.operators.balance import class_weights, with_class_weight
 from riskfold.operators.clean import DEFAULT_MISSING_THRESHOLD, clean
 from riskfold.operators.pool import pooled
-from riskfold.operators.prep import CAT, FEATURES, NUM, feature_input_cols, preparation_stages
+from riskfold.operators.prep import CAT, FEATURES, NUM, feature_input_cols, numeric_input, preparation_stages
 from riskfold.operators.split import DEFAULT_SEED, DEFAULT_TRAIN_PCT, hash_split, random_split
 from riskfold.roles import Roles
 from riskfold.session import path_exists, publish, versions
@@ -79,14 +81,23 @@ def build_pipeline(roles: Roles, preset: str = "script", seed: int = DEFAULT_SEE
 
 
 def fit_pipeline(df: DataFrame, roles: Roles, preset: str = "script", seed: int = DEFAULT_SEED, pool: bool = True,
-                 **overrides) -> PipelineModel:
+                 num_partitions: int | None = None, deal=None, **overrides) -> PipelineModel:
     """Fit :func:`build_pipeline` on ``df``; equal rows of bins are boosted as one weighted row.
 
-    See :mod:`riskfold.operators.pool`.  A fit that draws rows anew in each
-    round, or counts the rows of a node, needs them one by one.
+    See :mod:`riskfold.operators.pool`, and :mod:`riskfold.operators.draws` for
+    a fit that draws rows anew in each round, whose cells go to
+    ``num_partitions``.  A fit that counts the rows of a node needs them one by
+    one.  ``deal`` lays out the rows for a fit that goes over them.
     """
     pipeline = build_pipeline(roles, preset, seed, **overrides)
     *steps, trees = pipeline.getStages()
+    if pool and draws.can_draw(trees):
+        model = _fit_drawn(df, roles, steps, trees, num_partitions)
+        if model is not None:
+            return model
+    if deal is not None:
+        with deal(df) as rows:
+            return pipeline.fit(rows)
     if not pool or trees.getSubsamplingRate() < 1 or trees.getMinInstancesPerNode() > 1:
         return pipeline.fit(df)
     prepared = Pipeline(stages=steps).fit(df)
@@ -101,6 +112,27 @@ def fit_pipeline(df: DataFrame, roles: Roles, preset: str = "script", seed: int
         cells.unpersist()
 
 
+def _fit_drawn(df: DataFrame, roles: Roles, steps, trees, num_partitions: int | None) -> PipelineModel | None:
+    """The fit of ``trees`` on cells of equal rows, or None where the rows are to be drawn one by one."""
+    n = df.count()
+    if n < draws.LEAST_ROWS:
+        return None
+    prepared = Pipeline(stages=steps).fit(df)
+    means, n_labels = {}, []
+    for st in prepared.stages:
+        if st.__class__.__name__ == "ImputerModel":
+            row = st.surrogateDF.first()
+            means = {c: row[numeric_input(roles, c)] for c in roles.numeric}
+        elif st.__class__.__name__ == "StringIndexerModel":
+            n_labels = [len(x) for x in st.labelsArray]
+    cells = draws.counted(df, n, roles, WEIGHT_COL, means, n_labels, trees.getMaxBins())
+    if cells is None:
+        return None
+    spark = df.sparkSession
+    ready = prepared.transform(draws.dealt_cells(cells, num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return PipelineModel([*prepared.stages, draws.boosted(ready, trees)])
+
+
 def check_categories(df: DataFrame, columns, most: int) -> None:
     """Refuse categorical columns with more than ``most`` different values (exact counts, one pass)."""
     if not columns:
@@ -125,6 +157,20 @@ def dealt(df: DataFrame, row_key: Sequence[str], num_partitions: int, columns: S
         *[F.col(f"`{c}`") for c in columns])
 
 
+def _dealer(row_key: Sequence[str], num_partitions: int, columns: Sequence[str]):
+    """A context that has its rows :func:`dealt` and persisted."""
+
+    @contextmanager
+    def deal(df: DataFrame):
+        rows = dealt(df, row_key, num_partitions, columns).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            yield rows
+        finally:
+            rows.unpersist()
+
+    return deal
+
+
 def model_digest(model: PipelineModel, digits: int = 8) -> str:
     """SHA-256 of the trees: structure, split features, and all numbers to ``digits`` decimals.
 
@@ -166,10 +212,11 @@ def fit(df: DataFrame, roles: Roles, preset: str = "script", id_col: str | None
     needed = [roles.label_col, *roles.numeric, *roles.categorical]
     # Persist the narrow training projection first: the class-weight count
     # fills the cache in the same scan, and every later fit reads the cache.
+    deal = None
     if row_key is not None:
         if not num_partitions:
             raise ValueError("row_key needs num_partitions: without it the layout is the cluster's")
-        base = dealt(train, row_key, num_partitions, needed)
+        base, deal = train.select(*dict.fromkeys([*row_key, *needed])), _dealer(row_key, num_partitions, [*needed, WEIGHT_COL])
     else:
         base = train.select(*needed)
         base = base.repartition(num_partitions) if num_partitions else base
@@ -179,7 +226,7 @@ def fit(df: DataFrame, roles: Roles, preset: str = "script", id_col: str | None
         if max_categories is not None:
             check_categories(base, roles.categorical, max_categories)
         train_w = with_class_weight(base, roles.label_col, weights, WEIGHT_COL)
-        model = fit_pipeline(train_w, roles, preset, seed, pool=row_key is None, **overrides)
+        model = fit_pipeline(train_w, roles, preset, seed, num_partitions=num_partitions, deal=deal, **overrides)
     finally:
         base.unpersist()
     params = {k: v for k, v in PRESETS[preset].items()}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskfold.functions.scoring import risk_level, threshold_label
-from riskfold.operators import balance, clean as clean_ops, dictionary, evaluate, pool, prep, profile, profile_state, sketch, split
+from riskfold.operators import balance, clean as clean_ops, dictionary, draws, evaluate, pool, prep, profile, profile_state, sketch, split
 from riskfold.plans import score as score_plan, train as train_plan
 from riskfold.roles import schema_report as _schema_report
 from riskfold.session import new_version, shared_path, versions
@@ -358,7 +358,7 @@ def _code_of_training() -> str:
     """Presets and source of the modules that make a model."""
     import inspect
 
-    return repr(train_plan.PRESETS) + "".join(inspect.getsource(m) for m in (train_plan, pool, prep, clean_ops, balance, split))
+    return repr(train_plan.PRESETS) + "".join(inspect.getsource(m) for m in (train_plan, draws, pool, prep, clean_ops, balance, split))
 
 
 def _model_base(spark, sf_dir, preset):
