@@ -327,8 +327,10 @@ def q_wide_missing_rate(spark, sf_dir):
 
 
 def q_wide_clean_table(spark, sf_dir):
+    """The cleaned table in an order in which it takes less disk."""
     df, roles = _wide(spark, sf_dir)
-    return clean_ops.clean(df, roles).df
+    dropped = clean_ops.clean(df, roles).dropped
+    return clean_ops.drop_all_missing_rows(fixtures.wide_statements_by_price(spark, sf_dir), roles).drop(*dropped)
 
 
 def q_wide_column_means(spark, sf_dir):
